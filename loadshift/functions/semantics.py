@@ -65,7 +65,7 @@ def safe_ratio(num, den) -> Column:
 def extract_number(x, scale: float = PERCENT) -> Column:
     """First run of digits as a number divided by ``scale``; NULL when none."""
     digits = F.regexp_substr(_c(x), F.lit(r"\d+"))
-    return F.try_cast(digits, "double") / F.lit(scale)
+    return digits.try_cast("double") / F.lit(scale)
 
 
 def as_bool(x, dtype: T.DataType) -> Column:

@@ -98,15 +98,16 @@ def portfolio_compare(readings: DataFrame, n_buildings, base_arm: int, upg_arm:
                       group_cols: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
     """D9 x 2 + D11 in one pass (R5 as conditional aggregation).
 
-    ``n_buildings``: int, column name (per group, e.g. per scenario) or Column.
+    ``n_buildings``: int, scalar Column, or a DataFrame of group_cols + ``n_buildings``
+    (one row per group, e.g. per scenario).
     """
     measures = R.portfolio_measures(readings)
     keys = [*group_cols, R.HOUR_UTC]
     rd = R.with_hour(readings.where(F.col(arm_col).isin(base_arm, upg_arm)), ts)
     sums = R._arm_sums(rd, keys, measures, arm_col, (base_arm, upg_arm))
     sums = sums.where(F.col(f"_n_{base_arm}") > 0)
+    sums, n = R._attach_n(sums, n_buildings, group_cols)
     sums = R.add_wall_clock(sums, zone)
-    n = R._n_col(n_buildings)
     has_upg = F.col(f"_n_{upg_arm}") > 0
     out = sums.select(
         *group_cols, R.TIME_HR, R.HOUR_UTC, *R.WALL,

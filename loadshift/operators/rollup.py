@@ -156,6 +156,16 @@ def _finish_portfolio(sums: DataFrame, measures: Sequence[Measure], n_buildings:
     return out
 
 
+def _attach_n(sums: DataFrame, n_buildings, group_cols: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Resolve the divisor N. A DataFrame (group_cols + ``n_buildings``) is joined
+    after the aggregate -- it has one row per group (e.g. per configured scenario),
+    so it is broadcast."""
+    if isinstance(n_buildings, DataFrame):
+        sums = sums.join(F.broadcast(n_buildings.select(*group_cols, "n_buildings")), list(group_cols), "inner")
+        return sums, F.col("n_buildings").cast("double")
+    return sums, _n_col(n_buildings)
+
+
 def _n_col(n_buildings) -> Column:
     if isinstance(n_buildings, Column):
         return n_buildings.cast("double")
@@ -167,7 +177,8 @@ def _n_col(n_buildings) -> Column:
 def hourly_portfolio(readings: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZONE,
                      arm_col: str = "upgrade", group_cols: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
     """Per (arm, hour instant): interval count and the seven measures, energy as
-    MWh averaged over ``n_buildings`` (int, column name, or scalar Column).
+    MWh averaged over ``n_buildings`` (int, scalar Column, or a DataFrame of
+    group_cols + ``n_buildings``).
 
     Output: *group_cols, arm, time_hr, hour_utc, year, month, day, hour,
     interval_count, 7 measures. Both instants of the fall-back hour are kept.
@@ -175,7 +186,7 @@ def hourly_portfolio(readings: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZO
     measures = portfolio_measures(readings)
     keys = [*group_cols, arm_col, HOUR_UTC]
     sums = _arm_sums(with_hour(readings, ts), keys, measures, None, None)
-    n = _n_col(n_buildings)
+    sums, n = _attach_n(sums, n_buildings, group_cols)
     sums = add_wall_clock(sums, zone)
     return sums.select(*group_cols, arm_col, TIME_HR, HOUR_UTC, *WALL,
                        *_finish_portfolio(sums, measures, n, "", F.lit(True), "_n", "_s_"))

@@ -8,32 +8,48 @@ value by value (summation order differs in the last bits).
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import scenario_table
+from ..config import REFERENCE_SCENARIO_LABELS, max_sample_size, scenario_labels, scenario_table
+from ..functions import columns as C
+from ..functions import semantics as S
 from ..functions import timecols as TC
 from ..operators import compare as CMP
+from ..operators import report as REP
 from ..operators import rollup as R
+from ..operators import sample as SMP
 from ..sources import driver_views as V
+from ..sources import files as IO
 
 ROUND_DIGITS = 6
 ZONE = TC.DEFAULT_ZONE
 BASE, UPG = V.DRIVER_BASELINE_ARM, V.DRIVER_UPGRADE_ARM
+DST_SHIFTS_DAYS = (60, 300)   # move January events over the March and November changes
+
+
+def round_binary(c, digits: int = ROUND_DIGITS):
+    """Round a double to ``digits`` decimals as round(x * 10^d) / 10^d on the binary
+    value. Spark's round(x, d) rounds the shortest decimal text of x instead, which
+    breaks exact ties (…5 in the next digit) differently from SQL engines that round
+    in binary; scaling first makes both agree bit for bit."""
+    scale = F.lit(float(10 ** digits))
+    return F.round(c * scale, 0) / scale
 
 
 def finalize(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
-    """Widen integers to BIGINT, round doubles; names unchanged."""
+    """Widen integers to BIGINT, round doubles (see :func:`round_binary`); names unchanged."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            c = round_binary(c.cast("double"), digits)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -43,6 +59,11 @@ def _n_requested(rd: DataFrame):
     return V.requested_buildings(rd).select(F.count(F.lit(1))).scalar()
 
 
+def _onepass(spark, sf_dir) -> DataFrame:
+    rd = V.readings(spark, sf_dir)
+    return CMP.portfolio_compare(rd, _n_requested(rd), BASE, UPG, ZONE)
+
+
 # ---- time-series family ------------------------------------------------------
 
 def hourly_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,12 +79,289 @@ def compare_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_arms_onepass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(_onepass(spark, sf_dir))
+
+
+def hourly_by_building(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rd = V.readings(spark, sf_dir).where(F.col("upgrade") == BASE)
+    return finalize(R.hourly_by_building(rd, "baseline", ZONE))
+
+
+def hourly_by_building_upgrade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rd = V.readings(spark, sf_dir).where(F.col("upgrade") == UPG)
+    return finalize(R.hourly_by_building(rd, "upgrade", ZONE))
+
+
+def building_hour_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rd = V.readings(spark, sf_dir)
+    return finalize(CMP.building_hour_compare(rd, BASE, UPG, ZONE))
+
+
+def building_hour_compare_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rd = V.readings(spark, sf_dir)
+    b1 = R.hourly_by_building(rd.where(F.col("upgrade") == BASE), "baseline", ZONE)
+    u1 = R.hourly_by_building(rd.where(F.col("upgrade") == UPG), "upgrade", ZONE)
+    return finalize(CMP.join_building_arms(b1, u1))
+
+
+def building_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(CMP.building_attributes(V.baseline_metadata(spark, sf_dir), V.upgrade_metadata(spark, sf_dir)))
+
+
+def peak_hour_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rd = V.readings(spark, sf_dir)
+    bhc = CMP.building_hour_compare(rd, BASE, UPG, ZONE, only_local_hours=[V.DRIVER_PEAK_HOUR])
+    sl = CMP.peak_hour_slice(bhc, V.DRIVER_PEAK_HOUR)
+    attrs = CMP.building_attributes(V.baseline_metadata(spark, sf_dir), V.upgrade_metadata(spark, sf_dir))
+    return finalize(CMP.enrich_slice(attrs, sl))
+
+
+def annual_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(REP.annual_energy(_onepass(spark, sf_dir)))
+
+
+def peak_day_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(REP.peak_day_profile(_onepass(spark, sf_dir), V.DRIVER_PEAK_DAY, "cooling"))
+
+
+def peak_day_profile_heating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = V.DRIVER_WINTER_PEAK_HOUR[:10]
+    return finalize(REP.peak_day_profile(_onepass(spark, sf_dir), day, "heating"))
+
+
+def profile_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prof = REP.peak_day_profile(_onepass(spark, sf_dir), V.DRIVER_PEAK_DAY, "cooling")
+    return finalize(REP.profile_long(prof, "cooling"))
+
+
+def local_hour_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 across both daylight-saving changes: readings moved by 60 and 300 days;
+    readings and distinct hour instants per wall-clock hour."""
+    rd = V.readings(spark, sf_dir)
+    moved = None
+    for d in DST_SHIFTS_DAYS:
+        part = rd.select(F.lit(d).alias("shift_days"),
+                         (F.col("timestamp") + F.make_dt_interval(F.lit(d))).alias("timestamp"))
+        moved = part if moved is None else moved.unionByName(part)
+    inst = R.with_hour(moved).groupBy("shift_days", R.HOUR_UTC).agg(F.count(F.lit(1)).alias("n"))
+    wall = R.add_wall_clock(inst, ZONE)
+    out = wall.groupBy("shift_days", R.TIME_HR, *R.WALL).agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_instants"))
+    return finalize(out)
+
+
+def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct (building, arm) pairs present in the series."""
+    return finalize(V.readings(spark, sf_dir).select("bldg_id", "upgrade").distinct())
+
+
+# ---- sampling family -----------------------------------------------------------
+
+def _scenarios(spark):
+    return scenario_table(spark, V.DRIVER_SCENARIOS)
+
+
+def _pool(spark, sf_dir) -> DataFrame:
+    return SMP.eligible_pool(V.baseline_metadata(spark, sf_dir), V.upgrade_metadata(spark, sf_dir), _scenarios(spark))
+
+
+def _sample(spark, sf_dir) -> DataFrame:
+    return SMP.draw_sample(_pool(spark, sf_dir), max_sample_size(V.DRIVER_SCENARIOS), _scenarios(spark))
+
+
+PREP_COLUMNS = ("bldg_id", "applicability", "heating_electricity_kwh", "cooling_electricity_kwh",
+                "thermal_electricity_kwh", "nonthermal_electricity_kwh", "heating_tons", "cooling_tons", "tons")
+POOL_COLUMNS = ("scenario", "bldg_id", "tons", "nonthermal_electricity_kwh", "upgrade_tons_heating",
+                "upgrade_tons_cooling")
+
+
+def prep_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = V.DRIVER_SCENARIOS[0]
+    df = SMP.prep_baseline(V.baseline_metadata(spark, sf_dir), d.building_type, d.ducts_required)
+    return finalize(df.select(*PREP_COLUMNS))
+
+
+def eligible_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(_pool(spark, sf_dir).select(*POOL_COLUMNS))
+
+
+def scenario_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(_sample(spark, sf_dir).select(*POOL_COLUMNS))
+
+
+def sample_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(SMP.sample_summary(_sample(spark, sf_dir)))
+
+
+def requested_vs_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per scenario and arm, requested vs loaded vs failed buildings."""
+    sample_ids = _sample(spark, sf_dir).select("scenario", "bldg_id")
     rd = V.readings(spark, sf_dir)
-    return finalize(CMP.portfolio_compare(rd, _n_requested(rd), BASE, UPG, ZONE))
+    out = None
+    for arm in (BASE, UPG):
+        st = IO.load_status(sample_ids, rd.where(F.col("upgrade") == arm))
+        part = st.groupBy("scenario").agg(
+            F.count_distinct("bldg_id").alias("n_requested"),
+            F.count(F.when(F.col("loaded"), 1)).alias("n_loaded"),
+            F.count(F.when(~F.col("loaded"), 1)).alias("n_failed"),
+        ).withColumn("upgrade", F.lit(arm))
+        out = part if out is None else out.unionByName(part)
+    return finalize(out)
+
+
+def scenario_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D18 + D19 for every scenario in one job: sample -> series of the sampled
+    buildings -> one-pass comparison per scenario -> annual report -> labels."""
+    sample_ids = _sample(spark, sf_dir).select(F.col("scenario").alias("scenario_name"), "bldg_id")
+    n = sample_ids.groupBy("scenario_name").agg(F.count(F.lit(1)).alias("n_buildings"))
+    rd = V.readings(spark, sf_dir)
+    # the sample's size is bounded by the scenario config (sum of sample sizes)
+    per_scn = rd.join(F.broadcast(sample_ids), "bldg_id", "inner")
+    cmp = CMP.portfolio_compare(per_scn, n, BASE, UPG, ZONE, group_cols=("scenario_name",))
+    names = _scenarios(spark).select(F.col("scenario").alias("scenario_name"))
+    annual = REP.annual_energy(cmp, group_cols=("scenario_name",), groups=names)
+    return finalize(REP.scenario_report(scenario_labels(spark, REFERENCE_SCENARIO_LABELS), annual))
+
+
+# ---- scalar-function family ------------------------------------------------------
+
+def regex_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First digits / 100; NULL (not '' or an error) when there are none."""
+    ev = V.table(spark, sf_dir, "events")
+    part = V.table(spark, sf_dir, "part")
+    a = ev.select(F.lit("events.props").alias("source"), F.col("event_id").alias("id"), F.col("props").alias("text"))
+    b = part.select(F.lit("part.p_name").alias("source"), F.col("p_partkey").alias("id"), F.col("p_name").alias("text"))
+    c = part.select(F.lit("part.p_brand").alias("source"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("text"))
+    u = a.unionByName(b).unionByName(c)
+    return finalize(u.select("source", "id", S.extract_number(F.col("text")).alias("number")))
+
+
+def bool_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric, text and logical inputs; text NULL is FALSE, numeric NULL stays NULL."""
+    lab = V.table(spark, sf_dir, "labels")
+    text = F.when(F.col("quality") == 1, "Yes").when(F.col("toxic") == 1, "T").otherwise("no")
+    return finalize(lab.select(
+        "doc_id",
+        S.as_bool(F.col("quality"), T.IntegerType()).alias("quality_flag"),
+        S.as_bool(F.col("toxic").cast("string"), T.StringType()).alias("toxic_text_flag"),
+        S.as_bool(text, T.StringType()).alias("label_text_flag"),
+        S.as_bool(F.col("quality") > F.col("toxic"), T.BooleanType()).alias("logical_flag"),
+        S.in_set(F.when(F.col("toxic") == 0, F.col("quality")), [1]).alias("quality_in_set"),
+    ))
+
+
+def _customer_prices(spark, sf_dir) -> DataFrame:
+    c = V.table(spark, sf_dir, "customer")
+    o = V.table(spark, sf_dir, "orders")
+    early = o.where(F.col("o_orderdate") < TC.ntz_literal(V.EARLY_BEFORE)) \
+             .groupBy("o_custkey").agg(F.max("o_totalprice").alias("early_max"))
+    late = o.where(F.col("o_orderdate") >= TC.ntz_literal(V.LATE_FROM)) \
+            .groupBy("o_custkey").agg(F.max("o_totalprice").alias("late_max"))
+    return (c.join(early, c.c_custkey == early.o_custkey, "left").drop("o_custkey")
+             .join(late, c.c_custkey == late.o_custkey, "left").drop("o_custkey"))
+
+
+def strict_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict mean (NULL if any NULL) next to the skip-NULL mean."""
+    df = _customer_prices(spark, sf_dir)
+    out = df.groupBy("c_nationkey", "c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"),
+        S.mean_strict("late_max").alias("mean_strict"),
+        S.mean_skipna("late_max").alias("mean_skipna"),
+    )
+    return finalize(out)
+
+
+def strict_pmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: pairwise max that is NULL when a side is NULL, next to Spark's greatest."""
+    df = _customer_prices(spark, sf_dir)
+    return finalize(df.select("c_custkey", "early_max", "late_max",
+                              S.pmax_strict("early_max", "late_max").alias("pmax_strict"),
+                              F.greatest("early_max", "late_max").alias("greatest_skipna")))
+
+
+def row_sum_skipna(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: horizontal sum skipping NULL, next to the NULL-propagating '+', and the
+    empty column set (0)."""
+    df = _customer_prices(spark, sf_dir)
+    return finalize(df.select("c_custkey",
+                              S.row_sum(["early_max", "late_max", "c_acctbal"]).alias("row_sum"),
+                              (F.col("early_max") + F.col("late_max") + F.col("c_acctbal")).alias("plain_sum"),
+                              S.row_sum([]).alias("empty_sum")))
+
+
+def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bind tables by column name, missing columns become NULL."""
+    c = V.table(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("kind"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("acctbal"),
+        F.col("c_mktsegment").alias("mktsegment"))
+    s = V.table(spark, sf_dir, "supplier").select(
+        F.col("s_acctbal").alias("acctbal"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nationkey"), F.lit("supplier").alias("kind"))
+    return finalize(c.unionByName(s, allowMissingColumns=True))
+
+
+# Fixed pattern of the dynamic-measure query: every money/amount column of lineitem.
+DYNAMIC_PATTERN = r"^l_.*(price|quantity)$"
+
+
+def dynamic_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pick columns by regex / prefix+suffix at run time, scale them all,
+    aggregate with computed names."""
+    li = V.table(spark, sf_dir, "lineitem")
+    by_regex = C.cols_regex(li.columns, DYNAMIC_PATTERN)
+    by_affix = C.cols_prefix_suffix(li.columns, "l_", "tax")
+    scaled = C.apply_to_columns(li, by_regex, lambda c: c / F.lit(1000.0))
+    return finalize(scaled.groupBy("l_returnflag", "l_linestatus").agg(
+        *[S.sum0(c).alias(f"sum_{c}_k") for c in by_regex],
+        *[S.sum0(c).alias(f"sum_{c}") for c in by_affix],
+        S.sum0(S.row_sum(by_regex)).alias("sum_all_k"),
+        F.count(F.lit(1)).alias("n")))
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write a table as CSV partitioned by a key (header, NA for NULL)
+    into the shared folder and read it back with an explicit schema."""
+    nation = V.table(spark, sf_dir, "nation")
+    region = V.table(spark, sf_dir, "region")
+    df = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
+        "n_nationkey", "n_name", "n_regionkey",
+        F.when(F.col("r_name") != "AFRICA", F.col("r_name")).alias("r_name"),
+        (F.col("n_nationkey") * 1.5).alias("score"))
+    out = IO.write_csv(df, IO.scratch_dir(spark, "csv_roundtrip"), partition_by=["n_regionkey"])
+    schema = "n_nationkey int, n_name string, r_name string, score double, n_regionkey int"
+    return finalize(IO.read_csv(spark, out, schema))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_portfolio": hourly_portfolio,
     "compare_arms": compare_arms,
     "compare_arms_onepass": compare_arms_onepass,
+    "hourly_by_building": hourly_by_building,
+    "hourly_by_building_upgrade": hourly_by_building_upgrade,
+    "building_hour_compare": building_hour_compare,
+    "building_hour_compare_join": building_hour_compare_join,
+    "building_attributes": building_attributes,
+    "peak_hour_slice": peak_hour_slice,
+    "annual_energy": annual_energy,
+    "peak_day_profile": peak_day_profile,
+    "peak_day_profile_heating": peak_day_profile_heating,
+    "profile_long": profile_long,
+    "local_hour_dst": local_hour_dst,
+    "distinct_ids": distinct_ids,
+    "prep_baseline": prep_baseline,
+    "eligible_pool": eligible_pool,
+    "scenario_sample": scenario_sample,
+    "sample_summary": sample_summary,
+    "requested_vs_loaded": requested_vs_loaded,
+    "scenario_report": scenario_report,
+    "regex_number": regex_number,
+    "bool_coercion": bool_coercion,
+    "strict_mean": strict_mean,
+    "strict_pmax": strict_pmax,
+    "row_sum_skipna": row_sum_skipna,
+    "union_by_name": union_by_name,
+    "dynamic_measures": dynamic_measures,
+    "csv_roundtrip": csv_roundtrip,
 }

@@ -43,17 +43,17 @@ DRIVER_WINTER_PEAK_HOUR = "2024-01-07 07:00:00"
 # Scenarios over the re-aimed metadata (values that occur in the driver tables).
 DRIVER_SCENARIOS: tuple[Scenario, ...] = (
     Scenario("scenario1", building_type="AMERICA", sqft_allowed=(1500, 2000, 2500),
-             vintage_allowed=("HOUSEHOLD", "MACHINERY", "FURNITURE"),
+             vintage_allowed=("MACHINERY", "FURNITURE", "BUILDING"),
              hvac_efficiency="Electric Furnace, 100% AFUE", heating_fuel="Electricity"),
     Scenario("scenario2", building_type="AMERICA", sqft_allowed=(1500, 2000, 2500),
-             vintage_allowed=("HOUSEHOLD", "MACHINERY", "FURNITURE"),
+             vintage_allowed=("MACHINERY", "FURNITURE", "BUILDING"),
              hvac_efficiency="Fuel Furnace, 80% AFUE", heating_fuel="Natural Gas"),
     Scenario("scenario3", building_type="AMERICA", sqft_allowed=(1500, 2000, 2500),
-             vintage_allowed=("HOUSEHOLD",),
+             vintage_allowed=("MACHINERY", "BUILDING"),
              hvac_efficiency="Fuel Furnace, 80% AFUE", heating_fuel="Natural Gas"),
     Scenario("scenario4", building_type="AMERICA"),
-    Scenario("scenario5", building_type="AMERICA", sqft_allowed=(1500, 2000, 2500),
-             vintage_allowed=("HOUSEHOLD",),
+    Scenario("scenario5", building_type="AMERICA", sqft_allowed=(1000, 1500, 2000, 2500),
+             vintage_allowed=("MACHINERY", "BUILDING", "AUTOMOBILE"),
              hvac_efficiency="Electric Furnace, 100% AFUE", heating_fuel="Electricity"),
 )
 
