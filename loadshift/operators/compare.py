@@ -15,7 +15,7 @@ form as well, keyed by (building, hour).
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,36 +36,40 @@ DERIVED = ("total_electricity_savings", "heating_electricity_savings", "cooling_
            "total_mwh_savings_scaled", "gas_heating_mwh_scaled", "gas_total_mwh_scaled")
 
 
+def savings_columns(col: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    """D11 formulas as expressions over ``<measure>_base`` / ``<measure>_upg``
+    (``col`` resolves those names; by default plain column references).
+
+    Later terms are built from earlier ones (sequential, T13) by reusing the
+    expression objects, so the whole set is one projection; ratios are guarded
+    (T6): zero baseline load gives 0, a NULL side stays NULL."""
+    b = lambda m: col(m + BASE_SUFFIX)
+    u = lambda m: col(m + UPG_SUFFIX)
+    d: dict[str, Column] = {}
+    d["total_electricity_savings"] = b("total_electricity_mwh") - u("total_electricity_mwh")
+    d["heating_electricity_savings"] = b("all_heating_electricity_mwh") - u("all_heating_electricity_mwh")
+    d["cooling_electricity_savings"] = b("all_cooling_electricity_mwh") - u("all_cooling_electricity_mwh")
+    d["gas_total_savings"] = b("gas_total_mwh") - u("gas_total_mwh")
+    d["gas_heating_savings"] = b("gas_heating_mwh") - u("gas_heating_mwh")
+    d["cooling_load_ratio"] = S.safe_ratio(u("cooling_load_kbtu"), b("cooling_load_kbtu"))
+    d["heating_load_ratio"] = S.safe_ratio(u("heating_load_kbtu"), b("heating_load_kbtu"))
+    d["nonthermal_mwh"] = b("total_electricity_mwh") - (b("all_heating_electricity_mwh")
+                                                        + b("all_cooling_electricity_mwh"))
+    d["nonthermal_gas"] = b("gas_total_mwh") - b("gas_heating_mwh")
+    d["cooling_mwh_scaled"] = b("all_cooling_electricity_mwh") * d["cooling_load_ratio"]
+    d["heating_mwh_scaled"] = b("all_heating_electricity_mwh") * d["heating_load_ratio"]
+    d["cooling_mwh_savings_scaled"] = d["cooling_mwh_scaled"] - u("all_cooling_electricity_mwh")
+    d["heating_mwh_savings_scaled"] = d["heating_mwh_scaled"] - u("all_heating_electricity_mwh")
+    d["total_mwh_scaled"] = d["heating_mwh_scaled"] + d["cooling_mwh_scaled"] + d["nonthermal_mwh"]
+    d["total_mwh_savings_scaled"] = d["heating_mwh_savings_scaled"] + d["cooling_mwh_savings_scaled"]
+    d["gas_heating_mwh_scaled"] = b("gas_heating_mwh") * d["heating_load_ratio"]
+    d["gas_total_mwh_scaled"] = d["nonthermal_gas"] + d["gas_heating_mwh_scaled"]
+    return d
+
+
 def add_savings(df: DataFrame) -> DataFrame:
-    """D11 formulas. Later terms use earlier ones (sequential, T13); ratios are
-    guarded (T6): zero baseline load gives 0, a NULL side stays NULL."""
-    b = lambda m: F.col(m + BASE_SUFFIX)
-    u = lambda m: F.col(m + UPG_SUFFIX)
-    df = df.withColumns({
-        "total_electricity_savings": b("total_electricity_mwh") - u("total_electricity_mwh"),
-        "heating_electricity_savings": b("all_heating_electricity_mwh") - u("all_heating_electricity_mwh"),
-        "cooling_electricity_savings": b("all_cooling_electricity_mwh") - u("all_cooling_electricity_mwh"),
-        "gas_total_savings": b("gas_total_mwh") - u("gas_total_mwh"),
-        "gas_heating_savings": b("gas_heating_mwh") - u("gas_heating_mwh"),
-        "cooling_load_ratio": S.safe_ratio(u("cooling_load_kbtu"), b("cooling_load_kbtu")),
-        "heating_load_ratio": S.safe_ratio(u("heating_load_kbtu"), b("heating_load_kbtu")),
-        "nonthermal_mwh": b("total_electricity_mwh")
-                          - (b("all_heating_electricity_mwh") + b("all_cooling_electricity_mwh")),
-        "nonthermal_gas": b("gas_total_mwh") - b("gas_heating_mwh"),
-    })
-    df = df.withColumns({
-        "cooling_mwh_scaled": b("all_cooling_electricity_mwh") * F.col("cooling_load_ratio"),
-        "heating_mwh_scaled": b("all_heating_electricity_mwh") * F.col("heating_load_ratio"),
-    })
-    df = df.withColumns({
-        "cooling_mwh_savings_scaled": F.col("cooling_mwh_scaled") - u("all_cooling_electricity_mwh"),
-        "heating_mwh_savings_scaled": F.col("heating_mwh_scaled") - u("all_heating_electricity_mwh"),
-    })
-    return df.withColumns({
-        "total_mwh_scaled": F.col("heating_mwh_scaled") + F.col("cooling_mwh_scaled") + F.col("nonthermal_mwh"),
-        "total_mwh_savings_scaled": F.col("heating_mwh_savings_scaled") + F.col("cooling_mwh_savings_scaled"),
-        "gas_heating_mwh_scaled": b("gas_heating_mwh") * F.col("heating_load_ratio"),
-    }).withColumn("gas_total_mwh_scaled", F.col("nonthermal_gas") + F.col("gas_heating_mwh_scaled"))
+    """The 17 derived columns, appended in one projection."""
+    return df.select("*", *[c.alias(n) for n, c in savings_columns().items()])
 
 
 def _suffixed(names: Sequence[str], suffix: str) -> list[str]:
@@ -102,19 +106,23 @@ def portfolio_compare(readings: DataFrame, n_buildings, base_arm: int, upg_arm:
     (one row per group, e.g. per scenario).
     """
     measures = R.portfolio_measures(readings)
-    keys = [*group_cols, R.HOUR_UTC]
-    rd = R.with_hour(readings.where(F.col(arm_col).isin(base_arm, upg_arm)), ts)
-    sums = R._arm_sums(rd, keys, measures, arm_col, (base_arm, upg_arm))
-    sums = sums.where(F.col(f"_n_{base_arm}") > 0)
+    rd = readings.where(F.col(arm_col).isin(base_arm, upg_arm))
+    sums = R._arm_sums(rd, [*group_cols, TC.hour_utc(F.col(ts)).alias(R.HOUR_UTC)], measures, arm_col,
+                       (base_arm, upg_arm))
     sums, n = R._attach_n(sums, n_buildings, group_cols)
-    sums = R.add_wall_clock(sums, zone)
     has_upg = F.col(f"_n_{upg_arm}") > 0
-    out = sums.select(
-        *group_cols, R.TIME_HR, R.HOUR_UTC, *R.WALL,
-        *R._finish_portfolio(sums, measures, n, BASE_SUFFIX, F.lit(True), f"_n_{base_arm}", f"_s_{base_arm}_"),
-        *R._finish_portfolio(sums, measures, n, UPG_SUFFIX, has_upg, f"_n_{upg_arm}", f"_s_{upg_arm}_"),
-    )
-    return add_savings(out).select(*_compare_columns(group_cols))
+    local = TC.to_local(F.col(R.HOUR_UTC), zone)
+    cols = {
+        **{g: F.col(g) for g in group_cols},
+        R.TIME_HR: local, R.HOUR_UTC: F.col(R.HOUR_UTC),
+        **TC.wall_parts(local),
+        **R._finish_portfolio(measures, n, BASE_SUFFIX, F.lit(True), f"_n_{base_arm}", f"_s_{base_arm}_"),
+        **R._finish_portfolio(measures, n, UPG_SUFFIX, has_upg, f"_n_{upg_arm}", f"_s_{upg_arm}_"),
+    }
+    # the savings read the finished measures directly (one projection)
+    out = {**cols, **savings_columns(lambda name: cols[name])}
+    return sums.where(F.col(f"_n_{base_arm}") > 0).select(
+        *[out[c].alias(c) for c in _compare_columns(group_cols)])
 
 
 def building_hour_compare(readings: DataFrame, base_arm: int, upg_arm: int,
@@ -129,16 +137,14 @@ def building_hour_compare(readings: DataFrame, base_arm: int, upg_arm: int,
     a redundant range test on the raw timestamp (parquet can skip row groups) and
     the exact test on the hour key, both before the aggregation.
     """
-    rd = readings.where(F.col(arm_col).isin(base_arm, upg_arm))
+    cond = F.col(arm_col).isin(base_arm, upg_arm)
+    hour = TC.hour_utc(F.col(ts))
     if only_local_hours:
         window = None
         for h in only_local_hours:
             w = TC.raw_window_for_local_hour(F.col(ts), h)
             window = w if window is None else (window | w)
-        rd = rd.where(window)
-    rd = R.with_hour(rd, ts)
-    if only_local_hours:
-        rd = rd.where(TC.to_local(F.col(R.HOUR_UTC), zone).isin([TC.ntz_literal(h) for h in only_local_hours]))
+        cond = cond & window & TC.to_local(hour, zone).isin([TC.ntz_literal(h) for h in only_local_hours])
     mb = R.building_measures(readings, prefixes[0])
     mu = R.building_measures(readings, prefixes[1])
     # one conditional sum per arm; measure values are the same expressions for both arms
@@ -148,15 +154,15 @@ def building_hour_compare(readings: DataFrame, base_arm: int, upg_arm: int,
         hit = F.col(arm_col) == F.lit(a)
         aggs.append(F.count(F.when(hit, 1)).alias(f"_n_{a}"))
         aggs += [F.sum(F.when(hit, m.value)).alias(f"_s_{a}_{m.name}") for m in ms]
-    sums = rd.groupBy(*keys, R.HOUR_UTC).agg(*aggs)
+    sums = readings.where(cond).groupBy(*keys, hour.alias(R.HOUR_UTC)).agg(*aggs)
     wall = R._merge_repeated_hours(sums, keys, zone)
-    wall = wall.where(F.col(f"_n_{base_arm}") > 0).withColumns(TC.wall_parts(F.col(R.TIME_HR)))
     has_upg = F.col(f"_n_{upg_arm}") > 0
-    return wall.select(
-        *keys, *R.WALL,
+    parts = TC.wall_parts(F.col(R.TIME_HR))
+    return wall.where(F.col(f"_n_{base_arm}") > 0).select(
+        *keys, *[c.alias(k) for k, c in parts.items()],
         *[F.coalesce(F.col(f"_s_{base_arm}_{m.name}"), F.lit(0.0)).alias(m.name) for m in mb],
         *[F.when(has_upg, F.coalesce(F.col(f"_s_{upg_arm}_{m.name}"), F.lit(0.0))).alias(m.name) for m in mu],
-        TC.make_wall_hour("year", "month", "day", "hour").alias("time_hour"),
+        F.col(R.TIME_HR).alias("time_hour"),
     )
 
 

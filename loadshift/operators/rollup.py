@@ -132,8 +132,8 @@ def _merge_repeated_hours(sums: DataFrame, keys: Sequence[str], zone: str) -> Da
     regrouped (a shuffle of ~2/8760 of the rows); everything else is projected.
     """
     val_cols = [c for c in sums.columns if c.startswith("_n") or c.startswith("_s_")]
-    local = sums.withColumn(TIME_HR, TC.to_local(F.col(HOUR_UTC), zone)) \
-                .withColumn("_repeated", TC.is_repeated_local_hour(F.col(HOUR_UTC), zone))
+    local = sums.select(*keys, *val_cols, TC.to_local(F.col(HOUR_UTC), zone).alias(TIME_HR),
+                        TC.is_repeated_local_hour(F.col(HOUR_UTC), zone).alias("_repeated"))
     single = local.where(~F.col("_repeated")).select(*keys, TIME_HR, *val_cols)
     merged = (local.where(F.col("_repeated"))
                    .groupBy(*keys, TIME_HR)
@@ -145,14 +145,15 @@ def _merge_repeated_hours(sums: DataFrame, keys: Sequence[str], zone: str) -> Da
 # Portfolio roll-up
 # ---------------------------------------------------------------------------
 
-def _finish_portfolio(sums: DataFrame, measures: Sequence[Measure], n_buildings: Column,
-                      suffix: str, present: Column, count_src: str, sum_prefix: str) -> list[Column]:
-    out = [F.when(present, F.col(count_src)).cast("long").alias(f"interval_count{suffix}")]
+def _finish_portfolio(measures: Sequence[Measure], n_buildings: Column, suffix: str, present: Column,
+                      count_src: str, sum_prefix: str) -> dict[str, Column]:
+    """Output expressions of the portfolio measures from the conditional sums."""
+    out = {f"interval_count{suffix}": F.when(present, F.col(count_src)).cast("long")}
     for m in measures:
         v = F.coalesce(F.col(f"{sum_prefix}{m.name}"), F.lit(0.0))      # T1
         if m.per_building_mwh:
             v = v / F.lit(S.KWH_PER_MWH) / n_buildings                       # A12
-        out.append(F.when(present, v).alias(f"{m.name}{suffix}"))
+        out[f"{m.name}{suffix}"] = F.when(present, v)
     return out
 
 
@@ -184,12 +185,14 @@ def hourly_portfolio(readings: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZO
     interval_count, 7 measures. Both instants of the fall-back hour are kept.
     """
     measures = portfolio_measures(readings)
-    keys = [*group_cols, arm_col, HOUR_UTC]
-    sums = _arm_sums(with_hour(readings, ts), keys, measures, None, None)
+    keys = [*group_cols, arm_col, TC.hour_utc(F.col(ts)).alias(HOUR_UTC)]
+    sums = _arm_sums(readings, keys, measures, None, None)
     sums, n = _attach_n(sums, n_buildings, group_cols)
-    sums = add_wall_clock(sums, zone)
-    return sums.select(*group_cols, arm_col, TIME_HR, HOUR_UTC, *WALL,
-                       *_finish_portfolio(sums, measures, n, "", F.lit(True), "_n", "_s_"))
+    local = TC.to_local(F.col(HOUR_UTC), zone)
+    fin = _finish_portfolio(measures, n, "", F.lit(True), "_n", "_s_")
+    return sums.select(*group_cols, arm_col, local.alias(TIME_HR), HOUR_UTC,
+                       *[c.alias(k) for k, c in TC.wall_parts(local).items()],
+                       *[c.alias(k) for k, c in fin.items()])
 
 
 # ---------------------------------------------------------------------------
@@ -205,8 +208,8 @@ def hourly_by_building(readings: DataFrame, prefix: str, zone: str = TC.DEFAULT_
     """
     measures = building_measures(readings, prefix)
     keys = [*group_cols, "bldg_id"]
-    sums = _arm_sums(with_hour(readings, ts), [*keys, HOUR_UTC], measures, None, None)
+    sums = _arm_sums(readings, [*keys, TC.hour_utc(F.col(ts)).alias(HOUR_UTC)], measures, None, None)
     wall = _merge_repeated_hours(sums, keys, zone)
-    wall = wall.withColumns(TC.wall_parts(F.col(TIME_HR)))
-    return wall.select(*keys, *WALL, *[F.coalesce(F.col(f"_s_{m.name}"), F.lit(0.0)).alias(m.name)
-                                       for m in measures])
+    parts = TC.wall_parts(F.col(TIME_HR))
+    return wall.select(*keys, *[c.alias(k) for k, c in parts.items()],
+                       *[F.coalesce(F.col(f"_s_{m.name}"), F.lit(0.0)).alias(m.name) for m in measures])

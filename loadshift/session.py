@@ -18,6 +18,8 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # no Python call-site capture on every Column call (driver-side planning cost only)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
