@@ -233,10 +233,10 @@ umeta AS (
 attrs AS (
   SELECT m.bldg_id, m.in__sqft, m.in__ground_thermal_conductivity, m.in__vintage, m.in__heating_fuel,
     m.in__hvac_heating_efficiency, m.in__hvac_cooling_efficiency,
-    CAST(nullif(regexp_extract(m.partial_text, '\d+'), '') AS DOUBLE) / 100 AS in__hvac_cooling_partial_space_conditioning,
+    CAST(nullif(regexp_extract(m.partial_text, '\\d+'), '') AS DOUBLE) / 100 AS in__hvac_cooling_partial_space_conditioning,
     m.in__hvac_has_ducts, m.out__unmet_hours__cooling__hour, m.out__unmet_hours__heating__hour,
     m.size_heat AS base_heating_size, m.size_cool AS base_cooling_size, u.size_heat AS upgrade_heating_size,
-    m.in__sqft * (CAST(nullif(regexp_extract(m.partial_text, '\d+'), '') AS DOUBLE) / 100) AS sqft_conditioned
+    m.in__sqft * (CAST(nullif(regexp_extract(m.partial_text, '\\d+'), '') AS DOUBLE) / 100) AS sqft_conditioned
   FROM meta m LEFT JOIN umeta u ON m.bldg_id = u.bldg_id
 )"""
 

@@ -37,6 +37,15 @@ def read_csv(spark: SparkSession, path: str, schema, sanitize: bool = True) -> D
     return C.sanitize_columns(df) if sanitize else df
 
 
+def read_metadata(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Building metadata CSV. With no schema the types are inferred (a
+    convenience for small files; give the schema for production runs)."""
+    if schema is not None:
+        return read_csv(spark, path, schema)
+    df = (spark.read.option("header", True).option("nullValue", "NA").option("inferSchema", True).csv(path))
+    return C.sanitize_columns(df)
+
+
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
               single_file: bool = False) -> str:
     """CSV with header, NULL written as ``NA``, dotted names restored.
