@@ -18,6 +18,7 @@ a measure missing from the input counts as all-NULL (so it sums to 0).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -130,10 +131,18 @@ def _merge_repeated_hours(sums: DataFrame, keys: Sequence[str], zone: str) -> Da
 
     ``keys`` are the non-time keys. Only rows of the repeated fall-back hour are
     regrouped (a shuffle of ~2/8760 of the rows); everything else is projected.
+
+    The repeated-hour flag is tied to an aggregate output (the row count, always
+    positive) so that the optimizer keeps both filters above the aggregate: one
+    scan and one shuffle feed both branches (the exchange is reused), and the time
+    zone is converted per hour key, not per reading.
     """
+    counts = [c for c in sums.columns if c.startswith("_n")]
     val_cols = [c for c in sums.columns if c.startswith("_n") or c.startswith("_s_")]
+    rows = reduce(lambda a, b: a + b, [F.col(c) for c in counts])
+    flag = F.when(rows > 0, TC.is_repeated_local_hour(F.col(HOUR_UTC), zone))
     local = sums.select(*keys, *val_cols, TC.to_local(F.col(HOUR_UTC), zone).alias(TIME_HR),
-                        TC.is_repeated_local_hour(F.col(HOUR_UTC), zone).alias("_repeated"))
+                        flag.alias("_repeated"))
     single = local.where(~F.col("_repeated")).select(*keys, TIME_HR, *val_cols)
     merged = (local.where(F.col("_repeated"))
                    .groupBy(*keys, TIME_HR)

@@ -52,3 +52,21 @@ def test_no_python_udf_anywhere(spark):
             continue
         p = plan_of(fn(spark, SF))
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_fall_back_merge_reuses_the_cube_shuffle(spark, fixture_dir):
+    from loadshift.operators import rollup as R
+    from loadshift.sources import files as IO
+    s = IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA")
+    df = R.hourly_by_building(s, "baseline")
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert "ReusedExchange" in final
+    # the time zone is converted on hour keys, never on raw readings: nothing
+    # between the scan and the first exchange above it converts zones
+    lines = final.splitlines()
+    i = next(k for k, ln in enumerate(lines) if "FileScan parquet" in ln)
+    while "Exchange" not in lines[i]:
+        assert "convert_timezone" not in lines[i]
+        i -= 1
