@@ -68,6 +68,12 @@ def _scaled(name: str) -> bool:
     return C.restore(name).endswith("energy_consumption")
 
 
+# (measure, divided by 1000 * N): energy columns are averaged MWh, loads stay kBtu sums
+PORTFOLIO_SCALED = (("total_electricity_mwh", True), ("all_heating_electricity_mwh", True),
+                    ("all_cooling_electricity_mwh", True), ("heating_load_kbtu", False),
+                    ("cooling_load_kbtu", False), ("gas_total_mwh", True), ("gas_heating_mwh", True))
+
+
 def portfolio_measures(df: DataFrame) -> list[Measure]:
     """The seven portfolio measures; thermal totals use the *strict* selectors."""
     heat = C.strict_thermal(df.columns, "heating")
@@ -184,6 +190,33 @@ def _n_col(n_buildings) -> Column:
     return F.lit(float(n_buildings))
 
 
+def portfolio_sums(readings: DataFrame, group_cols: Sequence[str] = (), arm_col: str = "upgrade",
+                   ts: str = "timestamp") -> DataFrame:
+    """Mergeable part of D9: per (groups, arm, hour instant) the row count ``_n`` and
+    the raw sums ``_s_<measure>`` (NULL when every value is NULL). Sums of these
+    sums over any split of the readings give the same result (streaming partials)."""
+    keys = [*group_cols, arm_col, TC.hour_utc(F.col(ts)).alias(HOUR_UTC)]
+    return _arm_sums(readings, keys, portfolio_measures(readings), None, None)
+
+
+def merge_portfolio_sums(partials: DataFrame, group_cols: Sequence[str] = (), arm_col: str = "upgrade") -> DataFrame:
+    """Combine partial sums (e.g. one set per micro-batch) into one row per hour."""
+    vals = [c for c in partials.columns if c == "_n" or c.startswith("_s_")]
+    return partials.groupBy(*group_cols, arm_col, HOUR_UTC).agg(*[F.sum(c).alias(c) for c in vals])
+
+
+def finish_portfolio(sums: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZONE, arm_col: str = "upgrade",
+                     group_cols: Sequence[str] = ()) -> DataFrame:
+    """D9 output from (merged) sums: MWh averaged over N, loads as kBtu sums, wall clock."""
+    measures = [Measure(name, F.lit(None), scaled) for name, scaled in PORTFOLIO_SCALED]
+    sums, n = _attach_n(sums, n_buildings, group_cols)
+    local = TC.to_local(F.col(HOUR_UTC), zone)
+    fin = _finish_portfolio(measures, n, "", F.lit(True), "_n", "_s_")
+    return sums.select(*group_cols, arm_col, local.alias(TIME_HR), HOUR_UTC,
+                       *[c.alias(k) for k, c in TC.wall_parts(local).items()],
+                       *[c.alias(k) for k, c in fin.items()])
+
+
 def hourly_portfolio(readings: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZONE,
                      arm_col: str = "upgrade", group_cols: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
     """Per (arm, hour instant): interval count and the seven measures, energy as
@@ -193,15 +226,8 @@ def hourly_portfolio(readings: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZO
     Output: *group_cols, arm, time_hr, hour_utc, year, month, day, hour,
     interval_count, 7 measures. Both instants of the fall-back hour are kept.
     """
-    measures = portfolio_measures(readings)
-    keys = [*group_cols, arm_col, TC.hour_utc(F.col(ts)).alias(HOUR_UTC)]
-    sums = _arm_sums(readings, keys, measures, None, None)
-    sums, n = _attach_n(sums, n_buildings, group_cols)
-    local = TC.to_local(F.col(HOUR_UTC), zone)
-    fin = _finish_portfolio(measures, n, "", F.lit(True), "_n", "_s_")
-    return sums.select(*group_cols, arm_col, local.alias(TIME_HR), HOUR_UTC,
-                       *[c.alias(k) for k, c in TC.wall_parts(local).items()],
-                       *[c.alias(k) for k, c in fin.items()])
+    sums = portfolio_sums(readings, group_cols, arm_col, ts)
+    return finish_portfolio(sums, n_buildings, zone, arm_col, group_cols)
 
 
 # ---------------------------------------------------------------------------

@@ -536,6 +536,7 @@ FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
 
 ORACLE: dict[str, str] = {
     "hourly_portfolio": HOURLY_PORTFOLIO,
+    "hourly_portfolio_stream": HOURLY_PORTFOLIO,
     "compare_arms": COMPARE_ARMS,
     "compare_arms_onepass": COMPARE_ARMS,
     "hourly_by_building": _hourly_by_building("baseline", 0),

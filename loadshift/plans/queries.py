@@ -154,6 +154,17 @@ def local_hour_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(out)
 
 
+def hourly_portfolio_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9 through Structured Streaming: per-batch partial sums written exactly once,
+    merged and finished on read. Same result as ``hourly_portfolio``."""
+    from ..streaming import hourly as ST
+    base = IO.scratch_dir(spark, "hourly_stream")
+    q = ST.start_partials(V.readings_stream(spark, sf_dir), f"{base}/partials", f"{base}/checkpoint")
+    q.awaitTermination()
+    rd = V.readings(spark, sf_dir)
+    return finalize(ST.read_portfolio(spark, f"{base}/partials", _n_requested(rd), ZONE))
+
+
 def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct (building, arm) pairs present in the series."""
     return finalize(V.readings(spark, sf_dir).select("bldg_id", "upgrade").distinct())
@@ -353,6 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "peak_day_profile_heating": peak_day_profile_heating,
     "profile_long": profile_long,
     "local_hour_dst": local_hour_dst,
+    "hourly_portfolio_stream": hourly_portfolio_stream,
     "distinct_ids": distinct_ids,
     "prep_baseline": prep_baseline,
     "eligible_pool": eligible_pool,

@@ -68,7 +68,18 @@ def _value_if(types: tuple[str, ...]) -> Column:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """15-minute style readings: bldg_id, upgrade, timestamp, measure columns."""
-    ev = table(spark, sf_dir, "events")
+    return readings_from_events(table(spark, sf_dir, "events"))
+
+
+def readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same view over a streaming file source on the events table."""
+    schema = table(spark, sf_dir, "events").schema
+    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+          .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    return readings_from_events(ev)
+
+
+def readings_from_events(ev: DataFrame) -> DataFrame:
     measures = {name: _value_if(types) for name, types in READING_MEASURES.items()}
     measures["out__fuel_oil__heating__energy_consumption"] = F.when(
         (F.col("event_type") == "purchase") & (F.col("value") > FUEL_OIL_MIN_VALUE), F.col("value"))
