@@ -59,8 +59,9 @@ def annual_energy(cmp: DataFrame, group_cols: Sequence[str] = (), groups: DataFr
     """
     sums = cmp.groupBy(*group_cols).agg(*[S.sum0(src).alias(name) for name, src in ANNUAL_SUMS])
     if groups is not None:
-        sums = F.broadcast(groups.select(*group_cols)).join(sums, list(group_cols), "left") \
-                .fillna(0.0, subset=[n for n, _ in ANNUAL_SUMS])
+        # both sides hold one row per configured group
+        sums = groups.select(*group_cols).join(sums, list(group_cols), "left") \
+                     .fillna(0.0, subset=[n for n, _ in ANNUAL_SUMS])
     long = sums.unpivot(list(group_cols), [n for n, _ in ANNUAL_SUMS], "metric", "mwh")
     parts = F.split(F.col("metric"), LAST_UNDERSCORE)
     long = long.select(*group_cols,

@@ -132,17 +132,51 @@ def empty_pool_check(scenarios: DataFrame, pool: DataFrame) -> DataFrame:
               .select(F.lit(None).cast("string").alias("scenario"))
 
 
+# Hash buckets for the exact pre-cut of large samples: the first 4 hex digits of
+# the md5 key, 65,536 buckets per scenario.
+PRECUT_HEX_DIGITS = 4
+
+
+def _group_limit_threshold(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
+def precut_pool(pool: DataFrame) -> DataFrame:
+    """Exact reduction of the pool before the top-k for large sample sizes.
+
+    A histogram of the hash key's leading digits per scenario (at most 65,536 rows
+    each, whatever the pool size) gives the last bucket that the first
+    ``sample_size`` keys can reach; rows in later buckets cannot be sampled and are
+    dropped. What remains per scenario is at most ``sample_size`` plus one bucket.
+    ``pool`` must carry ``_key``.
+    """
+    p = pool.withColumn("_bucket", F.conv(F.substring("_key", 1, PRECUT_HEX_DIGITS), 16, 10).cast("int"))
+    hist = p.groupBy("scenario", "sample_size", "_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("scenario").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cut = (hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+               .where(F.col("_before") < F.col("sample_size"))
+               .groupBy("scenario").agg(F.max("_bucket").alias("_last_bucket")))
+    # one row per configured scenario
+    return (p.join(F.broadcast(cut), "scenario", "inner")
+             .where(F.col("_bucket") <= F.col("_last_bucket")).drop("_bucket", "_last_bucket"))
+
+
 def draw_sample(pool: DataFrame, max_sample_size: int, scenarios: DataFrame | None = None) -> DataFrame:
     """Per scenario, min(sample_size, pool size) buildings without replacement.
 
     ``max_sample_size`` is the largest sample size in the scenario config; it is a
     literal limit that lets Catalyst plan the partial top-k before the shuffle.
+    Above the optimizer's group-limit threshold the pool is first reduced exactly
+    (:func:`precut_pool`), so no task ever holds a whole scenario's pool.
     With ``scenarios`` given, an empty pool raises when the result is computed.
     """
-    w = Window.partitionBy("scenario").orderBy(sample_order_key(F.col("seed"), F.col("bldg_id")), "bldg_id")
-    ranked = pool.withColumn("_rank", F.row_number().over(w))
+    keyed = pool.withColumn("_key", sample_order_key(F.col("seed"), F.col("bldg_id")))
+    if int(max_sample_size) > _group_limit_threshold(pool):
+        keyed = precut_pool(keyed)
+    w = Window.partitionBy("scenario").orderBy("_key", "bldg_id")
+    ranked = keyed.withColumn("_rank", F.row_number().over(w))
     out = ranked.where(F.col("_rank") <= F.lit(int(max_sample_size))) \
-                .where(F.col("_rank") <= F.col("sample_size")).drop("_rank")
+                .where(F.col("_rank") <= F.col("sample_size")).drop("_rank", "_key")
     if scenarios is not None:
         out = out.unionByName(empty_pool_check(scenarios, pool).select("scenario"), allowMissingColumns=True)
     return out

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ..config import (REFERENCE_SCENARIO_LABELS, REFERENCE_SCENARIOS, JobParams, Scenario, max_sample_size,
                       scenario_labels, scenario_table, total_sample_bound)
 from ..operators import compare as CMP
+from ..operators import joins as J
 from ..operators import report as REP
 from ..operators import sample as SMP
 from ..sources import files as IO
@@ -70,9 +71,7 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
                             max_literal_ids=params.max_literal_ids)
     n = ids.groupBy(SCN).agg(F.count_distinct("bldg_id").alias("n_buildings"))   # T16: requested ids
     # scenario membership: at most sum(sample_size) rows, fixed by the config
-    bound = total_sample_bound(scenarios)
-    member = F.broadcast(ids) if bound <= params.max_literal_ids else ids
-    per_scn = series.join(member, "bldg_id", "inner")
+    per_scn = series.join(J.broadcast_bounded(ids, total_sample_bound(scenarios)), "bldg_id", "inner")
 
     cmp = CMP.portfolio_compare(per_scn, n, params.upgrade_baseline, params.upgrade_gshp, params.timezone,
                                 group_cols=(SCN,))

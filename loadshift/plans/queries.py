@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import REFERENCE_SCENARIO_LABELS, max_sample_size, scenario_labels, scenario_table
+from ..config import (REFERENCE_SCENARIO_LABELS, max_sample_size, scenario_labels, scenario_table,
+                      total_sample_bound)
 from ..functions import columns as C
 from ..functions import semantics as S
 from ..functions import timecols as TC
 from ..operators import compare as CMP
+from ..operators import joins as J
 from ..operators import report as REP
 from ..operators import rollup as R
 from ..operators import sample as SMP
@@ -231,7 +233,7 @@ def scenario_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = sample_ids.groupBy("scenario_name").agg(F.count(F.lit(1)).alias("n_buildings"))
     rd = V.readings(spark, sf_dir)
     # the sample's size is bounded by the scenario config (sum of sample sizes)
-    per_scn = rd.join(F.broadcast(sample_ids), "bldg_id", "inner")
+    per_scn = rd.join(J.broadcast_bounded(sample_ids, total_sample_bound(V.DRIVER_SCENARIOS)), "bldg_id", "inner")
     cmp = CMP.portfolio_compare(per_scn, n, BASE, UPG, ZONE, group_cols=("scenario_name",))
     names = _scenarios(spark).select(F.col("scenario").alias("scenario_name"))
     annual = REP.annual_energy(cmp, group_cols=("scenario_name",), groups=names)

@@ -105,3 +105,23 @@ def test_sample_summary(spark, meta):
     assert s2["count"] == 2 and s2.cooling_space_conditioned_sqft is None       # strict mean (T2)
     assert s2.gas_heating == 9.0 and s2.upgrade_tons_heating == pytest.approx((60 + 63) / 2 / 12)
     assert s2["out__load__heating__energy_delivered__mwh"] == pytest.approx(40000 * 0.000293071)
+
+
+def test_large_sample_precut_is_exact(spark):
+    """Above the group-limit threshold the histogram pre-cut gives the same sample."""
+    pool = spark.range(0, 20000).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("scenario"), F.col("id").alias("bldg_id"),
+        F.lit(1500).alias("sample_size"), F.lit(123).alias("seed"))
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    try:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+        fast = SMP.draw_sample(pool, 1500)          # 1500 > 1000: pre-cut path
+        assert "Window" in fast._jdf.queryExecution().executedPlan().toString()
+        got = sorted(fast.select("scenario", "bldg_id").collect())
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
+        ref = sorted(SMP.draw_sample(pool, 1500).select("scenario", "bldg_id").collect())
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    assert got == ref and len(got) == 3000
+    reduced = SMP.precut_pool(pool.withColumn("_key", SMP.sample_order_key(F.col("seed"), F.col("bldg_id"))))
+    assert reduced.count() < 3200                  # n plus at most one bucket per scenario
