@@ -46,6 +46,10 @@ class Scenario:
     hvac_efficiency: str | None = None
     heating_fuel: str | None = None
 
+    def __post_init__(self):
+        if int(self.sample_size) < 1:
+            raise ValueError(f"{self.scenario}: sample_size must be at least 1")
+
 
 # Fixed values that must equal the reference's for right results: its five scenarios.
 REFERENCE_SCENARIOS: tuple[Scenario, ...] = (

@@ -118,12 +118,14 @@ def sample_order_key(seed: Column, bldg_id: Column) -> Column:
     return F.md5(F.concat(seed.cast("string"), F.lit("-"), bldg_id.cast("string")))
 
 
-def empty_pool_check(scenarios: DataFrame, pool: DataFrame) -> DataFrame:
+def empty_pool_check(scenarios: DataFrame, drawn: DataFrame) -> DataFrame:
     """O3 guard, lazily: a zero-row frame that fails the job if any scenario's pool is empty.
 
-    The raise sits on top of an aggregate (over at most one row per configured
-    scenario), so the optimizer cannot push it below the anti-join."""
-    present = pool.select("scenario").distinct()
+    ``drawn`` is the pool or the sample drawn from it (with every sample size >= 1 a
+    sample is empty exactly when its pool is). The raise sits on top of an
+    aggregate (at most one row per configured scenario), so the optimizer cannot
+    push it below the anti-join."""
+    present = drawn.select("scenario").distinct()
     missing = scenarios.select("scenario").join(present, "scenario", "left_anti")
     agg = missing.agg(F.count(F.lit(1)).alias("_n_empty"),
                       F.array_join(F.sort_array(F.collect_list("scenario")), ", ").alias("_empty"))
@@ -178,7 +180,8 @@ def draw_sample(pool: DataFrame, max_sample_size: int, scenarios: DataFrame | No
     out = ranked.where(F.col("_rank") <= F.lit(int(max_sample_size))) \
                 .where(F.col("_rank") <= F.col("sample_size")).drop("_rank", "_key")
     if scenarios is not None:
-        out = out.unionByName(empty_pool_check(scenarios, pool).select("scenario"), allowMissingColumns=True)
+        # checked on the sample itself: its rows come from the same shuffle (reused)
+        out = out.unionByName(empty_pool_check(scenarios, out).select("scenario"), allowMissingColumns=True)
     return out
 
 

@@ -211,30 +211,38 @@ def sample_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requested_vs_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per scenario and arm, requested vs loaded vs failed buildings."""
+    """Per scenario and arm, requested vs loaded vs failed buildings.
+
+    One aggregate of the readings (arm flags per requested building) and one pass
+    over the sample; the two arms are columns, unpivoted at the end."""
     sample_ids = _sample(spark, sf_dir).select("scenario", "bldg_id")
     rd = V.readings(spark, sf_dir)
-    out = None
-    for arm in (BASE, UPG):
-        st = IO.load_status(sample_ids, rd.where(F.col("upgrade") == arm))
-        part = st.groupBy("scenario").agg(
-            F.count_distinct("bldg_id").alias("n_requested"),
-            F.count(F.when(F.col("loaded"), 1)).alias("n_loaded"),
-            F.count(F.when(~F.col("loaded"), 1)).alias("n_failed"),
-        ).withColumn("upgrade", F.lit(arm))
-        out = part if out is None else out.unionByName(part)
+    req = sample_ids.select("bldg_id").distinct()
+    flags = (rd.join(J.broadcast_bounded(req, total_sample_bound(V.DRIVER_SCENARIOS)), "bldg_id", "left_semi")
+               .groupBy("bldg_id")
+               .agg(*[F.max(F.col("upgrade") == a).alias(f"_has_{a}") for a in (BASE, UPG)]))
+    st = sample_ids.join(flags, "bldg_id", "left")
+    per = st.groupBy("scenario").agg(
+        F.count_distinct("bldg_id").alias("n_requested"),
+        *[F.count(F.when(F.col(f"_has_{a}"), 1)).alias(f"_loaded_{a}") for a in (BASE, UPG)])
+    long = per.unpivot(["scenario", "n_requested"], [f"_loaded_{a}" for a in (BASE, UPG)], "_arm", "n_loaded")
+    out = long.select("scenario", F.regexp_extract("_arm", r"(\d+)$", 1).cast("int").alias("upgrade"),
+                      "n_requested", "n_loaded", (F.col("n_requested") - F.col("n_loaded")).alias("n_failed"))
     return finalize(out)
 
 
 def scenario_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D18 + D19 for every scenario in one job: sample -> series of the sampled
     buildings -> one-pass comparison per scenario -> annual report -> labels."""
+    from pyspark.sql import Window
     sample_ids = _sample(spark, sf_dir).select(F.col("scenario").alias("scenario_name"), "bldg_id")
-    n = sample_ids.groupBy("scenario_name").agg(F.count(F.lit(1)).alias("n_buildings"))
+    # N per scenario rides along with each sampled id (a window over the bounded sample)
+    sample_ids = sample_ids.withColumn("n_buildings", F.count(F.lit(1)).over(Window.partitionBy("scenario_name")))
     rd = V.readings(spark, sf_dir)
     # the sample's size is bounded by the scenario config (sum of sample sizes)
     per_scn = rd.join(J.broadcast_bounded(sample_ids, total_sample_bound(V.DRIVER_SCENARIOS)), "bldg_id", "inner")
-    cmp = CMP.portfolio_compare(per_scn, n, BASE, UPG, ZONE, group_cols=("scenario_name",))
+    cmp = CMP.portfolio_compare(per_scn, F.col("n_buildings"), BASE, UPG, ZONE,
+                                group_cols=("scenario_name", "n_buildings")).drop("n_buildings")
     names = _scenarios(spark).select(F.col("scenario").alias("scenario_name"))
     annual = REP.annual_energy(cmp, group_cols=("scenario_name",), groups=names)
     return finalize(REP.scenario_report(scenario_labels(spark, REFERENCE_SCENARIO_LABELS), annual))
