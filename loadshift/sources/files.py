@@ -76,25 +76,37 @@ def _bounded_ids(ids: DataFrame, bound: int) -> list[int] | None:
     return None if len(rows) > bound else sorted(int(r[0]) for r in rows)
 
 
+# Largest id list whose files' footers are merged through a file-name glob; above
+# it the schema must be given (or is taken from one file).
+MAX_GLOB_IDS = 10_000
+
+
 def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None = None,
                 ids: DataFrame | None = None, max_literal_ids: int = 200_000,
-                measures: Sequence[str] | None = None) -> DataFrame:
+                measures: Sequence[str] | None = None, schema=None) -> DataFrame:
     """Readings of the requested buildings and arms, with ``bldg_id`` and ``upgrade``.
 
+    Schema: ``schema`` when given (no footer is read up front). Otherwise, for a
+    bounded id list, the footers of the requested files only are merged (bind by
+    name: a file lacking a measure reads it as NULL). Without ids the schema comes
+    from one file -- pass ``schema`` for heterogeneous datasets at scale.
     ``measures`` (dotted or sanitized names) narrows the scan to those columns plus
     the timestamp; by default every column is kept.
     """
-    df = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true")
-          .option("basePath", root).parquet(root))
+    lit_ids = _bounded_ids(ids, max_literal_ids) if ids is not None else None
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", root)
+    if schema is not None:
+        reader = reader.schema(schema)
+    elif lit_ids is not None and len(lit_ids) <= MAX_GLOB_IDS:
+        names = ",".join(f"{i}-{u}" for i in lit_ids for u in upgrades) or "none"
+        reader = reader.option("mergeSchema", "true").option("pathGlobFilter", "{" + names + "}.parquet")
+    df = reader.parquet(root)
     df = df.where(F.col("upgrade").isin(list(upgrades)))
     if state is not None:
         df = df.where(F.col("state") == state)
     fname = F.col("_metadata.file_name")
-    if ids is not None:
-        lit_ids = _bounded_ids(ids, max_literal_ids)
-        if lit_ids is not None:
-            names = [f"{i}-{u}.parquet" for i in lit_ids for u in upgrades]
-            df = df.where(fname.isin(names))
+    if lit_ids is not None:
+        df = df.where(fname.isin([f"{i}-{u}.parquet" for i in lit_ids for u in upgrades]))
     df = df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).cast("int"))
     if ids is not None and lit_ids is None:
         df = df.join(ids.select(F.col("bldg_id").cast("int")).distinct(), "bldg_id", "left_semi")

@@ -149,3 +149,5 @@ META_SCHEMA = ", ".join(
     for c in META_COLUMNS)
 UPGRADE_SCHEMA = "bldg_id int, applicability string, `out.params.size_heating_system_primary_k_btu_h` double, " \
                  "`out.params.size_cooling_system_primary_k_btu_h` double"
+
+SERIES_SCHEMA = ", ".join(["`timestamp` timestamp_ntz", *[f"`{c}` double" for c in VALUES], "upgrade int", "state string"])

@@ -44,7 +44,7 @@ def test_series_reads_only_requested_files(spark, fixture_dir):
 
 def test_load_status_and_failed_reads(spark, fixture_dir):
     req = spark.createDataFrame([("s", 1), ("s", 4), ("s", 5), ("t", 2)], "scenario string, bldg_id int")
-    series = IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA")
+    series = IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA", schema=FX.SERIES_SCHEMA)
     st = {(r.scenario, r.bldg_id): r.loaded for r in IO.load_status(req, series).collect()}
     assert st == {("s", 1): True, ("s", 4): False, ("s", 5): False, ("t", 2): True}
     failed = sorted((r.scenario, r.bldg_id) for r in IO.failed_reads(req, series).collect())
@@ -60,3 +60,13 @@ def test_write_csv_restores_names_and_na(spark, out_dir):
     assert text.splitlines()[0] == "in.sqft,out.x" and text.splitlines()[1] == "1,NA"
     back = IO.read_csv(spark, path, "`in.sqft` int, `out.x` double, scenario string")
     assert sorted(back.collect()) == sorted(df.select("in__sqft", "out__x", "scenario").collect())
+
+
+def test_series_merges_footers_of_requested_files_only(spark, fixture_dir):
+    # building 3's upgrade file lacks the fuel-oil column: bind by name, NULL fill
+    ids = spark.createDataFrame([(3,)], "bldg_id int")
+    df = IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA", ids=ids)
+    fo = "out__fuel_oil__heating__energy_consumption"
+    assert fo in df.columns
+    assert df.where(f"upgrade = 5 AND {fo} IS NOT NULL").count() == 0
+    assert df.where(f"upgrade = 0 AND {fo} IS NOT NULL").count() > 0

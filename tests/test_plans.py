@@ -2,6 +2,7 @@
 broadcast where the side is bounded, top-k before the shuffle."""
 
 from loadshift.plans import queries as Q
+import fixtures as FX
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,7 +58,7 @@ def test_no_python_udf_anywhere(spark):
 def test_fall_back_merge_reuses_the_cube_shuffle(spark, fixture_dir):
     from loadshift.operators import rollup as R
     from loadshift.sources import files as IO
-    s = IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA")
+    s = IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA", schema=FX.SERIES_SCHEMA)
     df = R.hourly_by_building(s, "baseline")
     df.collect()
     final = plan_of(df).split("== Initial Plan ==")[0]

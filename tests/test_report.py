@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from loadshift.operators import compare as CMP
 from loadshift.operators import report as REP
 from loadshift.sources import files as IO
+import fixtures as FX
 
 ZONE = "America/New_York"
 
 
 @pytest.fixture(scope="module")
 def cmp(spark, fixture_dir):
-    s = IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA")
+    s = IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA", schema=FX.SERIES_SCHEMA)
     return CMP.portfolio_compare(s, 3, 0, 5, ZONE).cache()
 
 

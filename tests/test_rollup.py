@@ -15,7 +15,7 @@ ZONE = "America/New_York"
 
 @pytest.fixture(scope="module")
 def series(spark, fixture_dir):
-    return IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA").cache()
+    return IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA", schema=FX.SERIES_SCHEMA).cache()
 
 
 def test_read_series_skips_corrupt_and_other_state(series):

@@ -10,6 +10,7 @@ from loadshift.functions import columns as C
 from loadshift.operators import rollup as R
 from loadshift.sources import files as IO
 from loadshift.streaming import hourly as ST
+import fixtures as FX
 
 ZONE = "America/New_York"
 
@@ -35,7 +36,7 @@ def test_partials_merge_to_batch_result(spark, fixture_dir):
     q.awaitTermination()
     assert len([x for x in os.listdir(f"{d}/out") if x.startswith("batch_id=")]) >= 3   # several micro-batches
     got = ST.read_portfolio(spark, f"{d}/out", 3, ZONE)
-    batch = R.hourly_portfolio(IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA"), 3, ZONE)
+    batch = R.hourly_portfolio(IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA", schema=FX.SERIES_SCHEMA), 3, ZONE)
     assert _rows(got, batch.columns) == _rows(batch, batch.columns)
 
 
@@ -57,7 +58,7 @@ def test_closed_hours_equal_batch(spark, fixture_dir):
     q = ST.start_closed_hours(_stream(spark, fixture_dir, 10), f"{d}/out", f"{d}/ck", lateness="2 hours")
     q.awaitTermination()
     closed = spark.read.parquet(f"{d}/out")
-    batch = R.portfolio_sums(IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA"))
+    batch = R.portfolio_sums(IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA", schema=FX.SERIES_SCHEMA))
     n = closed.count()
     assert n > 0
     cols = ["upgrade", "hour_utc", "_n", "_s_total_electricity_mwh", "_s_heating_load_kbtu"]
@@ -68,5 +69,5 @@ def test_closed_hours_equal_batch(spark, fixture_dir):
 
 
 def test_scaled_flags_consistent(spark, fixture_dir):
-    s = IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA")
+    s = IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA", schema=FX.SERIES_SCHEMA)
     assert [(m.name, m.per_building_mwh) for m in R.portfolio_measures(s)] == list(R.PORTFOLIO_SCALED)
