@@ -97,3 +97,11 @@ def ntz_literal(value: str | dt.datetime) -> Column:
     if isinstance(value, dt.datetime):
         value = value.isoformat(sep=" ")
     return F.lit(value).cast("timestamp_ntz")
+
+
+def r_datetime_text(x) -> Column:
+    """Datetime as text the way the reference writes it -- date only at
+    midnight, date and time otherwise."""
+    c = _c(x)
+    midnight = (F.hour(c) == 0) & (F.minute(c) == 0) & (F.second(c) == 0)
+    return F.when(midnight, F.date_format(c, "yyyy-MM-dd")).otherwise(F.date_format(c, "yyyy-MM-dd HH:mm:ss"))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..config import (REFERENCE_SCENARIO_LABELS, REFERENCE_SCENARIOS, JobParams, Scenario, max_sample_size,
                       scenario_labels, scenario_table, total_sample_bound)
+from ..functions import timecols as TC
 from ..operators import compare as CMP
 from ..operators import joins as J
 from ..operators import report as REP
@@ -119,6 +120,8 @@ def analyze_results(spark: SparkSession, out_dir: str, params: JobParams,
     outs = {"annual_energy_consumption": annual, "summer_peak_day": summer, "winter_peak_day": winter}
     for name, df in outs.items():
         df = df.withColumnRenamed(SCN, "scenario_id")
+        if "time_hr" in df.columns:          # written as the reference prints it (T12)
+            df = df.withColumn("time_hr", TC.r_datetime_text(F.col("time_hr")))
         # reports are a few rows per scenario: one file per scenario folder
         IO.write_csv(df.repartition("scenario_id"), _out(out_dir, "results", name), partition_by=["scenario_id"])
     return outs
@@ -128,6 +131,7 @@ def run(spark: SparkSession, baseline_csv: str, upgrade_csv: str, series_root: s
         params: JobParams = JobParams(), scenarios: Sequence[Scenario] = REFERENCE_SCENARIOS,
         metadata_schema=None, upgrade_schema=None) -> dict[str, DataFrame]:
     """The whole pipeline for every scenario; returns the written tables."""
+    IO.require_paths(spark, baseline_csv, upgrade_csv, series_root)
     base = IO.read_metadata(spark, baseline_csv, metadata_schema)
     upg = IO.read_metadata(spark, upgrade_csv, upgrade_schema)
     sample = select_samples(spark, base, upg, out_dir, scenarios)

@@ -25,6 +25,16 @@ from ..session import scratch_path
 FILE_ID_PATTERN = r"^(\d+)-(\d+)\.parquet$"
 
 
+def require_paths(spark: SparkSession, *paths: str) -> None:
+    """Fail early, with the path in the message, when an input is missing."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if not hp.getFileSystem(conf).exists(hp):
+            raise FileNotFoundError(f"Missing file: {p}")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder."""
     return scratch_path(spark, name)

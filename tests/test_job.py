@@ -64,3 +64,17 @@ def test_reports(result):
     assert len(z) == 3 and all(r.elec_heating_mwh == 0.0 for r in z)
     summer = res["summer_peak_day"].where("scenario_name = 'scenario1'")
     assert summer.count() == 23
+
+
+def test_missing_input_is_reported(spark, fixture_dir, out_dir):
+    with pytest.raises(FileNotFoundError, match="Missing file: .*nope.csv"):
+        job.run(spark, f"{fixture_dir}/nope.csv", f"{fixture_dir}/upgrade.csv", f"{fixture_dir}/series", out_dir)
+
+
+def test_report_text_time(result):
+    out, _ = result
+    d = os.path.join(out, "results", "winter_peak_day", "scenario_id=scenario1")
+    text = "".join(open(os.path.join(d, f)).read() for f in os.listdir(d) if f.endswith(".csv"))
+    lines = text.splitlines()
+    assert "2018-01-07" in [ln.split(",")[0] for ln in lines]          # midnight: date only
+    assert any(ln.startswith("2018-01-07 07:00:00,") for ln in lines)

@@ -65,3 +65,9 @@ def test_raw_window_contains_hour(spark):
     df = spark.createDataFrame([(dt.datetime(2018, 7, 2, 15, 15),), (dt.datetime(2018, 7, 5, 0, 0),)], "ts timestamp_ntz")
     got = [r.w for r in df.select(TC.raw_window_for_local_hour(F.col("ts"), "2018-07-02 16:00:00").alias("w")).collect()]
     assert got == [True, False]
+
+
+def test_r_datetime_text(spark):
+    df = spark.createDataFrame([(dt.datetime(2018, 7, 2, 0, 0),), (dt.datetime(2018, 7, 2, 17, 0),)], "t timestamp_ntz")
+    got = [r.s for r in df.select(TC.r_datetime_text(F.col("t")).alias("s")).collect()]
+    assert got == ["2018-07-02", "2018-07-02 17:00:00"]
