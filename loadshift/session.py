@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,14 +48,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a folder every executor can reach; it is
-    read, never overridden. Only when it is unset (local runs, tests) is a
-    fresh scratch folder created and registered.
+    read, never overridden, and a missing setting is an error. Only in local
+    mode (tests, single machine) is a fresh scratch folder created when unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = jdir.get() if jdir.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="loadshift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -68,14 +69,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
-
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-def is_local_fs(p: str) -> bool:
-    return "://" not in p or p.startswith("file:")
-
-
-def path_exists(p: str) -> bool:
-    return os.path.exists(local_path(p))

@@ -29,3 +29,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "total_electricity_savings" in df.columns
+
+
+@pytest.mark.parametrize("name", ["compare_arms_onepass", "building_hour_compare", "local_hour_dst",
+                                  "peak_hour_slice", "prep_baseline"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        ok, msg = H.compare(QUERIES[name](spark, SF001), con, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, msg
