@@ -529,9 +529,9 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus
 """
 
 CSV_ROUNDTRIP = f"""
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CASE WHEN r_name <> 'AFRICA' THEN r_name END AS r_name,
-  round(n_nationkey * CAST(1.5 AS DOUBLE), {D}) AS score, CAST(n_regionkey AS BIGINT) AS n_regionkey
-FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
+SELECT c_custkey, c_name, CASE WHEN r_name <> 'AFRICA' THEN r_name END AS r_name,
+  round(c_acctbal * CAST(1.5 AS DOUBLE), {D}) AS score, c_mktsegment
+FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 """
 
 ORACLE: dict[str, str] = {

@@ -348,14 +348,15 @@ def dynamic_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a table as CSV partitioned by a key (header, NA for NULL)
     into the shared folder and read it back with an explicit schema."""
-    nation = V.table(spark, sf_dir, "nation")
-    region = V.table(spark, sf_dir, "region")
-    df = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
-        "n_nationkey", "n_name", "n_regionkey",
-        F.when(F.col("r_name") != "AFRICA", F.col("r_name")).alias("r_name"),
-        (F.col("n_nationkey") * 1.5).alias("score"))
-    out = IO.write_csv(df, IO.scratch_dir(spark, "csv_roundtrip"), partition_by=["n_regionkey"])
-    schema = "n_nationkey int, n_name string, r_name string, score double, n_regionkey int"
+    c = V.table(spark, sf_dir, "customer")
+    n = V.table(spark, sf_dir, "nation")
+    r = V.table(spark, sf_dir, "region")
+    df = (c.join(n, c.c_nationkey == n.n_nationkey, "inner")
+           .join(r, n.n_regionkey == r.r_regionkey, "left")
+           .select("c_custkey", "c_name", F.when(F.col("r_name") != "AFRICA", F.col("r_name")).alias("r_name"),
+                   (F.col("c_acctbal") * 1.5).alias("score"), "c_mktsegment"))
+    out = IO.write_csv(df, IO.scratch_dir(spark, "csv_roundtrip"), partition_by=["c_mktsegment"])
+    schema = "c_custkey bigint, c_name string, r_name string, score double, c_mktsegment string"
     return finalize(IO.read_csv(spark, out, schema))
 
 
