@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import semantics as S
-from ..functions import timecols as TC
 
 # Fixed values that must equal the reference's for right results.
 ANNUAL_SUMS = (  # output metric name, source column

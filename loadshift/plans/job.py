@@ -80,7 +80,8 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
     IO.write_parquet(cmp.withColumnRenamed(SCN, "scenario").repartition("scenario"), cmp_path,
                      partition_by=["scenario"])
     cmp_df = spark.read.parquet(cmp_path)
-    IO.write_csv(cmp_df.repartition("scenario").sortWithinPartitions("hour_utc"),
+    IO.write_csv(cmp_df.repartition("scenario").sortWithinPartitions("hour_utc")
+                       .withColumn("time_hr", TC.r_datetime_text(F.col("time_hr"))),
                  _out(out_dir, "results", "combined_8760"), partition_by=["scenario"])
 
     attrs = CMP.building_attributes(base_meta, upg_meta)
@@ -94,7 +95,8 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
     for season, hour in (("summer", params.summer_peak_hour), ("winter", params.winter_peak_hour)):
         sl = CMP.enrich_slice(attrs, CMP.peak_hour_slice(bhc, hour)).withColumnRenamed(SCN, "scenario")
         path = _out(out_dir, "results", f"all_buildings_{season}_peak_hr")
-        IO.write_csv(sl.repartition("scenario"), path, partition_by=["scenario"])
+        IO.write_csv(sl.repartition("scenario").withColumn("time_hour", TC.r_datetime_text(F.col("time_hour"))),
+                     path, partition_by=["scenario"])
         out[f"{season}_peak_hr"] = sl
     status = None
     for arm in arms:

@@ -8,10 +8,9 @@ value by value (summation order differs in the last bits).
 
 from __future__ import annotations
 
-import datetime as dt
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,19 +33,14 @@ BASE, UPG = V.DRIVER_BASELINE_ARM, V.DRIVER_UPGRADE_ARM
 DST_SHIFTS_DAYS = (60, 300)   # move January events over the March and November changes
 
 
-def round_binary(c, digits: int = ROUND_DIGITS):
-    """Round a double to ``digits`` decimals as round(x * 10^d) / 10^d on the binary
-    value. Spark's round(x, d) rounds the shortest decimal text of x instead, which
-    breaks exact ties (…5 in the next digit) differently from SQL engines that round
-    in binary; scaling first makes both agree bit for bit."""
-    scale = F.lit(float(10 ** digits))
-    return F.round(c * scale, 0) / scale
-
-
 def finalize(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
-    """Widen integers to BIGINT, round doubles (see :func:`round_binary`); names unchanged.
+    """Widen integers to BIGINT and round doubles; names unchanged.
 
-    Built as one SQL projection: a single call into the JVM however wide the table."""
+    Doubles are rounded as round(x * 10^d) / 10^d on the binary value: Spark's
+    round(x, d) rounds the shortest decimal text of x instead, which breaks exact
+    ties (a 5 in the next digit) differently from SQL engines that round in binary;
+    scaling first makes both agree bit for bit. Built as one SQL projection: a
+    single call into the JVM however wide the table."""
     scale = f"{float(10 ** digits)!r}D"
     exprs = []
     for f in df.schema.fields:
@@ -234,7 +228,6 @@ def requested_vs_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scenario_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D18 + D19 for every scenario in one job: sample -> series of the sampled
     buildings -> one-pass comparison per scenario -> annual report -> labels."""
-    from pyspark.sql import Window
     sample_ids = _sample(spark, sf_dir).select(F.col("scenario").alias("scenario_name"), "bldg_id")
     # N per scenario rides along with each sampled id (a window over the bounded sample)
     sample_ids = sample_ids.withColumn("n_buildings", F.count(F.lit(1)).over(Window.partitionBy("scenario_name")))
