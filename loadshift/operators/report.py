@@ -43,9 +43,11 @@ PROFILE_SERIES = {  # chart series order and labels
 
 
 def recode(c: Column, mapping: dict[str, str]) -> Column:
-    """Map values; unmatched values are kept."""
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.coalesce(F.element_at(m, c), c) if mapping else c
+    """Map values; unmatched values are kept (a CASE chain: codegen-friendly)."""
+    out = None
+    for k, v in mapping.items():
+        out = F.when(c == k, F.lit(v)) if out is None else out.when(c == k, F.lit(v))
+    return c if out is None else out.otherwise(c)
 
 
 def annual_energy(cmp: DataFrame, group_cols: Sequence[str] = (), groups: DataFrame | None = None) -> DataFrame:
@@ -62,10 +64,13 @@ def annual_energy(cmp: DataFrame, group_cols: Sequence[str] = (), groups: DataFr
         sums = groups.select(*group_cols).join(sums, list(group_cols), "left") \
                      .fillna(0.0, subset=[n for n, _ in ANNUAL_SUMS])
     long = sums.unpivot(list(group_cols), [n for n, _ in ANNUAL_SUMS], "metric", "mwh")
+    # split once into plain columns, then recode them (the split result reused inside
+    # the CASE chains trips Spark's code generator)
     parts = F.split(F.col("metric"), LAST_UNDERSCORE)
+    long = long.select(*group_cols, parts.getItem(0).alias("_end_use"), parts.getItem(1).alias("_arm"), "mwh")
     long = long.select(*group_cols,
-                       recode(parts.getItem(0), END_USE_LABELS).alias("fuel_enduse"),
-                       recode(parts.getItem(1), ARM_LABELS).alias("scenario"),
+                       recode(F.col("_end_use"), END_USE_LABELS).alias("fuel_enduse"),
+                       recode(F.col("_arm"), ARM_LABELS).alias("scenario"),
                        "mwh")
     wide = long.groupBy(*group_cols, "scenario").pivot("fuel_enduse", list(END_USE_LABELS.values())) \
                .agg(F.first("mwh"))

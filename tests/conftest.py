@@ -16,7 +16,9 @@ def spark():
     from loadshift.session import get_session
     ckpt = tempfile.mkdtemp(prefix="loadshift-test-ckpt-")
     s = get_session("local[4]", app_name="loadshift-tests", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": ckpt})
+                    extra={"spark.checkpoint.dir": ckpt,
+                           # a code-generation failure must fail the test, not fall back silently
+                           "spark.sql.codegen.fallback": "false"})
     yield s
     s.stop()
 
