@@ -98,10 +98,7 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
         IO.write_csv(sl.repartition("scenario").withColumn("time_hour", TC.r_datetime_text(F.col("time_hour"))),
                      path, partition_by=["scenario"])
         out[f"{season}_peak_hr"] = sl
-    status = None
-    for arm in arms:
-        st = IO.load_status(ids, series.where(F.col("upgrade") == arm)).withColumn("upgrade", F.lit(arm))
-        status = st if status is None else status.unionByName(st)
+    status = IO.arm_load_status(ids, series, arms)
     failed = status.where(~F.col("loaded")).withColumnRenamed(SCN, "scenario")
     IO.write_csv(failed.repartition("scenario"), _out(out_dir, "results", "failed_reads"), partition_by=["scenario"])
     out["failed_reads"] = failed

@@ -139,6 +139,21 @@ def load_status(requested: DataFrame, readings: DataFrame) -> DataFrame:
     return out.withColumn("loaded", F.coalesce(F.col("loaded"), F.lit(False)))
 
 
+def arm_load_status(requested: DataFrame, readings: DataFrame, arms: Sequence[int],
+                    arm_col: str = "upgrade") -> DataFrame:
+    """J6 / J7 for several arms in one scan: every requested (group, bldg_id) row per
+    arm with ``loaded``. Only the id and arm columns of the readings are touched."""
+    flags = (readings.select("bldg_id", arm_col)
+             .join(requested.select("bldg_id").distinct(), "bldg_id", "left_semi")
+             .groupBy("bldg_id")
+             .agg(*[F.max(F.col(arm_col) == F.lit(a)).alias(f"_arm_{a}") for a in arms]))
+    st = requested.join(flags, "bldg_id", "left").select(
+        *requested.columns, *[F.coalesce(F.col(f"_arm_{a}"), F.lit(False)).alias(f"_arm_{a}") for a in arms])
+    long = st.unpivot(requested.columns, [f"_arm_{a}" for a in arms], "_arm", "loaded")
+    return long.select(*requested.columns,
+                       F.regexp_extract("_arm", r"(\d+)$", 1).cast("int").alias(arm_col), "loaded")
+
+
 def failed_reads(requested: DataFrame, readings: DataFrame) -> DataFrame:
     """Requested rows that produced no readings (the reference only logs them)."""
     return requested.join(readings.select("bldg_id").distinct(), "bldg_id", "left_anti")

@@ -70,3 +70,14 @@ def test_series_merges_footers_of_requested_files_only(spark, fixture_dir):
     assert fo in df.columns
     assert df.where(f"upgrade = 5 AND {fo} IS NOT NULL").count() == 0
     assert df.where(f"upgrade = 0 AND {fo} IS NOT NULL").count() > 0
+
+
+def test_arm_load_status_one_scan(spark, fixture_dir):
+    req = spark.createDataFrame([("s", 1), ("s", 4), ("t", 2)], "scenario string, bldg_id int")
+    series = IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA", schema=FX.SERIES_SCHEMA)
+    st = IO.arm_load_status(req, series, (0, 5))
+    got = sorted((r.scenario, r.bldg_id, r.upgrade, r.loaded) for r in st.collect())
+    assert got == [("s", 1, 0, True), ("s", 1, 5, True), ("s", 4, 0, False), ("s", 4, 5, False),
+                   ("t", 2, 0, True), ("t", 2, 5, True)]
+    from test_plans import leaves
+    assert leaves(spark, lambda: IO.arm_load_status(req, series, (0, 5))).count("Scan parquet ") == 1
