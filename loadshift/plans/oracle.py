@@ -557,6 +557,7 @@ ORACLE: dict[str, str] = {
     "sample_summary": SAMPLE_SUMMARY,
     "requested_vs_loaded": REQUESTED_VS_LOADED,
     "scenario_report": SCENARIO_REPORT,
+    "job_end_to_end": SCENARIO_REPORT,
     "regex_number": REGEX_NUMBER,
     "bool_coercion": BOOL_COERCION,
     "strict_mean": STRICT_MEAN,

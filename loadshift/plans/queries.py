@@ -241,6 +241,28 @@ def scenario_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(REP.scenario_report(scenario_labels(spark, REFERENCE_SCENARIO_LABELS), annual))
 
 
+def job_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D18 on data derived from the driver tables: the readings are written as a
+    series dataset and the metadata views as CSV files (dotted names, NA), then the
+    whole job runs (samples, series, comparison, peak slices, reports) and its
+    annual report is returned. Same result as ``scenario_report``."""
+    from ..config import JobParams
+    from ..functions import columns as C
+    from . import job
+    base = IO.scratch_dir(spark, "job_end_to_end")
+    IO.write_series(V.readings(spark, sf_dir).withColumn("state", F.lit("VA")), f"{base}/series")
+    meta, upg = V.baseline_metadata(spark, sf_dir), V.upgrade_metadata(spark, sf_dir)
+    IO.write_csv(meta, f"{base}/baseline_csv")
+    IO.write_csv(upg, f"{base}/upgrade_csv")
+    restore = lambda schema: T.StructType([T.StructField(C.restore(f.name), f.dataType, True) for f in schema])
+    params = JobParams(upgrade_baseline=BASE, upgrade_gshp=UPG, state="VA", timezone=ZONE,
+                       summer_peak_day=V.DRIVER_PEAK_DAY, summer_peak_hour=V.DRIVER_PEAK_HOUR,
+                       winter_peak_day=V.DRIVER_WINTER_PEAK_HOUR[:10], winter_peak_hour=V.DRIVER_WINTER_PEAK_HOUR)
+    res = job.run(spark, f"{base}/baseline_csv", f"{base}/upgrade_csv", f"{base}/series", f"{base}/out", params,
+                  V.DRIVER_SCENARIOS, restore(meta.schema), restore(upg.schema))
+    return finalize(res["annual_energy_consumption"])
+
+
 # ---- scalar-function family ------------------------------------------------------
 
 def regex_number(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,6 +398,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_summary": sample_summary,
     "requested_vs_loaded": requested_vs_loaded,
     "scenario_report": scenario_report,
+    "job_end_to_end": job_end_to_end,
     "regex_number": regex_number,
     "bool_coercion": bool_coercion,
     "strict_mean": strict_mean,

@@ -91,35 +91,66 @@ def _bounded_ids(ids: DataFrame, bound: int) -> list[int] | None:
 MAX_GLOB_IDS = 10_000
 
 
+def write_series(df: DataFrame, root: str, files_per_partition: int | None = None) -> str:
+    """Write readings in the Spark-native layout: ``upgrade=U/state=S/part-*.parquet``
+    with ``bldg_id`` as a column, each file sorted by (bldg_id, timestamp) so that
+    parquet row-group statistics prune by building.
+
+    Rows are spread by (arm, state, building, month): one building's year is cut
+    into twelve pieces, so even a building holding a large share of the rows is
+    written by many tasks."""
+    n = files_per_partition or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = (df.repartition(n, "upgrade", "state", "bldg_id", F.month("timestamp"))
+             .sortWithinPartitions("bldg_id", "timestamp"))
+    out.write.mode("overwrite").partitionBy("upgrade", "state").parquet(root)
+    return root
+
+
 def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None = None,
                 ids: DataFrame | None = None, max_literal_ids: int = 200_000,
                 measures: Sequence[str] | None = None, schema=None) -> DataFrame:
     """Readings of the requested buildings and arms, with ``bldg_id`` and ``upgrade``.
 
-    Schema: ``schema`` when given (no footer is read up front). Otherwise, for a
+    Two layouts are read:
+
+    * source layout, one file per building and arm (``<bldg_id>-<U>.parquet``): the
+      id comes from the file name, and a bounded id list becomes a file-name filter
+      (only those files are opened);
+    * Spark-native layout (:func:`write_series`, ``bldg_id`` is a column): a bounded
+      id list becomes ``bldg_id IN (...)``, pushed to the parquet reader.
+
+    Above the bound the ids are applied with a semi-join. Schema: ``schema`` when
+    given (no footer is read up front); otherwise, in the source layout with a
     bounded id list, the footers of the requested files only are merged (bind by
-    name: a file lacking a measure reads it as NULL). Without ids the schema comes
-    from one file -- pass ``schema`` for heterogeneous datasets at scale.
+    name: a file lacking a measure reads it as NULL); otherwise one file's footer.
     ``measures`` (dotted or sanitized names) narrows the scan to those columns plus
     the timestamp; by default every column is kept.
     """
     lit_ids = _bounded_ids(ids, max_literal_ids) if ids is not None else None
     reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", root)
     if schema is not None:
-        reader = reader.schema(schema)
-    elif lit_ids is not None and len(lit_ids) <= MAX_GLOB_IDS:
-        names = ",".join(f"{i}-{u}" for i in lit_ids for u in upgrades) or "none"
-        reader = reader.option("mergeSchema", "true").option("pathGlobFilter", "{" + names + "}.parquet")
-    df = reader.parquet(root)
+        df = reader.schema(schema).parquet(root)
+    else:
+        df = reader.parquet(root)
+        if "bldg_id" not in df.columns and lit_ids is not None and len(lit_ids) <= MAX_GLOB_IDS:
+            names = ",".join(f"{i}-{u}" for i in lit_ids for u in upgrades) or "none"
+            df = (reader.option("mergeSchema", "true").option("pathGlobFilter", "{" + names + "}.parquet")
+                  .parquet(root))
     df = df.where(F.col("upgrade").isin(list(upgrades)))
     if state is not None:
         df = df.where(F.col("state") == state)
-    fname = F.col("_metadata.file_name")
-    if lit_ids is not None:
-        df = df.where(fname.isin([f"{i}-{u}.parquet" for i in lit_ids for u in upgrades]))
-    df = df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).cast("int"))
+    by_column = "bldg_id" in df.columns
+    if by_column:
+        if lit_ids is not None:
+            df = df.where(F.col("bldg_id").isin(lit_ids))
+    else:
+        fname = F.col("_metadata.file_name")
+        if lit_ids is not None:
+            df = df.where(fname.isin([f"{i}-{u}.parquet" for i in lit_ids for u in upgrades]))
+        df = df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).cast("int"))
     if ids is not None and lit_ids is None:
-        df = df.join(ids.select(F.col("bldg_id").cast("int")).distinct(), "bldg_id", "left_semi")
+        df = df.join(ids.select(F.col("bldg_id").cast(df.schema["bldg_id"].dataType)).distinct(),
+                     "bldg_id", "left_semi")
     df = C.sanitize_columns(df)
     if measures is not None:
         keep = ["bldg_id", "upgrade", "timestamp", *[C.sanitize(m) for m in measures]]

@@ -81,3 +81,17 @@ def test_arm_load_status_one_scan(spark, fixture_dir):
                    ("t", 2, 0, True), ("t", 2, 5, True)]
     from test_plans import leaves
     assert leaves(spark, lambda: IO.arm_load_status(req, series, (0, 5))).count("Scan parquet ") == 1
+
+
+def test_spark_native_layout_pushes_id_filter(spark, fixture_dir, out_dir):
+    src = IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA", schema=FX.SERIES_SCHEMA)
+    restored = C.restore_columns(src).drop("state").withColumn("state", F.lit("VA"))
+    root = IO.write_series(restored, os.path.join(out_dir, "native"))
+    ids = spark.createDataFrame([(2,), (3,)], "bldg_id int")
+    df = IO.read_series(spark, root, (0, 5), "VA", ids=ids)
+    from loadshift.plans.inspect import plan_summary
+    (scan,) = plan_summary(df)["scans"]
+    assert "In(bldg_id, [2,3])" in scan[1]
+    cols = [c for c in src.columns if c != "state"]
+    want = sorted(src.where("bldg_id IN (2, 3)").select(cols).collect())
+    assert sorted(df.select(cols).collect()) == want
