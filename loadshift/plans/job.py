@@ -52,9 +52,7 @@ def select_samples(spark: SparkSession, base_meta: DataFrame, upg_meta: DataFram
     scn = scenario_table(spark, scenarios)
     pool = SMP.eligible_pool(base_meta, upg_meta, scn)
     sample = SMP.draw_sample(pool, max_sample_size(scenarios), scn)
-    work = _out(out_dir, "_work", "sample")
-    IO.write_parquet(sample, work, partition_by=["scenario"])
-    sample = spark.read.parquet(work)
+    sample = IO.checkpoint_table(sample, _out(out_dir, "_work", "sample"), partition_by=["scenario"])
     IO.write_csv(sample.drop("sample_size", "seed").repartition("scenario"),
                  _out(out_dir, "bldg_ids", "applicable_buildings"), partition_by=["scenario"])
     IO.write_csv(SMP.sample_summary(sample).repartition("scenario"),
@@ -76,10 +74,8 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
 
     cmp = CMP.portfolio_compare(per_scn, n, params.upgrade_baseline, params.upgrade_gshp, params.timezone,
                                 group_cols=(SCN,))
-    cmp_path = _out(out_dir, "_work", "combined_8760")
-    IO.write_parquet(cmp.withColumnRenamed(SCN, "scenario").repartition("scenario"), cmp_path,
-                     partition_by=["scenario"])
-    cmp_df = spark.read.parquet(cmp_path)
+    cmp_df = IO.checkpoint_table(cmp.withColumnRenamed(SCN, "scenario").repartition("scenario"),
+                                 _out(out_dir, "_work", "combined_8760"), partition_by=["scenario"])
     IO.write_csv(cmp_df.repartition("scenario").sortWithinPartitions("hour_utc")
                        .withColumn("time_hr", TC.r_datetime_text(F.col("time_hr"))),
                  _out(out_dir, "results", "combined_8760"), partition_by=["scenario"])
@@ -88,9 +84,7 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
     peaks = (params.summer_peak_hour, params.winter_peak_hour)
     bhc = CMP.building_hour_compare(per_scn, params.upgrade_baseline, params.upgrade_gshp, params.timezone,
                                     group_cols=(SCN,), only_local_hours=peaks)
-    bhc_path = _out(out_dir, "_work", "peak_hours")
-    IO.write_parquet(bhc, bhc_path)
-    bhc = spark.read.parquet(bhc_path)
+    bhc = IO.checkpoint_table(bhc, _out(out_dir, "_work", "peak_hours"))
     out = {"combined_8760": cmp_df}
     for season, hour in (("summer", params.summer_peak_hour), ("winter", params.winter_peak_hour)):
         sl = CMP.enrich_slice(attrs, CMP.peak_hour_slice(bhc, hour)).withColumnRenamed(SCN, "scenario")
@@ -107,9 +101,11 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
 
 def analyze_results(spark: SparkSession, out_dir: str, params: JobParams,
                     scenarios: Sequence[Scenario] = REFERENCE_SCENARIOS,
-                    labels=REFERENCE_SCENARIO_LABELS) -> dict[str, DataFrame]:
-    """Stage 4: reports from the written comparison (one read for all scenarios, S13)."""
-    cmp = spark.read.parquet(_out(out_dir, "_work", "combined_8760"))
+                    labels=REFERENCE_SCENARIO_LABELS, cmp: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Stage 4: reports from the written comparison (one read for all scenarios, S13).
+    ``cmp`` is stage 2's read-back table; by default it is read from ``out_dir``."""
+    if cmp is None:
+        cmp = spark.read.parquet(_out(out_dir, "_work", "combined_8760"))
     names = scenario_table(spark, scenarios).select("scenario")
     cmp = cmp.withColumnRenamed("scenario", SCN)
     annual = REP.annual_energy(cmp, group_cols=(SCN,), groups=names.withColumnRenamed("scenario", SCN))
@@ -135,7 +131,7 @@ def run(spark: SparkSession, baseline_csv: str, upgrade_csv: str, series_root: s
     upg = IO.read_metadata(spark, upgrade_csv, upgrade_schema)
     sample = select_samples(spark, base, upg, out_dir, scenarios)
     res = build_series_results(spark, sample, base, upg, series_root, out_dir, params, scenarios)
-    rep = analyze_results(spark, out_dir, params, scenarios)
+    rep = analyze_results(spark, out_dir, params, scenarios, cmp=res["combined_8760"])
     return {"sample": sample, **res, **rep}
 
 

@@ -79,6 +79,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     return path
 
 
+def checkpoint_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Write ``df`` as parquet and return a read of what was written: a lineage cut
+    that survives executor loss (the folder is shared). The written schema is given
+    to the reader, so an empty result reads back as an empty table."""
+    write_parquet(df, path, partition_by)
+    parts = list(partition_by or [])
+    fields = {f.name: f for f in df.schema.fields}
+    from pyspark.sql import types as T
+    schema = T.StructType([fields[c] for c in df.columns if c not in parts] + [fields[c] for c in parts])
+    spark = df.sparkSession
+    return spark.read.schema(schema).parquet(path).select(*df.columns)
+
+
 def _bounded_ids(ids: DataFrame, bound: int) -> list[int] | None:
     """The distinct ids as a list when there are at most ``bound`` of them, else None.
     At most ``bound + 1`` rows ever reach the driver."""
