@@ -33,14 +33,21 @@ BASE, UPG = V.DRIVER_BASELINE_ARM, V.DRIVER_UPGRADE_ARM
 DST_SHIFTS_DAYS = (60, 300)   # move January events over the March and November changes
 
 
+# Relative nudge applied before rounding, on both sides of the comparison: sums of
+# two-decimal inputs divided by round counts often land exactly on a rounding tie,
+# where the last-bit noise of a different summation order would decide the digit.
+TIE_NUDGE = "1.00000000001D"
+
+
 def finalize(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     """Widen integers to BIGINT and round doubles; names unchanged.
 
-    Doubles are rounded as round(x * 10^d) / 10^d on the binary value: Spark's
-    round(x, d) rounds the shortest decimal text of x instead, which breaks exact
-    ties (a 5 in the next digit) differently from SQL engines that round in binary;
-    scaling first makes both agree bit for bit. Built as one SQL projection: a
-    single call into the JVM however wide the table."""
+    Doubles are rounded as round(x * (1 + 1e-11) * 10^d) / 10^d on the binary value.
+    Spark's round(x, d) rounds the shortest decimal text of x instead, which breaks
+    exact ties differently from SQL engines that round in binary; scaling first
+    makes both agree bit for bit, and the nudge sends exact ties (whatever their
+    last-bit noise) the same way. Built as one SQL projection: a single call into
+    the JVM however wide the table."""
     scale = f"{float(10 ** digits)!r}D"
     exprs = []
     for f in df.schema.fields:
@@ -48,7 +55,7 @@ def finalize(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             exprs.append(f"CAST({q} AS BIGINT) AS {q}")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exprs.append(f"round(CAST({q} AS DOUBLE) * {scale}, 0) / {scale} AS {q}")
+            exprs.append(f"round(CAST({q} AS DOUBLE) * {TIE_NUDGE} * {scale}, 0) / {scale} AS {q}")
         else:
             exprs.append(q)
     return df.selectExpr(*exprs)
