@@ -104,17 +104,18 @@ def _bounded_ids(ids: DataFrame, bound: int) -> list[int] | None:
 MAX_GLOB_IDS = 10_000
 
 
-def write_series(df: DataFrame, root: str, files_per_partition: int | None = None) -> str:
+def write_series(df: DataFrame, root: str, files_per_dir: int = 8) -> str:
     """Write readings in the Spark-native layout: ``upgrade=U/state=S/part-*.parquet``
     with ``bldg_id`` as a column, each file sorted by (bldg_id, timestamp) so that
     parquet row-group statistics prune by building.
 
-    Rows are spread by (arm, state, building, month): one building's year is cut
-    into twelve pieces, so even a building holding a large share of the rows is
-    written by many tasks."""
-    n = files_per_partition or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = (df.repartition(n, "upgrade", "state", "bldg_id", F.month("timestamp"))
-             .sortWithinPartitions("bldg_id", "timestamp"))
+    Rows are routed by (arm, state, salt) with salt = hash(building, month) mod
+    ``files_per_dir``: each folder gets about that many files (no small-file
+    explosion), and one building's year is cut into up to twelve pieces, so even
+    a building holding a large share of the rows is written by several tasks.
+    Size ``files_per_dir`` to the data per (arm, state)."""
+    salt = F.pmod(F.xxhash64("bldg_id", F.month("timestamp")), F.lit(int(files_per_dir)))
+    out = df.repartition("upgrade", "state", salt).sortWithinPartitions("bldg_id", "timestamp")
     out.write.mode("overwrite").partitionBy("upgrade", "state").parquet(root)
     return root
 
