@@ -144,7 +144,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--sample-size", type=int, default=None)
     a = ap.parse_args(argv)
-    spark = get_session()
+    spark = get_session(cluster=True)
     scen = REFERENCE_SCENARIOS
     if a.sample_size:
         from dataclasses import replace

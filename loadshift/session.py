@@ -22,17 +22,44 @@ CORE_CONF = {
 }
 
 
+# Additional settings for a large cluster (many executors, ~100 TB of series).
+CLUSTER_CONF = {
+    # scan splits: many small per-building files are packed into ~256 MB splits
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.openCostInBytes": str(4 * 1024 * 1024),
+    # shuffle partitions sized at run time from the measured map output
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    # join and scan pruning
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+    # executor loss: retry tasks and stages, move shuffle blocks off decommissioning executors
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "loadshift",
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the core settings.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to the data (AQE coalesces small ones at run time).
+    On a cluster pass ``master=None`` (spark-submit decides) and ``cluster=True``;
+    size ``shuffle_partitions`` to the shuffled bytes / ~256 MB (AQE coalesces
+    small partitions and splits skewed ones at run time).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(CORE_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
