@@ -6,6 +6,7 @@
 Stages and where the lineage is cut (each stage reads what the previous wrote,
 so a lost executor only recomputes inside one stage):
 
+0. metadata CSVs -> ``_work/*_metadata`` (parquet, parsed once).
 1. metadata -> eligible pools (broadcast scenario table) -> hash-ordered sample
    -> ``bldg_ids/applicable_buildings`` (CSV) + ``bldg_ids/sample_average`` (CSV)
    + ``_work/sample`` (parquet, read back below).
@@ -127,8 +128,11 @@ def run(spark: SparkSession, baseline_csv: str, upgrade_csv: str, series_root: s
         metadata_schema=None, upgrade_schema=None) -> dict[str, DataFrame]:
     """The whole pipeline for every scenario; returns the written tables."""
     IO.require_paths(spark, baseline_csv, upgrade_csv, series_root)
-    base = IO.read_metadata(spark, baseline_csv, metadata_schema)
-    upg = IO.read_metadata(spark, upgrade_csv, upgrade_schema)
+    # parse each metadata CSV once; later stages read columnar parquet with pruning
+    base = IO.checkpoint_table(IO.read_metadata(spark, baseline_csv, metadata_schema),
+                               _out(out_dir, "_work", "baseline_metadata"))
+    upg = IO.checkpoint_table(IO.read_metadata(spark, upgrade_csv, upgrade_schema),
+                              _out(out_dir, "_work", "upgrade_metadata"))
     sample = select_samples(spark, base, upg, out_dir, scenarios)
     res = build_series_results(spark, sample, base, upg, series_root, out_dir, params, scenarios)
     rep = analyze_results(spark, out_dir, params, scenarios, cmp=res["combined_8760"])
