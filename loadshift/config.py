@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 @dataclass(frozen=True)
 class JobParams:
     """Global constants of a run (the reference keeps them in its config script)."""
+    # Fixed values that must equal the reference's for right results (defaults).
     sample_size: int = 100
     seed: int = 123
     state: str = "VA"
@@ -24,7 +25,7 @@ class JobParams:
     winter_peak_day: str = "2018-01-07"
     winter_peak_hour: str = "2018-01-07 07:00:00"
     winter_peak_label: str = "Jan 7, 7AM"
-    # Largest id list that is turned into a literal file filter when reading series.
+    # (own setting) Largest id list that is turned into a literal file filter when reading series.
     max_literal_ids: int = 200_000
 
     def with_(self, **kw) -> "JobParams":
