@@ -371,8 +371,8 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a table as CSV partitioned by a key (header, NA for NULL)
     into the shared folder and read it back with an explicit schema."""
     c = V.table(spark, sf_dir, "customer")
-    n = V.table(spark, sf_dir, "nation")
-    r = V.table(spark, sf_dir, "region")
+    n = V.dimension(spark, sf_dir, "nation")
+    r = V.dimension(spark, sf_dir, "region")
     df = (c.join(n, c.c_nationkey == n.n_nationkey, "inner")
            .join(r, n.n_regionkey == r.r_regionkey, "left")
            .select("c_custkey", "c_name", F.when(F.col("r_name") != "AFRICA", F.col("r_name")).alias("r_name"),

@@ -62,6 +62,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``nation`` (25 rows) or ``region`` (5 rows): fixed-size TPC-H dimension tables at
+    every scale factor, so they are broadcast -- a shuffle join on 25 keys would put
+    a hot nation's customers into one task."""
+    return F.broadcast(table(spark, sf_dir, name))
+
+
 def _value_if(types: tuple[str, ...]) -> Column:
     return F.when(F.col("event_type").isin(list(types)), F.col("value"))
 
@@ -126,8 +133,8 @@ def _orders_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def baseline_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per building with the columns the sampling and enrichment steps use."""
     c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
+    n = dimension(spark, sf_dir, "nation")
+    r = dimension(spark, sf_dir, "region")
     o = _orders_by_customer(spark, sf_dir)
     bal = F.col("c_acctbal")
     nk = F.col("c_nationkey")

@@ -175,11 +175,12 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
 def load_status(requested: DataFrame, readings: DataFrame) -> DataFrame:
     """Every requested (group, bldg_id) row with ``loaded`` = it has readings.
 
-    The requested ids are reduced first (semi-join) so the distinct runs over the
-    requested buildings only."""
+    The readings are reduced to distinct ids first (a map-side partial aggregate,
+    so a building holding a large share of the rows collapses before any shuffle),
+    then matched with the requested ids."""
     req_ids = requested.select("bldg_id").distinct()
-    present = (readings.select("bldg_id").join(req_ids, "bldg_id", "left_semi")
-               .distinct().withColumn("loaded", F.lit(True)))
+    present = (readings.select("bldg_id").distinct().join(req_ids, "bldg_id", "left_semi")
+               .withColumn("loaded", F.lit(True)))
     out = requested.join(present, "bldg_id", "left")
     return out.withColumn("loaded", F.coalesce(F.col("loaded"), F.lit(False)))
 
@@ -188,10 +189,10 @@ def arm_load_status(requested: DataFrame, readings: DataFrame, arms: Sequence[in
                     arm_col: str = "upgrade") -> DataFrame:
     """J6 / J7 for several arms in one scan: every requested (group, bldg_id) row per
     arm with ``loaded``. Only the id and arm columns of the readings are touched."""
-    flags = (readings.select("bldg_id", arm_col)
-             .join(requested.select("bldg_id").distinct(), "bldg_id", "left_semi")
-             .groupBy("bldg_id")
-             .agg(*[F.max(F.col(arm_col) == F.lit(a)).alias(f"_arm_{a}") for a in arms]))
+    # aggregate first (partial aggregation collapses hot buildings), then match
+    flags = (readings.groupBy("bldg_id")
+             .agg(*[F.max(F.col(arm_col) == F.lit(a)).alias(f"_arm_{a}") for a in arms])
+             .join(requested.select("bldg_id").distinct(), "bldg_id", "left_semi"))
     st = requested.join(flags, "bldg_id", "left").select(
         *requested.columns, *[F.coalesce(F.col(f"_arm_{a}"), F.lit(False)).alias(f"_arm_{a}") for a in arms])
     long = st.unpivot(requested.columns, [f"_arm_{a}" for a in arms], "_arm", "loaded")
