@@ -95,3 +95,14 @@ def test_spark_native_layout_pushes_id_filter(spark, fixture_dir, out_dir):
     cols = [c for c in src.columns if c != "state"]
     want = sorted(src.where("bldg_id IN (2, 3)").select(cols).collect())
     assert sorted(df.select(cols).collect()) == want
+
+
+def test_write_series_bounds_files_per_folder(spark, fixture_dir, out_dir):
+    src = IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA", schema=FX.SERIES_SCHEMA)
+    df = C.restore_columns(src).drop("state").withColumn("state", F.lit("VA"))
+    root = IO.write_series(df, os.path.join(out_dir, "bounded"), files_per_dir=3)
+    for arm in ("upgrade=0", "upgrade=5"):
+        files = [f for f in os.listdir(os.path.join(root, arm, "state=VA")) if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 3
+    back = spark.read.parquet(root)
+    assert back.count() == df.count()
