@@ -140,20 +140,40 @@ def run(spark: SparkSession, baseline_csv: str, upgrade_csv: str, series_root: s
 
 
 def main(argv=None) -> None:
+    from dataclasses import replace
+
     from ..session import get_session
     ap = argparse.ArgumentParser(description="baseline vs upgrade load analysis for all scenarios")
-    ap.add_argument("--baseline", required=True)
-    ap.add_argument("--upgrade", required=True)
-    ap.add_argument("--series", required=True)
-    ap.add_argument("--out", required=True)
+    ap.add_argument("--baseline", required=True, help="baseline metadata CSV")
+    ap.add_argument("--upgrade", required=True, help="upgrade metadata CSV")
+    ap.add_argument("--series", required=True, help="series dataset root")
+    ap.add_argument("--out", required=True, help="output folder")
     ap.add_argument("--sample-size", type=int, default=None)
+    ap.add_argument("--scenarios", default="", help="comma-separated subset, e.g. scenario1,scenario4")
+    ap.add_argument("--stage", choices=("all", "select", "series", "analyze"), default="all",
+                    help="run one step; later steps read what earlier ones wrote")
     a = ap.parse_args(argv)
     spark = get_session(cluster=True)
     scen = REFERENCE_SCENARIOS
+    if a.scenarios:
+        wanted = set(a.scenarios.split(","))
+        scen = tuple(s for s in scen if s.scenario in wanted)
     if a.sample_size:
-        from dataclasses import replace
         scen = tuple(replace(s, sample_size=a.sample_size) for s in scen)
-    run(spark, a.baseline, a.upgrade, a.series, a.out, JobParams(), scen)
+    params = JobParams()
+    if a.stage == "all":
+        run(spark, a.baseline, a.upgrade, a.series, a.out, params, scen)
+        return
+    IO.require_paths(spark, a.baseline, a.upgrade)
+    base = IO.read_metadata(spark, a.baseline)
+    upg = IO.read_metadata(spark, a.upgrade)
+    if a.stage == "select":
+        select_samples(spark, base, upg, a.out, scen)
+    elif a.stage == "series":
+        sample = spark.read.parquet(_out(a.out, "_work", "sample"))
+        build_series_results(spark, sample, base, upg, a.series, a.out, params, scen)
+    else:
+        analyze_results(spark, a.out, params, scen)
 
 
 if __name__ == "__main__":

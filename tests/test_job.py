@@ -78,3 +78,14 @@ def test_report_text_time(result):
     lines = text.splitlines()
     assert "2018-01-07" in [ln.split(",")[0] for ln in lines]          # midnight: date only
     assert any(ln.startswith("2018-01-07 07:00:00,") for ln in lines)
+
+
+def test_cli_stages(spark, fixture_dir, out_dir):
+    args = ["--baseline", f"{fixture_dir}/baseline.csv", "--upgrade", f"{fixture_dir}/upgrade.csv",
+            "--series", f"{fixture_dir}/series", "--out", out_dir, "--scenarios", "scenario1,scenario4"]
+    job.main(args + ["--stage", "select"])
+    job.main(args + ["--stage", "series"])
+    job.main(args + ["--stage", "analyze"])
+    ann = spark.read.option("header", True).csv(os.path.join(out_dir, "results", "annual_energy_consumption"))
+    assert sorted({r.scenario_id for r in ann.collect()}) == ["scenario1", "scenario4"]
+    assert ann.count() == 6
