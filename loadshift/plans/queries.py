@@ -145,11 +145,10 @@ def local_hour_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D8 across both daylight-saving changes: readings moved by 60 and 300 days;
     readings and distinct hour instants per wall-clock hour."""
     rd = V.readings(spark, sf_dir)
-    moved = None
-    for d in DST_SHIFTS_DAYS:
-        part = rd.select(F.lit(d).alias("shift_days"),
-                         (F.col("timestamp") + F.make_dt_interval(F.lit(d))).alias("timestamp"))
-        moved = part if moved is None else moved.unionByName(part)
+    # one scan: every reading is emitted once per shift
+    shift = F.explode(F.array(*[F.lit(d) for d in DST_SHIFTS_DAYS]))
+    moved = rd.select(shift.alias("shift_days"), "timestamp").select(
+        "shift_days", (F.col("timestamp") + F.make_dt_interval(F.col("shift_days"))).alias("timestamp"))
     inst = R.with_hour(moved).groupBy("shift_days", R.HOUR_UTC).agg(F.count(F.lit(1)).alias("n"))
     wall = R.add_wall_clock(inst, ZONE)
     out = wall.groupBy("shift_days", R.TIME_HR, *R.WALL).agg(
@@ -277,9 +276,12 @@ def regex_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = V.table(spark, sf_dir, "events")
     part = V.table(spark, sf_dir, "part")
     a = ev.select(F.lit("events.props").alias("source"), F.col("event_id").alias("id"), F.col("props").alias("text"))
-    b = part.select(F.lit("part.p_name").alias("source"), F.col("p_partkey").alias("id"), F.col("p_name").alias("text"))
-    c = part.select(F.lit("part.p_brand").alias("source"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("text"))
-    u = a.unionByName(b).unionByName(c)
+    # one scan of part: each row gives its name and its brand
+    pair = lambda src, c: F.struct(F.lit(src).alias("source"), F.col(c).alias("text"))
+    b = (part.select(F.col("p_partkey").alias("id"),
+                     F.explode(F.array(pair("part.p_name", "p_name"), pair("part.p_brand", "p_brand"))).alias("p"))
+             .select("p.source", "id", "p.text"))
+    u = a.unionByName(b)
     return finalize(u.select("source", "id", S.extract_number(F.col("text")).alias("number")))
 
 
@@ -298,14 +300,15 @@ def bool_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_prices(spark, sf_dir) -> DataFrame:
+    """customer LEFT JOIN (max price of early orders, max price of late orders):
+    one scan and one aggregation of orders (conditional maxima)."""
     c = V.table(spark, sf_dir, "customer")
     o = V.table(spark, sf_dir, "orders")
-    early = o.where(F.col("o_orderdate") < TC.ntz_literal(V.EARLY_BEFORE)) \
-             .groupBy("o_custkey").agg(F.max("o_totalprice").alias("early_max"))
-    late = o.where(F.col("o_orderdate") >= TC.ntz_literal(V.LATE_FROM)) \
-            .groupBy("o_custkey").agg(F.max("o_totalprice").alias("late_max"))
-    return (c.join(early, c.c_custkey == early.o_custkey, "left").drop("o_custkey")
-             .join(late, c.c_custkey == late.o_custkey, "left").drop("o_custkey"))
+    d, price = F.col("o_orderdate"), F.col("o_totalprice")
+    per = o.groupBy("o_custkey").agg(
+        F.max(F.when(d < TC.ntz_literal(V.EARLY_BEFORE), price)).alias("early_max"),
+        F.max(F.when(d >= TC.ntz_literal(V.LATE_FROM), price)).alias("late_max"))
+    return c.join(per, c.c_custkey == per.o_custkey, "left").drop("o_custkey")
 
 
 def strict_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
