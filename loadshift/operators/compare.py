@@ -147,14 +147,10 @@ def building_hour_compare(readings: DataFrame, base_arm: int, upg_arm: int,
         cond = cond & window & TC.to_local(hour, zone).isin([TC.ntz_literal(h) for h in only_local_hours])
     mb = R.building_measures(readings, prefixes[0])
     mu = R.building_measures(readings, prefixes[1])
-    # one conditional sum per arm; measure values are the same expressions for both arms
+    # one conditional sum per arm; each arm's measures carry its own name prefix
     keys = [*group_cols, "bldg_id"]
-    aggs = []
-    for a, ms in ((base_arm, mb), (upg_arm, mu)):
-        hit = F.col(arm_col) == F.lit(a)
-        aggs.append(F.count(F.when(hit, 1)).alias(f"_n_{a}"))
-        aggs += [F.sum(F.when(hit, m.value)).alias(f"_s_{a}_{m.name}") for m in ms]
-    sums = readings.where(cond).groupBy(*keys, hour.alias(R.HOUR_UTC)).agg(*aggs)
+    sums = R._arm_sums(readings.where(cond), [*keys, hour.alias(R.HOUR_UTC)], mb, arm_col, (base_arm, upg_arm),
+                       {base_arm: mb, upg_arm: mu})
     wall = R._merge_repeated_hours(sums, keys, zone)
     has_upg = F.col(f"_n_{upg_arm}") > 0
     parts = TC.wall_parts(F.col(R.TIME_HR))

@@ -112,13 +112,14 @@ def add_wall_clock(df: DataFrame, zone: str, from_col: str = HOUR_UTC, out: str
     return df.withColumns(TC.wall_parts(F.col(out)))
 
 
-def _arm_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure], arm_col: str | None,
-              arms: Sequence[int] | None) -> DataFrame:
+def _arm_sums(df: DataFrame, keys: Sequence, measures: Sequence[Measure], arm_col: str | None,
+              arms: Sequence[int] | None, measures_by_arm: dict[int, Sequence[Measure]] | None = None) -> DataFrame:
     """Conditional sums per arm (one aggregation, no join).
 
     For arm ``a`` the result has ``_n_a`` (row count) and ``_s_a_<measure>`` (sum,
-    NULL when every value is NULL). With ``arms=None`` a single unconditioned set
-    ``_n`` / ``_s_<measure>`` is produced.
+    NULL when every value is NULL); ``measures_by_arm`` gives an arm its own
+    measure list (e.g. differently prefixed names). With ``arms=None`` a single
+    unconditioned set ``_n`` / ``_s_<measure>`` is produced.
     """
     aggs = []
     if arms is None:
@@ -127,8 +128,9 @@ def _arm_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure], a
     else:
         for a in arms:
             hit = F.col(arm_col) == F.lit(a)
+            ms = (measures_by_arm or {}).get(a, measures)
             aggs.append(F.count(F.when(hit, 1)).alias(f"_n_{a}"))
-            aggs += [F.sum(F.when(hit, m.value)).alias(f"_s_{a}_{m.name}") for m in measures]
+            aggs += [F.sum(F.when(hit, m.value)).alias(f"_s_{a}_{m.name}") for m in ms]
     return df.groupBy(*keys).agg(*aggs)
 
 
