@@ -2,6 +2,10 @@
 
 Each query is executed end to end with the ``noop`` sink (the whole plan runs,
 nothing is collected). Prints ONE JSON line.
+
+Optional: BENCH_EVENT_LOG=1 writes Spark's event log to a fresh folder under
+/tmp (stage and task times for later reading) and adds the number of Spark jobs
+per query to the JSON line.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,22 +32,31 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = get_session(f"local[{cpus}]", app_name="loadshift-bench", shuffle_partitions=int(cpus),
-                        extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = None
+    if os.environ.get("BENCH_EVENT_LOG"):
+        event_dir = tempfile.mkdtemp(prefix="loadshift-events-")
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+    spark = get_session(f"local[{cpus}]", app_name="loadshift-bench", shuffle_partitions=int(cpus), extra=extra)
+    tracker = spark.sparkContext.statusTracker()
     names = only or list(QUERIES)
     # warm-up: JVM, parquet footers, codegen caches
     QUERIES["distinct_ids"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     timings: dict[str, float] = {}
+    jobs: dict[str, int] = {}
     for name in names:
         best = None
         for _ in range(repeats):
+            before = len(tracker.getJobIdsForGroup(None))
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             dt = time.perf_counter() - t0
+            jobs[name] = len(tracker.getJobIdsForGroup(None)) - before
             best = dt if best is None else min(best, dt)
         timings[name] = round(best, 3)
     head = [timings[q] for q in HEADLINE if q in timings]
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    optional = {"spark_jobs": jobs, "event_log_dir": event_dir} if event_dir else {}
     print(json.dumps({
         "metric": "total_seconds_all_queries",
         "value": round(sum(timings.values()), 3),
@@ -51,6 +65,7 @@ def main() -> None:
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
+        **optional,
     }))
     spark.stop()
 

@@ -106,3 +106,12 @@ def test_write_series_bounds_files_per_folder(spark, fixture_dir, out_dir):
         assert 1 <= len(files) <= 3
     back = spark.read.parquet(root)
     assert back.count() == df.count()
+
+
+def test_checkpoint_table_empty_and_partitioned(spark, out_dir):
+    df = spark.createDataFrame([("a", 1, 2.0)], "scenario string, k int, v double").where("k > 5")
+    back = IO.checkpoint_table(df, os.path.join(out_dir, "empty"), partition_by=["scenario"])
+    assert back.count() == 0 and back.columns == df.columns
+    full = spark.createDataFrame([("a", 1, 2.0), ("b", 2, 3.0)], "scenario string, k int, v double")
+    back = IO.checkpoint_table(full, os.path.join(out_dir, "full"), partition_by=["scenario"])
+    assert back.columns == full.columns and sorted(back.collect()) == sorted(full.collect())

@@ -125,3 +125,9 @@ def test_large_sample_precut_is_exact(spark):
     assert got == ref and len(got) == 3000
     reduced = SMP.precut_pool(pool.withColumn("_key", SMP.sample_order_key(F.col("seed"), F.col("bldg_id"))))
     assert reduced.count() < 3200                  # n plus at most one bucket per scenario
+
+
+def test_empty_pool_check_passes_when_all_present(spark):
+    scn = spark.createDataFrame([("a",), ("b",)], "scenario string")
+    drawn = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "scenario string, bldg_id int")
+    assert SMP.empty_pool_check(scn, drawn).count() == 0
