@@ -70,3 +70,9 @@ def start_closed_hours(readings: DataFrame, out_path: str, checkpoint: str, late
     w = (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
             .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_closed_hours(spark: SparkSession, out_path: str, n_buildings, zone: str = TC.DEFAULT_ZONE,
+                      arm_col: str = "upgrade") -> DataFrame:
+    """The D9 table for the hours emitted so far by :func:`start_closed_hours`."""
+    return R.finish_portfolio(spark.read.parquet(out_path), n_buildings, zone, arm_col)

@@ -66,6 +66,9 @@ def test_closed_hours_equal_batch(spark, fixture_dir):
                                                       "_s_heating_load_kbtu"])
     assert j.count() == n
     assert batch.count() - n <= 3          # only the hours still open at the end are missing
+    fin = ST.read_closed_hours(spark, f"{d}/out", 3, ZONE)
+    full = R.finish_portfolio(batch, 3, ZONE)
+    assert _rows(fin, fin.columns) == _rows(full.join(fin.select("hour_utc"), "hour_utc", "left_semi"), fin.columns)
 
 
 def test_scaled_flags_consistent(spark, fixture_dir):
