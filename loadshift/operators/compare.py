@@ -200,6 +200,19 @@ def peak_hour_slice(bhc: DataFrame, peak_hour: str) -> DataFrame:
     return bhc.where(F.col("time_hour") == TC.ntz_literal(peak_hour))
 
 
+def slice_with_attributes(base_meta: DataFrame, upg_meta: DataFrame, slice_df: DataFrame,
+                          id_bound: int | None = None) -> DataFrame:
+    """D13 + D14 with the metadata reduced first: both metadata tables are
+    semi-joined to the slice's buildings before the attribute join, so nothing
+    touches the metadata of buildings outside the slice. ``id_bound`` (known from
+    the configuration, e.g. the total sample size) allows broadcasting the ids."""
+    from .joins import broadcast_bounded
+    ids = broadcast_bounded(slice_df.select("bldg_id").distinct(), id_bound)
+    attrs = building_attributes(base_meta.join(ids, "bldg_id", "left_semi"),
+                                upg_meta.join(ids, "bldg_id", "left_semi"))
+    return enrich_slice(attrs, slice_df)
+
+
 def enrich_slice(attributes: DataFrame, slice_df: DataFrame) -> DataFrame:
     """D13 join (J5): attributes INNER JOIN slice on bldg_id. The slice holds at most
     one row per sampled building per group; AQE turns this into a broadcast join

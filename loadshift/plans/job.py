@@ -81,14 +81,14 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
                        .withColumn("time_hr", TC.r_datetime_text(F.col("time_hr"))),
                  _out(out_dir, "results", "combined_8760"), partition_by=["scenario"])
 
-    attrs = CMP.building_attributes(base_meta, upg_meta)
     peaks = (params.summer_peak_hour, params.winter_peak_hour)
     bhc = CMP.building_hour_compare(per_scn, params.upgrade_baseline, params.upgrade_gshp, params.timezone,
                                     group_cols=(SCN,), only_local_hours=peaks)
     bhc = IO.checkpoint_table(bhc, _out(out_dir, "_work", "peak_hours"))
     out = {"combined_8760": cmp_df}
     for season, hour in (("summer", params.summer_peak_hour), ("winter", params.winter_peak_hour)):
-        sl = CMP.enrich_slice(attrs, CMP.peak_hour_slice(bhc, hour)).withColumnRenamed(SCN, "scenario")
+        sl = CMP.slice_with_attributes(base_meta, upg_meta, CMP.peak_hour_slice(bhc, hour),
+                                       total_sample_bound(scenarios)).withColumnRenamed(SCN, "scenario")
         path = _out(out_dir, "results", f"all_buildings_{season}_peak_hr")
         IO.write_csv(sl.repartition("scenario").withColumn("time_hour", TC.r_datetime_text(F.col("time_hour"))),
                      path, partition_by=["scenario"])

@@ -119,8 +119,7 @@ def peak_hour_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     rd = V.readings(spark, sf_dir)
     bhc = CMP.building_hour_compare(rd, BASE, UPG, ZONE, only_local_hours=[V.DRIVER_PEAK_HOUR])
     sl = CMP.peak_hour_slice(bhc, V.DRIVER_PEAK_HOUR)
-    attrs = CMP.building_attributes(V.baseline_metadata(spark, sf_dir), V.upgrade_metadata(spark, sf_dir))
-    return finalize(CMP.enrich_slice(attrs, sl))
+    return finalize(CMP.slice_with_attributes(V.baseline_metadata(spark, sf_dir), V.upgrade_metadata(spark, sf_dir), sl))
 
 
 def annual_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
