@@ -250,3 +250,47 @@ def hourly_by_building(readings: DataFrame, prefix: str, zone: str = TC.DEFAULT_
     parts = TC.wall_parts(F.col(TIME_HR))
     return wall.select(*keys, *[c.alias(k) for k, c in parts.items()],
                        *[F.coalesce(F.col(f"_s_{m.name}"), F.lit(0.0)).alias(m.name) for m in measures])
+
+
+# ---------------------------------------------------------------------------
+# One cube for both roll-ups (D9 and D10 from a single scan and shuffle)
+# ---------------------------------------------------------------------------
+
+_CUBE_BUILDING = "_b"   # neutral prefix of the per-building measures inside the cube
+
+
+def hour_cube(readings: DataFrame, group_cols: Sequence[str] = (), arm_col: str = "upgrade",
+              ts: str = "timestamp") -> DataFrame:
+    """Per (groups, arm, building, hour instant): row count and the raw sums of both
+    measure sets (strict portfolio set and broad per-building set, T15).
+
+    One scan and one shuffle (after a map-side partial aggregate); persist or
+    write it when both roll-ups are needed. :func:`portfolio_from_cube` and
+    :func:`building_hours_from_cube` derive D9 and D10 from it."""
+    measures = portfolio_measures(readings) + building_measures(readings, _CUBE_BUILDING)
+    keys = [*group_cols, arm_col, "bldg_id", TC.hour_utc(F.col(ts)).alias(HOUR_UTC)]
+    return _arm_sums(readings, keys, measures, None, None)
+
+
+def portfolio_from_cube(cube: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZONE, arm_col: str = "upgrade",
+                        group_cols: Sequence[str] = ()) -> DataFrame:
+    """D9 from the cube: per (groups, arm, hour) the sums over buildings (the cube is
+    ~8,760 x arms rows per building, so the partial aggregate collapses it per task)."""
+    names = [name for name, _ in PORTFOLIO_SCALED]
+    sums = cube.groupBy(*group_cols, arm_col, HOUR_UTC).agg(
+        F.sum("_n").alias("_n"), *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in names])
+    return finish_portfolio(sums, n_buildings, zone, arm_col, group_cols)
+
+
+def building_hours_from_cube(cube: DataFrame, arm: int, prefix: str, zone: str = TC.DEFAULT_ZONE,
+                             arm_col: str = "upgrade", group_cols: Sequence[str] = ()) -> DataFrame:
+    """D10 from the cube for one arm: wall-clock hours (fall-back hour merged),
+    measures named ``<prefix>...``."""
+    src = [C.sanitize(_CUBE_BUILDING + sfx) for sfx in BUILDING_MEASURES]
+    keys = [*group_cols, "bldg_id"]
+    sums = cube.where(F.col(arm_col) == F.lit(arm)).select(*keys, HOUR_UTC, "_n", *[f"_s_{c}" for c in src])
+    wall = _merge_repeated_hours(sums, keys, zone)
+    parts = TC.wall_parts(F.col(TIME_HR))
+    return wall.select(*keys, *[c.alias(k) for k, c in parts.items()],
+                       *[F.coalesce(F.col(f"_s_{c}"), F.lit(0.0)).alias(C.sanitize(prefix + sfx))
+                         for c, sfx in zip(src, BUILDING_MEASURES)])

@@ -543,6 +543,8 @@ ORACLE: dict[str, str] = {
     "compare_arms_onepass": COMPARE_ARMS,
     "hourly_by_building": _hourly_by_building("baseline", 0),
     "hourly_by_building_upgrade": _hourly_by_building("upgrade", 1),
+    "portfolio_from_cube": HOURLY_PORTFOLIO,
+    "building_hours_from_cube": _hourly_by_building("baseline", 0),
     "building_hour_compare": BUILDING_HOUR_COMPARE,
     "building_hour_compare_join": BUILDING_HOUR_COMPARE,
     "building_attributes": BUILDING_ATTRIBUTES,

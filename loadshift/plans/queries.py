@@ -99,6 +99,18 @@ def hourly_by_building_upgrade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(R.hourly_by_building(rd, "upgrade", ZONE))
 
 
+def portfolio_from_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9 derived from the shared hour cube (same result as ``hourly_portfolio``)."""
+    rd = V.readings(spark, sf_dir)
+    return finalize(R.portfolio_from_cube(R.hour_cube(rd), _n_requested(rd), ZONE))
+
+
+def building_hours_from_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 for the baseline arm derived from the shared hour cube (same result as
+    ``hourly_by_building``)."""
+    return finalize(R.building_hours_from_cube(R.hour_cube(V.readings(spark, sf_dir)), BASE, "baseline", ZONE))
+
+
 def building_hour_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     rd = V.readings(spark, sf_dir)
     return finalize(CMP.building_hour_compare(rd, BASE, UPG, ZONE))
@@ -390,6 +402,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_arms_onepass": compare_arms_onepass,
     "hourly_by_building": hourly_by_building,
     "hourly_by_building_upgrade": hourly_by_building_upgrade,
+    "portfolio_from_cube": portfolio_from_cube,
+    "building_hours_from_cube": building_hours_from_cube,
     "building_hour_compare": building_hour_compare,
     "building_hour_compare_join": building_hour_compare_join,
     "building_attributes": building_attributes,
