@@ -161,7 +161,8 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
         fname = F.col("_metadata.file_name")
         if lit_ids is not None:
             df = df.where(fname.isin([f"{i}-{u}.parquet" for i in lit_ids for u in upgrades]))
-        df = df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).cast("int"))
+        # a file whose name does not follow the pattern gets a NULL id (never a failed job)
+        df = df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).try_cast("int"))
     if ids is not None and lit_ids is None:
         df = df.join(ids.select(F.col("bldg_id").cast(df.schema["bldg_id"].dataType)).distinct(),
                      "bldg_id", "left_semi")

@@ -115,3 +115,16 @@ def test_checkpoint_table_empty_and_partitioned(spark, out_dir):
     full = spark.createDataFrame([("a", 1, 2.0), ("b", 2, 3.0)], "scenario string, k int, v double")
     back = IO.checkpoint_table(full, os.path.join(out_dir, "full"), partition_by=["scenario"])
     assert back.columns == full.columns and sorted(back.collect()) == sorted(full.collect())
+
+
+def test_stray_file_name_gives_null_id(spark, fixture_dir, out_dir):
+    import shutil
+    root = os.path.join(out_dir, "stray")
+    shutil.copytree(f"{fixture_dir}/series/upgrade=0", os.path.join(root, "upgrade=0"))
+    shutil.copy(os.path.join(root, "upgrade=0", "state=VA", "1-0.parquet"),
+                os.path.join(root, "upgrade=0", "state=VA", "notes.parquet"))
+    df = IO.read_series(spark, root, (0,), "VA", schema=FX.SERIES_SCHEMA)
+    ids = {r.bldg_id for r in df.select("bldg_id").distinct().collect()}
+    assert ids == {1, 2, 3, None}
+    req = spark.createDataFrame([(1,)], "bldg_id int")
+    assert {r.bldg_id for r in IO.read_series(spark, root, (0,), "VA", ids=req).select("bldg_id").distinct().collect()} == {1}
