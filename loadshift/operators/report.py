@@ -75,8 +75,11 @@ def annual_energy(cmp: DataFrame, group_cols: Sequence[str] = (), groups: DataFr
     wide = long.groupBy(*group_cols, "scenario").pivot("fuel_enduse", list(END_USE_LABELS.values())) \
                .agg(F.first("mwh"))
     order = F.array_position(F.array(*[F.lit(x) for x in ARM_ORDER]), F.col("scenario"))
-    # three rows per group (configured groups only): one ordered partition, no range shuffle
-    return wide.coalesce(1).sortWithinPartitions(*group_cols, order)
+    if not group_cols:
+        # three rows: one ordered partition, no range shuffle
+        return wide.coalesce(1).sortWithinPartitions(order)
+    # each group's three rows in one partition, in report order (groups are not ordered globally)
+    return wide.repartition(*group_cols).sortWithinPartitions(*group_cols, order)
 
 
 def peak_day_profile(cmp: DataFrame, day: str, kind: str = "cooling", group_cols: Sequence[str] = ()) -> DataFrame:
