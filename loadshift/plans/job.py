@@ -115,7 +115,8 @@ def analyze_results(spark: SparkSession, out_dir: str, params: JobParams,
     winter = REP.peak_day_profile(cmp, params.winter_peak_day, "heating", group_cols=(SCN,))
     outs = {"annual_energy_consumption": annual, "summer_peak_day": summer, "winter_peak_day": winter}
     for name, df in outs.items():
-        df = df.withColumnRenamed(SCN, "scenario_id")
+        # files keep the reference's columns; the label stays on the returned table
+        df = df.drop("label").withColumnRenamed(SCN, "scenario_id")
         if "time_hr" in df.columns:          # written as the reference prints it (T12)
             df = df.withColumn("time_hr", TC.r_datetime_text(F.col("time_hr")))
         # reports are a few rows per scenario: one file per scenario folder
