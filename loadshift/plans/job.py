@@ -106,7 +106,9 @@ def analyze_results(spark: SparkSession, out_dir: str, params: JobParams,
     """Stage 4: reports from the written comparison (one read for all scenarios, S13).
     ``cmp`` is stage 2's read-back table; by default it is read from ``out_dir``."""
     if cmp is None:
-        cmp = spark.read.parquet(_out(out_dir, "_work", "combined_8760"))
+        path = _out(out_dir, "_work", "combined_8760")
+        IO.require_paths(spark, path)          # S9: results of the series stage must exist
+        cmp = spark.read.parquet(path)
     names = scenario_table(spark, scenarios).select("scenario")
     cmp = cmp.withColumnRenamed("scenario", SCN)
     annual = REP.annual_energy(cmp, group_cols=(SCN,), groups=names.withColumnRenamed("scenario", SCN))
@@ -171,6 +173,7 @@ def main(argv=None) -> None:
     if a.stage == "select":
         select_samples(spark, base, upg, a.out, scen)
     elif a.stage == "series":
+        IO.require_paths(spark, _out(a.out, "_work", "sample"))
         sample = spark.read.parquet(_out(a.out, "_work", "sample"))
         build_series_results(spark, sample, base, upg, a.series, a.out, params, scen)
     else:

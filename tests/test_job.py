@@ -89,3 +89,8 @@ def test_cli_stages(spark, fixture_dir, out_dir):
     ann = spark.read.option("header", True).csv(os.path.join(out_dir, "results", "annual_energy_consumption"))
     assert sorted({r.scenario_id for r in ann.collect()}) == ["scenario1", "scenario4"]
     assert ann.count() == 6
+
+
+def test_analyze_without_series_stage_is_reported(spark, out_dir):
+    with pytest.raises(FileNotFoundError, match="combined_8760"):
+        job.analyze_results(spark, out_dir, JobParams())
