@@ -2,14 +2,19 @@
 
 * CSV in: explicit schema, header, ``NA`` and empty as NULL; dotted names are
   sanitized on the way in and restored on the way out.
-* Series in: one parquet dataset laid out as ``upgrade=U/state=S/<bldg_id>-<U>.parquet``.
-  Partition pruning handles arm and state. The building id comes from the file
-  name. When the requested ids are bounded (a sample drawn from a config with a
-  fixed size), they become a literal filter on ``_metadata.file_name``, which Spark
-  applies while listing files -- only the requested files are opened. Beyond the
-  bound the ids are applied with a semi-join instead (every file of the arm is read).
+* Series in (:func:`read_series`), two layouts under ``upgrade=U/state=S/``:
+  the source's one file per building and arm (``<bldg_id>-<U>.parquet``; the id
+  comes from the file name, and a bounded id list becomes a literal filter on
+  ``_metadata.file_name``, applied while listing files, so only the requested
+  files are opened), or the Spark-native layout of :func:`write_series`
+  (``bldg_id`` is a column; a bounded id list becomes a pushed parquet filter).
+  Partition pruning handles arm and state; beyond the bound the ids are applied
+  with a semi-join.
 * Unreadable files are skipped (``ignoreCorruptFiles``); which requested buildings
-  produced no rows is a table (:func:`load_status`, :func:`failed_reads`).
+  produced no rows is a table (:func:`load_status`, :func:`arm_load_status`,
+  :func:`failed_reads`).
+* :func:`checkpoint_table` writes a table to the shared folder and reads it back:
+  the lineage cut used between job stages.
 """
 
 from __future__ import annotations
