@@ -36,6 +36,7 @@ from ..functions import timecols as TC
 from ..operators import compare as CMP
 from ..operators import joins as J
 from ..operators import report as REP
+from ..operators import rollup as R
 from ..operators import sample as SMP
 from ..sources import files as IO
 
@@ -85,7 +86,9 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
     bhc = CMP.building_hour_compare(per_scn, params.upgrade_baseline, params.upgrade_gshp, params.timezone,
                                     group_cols=(SCN,), only_local_hours=peaks)
     bhc = IO.checkpoint_table(bhc, _out(out_dir, "_work", "peak_hours"))
-    out = {"combined_8760": cmp_df}
+    # lazy extras, as the reference returns them: the sampled series and the per-arm hourly tables
+    out = {"combined_8760": cmp_df, "series": per_scn,
+           "hourly_portfolio": R.hourly_portfolio(per_scn, n, params.timezone, group_cols=(SCN,))}
     for season, hour in (("summer", params.summer_peak_hour), ("winter", params.winter_peak_hour)):
         sl = CMP.slice_with_attributes(base_meta, upg_meta, CMP.peak_hour_slice(bhc, hour),
                                        total_sample_bound(scenarios)).withColumnRenamed(SCN, "scenario")

@@ -94,3 +94,13 @@ def test_cli_stages(spark, fixture_dir, out_dir):
 def test_analyze_without_series_stage_is_reported(spark, out_dir):
     with pytest.raises(FileNotFoundError, match="combined_8760"):
         job.analyze_results(spark, out_dir, JobParams())
+
+
+def test_lazy_extras(result):
+    _, res = result
+    hp = res["hourly_portfolio"].where("scenario_name = 'scenario1' AND upgrade = 0")
+    cmp = res["combined_8760"].where("scenario = 'scenario1'")
+    a = {r.hour_utc: r.total_electricity_mwh for r in hp.collect()}
+    b = {r.hour_utc: r.total_electricity_mwh_base for r in cmp.collect()}
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
+    assert res["series"].select("scenario_name").distinct().count() >= 1
