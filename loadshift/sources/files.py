@@ -105,7 +105,7 @@ def _bounded_ids(ids: DataFrame, bound: int) -> list[int] | None:
 
 
 # Largest id list whose files' footers are merged through a file-name glob; above
-# it the schema must be given (or is taken from one file).
+# it all footers are merged (or the schema is given).
 MAX_GLOB_IDS = 10_000
 
 
@@ -141,7 +141,9 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
     Above the bound the ids are applied with a semi-join. Schema: ``schema`` when
     given (no footer is read up front); otherwise, in the source layout with a
     bounded id list, the footers of the requested files only are merged (bind by
-    name: a file lacking a measure reads it as NULL); otherwise one file's footer.
+    name: a file lacking a measure reads it as NULL); otherwise the footers of all
+    files are merged (exact, but reads every footer: pass ``schema`` at scale). The
+    Spark-native layout has one schema by construction and needs no merge.
     ``measures`` (dotted or sanitized names) narrows the scan to those columns plus
     the timestamp; by default every column is kept.
     """
@@ -151,10 +153,12 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
         df = reader.schema(schema).parquet(root)
     else:
         df = reader.parquet(root)
-        if "bldg_id" not in df.columns and lit_ids is not None and len(lit_ids) <= MAX_GLOB_IDS:
-            names = ",".join(f"{i}-{u}" for i in lit_ids for u in upgrades) or "none"
-            df = (reader.option("mergeSchema", "true").option("pathGlobFilter", "{" + names + "}.parquet")
-                  .parquet(root))
+        if "bldg_id" not in df.columns:
+            # source layout: files may differ in columns -- bind by name exactly
+            if lit_ids is not None and len(lit_ids) <= MAX_GLOB_IDS:
+                names = ",".join(f"{i}-{u}" for i in lit_ids for u in upgrades) or "none"
+                reader = reader.option("pathGlobFilter", "{" + names + "}.parquet")
+            df = reader.option("mergeSchema", "true").parquet(root)
     df = df.where(F.col("upgrade").isin(list(upgrades)))
     if state is not None:
         df = df.where(F.col("state") == state)

@@ -128,3 +128,12 @@ def test_stray_file_name_gives_null_id(spark, fixture_dir, out_dir):
     assert ids == {1, 2, 3, None}
     req = spark.createDataFrame([(1,)], "bldg_id int")
     assert {r.bldg_id for r in IO.read_series(spark, root, (0,), "VA", ids=req).select("bldg_id").distinct().collect()} == {1}
+
+
+def test_series_without_schema_binds_by_name(spark, fixture_dir):
+    # no ids, no schema: all footers merged; the corrupt files are skipped
+    df = IO.read_series(spark, f"{fixture_dir}/series", (0, 5), "VA")
+    fo = "out__fuel_oil__heating__energy_consumption"
+    assert fo in df.columns
+    assert df.where(f"bldg_id = 3 AND upgrade = 5 AND {fo} IS NOT NULL").count() == 0
+    assert {r.bldg_id for r in df.select("bldg_id").distinct().collect()} == {1, 2, 3}
