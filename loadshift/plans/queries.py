@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import (REFERENCE_SCENARIO_LABELS, max_sample_size, scenario_labels, scenario_table,
+from ..config import (REFERENCE_SCENARIO_LABELS, JobParams, max_sample_size, scenario_labels, scenario_table,
                       total_sample_bound)
 from ..functions import columns as C
 from ..functions import semantics as S
@@ -26,6 +26,8 @@ from ..operators import rollup as R
 from ..operators import sample as SMP
 from ..sources import driver_views as V
 from ..sources import files as IO
+from ..streaming import hourly as ST
+from . import job
 
 ROUND_DIGITS = 6
 ZONE = TC.DEFAULT_ZONE
@@ -170,7 +172,6 @@ def local_hour_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hourly_portfolio_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D9 through Structured Streaming: per-batch partial sums written exactly once,
     merged and finished on read. Same result as ``hourly_portfolio``."""
-    from ..streaming import hourly as ST
     base = IO.scratch_dir(spark, "hourly_stream")
     q = ST.start_partials(V.readings_stream(spark, sf_dir), f"{base}/partials", f"{base}/checkpoint")
     q.awaitTermination()
@@ -263,9 +264,6 @@ def job_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     series dataset and the metadata views as CSV files (dotted names, NA), then the
     whole job runs (samples, series, comparison, peak slices, reports) and its
     annual report is returned. Same result as ``scenario_report``."""
-    from ..config import JobParams
-    from ..functions import columns as C
-    from . import job
     base = IO.scratch_dir(spark, "job_end_to_end")
     IO.write_series(V.readings(spark, sf_dir).withColumn("state", F.lit("VA")), f"{base}/series")
     meta, upg = V.baseline_metadata(spark, sf_dir), V.upgrade_metadata(spark, sf_dir)
