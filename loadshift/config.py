@@ -26,7 +26,7 @@ class JobParams:
     winter_peak_hour: str = "2018-01-07 07:00:00"
     winter_peak_label: str = "Jan 7, 7AM"
     # (own setting) Largest id list that is turned into a literal file filter when reading series.
-    max_literal_ids: int = 200_000
+    max_literal_ids: int = 50_000
 
     def with_(self, **kw) -> "JobParams":
         return replace(self, **kw)

@@ -128,7 +128,7 @@ def write_series(df: DataFrame, root: str, files_per_dir: int = 8) -> str:
 
 
 def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None = None,
-                ids: DataFrame | None = None, max_literal_ids: int = 200_000,
+                ids: DataFrame | None = None, max_literal_ids: int = 50_000,
                 measures: Sequence[str] | None = None, schema=None) -> DataFrame:
     """Readings of the requested buildings and arms, with ``bldg_id`` and ``upgrade``.
 
