@@ -28,6 +28,10 @@ class JobParams:
     # (own setting) Largest id list that is turned into a literal file filter when reading series.
     max_literal_ids: int = 50_000
 
+    def __post_init__(self):
+        from .functions.timecols import check_whole_hour_zone
+        check_whole_hour_zone(self.timezone)
+
     def with_(self, **kw) -> "JobParams":
         return replace(self, **kw)
 

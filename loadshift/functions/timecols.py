@@ -9,6 +9,10 @@ zone (America/New_York, with daylight saving).
 Only the first two steps touch every row; the floor is built from the fields
 of the shifted value so that it never depends on the session time zone (T18).
 The zone conversion is meant to run *after* aggregation, on the hour keys.
+
+Flooring the UTC instant equals flooring the local time only when the zone's
+offsets are whole hours (all US zones, including the reference's); other zones
+are rejected by :func:`check_whole_hour_zone` rather than grouped wrongly.
 """
 
 from __future__ import annotations
@@ -48,6 +52,20 @@ def hour_utc(ts, offset_hours: int = SOURCE_UTC_OFFSET_HOURS,
     return floor_hour(shifted_instant(ts, offset_hours, ending_minutes))
 
 
+def check_whole_hour_zone(zone: str, years=range(1970, 2041)) -> str:
+    """Raise for a zone whose UTC offset is not a whole number of hours (checked in
+    January and July over ``years``, driver-side, no data involved)."""
+    import datetime as _dt
+    from zoneinfo import ZoneInfo
+    z = ZoneInfo(zone)
+    for y in years:
+        for m in (1, 7):
+            off = _dt.datetime(y, m, 15, 12, tzinfo=z).utcoffset()
+            if off.total_seconds() % 3600:
+                raise ValueError(f"{zone}: offset {off} is not whole hours; hour buckets would be wrong")
+    return zone
+
+
 def to_local(hour_utc_col, zone: str = DEFAULT_ZONE) -> Column:
     """Wall-clock time in ``zone`` of a UTC instant (both zone-less)."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(hour_utc_col))

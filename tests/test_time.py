@@ -71,3 +71,13 @@ def test_r_datetime_text(spark):
     df = spark.createDataFrame([(dt.datetime(2018, 7, 2, 0, 0),), (dt.datetime(2018, 7, 2, 17, 0),)], "t timestamp_ntz")
     got = [r.s for r in df.select(TC.r_datetime_text(F.col("t")).alias("s")).collect()]
     assert got == ["2018-07-02", "2018-07-02 17:00:00"]
+
+
+def test_zone_guard():
+    import pytest
+    from loadshift.config import JobParams
+    assert TC.check_whole_hour_zone("America/Chicago") == "America/Chicago"
+    with pytest.raises(ValueError, match="not whole hours"):
+        TC.check_whole_hour_zone("Asia/Kolkata")
+    with pytest.raises(ValueError):
+        JobParams(timezone="Asia/Kolkata")
