@@ -93,6 +93,26 @@ SCENARIO_SCHEMA = T.StructType([
 ])
 
 
+def load_scenarios(path: str) -> tuple[Scenario, ...]:
+    """Scenarios from a JSON file: a list of objects with ``Scenario`` field names;
+    omitted fields take the defaults (absent optional filters = no filter)."""
+    import json
+    from dataclasses import fields
+    known = {f.name for f in fields(Scenario)}
+    with open(path) as fh:
+        items = json.load(fh)
+    out = []
+    for item in items:
+        unknown = set(item) - known
+        if unknown:
+            raise ValueError(f"unknown scenario fields: {sorted(unknown)}")
+        for k in ("sqft_allowed", "vintage_allowed"):
+            if item.get(k) is not None:
+                item[k] = tuple(item[k])
+        out.append(Scenario(**item))
+    return tuple(out)
+
+
 def scenario_table(spark: SparkSession, scenarios: Sequence[Scenario] = REFERENCE_SCENARIOS) -> DataFrame:
     """The scenarios as a small DataFrame (one row each); absent filters are NULL."""
     rows = [(s.scenario, s.building_type, s.ducts_required, s.vacancy_required, s.cooling_type_required,

@@ -30,8 +30,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import (REFERENCE_SCENARIO_LABELS, REFERENCE_SCENARIOS, JobParams, Scenario, max_sample_size,
-                      scenario_labels, scenario_table, total_sample_bound)
+from ..config import (REFERENCE_SCENARIO_LABELS, REFERENCE_SCENARIOS, JobParams, Scenario, load_scenarios,
+                      max_sample_size, scenario_labels, scenario_table, total_sample_bound)
 from ..functions import timecols as TC
 from ..operators import compare as CMP
 from ..operators import joins as J
@@ -156,11 +156,12 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="output folder")
     ap.add_argument("--sample-size", type=int, default=None)
     ap.add_argument("--scenarios", default="", help="comma-separated subset, e.g. scenario1,scenario4")
+    ap.add_argument("--scenario-file", default=None, help="JSON list of scenarios (replaces the built-in five)")
     ap.add_argument("--stage", choices=("all", "select", "series", "analyze"), default="all",
                     help="run one step; later steps read what earlier ones wrote")
     a = ap.parse_args(argv)
     spark = get_session(cluster=True)
-    scen = REFERENCE_SCENARIOS
+    scen = load_scenarios(a.scenario_file) if a.scenario_file else REFERENCE_SCENARIOS
     if a.scenarios:
         wanted = set(a.scenarios.split(","))
         scen = tuple(s for s in scen if s.scenario in wanted)

@@ -131,3 +131,17 @@ def test_empty_pool_check_passes_when_all_present(spark):
     scn = spark.createDataFrame([("a",), ("b",)], "scenario string")
     drawn = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "scenario string, bldg_id int")
     assert SMP.empty_pool_check(scn, drawn).count() == 0
+
+
+def test_load_scenarios_from_json(tmp_path):
+    import json
+    from loadshift.config import load_scenarios
+    p = tmp_path / "s.json"
+    p.write_text(json.dumps([{"scenario": "x", "sqft_allowed": [1698], "heating_fuel": "Electricity"},
+                             {"scenario": "y", "sample_size": 5}]))
+    got = load_scenarios(str(p))
+    assert got[0].sqft_allowed == (1698,) and got[0].building_type == "Single-Family Detached"
+    assert got[1].sample_size == 5 and got[1].heating_fuel is None
+    p.write_text(json.dumps([{"scenario": "z", "colour": "red"}]))
+    with pytest.raises(ValueError, match="unknown scenario fields"):
+        load_scenarios(str(p))
