@@ -78,6 +78,15 @@ REFERENCE_SCENARIO_LABELS: tuple[tuple[str, str], ...] = (
     ("scenario5", "Electric Furnace + Central AC"),
 )
 
+# Fixed values that must equal the reference's for right results: the arm labels
+# of the hourly tables (``type``), baseline first.
+ARM_TYPE_LABELS = ("Baseline", "Upgrade")
+
+
+def arm_labels(baseline_arm: int, upgrade_arm: int) -> dict[int, str]:
+    return {baseline_arm: ARM_TYPE_LABELS[0], upgrade_arm: ARM_TYPE_LABELS[1]}
+
+
 SCENARIO_SCHEMA = T.StructType([
     T.StructField("scenario", T.StringType(), False),
     T.StructField("building_type", T.StringType(), True),

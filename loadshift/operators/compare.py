@@ -91,8 +91,9 @@ def compare_arms(hr_base: DataFrame, hr_upg: DataFrame, group_cols: Sequence[str
     ``interval_count_base`` / ``interval_count_upg`` (T11).
     """
     vals = ["interval_count", *R.PORTFOLIO_MEASURES]
-    base = hr_base.drop(arm_col).withColumnsRenamed({v: v + BASE_SUFFIX for v in vals})
-    upg = (hr_upg.drop(arm_col, R.TIME_HR, *R.WALL)
+    # The arm and its label (``type``) are not carried into the wide form
+    base = hr_base.drop(arm_col, "type").withColumnsRenamed({v: v + BASE_SUFFIX for v in vals})
+    upg = (hr_upg.drop(arm_col, "type", R.TIME_HR, *R.WALL)
                  .withColumnsRenamed({v: v + UPG_SUFFIX for v in vals}))
     joined = base.join(upg, [*group_cols, R.HOUR_UTC], "left")
     return add_savings(joined).select(*_compare_columns(group_cols))

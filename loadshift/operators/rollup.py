@@ -208,28 +208,36 @@ def merge_portfolio_sums(partials: DataFrame, group_cols: Sequence[str] = (), ar
 
 
 def finish_portfolio(sums: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZONE, arm_col: str = "upgrade",
-                     group_cols: Sequence[str] = ()) -> DataFrame:
-    """D9 output from (merged) sums: MWh averaged over N, loads as kBtu sums, wall clock."""
+                     group_cols: Sequence[str] = (), arm_labels: dict[int, str] | None = None) -> DataFrame:
+    """D9 output from (merged) sums: MWh averaged over N, loads as kBtu sums, wall clock.
+    ``arm_labels`` adds the reference's ``type`` column (e.g. 0 -> "Baseline")."""
     measures = [Measure(name, F.lit(None), scaled) for name, scaled in PORTFOLIO_SCALED]
     sums, n = _attach_n(sums, n_buildings, group_cols)
     local = TC.to_local(F.col(HOUR_UTC), zone)
     fin = _finish_portfolio(measures, n, "", F.lit(True), "_n", "_s_")
-    return sums.select(*group_cols, arm_col, local.alias(TIME_HR), HOUR_UTC,
+    label = []
+    if arm_labels:
+        t = None
+        for a, lab in arm_labels.items():
+            t = F.when(F.col(arm_col) == a, F.lit(lab)) if t is None else t.when(F.col(arm_col) == a, F.lit(lab))
+        label = [t.alias("type")]
+    return sums.select(*group_cols, arm_col, *label, local.alias(TIME_HR), HOUR_UTC,
                        *[c.alias(k) for k, c in TC.wall_parts(local).items()],
                        *[c.alias(k) for k, c in fin.items()])
 
 
 def hourly_portfolio(readings: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZONE,
-                     arm_col: str = "upgrade", group_cols: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
+                     arm_col: str = "upgrade", group_cols: Sequence[str] = (), ts: str = "timestamp",
+                     arm_labels: dict[int, str] | None = None) -> DataFrame:
     """Per (arm, hour instant): interval count and the seven measures, energy as
     MWh averaged over ``n_buildings`` (int, scalar Column, or a DataFrame of
     group_cols + ``n_buildings``).
 
-    Output: *group_cols, arm, time_hr, hour_utc, year, month, day, hour,
+    Output: *group_cols, arm, [type], time_hr, hour_utc, year, month, day, hour,
     interval_count, 7 measures. Both instants of the fall-back hour are kept.
     """
     sums = portfolio_sums(readings, group_cols, arm_col, ts)
-    return finish_portfolio(sums, n_buildings, zone, arm_col, group_cols)
+    return finish_portfolio(sums, n_buildings, zone, arm_col, group_cols, arm_labels)
 
 
 # ---------------------------------------------------------------------------
@@ -273,13 +281,13 @@ def hour_cube(readings: DataFrame, group_cols: Sequence[str] = (), arm_col: str
 
 
 def portfolio_from_cube(cube: DataFrame, n_buildings, zone: str = TC.DEFAULT_ZONE, arm_col: str = "upgrade",
-                        group_cols: Sequence[str] = ()) -> DataFrame:
+                        group_cols: Sequence[str] = (), arm_labels: dict[int, str] | None = None) -> DataFrame:
     """D9 from the cube: per (groups, arm, hour) the sums over buildings (the cube is
     ~8,760 x arms rows per building, so the partial aggregate collapses it per task)."""
     names = [name for name, _ in PORTFOLIO_SCALED]
     sums = cube.groupBy(*group_cols, arm_col, HOUR_UTC).agg(
         F.sum("_n").alias("_n"), *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in names])
-    return finish_portfolio(sums, n_buildings, zone, arm_col, group_cols)
+    return finish_portfolio(sums, n_buildings, zone, arm_col, group_cols, arm_labels)
 
 
 def building_hours_from_cube(cube: DataFrame, arm: int, prefix: str, zone: str = TC.DEFAULT_ZONE,

@@ -30,8 +30,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import (REFERENCE_SCENARIO_LABELS, REFERENCE_SCENARIOS, JobParams, Scenario, load_scenarios,
-                      max_sample_size, scenario_labels, scenario_table, total_sample_bound)
+from ..config import (REFERENCE_SCENARIO_LABELS, REFERENCE_SCENARIOS, JobParams, Scenario, arm_labels,
+                      load_scenarios, max_sample_size, scenario_labels, scenario_table, total_sample_bound)
 from ..functions import timecols as TC
 from ..operators import compare as CMP
 from ..operators import joins as J
@@ -88,7 +88,8 @@ def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: Data
     bhc = IO.checkpoint_table(bhc, _out(out_dir, "_work", "peak_hours"))
     # lazy extras, as the reference returns them: the sampled series and the per-arm hourly tables
     out = {"combined_8760": cmp_df, "series": per_scn,
-           "hourly_portfolio": R.hourly_portfolio(per_scn, n, params.timezone, group_cols=(SCN,))}
+           "hourly_portfolio": R.hourly_portfolio(per_scn, n, params.timezone, group_cols=(SCN,),
+                                                  arm_labels=arm_labels(*arms))}
     for season, hour in (("summer", params.summer_peak_hour), ("winter", params.winter_peak_hour)):
         sl = CMP.slice_with_attributes(base_meta, upg_meta, CMP.peak_hour_slice(bhc, hour),
                                        total_sample_bound(scenarios)).withColumnRenamed(SCN, "scenario")

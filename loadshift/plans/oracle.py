@@ -72,7 +72,8 @@ FROM rh {arm_filter} GROUP BY {grp}"""
 
 HOURLY_PORTFOLIO = f"""
 WITH {READINGS_CTE}
-SELECT upgrade, time_hr, hour_utc, year, month, day, hour, interval_count,
+SELECT upgrade, CASE upgrade WHEN 0 THEN 'Baseline' WHEN 1 THEN 'Upgrade' END AS type,
+  time_hr, hour_utc, year, month, day, hour, interval_count,
   {', '.join(rnd(m, m) for m in R.PORTFOLIO_MEASURES)}
 FROM ({_portfolio_sql('', True)}) p
 """

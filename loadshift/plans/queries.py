@@ -77,13 +77,13 @@ def _onepass(spark, sf_dir) -> DataFrame:
 
 def hourly_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     rd = V.readings(spark, sf_dir)
-    return finalize(R.hourly_portfolio(rd, _n_requested(rd), ZONE))
+    return finalize(R.hourly_portfolio(rd, _n_requested(rd), ZONE, arm_labels=V.DRIVER_ARM_LABELS))
 
 
 def compare_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
     rd = V.readings(spark, sf_dir)
     n = _n_requested(rd)
-    hr = lambda arm: R.hourly_portfolio(rd.where(F.col("upgrade") == arm), n, ZONE)
+    hr = lambda arm: R.hourly_portfolio(rd.where(F.col("upgrade") == arm), n, ZONE, arm_labels=V.DRIVER_ARM_LABELS)
     return finalize(CMP.compare_arms(hr(BASE), hr(UPG)))
 
 
@@ -104,7 +104,7 @@ def hourly_by_building_upgrade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def portfolio_from_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D9 derived from the shared hour cube (same result as ``hourly_portfolio``)."""
     rd = V.readings(spark, sf_dir)
-    return finalize(R.portfolio_from_cube(R.hour_cube(rd), _n_requested(rd), ZONE))
+    return finalize(R.portfolio_from_cube(R.hour_cube(rd), _n_requested(rd), ZONE, arm_labels=V.DRIVER_ARM_LABELS))
 
 
 def building_hours_from_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +176,8 @@ def hourly_portfolio_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = ST.start_partials(V.readings_stream(spark, sf_dir), f"{base}/partials", f"{base}/checkpoint")
     q.awaitTermination()
     rd = V.readings(spark, sf_dir)
-    return finalize(ST.read_portfolio(spark, f"{base}/partials", _n_requested(rd), ZONE))
+    return finalize(ST.read_portfolio(spark, f"{base}/partials", _n_requested(rd), ZONE,
+                                      arm_labels=V.DRIVER_ARM_LABELS))
 
 
 def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Scenario
+from ..config import Scenario, arm_labels
 
 # Fixed values of the re-aim: event types feeding each series measure.
 READING_MEASURES: dict[str, tuple[str, ...]] = {
@@ -35,6 +35,7 @@ FUEL_OIL_MIN_VALUE = 300.0
 
 DRIVER_BASELINE_ARM = 0
 DRIVER_UPGRADE_ARM = 1
+DRIVER_ARM_LABELS = arm_labels(DRIVER_BASELINE_ARM, DRIVER_UPGRADE_ARM)
 # Peak constants for the driver data (events span 2024-01-01 .. 2024-01-30).
 DRIVER_PEAK_DAY = "2024-01-15"
 DRIVER_PEAK_HOUR = "2024-01-15 16:00:00"

@@ -43,11 +43,12 @@ def start_partials(readings: DataFrame, out_path: str, checkpoint: str, group_co
 
 
 def read_portfolio(spark: SparkSession, out_path: str, n_buildings, zone: str = TC.DEFAULT_ZONE,
-                   group_cols: Sequence[str] = (), arm_col: str = "upgrade") -> DataFrame:
+                   group_cols: Sequence[str] = (), arm_col: str = "upgrade",
+                   arm_labels: dict[int, str] | None = None) -> DataFrame:
     """Merge the partials written so far and finish them into the D9 table."""
     partials = spark.read.parquet(out_path)
     merged = R.merge_portfolio_sums(partials.drop("batch_id"), group_cols, arm_col)
-    return R.finish_portfolio(merged, n_buildings, zone, arm_col, group_cols)
+    return R.finish_portfolio(merged, n_buildings, zone, arm_col, group_cols, arm_labels)
 
 
 def start_closed_hours(readings: DataFrame, out_path: str, checkpoint: str, lateness: str = "2 hours",

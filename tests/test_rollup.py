@@ -129,3 +129,11 @@ def test_cube_derivations_equal_direct_rollups(spark, series):
     b2 = R.hourly_by_building(series.where("upgrade = 5"), "upgrade", ZONE)
     rb = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(b2.columns).collect())
     assert rb(b1) == rb(b2)
+
+
+def test_type_labels_and_compare_drops_them(series):
+    labels = {0: "Baseline", 5: "Upgrade"}
+    p = R.hourly_portfolio(series, 3, ZONE, arm_labels=labels)
+    assert {(r.upgrade, r.type) for r in p.select("upgrade", "type").distinct().collect()} == {(0, "Baseline"), (5, "Upgrade")}
+    c = CMP.compare_arms(p.where("upgrade = 0"), p.where("upgrade = 5"))
+    assert "type" not in c.columns and "upgrade" not in c.columns
