@@ -76,11 +76,13 @@ def _onepass(spark, sf_dir) -> DataFrame:
 # ---- time-series family ------------------------------------------------------
 
 def hourly_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both arms, per hour instant; MWh averaged over the requested buildings."""
     rd = V.readings(spark, sf_dir)
     return finalize(R.hourly_portfolio(rd, _n_requested(rd), ZONE, arm_labels=V.DRIVER_ARM_LABELS))
 
 
 def compare_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D11 in the reference's shape: two per-arm hourly tables joined on the hour."""
     rd = V.readings(spark, sf_dir)
     n = _n_requested(rd)
     hr = lambda arm: R.hourly_portfolio(rd.where(F.col("upgrade") == arm), n, ZONE, arm_labels=V.DRIVER_ARM_LABELS)
@@ -88,15 +90,18 @@ def compare_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_arms_onepass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D11 from one scan and one aggregation (conditional sums per arm)."""
     return finalize(_onepass(spark, sf_dir))
 
 
 def hourly_by_building(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 for the baseline arm: per building and wall-clock hour, prefix ``baseline``."""
     rd = V.readings(spark, sf_dir).where(F.col("upgrade") == BASE)
     return finalize(R.hourly_by_building(rd, "baseline", ZONE))
 
 
 def hourly_by_building_upgrade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 for the upgrade arm, prefix ``upgrade``."""
     rd = V.readings(spark, sf_dir).where(F.col("upgrade") == UPG)
     return finalize(R.hourly_by_building(rd, "upgrade", ZONE))
 
@@ -114,11 +119,13 @@ def building_hours_from_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def building_hour_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D12 in one pass: per building and wall-clock hour, baseline LEFT JOIN upgrade."""
     rd = V.readings(spark, sf_dir)
     return finalize(CMP.building_hour_compare(rd, BASE, UPG, ZONE))
 
 
 def building_hour_compare_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D12 in the reference's shape: two per-arm building tables joined."""
     rd = V.readings(spark, sf_dir)
     b1 = R.hourly_by_building(rd.where(F.col("upgrade") == BASE), "baseline", ZONE)
     u1 = R.hourly_by_building(rd.where(F.col("upgrade") == UPG), "upgrade", ZONE)
@@ -126,10 +133,12 @@ def building_hour_compare_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def building_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Selected metadata, upgrade heating size, conditioned area."""
     return finalize(CMP.building_attributes(V.baseline_metadata(spark, sf_dir), V.upgrade_metadata(spark, sf_dir)))
 
 
 def peak_hour_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One wall-clock hour per building, enriched with its attributes."""
     rd = V.readings(spark, sf_dir)
     bhc = CMP.building_hour_compare(rd, BASE, UPG, ZONE, only_local_hours=[V.DRIVER_PEAK_HOUR])
     sl = CMP.peak_hour_slice(bhc, V.DRIVER_PEAK_HOUR)
@@ -137,19 +146,23 @@ def peak_hour_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def annual_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annual totals per arm label and end use."""
     return finalize(REP.annual_energy(_onepass(spark, sf_dir)))
 
 
 def peak_day_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cooling profile of one local day, kW per building."""
     return finalize(REP.peak_day_profile(_onepass(spark, sf_dir), V.DRIVER_PEAK_DAY, "cooling"))
 
 
 def peak_day_profile_heating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The heating profile of one local day, kW per building."""
     day = V.DRIVER_WINTER_PEAK_HOUR[:10]
     return finalize(REP.peak_day_profile(_onepass(spark, sf_dir), day, "heating"))
 
 
 def profile_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The peak-day profile in labelled long form."""
     prof = REP.peak_day_profile(_onepass(spark, sf_dir), V.DRIVER_PEAK_DAY, "cooling")
     return finalize(REP.profile_long(prof, "cooling"))
 
@@ -206,20 +219,24 @@ POOL_COLUMNS = ("scenario", "bldg_id", "tons", "nonthermal_electricity_kwh", "up
 
 
 def prep_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 with the default building-type and ducts filters."""
     d = V.DRIVER_SCENARIOS[0]
     df = SMP.prep_baseline(V.baseline_metadata(spark, sf_dir), d.building_type, d.ducts_required)
     return finalize(df.select(*PREP_COLUMNS))
 
 
 def eligible_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eligible buildings of every scenario in one pass."""
     return finalize(_pool(spark, sf_dir).select(*POOL_COLUMNS))
 
 
 def scenario_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash-ordered sample of every scenario."""
     return finalize(_sample(spark, sf_dir).select(*POOL_COLUMNS))
 
 
 def sample_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eleven statistics per scenario sample."""
     return finalize(SMP.sample_summary(_sample(spark, sf_dir)))
 
 

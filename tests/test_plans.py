@@ -71,3 +71,11 @@ def test_fall_back_merge_reuses_the_cube_shuffle(spark, fixture_dir):
     while "Exchange" not in lines[i]:
         assert "convert_timezone" not in lines[i]
         i -= 1
+
+
+def test_onepass_has_no_join_and_slice_is_broadcast(spark):
+    from loadshift.plans.inspect import plan_summary
+    s = plan_summary(Q.QUERIES["compare_arms_onepass"](spark, "/root/testdata/sf0.01"))
+    assert s["broadcast_joins"] == s["sort_merge_joins"] == s["shuffled_hash_joins"] == s["nested_loop_joins"] == 0
+    s = plan_summary(Q.QUERIES["peak_hour_slice"](spark, "/root/testdata/sf0.01"))
+    assert s["broadcast_joins"] >= 1 and s["sort_merge_joins"] == 0 and s["nested_loop_joins"] == 0
