@@ -50,6 +50,9 @@ def main() -> None:
     for name in names:
         best = None
         for _ in range(repeats):
+            # collect garbage between queries (untimed), so one query's garbage is not
+            # charged to the next
+            spark.sparkContext._jvm.System.gc()
             before = len(tracker.getJobIdsForGroup(None))
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
