@@ -183,12 +183,17 @@ def local_hour_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_portfolio_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D9 through Structured Streaming: per-batch partial sums written exactly once,
-    merged and finished on read. Same result as ``hourly_portfolio``."""
+    """D9 through Structured Streaming: the readings derived from ``events`` are
+    written as a series dataset and streamed back one file per micro-batch; each
+    batch writes its partial sums exactly once, and the partials are merged and
+    finished on read. Same result as ``hourly_portfolio``."""
     base = IO.scratch_dir(spark, "hourly_stream")
-    q = ST.start_partials(V.readings_stream(spark, sf_dir), f"{base}/partials", f"{base}/checkpoint")
-    q.awaitTermination()
     rd = V.readings(spark, sf_dir)
+    IO.write_series(rd.withColumn("state", F.lit("VA")), f"{base}/series")
+    schema = spark.read.parquet(f"{base}/series").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/series")
+    q = ST.start_partials(stream, f"{base}/partials", f"{base}/checkpoint")
+    q.awaitTermination()
     return finalize(ST.read_portfolio(spark, f"{base}/partials", _n_requested(rd), ZONE,
                                       arm_labels=V.DRIVER_ARM_LABELS))
 
