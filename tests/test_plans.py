@@ -79,3 +79,12 @@ def test_onepass_has_no_join_and_slice_is_broadcast(spark):
     assert s["broadcast_joins"] == s["sort_merge_joins"] == s["shuffled_hash_joins"] == s["nested_loop_joins"] == 0
     s = plan_summary(Q.QUERIES["peak_hour_slice"](spark, "/root/testdata/sf0.01"))
     assert s["broadcast_joins"] >= 1 and s["sort_merge_joins"] == 0 and s["nested_loop_joins"] == 0
+
+
+def test_no_cross_or_nested_loop_joins_anywhere(spark):
+    """No query pairs rows without an equi-key (cartesian / nested-loop joins)."""
+    from loadshift.plans.inspect import plan_summary
+    for name, fn in Q.QUERIES.items():
+        s = plan_summary(fn(spark, SF))
+        assert s["nested_loop_joins"] == 0, name
+        assert s["python_udfs"] == 0, name
