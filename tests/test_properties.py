@@ -52,3 +52,27 @@ def test_building_sums_and_portfolio_identity(spark, rows):
     assert sum(r.total_electricity_mwh for r in p.collect()) * 1000 * 4 == pytest.approx(got, abs=1e-6)
     # row counts: one row per instant in the portfolio, wall-clock hours per building never exceed instants
     assert sum(r.interval_count for r in p.collect()) == len(raw)
+
+
+pool_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(1, 500)), min_size=0, max_size=80,
+                     unique_by=lambda t: (t[0], t[1]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pool_rows, st.integers(1, 12))
+def test_sample_is_subset_of_min_size_and_smallest_keys(spark, rows, n):
+    import hashlib
+    from loadshift.operators import sample as SMP
+    if not rows:
+        return
+    df = spark.createDataFrame([(s, b, n, 7) for s, b in rows], "scenario string, bldg_id int, sample_size int, seed int")
+    got = {}
+    for r in SMP.draw_sample(df, n).collect():
+        got.setdefault(r.scenario, set()).add(r.bldg_id)
+    pools = {}
+    for s_, b in rows:
+        pools.setdefault(s_, []).append(b)
+    for s_, ids in pools.items():
+        key = lambda b: (hashlib.md5(f"7-{b}".encode()).hexdigest(), b)
+        expect = set(sorted(ids, key=key)[:min(n, len(ids))])
+        assert got.get(s_, set()) == expect
