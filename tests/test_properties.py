@@ -76,3 +76,26 @@ def test_sample_is_subset_of_min_size_and_smallest_keys(spark, rows, n):
         key = lambda b: (hashlib.md5(f"7-{b}".encode()).hexdigest(), b)
         expect = set(sorted(ids, key=key)[:min(n, len(ids))])
         assert got.get(s_, set()) == expect
+
+
+nullable = st.one_of(st.none(), st.integers(-5, 5).map(float))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(nullable, nullable), min_size=1, max_size=20))
+def test_missing_value_rules_match_brute_force(spark, rows):
+    from pyspark.sql import functions as F
+    from loadshift.functions import semantics as S
+    df = spark.createDataFrame(rows, "a double, b double")
+    agg = df.agg(S.sum0("a").alias("s"), S.mean_strict("a").alias("ms"), S.mean_skipna("a").alias("mk")).collect()[0]
+    a = [x for x, _ in rows]
+    present = [x for x in a if x is not None]
+    assert agg.s == sum(present)                                             # all-NULL -> 0
+    assert agg.ms == (None if len(present) < len(a) else sum(a) / len(a))    # NULL if any NULL
+    assert agg.mk == (sum(present) / len(present) if present else None)
+    out = df.select(S.pmax_strict("a", "b").alias("p"), S.row_sum(["a", "b"]).alias("r"),
+                    S.safe_ratio("a", "b").alias("q")).collect()
+    for (x, y), r in zip(rows, out):
+        assert r.p == (None if x is None or y is None else max(x, y))
+        assert r.r == (x or 0.0) + (y or 0.0)
+        assert r.q == (0.0 if y == 0 else (None if x is None or y is None else x / y))
