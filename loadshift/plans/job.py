@@ -64,12 +64,14 @@ def select_samples(spark: SparkSession, base_meta: DataFrame, upg_meta: DataFram
 
 def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: DataFrame, upg_meta: DataFrame,
                          series_root: str, out_dir: str, params: JobParams,
-                         scenarios: Sequence[Scenario] = REFERENCE_SCENARIOS) -> dict[str, DataFrame]:
-    """Stages 2-3: hourly comparison per scenario and the two peak-hour slices."""
+                         scenarios: Sequence[Scenario] = REFERENCE_SCENARIOS,
+                         series_schema=None) -> dict[str, DataFrame]:
+    """Stages 2-3: hourly comparison per scenario and the two peak-hour slices.
+    ``series_schema`` (DDL or StructType) skips reading footers to find the schema."""
     arms = (params.upgrade_baseline, params.upgrade_gshp)
     ids = sample.select(F.col("scenario").alias(SCN), "bldg_id")
     series = IO.read_series(spark, series_root, arms, params.state, ids=ids,
-                            max_literal_ids=params.max_literal_ids)
+                            max_literal_ids=params.max_literal_ids, schema=series_schema)
     n = ids.groupBy(SCN).agg(F.count_distinct("bldg_id").alias("n_buildings"))   # T16: requested ids
     # scenario membership: at most sum(sample_size) rows, fixed by the config
     per_scn = series.join(J.broadcast_bounded(ids, total_sample_bound(scenarios)), "bldg_id", "inner")
@@ -132,7 +134,7 @@ def analyze_results(spark: SparkSession, out_dir: str, params: JobParams,
 
 def run(spark: SparkSession, baseline_csv: str, upgrade_csv: str, series_root: str, out_dir: str,
         params: JobParams = JobParams(), scenarios: Sequence[Scenario] = REFERENCE_SCENARIOS,
-        metadata_schema=None, upgrade_schema=None) -> dict[str, DataFrame]:
+        metadata_schema=None, upgrade_schema=None, series_schema=None) -> dict[str, DataFrame]:
     """The whole pipeline for every scenario; returns the written tables."""
     IO.require_paths(spark, baseline_csv, upgrade_csv, series_root)
     # parse each metadata CSV once; later stages read columnar parquet with pruning
@@ -141,7 +143,7 @@ def run(spark: SparkSession, baseline_csv: str, upgrade_csv: str, series_root: s
     upg = IO.checkpoint_table(IO.read_metadata(spark, upgrade_csv, upgrade_schema),
                               _out(out_dir, "_work", "upgrade_metadata"))
     sample = select_samples(spark, base, upg, out_dir, scenarios)
-    res = build_series_results(spark, sample, base, upg, series_root, out_dir, params, scenarios)
+    res = build_series_results(spark, sample, base, upg, series_root, out_dir, params, scenarios, series_schema)
     rep = analyze_results(spark, out_dir, params, scenarios, cmp=res["combined_8760"])
     return {"sample": sample, **res, **rep}
 
@@ -158,6 +160,8 @@ def main(argv=None) -> None:
     ap.add_argument("--sample-size", type=int, default=None)
     ap.add_argument("--scenarios", default="", help="comma-separated subset, e.g. scenario1,scenario4")
     ap.add_argument("--scenario-file", default=None, help="JSON list of scenarios (replaces the built-in five)")
+    ap.add_argument("--series-schema", default=None,
+                    help="DDL schema of the series files (incl. upgrade int, state string): no footer reads")
     ap.add_argument("--stage", choices=("all", "select", "series", "analyze"), default="all",
                     help="run one step; later steps read what earlier ones wrote")
     a = ap.parse_args(argv)
@@ -170,7 +174,7 @@ def main(argv=None) -> None:
         scen = tuple(replace(s, sample_size=a.sample_size) for s in scen)
     params = JobParams()
     if a.stage == "all":
-        run(spark, a.baseline, a.upgrade, a.series, a.out, params, scen)
+        run(spark, a.baseline, a.upgrade, a.series, a.out, params, scen, series_schema=a.series_schema)
         return
     IO.require_paths(spark, a.baseline, a.upgrade)
     base = IO.read_metadata(spark, a.baseline)
@@ -180,7 +184,7 @@ def main(argv=None) -> None:
     elif a.stage == "series":
         IO.require_paths(spark, _out(a.out, "_work", "sample"))
         sample = spark.read.parquet(_out(a.out, "_work", "sample"))
-        build_series_results(spark, sample, base, upg, a.series, a.out, params, scen)
+        build_series_results(spark, sample, base, upg, a.series, a.out, params, scen, a.series_schema)
     else:
         analyze_results(spark, a.out, params, scen)
 

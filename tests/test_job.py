@@ -104,3 +104,11 @@ def test_lazy_extras(result):
     b = {r.hour_utc: r.total_electricity_mwh_base for r in cmp.collect()}
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
     assert res["series"].select("scenario_name").distinct().count() >= 1
+
+
+def test_run_with_series_schema(spark, fixture_dir, out_dir):
+    res = job.run(spark, f"{fixture_dir}/baseline.csv", f"{fixture_dir}/upgrade.csv", f"{fixture_dir}/series",
+                  out_dir, JobParams(), REFERENCE_SCENARIOS, FX.META_SCHEMA, FX.UPGRADE_SCHEMA,
+                  series_schema=FX.SERIES_SCHEMA)
+    assert res["annual_energy_consumption"].count() == 15
+    assert res["summer_peak_hr"].where("scenario = 'scenario4'").count() == 3
