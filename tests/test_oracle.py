@@ -5,9 +5,8 @@ import pytest
 import oracle_harness as H
 from conftest import SF001
 import __spark_entry__ as E
-
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from loadshift.plans.oracle import ORACLE
+from loadshift.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
