@@ -3,6 +3,8 @@
 import re
 
 import __spark_entry__ as E
+from loadshift.plans.oracle import ORACLE
+from loadshift.plans.queries import QUERIES
 
 
 def test_entry_is_stable(spark):
@@ -11,7 +13,8 @@ def test_entry_is_stable(spark):
 
 
 def test_query_and_oracle_keys():
-    q, o = E.queries(), E.oracle_sql()
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
+    q, o = QUERIES, ORACLE
     assert set(q) == set(o) and len(q) >= 30
     for name in q:
         assert re.fullmatch(r"[a-z][a-z0-9_]*", name), name
