@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from .op3_quality import op3_quality_rules
+from .op4_warc import ORACLE_OP4, op4_warc
 from .op8_urls import ORACLE_OP8, op8_url_filters
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
+    "op4_warc": op4_warc,
     "op8_url_filters": op8_url_filters,
 }
 
+# Operators without an entry are checked against brute force in tests/llm.
 ORACLE = {
+    "op4_warc": ORACLE_OP4,
     "op8_url_filters": ORACLE_OP8,
 }
