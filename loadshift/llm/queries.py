@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .op10_langid import op10_language_id
 from .op3_quality import op3_quality_rules
 from .op4_warc import ORACLE_OP4, op4_warc
 from .op8_urls import ORACLE_OP8, op8_url_filters
@@ -10,6 +11,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op8_url_filters": op8_url_filters,
+    "op10_language_id": op10_language_id,
 }
 
 # Operators without an entry are checked against brute force in tests/llm.
