@@ -101,15 +101,53 @@ def _piece_spans(pieces: Column) -> Column:
         F.transform(blocks, lambda b, i: _block_spans(b, total(F.slice(sums, F.lit(1), i)))))))
 
 
+def _marked(text: Column, pattern: str) -> Column:
+    """The text cut into pieces; the matches are the odd ones."""
+    marked = F.regexp_replace(F.translate(text, MARK, MARK_STAND_IN), F.lit(pattern), F.lit(f"{MARK}$0{MARK}"))
+    return F.split(marked, MARK, -1)
+
+
 def find_spans(text: Column, pattern: str, only_if: Column) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` as an array of (start, end, value),
     code-point offsets, end exclusive. ``only_if`` is a cheap necessary condition; where it
     does not hold (or the text is null) the result is the empty array."""
-    marked = F.regexp_replace(F.translate(text, MARK, MARK_STAND_IN), F.lit(pattern), F.lit(f"{MARK}$0{MARK}"))
-    spans = let(F.split(marked, MARK, -1), _piece_spans)
+    spans = let(_marked(text, pattern), _piece_spans)
     return F.when(F.coalesce(only_if, F.lit(False)), spans).otherwise(F.array().cast(SPAN_TYPE))
 
 
+def find_contexts(text: Column, pattern: str, only_if: Column, reach: int) -> Column:
+    """The matches of :func:`find_spans` as (value, left, right): ``reach`` code points on
+    either side, without a word that the cut would break."""
+    def sides(p):
+        def one(i):
+            before, after = F.get(p, i - 1), F.get(p, i + 1)
+            left = F.when(F.length(before) > reach, F.regexp_replace(
+                F.substring(before, -reach, reach), r"^[^\s]+", "")).otherwise(before)
+            right = F.when(F.length(after) > reach, F.regexp_replace(
+                F.substring(after, 1, reach), r"[^\s]+$", "")).otherwise(after)
+            return F.struct(F.get(p, i).alias("value"), left.alias("left"), right.alias("right"))
+        odd = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: i % 2 == 1)
+        return F.transform(odd, one)
+
+    return F.when(F.coalesce(only_if, F.lit(False)), let(_marked(text, pattern), sides)).otherwise(
+        F.array().cast("array<struct<value:string,left:string,right:string>>"))
+
+
+def mask_spans(text: Column, spans: Column) -> Column:
+    """``text`` with every span (start, end, mask; by start) replaced by its mask; a span that
+    begins inside the one before is cut there."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def step(acc, s):
+        start, end = F.greatest(s["start"], acc["at"]), F.greatest(s["end"], acc["at"])
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], gap, F.when(end > start, s["mask"])
+                                                  .otherwise(F.lit(""))).alias("out"))
+
+    return F.aggregate(spans, zero, step, lambda acc: F.concat(
+        acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+
+
 def with_kind(spans: Column, kind: str, order: int) -> Column:
     return F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.lit(order).alias("kind_order"),

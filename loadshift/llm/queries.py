@@ -5,11 +5,13 @@ from __future__ import annotations
 from .op10_langid import op10_language_id
 from .op3_quality import op3_quality_rules
 from .op4_warc import ORACLE_OP4, op4_warc
+from .op6_secrets import op6_secret_scan
 from .op8_urls import ORACLE_OP8, op8_url_filters
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
+    "op6_secret_scan": op6_secret_scan,
     "op8_url_filters": op8_url_filters,
     "op10_language_id": op10_language_id,
 }
