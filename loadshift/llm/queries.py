@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .op1_pii import op1_pii
 from .op10_langid import op10_language_id
 from .op3_quality import op3_quality_rules
 from .op4_warc import ORACLE_OP4, op4_warc
@@ -9,6 +10,7 @@ from .op6_secrets import op6_secret_scan
 from .op8_urls import ORACLE_OP8, op8_url_filters
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op6_secret_scan": op6_secret_scan,
