@@ -6,6 +6,7 @@ from .op1_pii import op1_pii
 from .op10_langid import op10_language_id
 from .op3_quality import op3_quality_rules
 from .op4_warc import ORACLE_OP4, op4_warc
+from .op5_decontam import op5_decontamination
 from .op6_secrets import op6_secret_scan
 from .op8_urls import ORACLE_OP8, op8_url_filters
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
+    "op5_decontamination": op5_decontamination,
     "op6_secret_scan": op6_secret_scan,
     "op8_url_filters": op8_url_filters,
     "op10_language_id": op10_language_id,
