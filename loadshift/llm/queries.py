@@ -8,6 +8,7 @@ from .op3_quality import op3_quality_rules
 from .op4_warc import ORACLE_OP4, op4_warc
 from .op5_decontam import op5_decontamination
 from .op6_secrets import op6_secret_scan
+from .op7_jaccard import op7_jaccard_join
 from .op8_urls import ORACLE_OP8, op8_url_filters
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
     "op6_secret_scan": op6_secret_scan,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filters": op8_url_filters,
     "op10_language_id": op10_language_id,
 }
