@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .op1_pii import op1_pii
 from .op10_langid import op10_language_id
+from .op2_mixing import op2_mixing
 from .op3_quality import op3_quality_rules
 from .op4_warc import ORACLE_OP4, op4_warc
 from .op5_decontam import op5_decontamination
@@ -13,6 +14,7 @@ from .op8_urls import ORACLE_OP8, op8_url_filters
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
