@@ -11,6 +11,7 @@ from .op5_decontam import op5_decontamination
 from .op6_secrets import op6_secret_scan
 from .op7_jaccard import op7_jaccard_join
 from .op8_urls import ORACLE_OP8, op8_url_filters
+from .op9_quality import op9_quality_classifier
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filters": op8_url_filters,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
 }
 
