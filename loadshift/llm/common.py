@@ -62,6 +62,21 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], spread: Colum
     return left.join(small, keys, how) if small is not None else salted_join(left, right, keys, spread, how)
 
 
+def by_document(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str, how: str = "left") -> DataFrame:
+    """Documents (whole, as the struct ``row``, so that no column name can clash) joined to a
+    materialised table keyed by ``_id`` and ``_hash`` (of the text), distinct on them."""
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_own_id"),
+                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_own_hash"))
+    small = small_side(hits)
+    return keyed.join(small if small is not None else hits,
+                      F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")), how)
+
+
+def unpack(joined: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``row``, some of them changed."""
+    return joined.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in columns])
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, UPPER, LOWER)

@@ -168,12 +168,10 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     hits = C.materialise(find(docs, id_col, text_col).where(F.size("base") > 0).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), spans.alias("_spans"))
         .dropDuplicates(["_id", "_hash"]), "pii_hits")
-    small = C.small_side(hits)
-    text = F.col(text_col)
-    out = docs.join(small if small is not None else hits, F.col(id_col).eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_hash")), "left")
-    return out.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(
-        C.mask_spans(text, F.col("_spans")))).select(*docs.columns)
+    text = F.col("row").getField(text_col)
+    joined = C.by_document(docs, hits, id_col, text_col)
+    return C.unpack(joined, docs.columns, **{text_col: F.when(F.col("_spans").isNull(), text).otherwise(
+        C.mask_spans(text, F.col("_spans")))})
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,33 +60,31 @@ def block_sums(docs: DataFrame, target: MixTarget, id_col: str = "doc_id") -> Da
         F.sum(n_tokens(F.col("text"))).alias("tokens"), F.count(F.lit(1)).alias("docs"))
 
 
-def _curves(sources: DataFrame, exponents: list[float], budget: float) -> list[tuple[float, float]]:
-    """(entropy, largest repetition) of the weights at every exponent, in one aggregate over
-    the sources."""
-    log_p = F.log("share")
-    power = [F.exp(F.lit(t) * log_p) for t in exponents]
-    row = sources.agg(*[F.sum(p).alias(f"z{i}") for i, p in enumerate(power)],
-                      *[F.sum(p * log_p).alias(f"m{i}") for i, p in enumerate(power)],
-                      *[F.max(p / F.col("tokens")).alias(f"r{i}") for i, p in enumerate(power)]).first()
-    return [(math.log(row[f"z{i}"]) - t * row[f"m{i}"] / row[f"z{i}"], budget * row[f"r{i}"] / row[f"z{i}"])
-            for i, t in enumerate(exponents)]
+def _curves(sources: DataFrame, low: float, high: float, parts: int, budget: float) -> list[tuple[float, float]]:
+    """(entropy, largest repetition) of the weights at ``parts`` + 1 exponents from low to
+    high, in one aggregate over the sources."""
+    step = (high - low) / parts
+    t = F.lit(low) + F.col("k") * F.lit(step)
+    power = F.exp(t * F.log("share"))
+    rows = (sources.select("share", "tokens", F.explode(F.sequence(F.lit(0), F.lit(parts))).alias("k"))
+            .groupBy("k").agg(F.sum(power).alias("z"), F.sum(power * F.log("share")).alias("m"),
+                              F.max(power / F.col("tokens")).alias("r")).orderBy("k").collect())
+    return [(math.log(x.z) - (low + step * x.k) * x.m / x.z, budget * x.r / x.z) for x in rows]
 
 
 def _bisect(sources: DataFrame, budget: float, holds) -> tuple[float, float]:
     """The bracket (low, high) in [0, 1] in which ``holds(entropy, repetition)``, true for
     small exponents, becomes false. Each pass evaluates the points of PER_PASS halvings."""
     low, high = 0.0, 1.0
-    first, last = _curves(sources, [0.0, 1.0], budget)
+    first, last = _curves(sources, 0.0, 1.0, 1, budget)
     if not holds(*first):
         return 0.0, 0.0
     if holds(*last):
         return 1.0, 1.0
     for _ in range(HALVINGS // PER_PASS):
-        step = (high - low) / (1 << PER_PASS)
-        points = [low + step * k for k in range(1, 1 << PER_PASS)]
-        held = sum(holds(*c) for c in _curves(sources, points, budget))
-        ends = [low, *points, high]
-        low, high = ends[held], ends[held + 1]
+        parts = 1 << PER_PASS
+        held = sum(holds(*c) for c in _curves(sources, low, high, parts, budget)[1:-1])
+        low, high = (low + (high - low) * k / parts for k in (held, held + 1))
     return low, high
 
 
@@ -137,11 +135,12 @@ def mix(docs: DataFrame, target: MixTarget = MixTarget(), id_col: str = "doc_id"
     plan = C.materialise(schedule(C.materialise(block_sums(docs, target, id_col), "mix_blocks"), target), "mix_plan")
     # a null source meets its block by the same stand-in on both sides
     name = F.concat(F.when(F.col("source").isNull(), "?").otherwise("="), F.coalesce(F.col("source").cast("string"), F.lit("")))
-    keyed = docs.withColumn("_name", name).withColumn("_block", _block(target, F.col(id_col)))
-    when = plan.select(name.alias("_name"), F.col("block").alias("_block"), F.struct("epoch", "block", "position").alias("_at"))
-    out = C.keyed_join(keyed, when, ["_name", "_block"], F.col(id_col))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("_name"),
+                        _block(target, F.col(id_col)).alias("_block"), F.col(id_col).alias("_own_id"))
+    when = plan.select(name.alias("_name"), F.col("block").alias("_block"), "epoch", "block", "position")
+    out = C.keyed_join(keyed, when, ["_name", "_block"], F.col("_own_id"))
     columns = [c for c in docs.columns if c not in ("epoch", "block", "position")]
-    return out.select(*columns, "_at.epoch", "_at.block", "_at.position")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in columns], "epoch", "block", "position")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,9 +156,11 @@ def judge(docs: DataFrame, rules: LineRules = LineRules(), text_col: str = "text
 
 def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """The kept documents with their failing lines removed; the columns of ``docs``."""
-    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    out = judge(docs, rules, keep_columns=others).where("kept").withColumn("text", F.col("clean_text"))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    others = {c: f"_c{i}" for i, c in enumerate(docs.columns) if c not in ("text", "n_chars")}
+    plain = docs.select("text", *[F.col(f"`{c}`").alias(x) for c, x in others.items()])
+    out = judge(plain, rules, keep_columns=tuple(others.values())).where("kept")
+    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
+    return out.select(*[(F.col(others[c]) if c in others else new[c]).alias(c) for c in docs.columns])
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,9 +180,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without a benchmark window; the columns of ``docs``."""
     bad = C.materialise(find(docs, items).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
                         .distinct(), "bench_bad")
-    small = C.small_side(bad)
-    return docs.join(small if small is not None else bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash")), "left_anti")
+    return C.unpack(C.by_document(docs, bad, "doc_id", "text", "left_anti"), docs.columns)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,21 +128,18 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", repo_col: str = "doc_id", ow
     """``docs`` with the live secrets of ``text`` replaced by ``mask``; widely copied
     examples stay. Documents without a live secret pass unchanged and unshuffled."""
     hits = C.materialise(scan(docs, repo_col, owner_col).where(F.size("live") > 0)
-                         .select(F.col("repo").alias("_repo"), F.col("text_hash").alias("_hash"),
+                         .select(F.col("repo").alias("_id"), F.col("text_hash").alias("_hash"),
                                  F.transform("live", lambda s: F.struct(
                                      s["start"].alias("start"), s["end"].alias("end"), F.lit(mask).alias("mask")
                                  )).alias("_live"))
-                         .dropDuplicates(["_repo", "_hash"]), "secret_hits")
-    small = C.small_side(hits)
-    found = docs.join(small if small is not None else hits,
-                      F.col(repo_col).eqNullSafe(F.col("_repo"))
-                      & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash")), "left")
-    masked = C.mask_spans(F.col("text"), F.col("_live"))
-    out = found.withColumn("text", F.when(F.col("_live").isNull(), F.col("text")).otherwise(masked))
+                         .dropDuplicates(["_id", "_hash"]), "secret_hits")
+    joined = C.by_document(docs, hits, repo_col, "text")
+    text, none = F.col("row").getField("text"), F.col("_live").isNull()
+    changed = {"text": F.when(none, text).otherwise(C.mask_spans(text, F.col("_live")))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_live").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.when(none, F.col("row").getField("n_chars")).otherwise(
+            F.length(changed["text"]).cast("long"))
+    return C.unpack(joined, docs.columns, **changed)
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
