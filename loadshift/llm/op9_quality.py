@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -38,7 +38,7 @@ BUCKETS = 1 << 18                # hashed features; the model is 2 folds x 2 lab
 MIN_SUPPORT = 10                 # labelled documents with a feature
 MIN_Z = 5.0                      # standard deviations from the class shares
 MAX_FEATURES = 1000              # of a label, the clearest
-SAMPLE = 8_000                   # labelled documents on which the weights are fitted
+SAMPLE = 6_000                   # labelled documents on which the weights are fitted
 STEPS, RATE, RIDGE = 200, 0.05, 1e-4
 MAX_EVIDENCE = 8.0               # log-odds
 MIN_STRENGTH, MAX_STRENGTH = 1.0, 1000.0
@@ -101,18 +101,20 @@ def count_features(labelled: DataFrame) -> DataFrame:
     return parts.groupBy("fold", "label", "value", "bucket").agg(F.sum("n").alias("n"))
 
 
-def clear_features(counts: pd.DataFrame) -> np.ndarray:
-    """The buckets whose documents differ most clearly between a label's classes."""
-    n = np.zeros((2, BUCKETS + 1))
-    np.add.at(n, (counts["value"].to_numpy(), counts["bucket"].to_numpy()), counts["n"].to_numpy())
-    docs, n = n[:, -1], n[:, :-1]
-    if not docs.all():
-        return np.empty(0, np.int64)
-    share, total = docs[1] / docs.sum(), n.sum(0)
-    z = np.abs(n[1] - total * share) / np.sqrt(np.maximum(total * share * (1 - share), 1e-9))
-    z[total < MIN_SUPPORT] = 0
-    best = np.argsort(-z, kind="stable")[:MAX_FEATURES]
-    return np.sort(best[z[best] >= MIN_Z])
+def clear_features(counts: DataFrame) -> pd.DataFrame:
+    """(fold, label, bucket): of each fold and label the features whose documents differ most
+    clearly between the classes, at most MAX_FEATURES. ``counts`` has at most 2 folds x 2
+    labels x 2 classes x BUCKETS rows; only the chosen ones leave the executors."""
+    n = lambda v: F.sum(F.when(F.col("value") == v, F.col("n")).otherwise(0))
+    pair = counts.groupBy("fold", "label", "bucket").agg(n(0).alias("bad"), n(1).alias("good"))
+    docs = pair.where(F.col("bucket") == BUCKETS).where("bad > 0 AND good > 0").select(
+        "fold", "label", (F.col("good") / (F.col("good") + F.col("bad"))).alias("share"))
+    total = F.col("good") + F.col("bad")
+    z = F.abs(F.col("good") - total * F.col("share")) / F.sqrt(total * F.col("share") * (1 - F.col("share")))
+    best = Window.partitionBy("fold", "label").orderBy(F.desc("z"), "bucket")
+    return (pair.where((F.col("bucket") < BUCKETS) & (total >= MIN_SUPPORT)).join(F.broadcast(docs), ["fold", "label"])
+            .withColumn("z", z).where(F.col("z") >= MIN_Z).withColumn("rank", F.row_number().over(best))
+            .where(F.col("rank") <= MAX_FEATURES).select("fold", "label", "bucket").toPandas())
 
 
 def regression(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -131,31 +133,32 @@ def fit(labelled: DataFrame) -> np.ndarray:
     """fold x label x bucket: the log-odds weights learned from that fold, without the odds
     of its classes; the last bucket is the intercept. Features are chosen by their counts in
     all labelled documents, weights fitted on about SAMPLE of them."""
-    counts = count_features(labelled).toPandas()
-    chosen = {(part, x): clear_features(counts[(counts["fold"] == part) & (counts["label"] == x)])
-              for part in range(2) for x in LABELS}
-    some = np.unique(np.concatenate(list(chosen.values())))
-    share = min(1.0, SAMPLE / max(1, counts.loc[counts["bucket"] == BUCKETS, "n"].sum() / len(LABELS)))
+    counts = C.materialise(count_features(labelled), "quality_counts")
+    clear = clear_features(counts)
+    some = np.unique(clear["bucket"].to_numpy(np.int64))
+    n_docs = counts.where(F.col("bucket") == BUCKETS).agg(F.sum("n")).first()[0] or 0
+    share = min(1.0, SAMPLE * len(LABELS) / max(1, n_docs))
     sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            at = [np.searchsorted(some, np.intersect1d(features(t), some, assume_unique=True)) for t in b["text"]]
-            yield b[["fold", *LABELS]].assign(at=at)
-
-    rows = sample.select("fold", *LABELS, "text").mapInPandas(
-        run, "fold int, quality int, toxic int, at array<int>").toPandas()
-    x = np.zeros((len(rows), some.size), np.float32)
-    for i, at in enumerate(rows["at"]):
-        x[i, at] = 1
+            yield b[["fold", *LABELS]].assign(at=[np.intersect1d(features(t), some, assume_unique=True)
+                                                  .astype(np.int32).tobytes() for t in b["text"]])
+
+    rows = sample.select("fold", *LABELS, "text").mapInPandas(run, "fold int, quality int, toxic int, at binary").toPandas()
     model = np.zeros((2, len(LABELS), BUCKETS + 1), np.float32)
-    for (part, label), buckets in chosen.items():
-        own = ((rows["fold"] == part) & rows[label].notna()).to_numpy()
-        y = (rows[label][own].to_numpy(dtype=float) > 0).astype(float)
-        if buckets.size and 0 < y.sum() < y.size:
-            w = regression(x[np.ix_(own, np.searchsorted(some, buckets))], y)
-            model[part, LABELS.index(label), buckets] = w[:-1]
-            model[part, LABELS.index(label), -1] = w[-1] - np.log(y.mean() / (1 - y.mean()))
+    for (part, label), chosen in clear.groupby(["fold", "label"]):
+        buckets = np.sort(chosen["bucket"].to_numpy(np.int64))
+        own = rows[(rows["fold"] == part) & rows[label].notna()]
+        y = (own[label].to_numpy(dtype=float) > 0).astype(float)
+        if not 0 < y.sum() < y.size:
+            continue
+        x = np.zeros((len(own), buckets.size), np.float32)
+        for i, at in enumerate(own["at"]):
+            x[i] = np.isin(buckets, np.frombuffer(at, np.int32), assume_unique=True)
+        w = regression(x, y)
+        model[part, LABELS.index(label), buckets] = w[:-1]
+        model[part, LABELS.index(label), -1] = w[-1] - np.log(y.mean() / (1 - y.mean()))
     return model
 
 
