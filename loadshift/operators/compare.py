@@ -111,6 +111,26 @@ def portfolio_compare(readings: DataFrame, n_buildings, base_arm: int, upg_arm:
     rd = readings.where(F.col(arm_col).isin(base_arm, upg_arm))
     sums = R._arm_sums(rd, [*group_cols, TC.hour_utc(F.col(ts)).alias(R.HOUR_UTC)], measures, arm_col,
                        (base_arm, upg_arm))
+    return _finish_compare(sums, measures, n_buildings, base_arm, upg_arm, zone, group_cols)
+
+
+def portfolio_compare_from_cube(cube: DataFrame, n_buildings, base_arm: int, upg_arm: int,
+                                zone: str = TC.DEFAULT_ZONE, arm_col: str = "upgrade",
+                                group_cols: Sequence[str] = ()) -> DataFrame:
+    """:func:`portfolio_compare` from the hour cube (joined to its groups)."""
+    measures = [R.Measure(name, F.lit(None), scaled) for name, scaled in R.PORTFOLIO_SCALED]
+    aggs = []
+    for a in (base_arm, upg_arm):
+        hit = F.col(arm_col) == F.lit(a)
+        aggs.append(F.sum(F.when(hit, F.col("_n")).otherwise(0)).alias(f"_n_{a}"))
+        aggs += [F.sum(F.when(hit, F.col(f"_s_{m.name}"))).alias(f"_s_{a}_{m.name}") for m in measures]
+    return _finish_compare(cube.groupBy(*group_cols, R.HOUR_UTC).agg(*aggs), measures, n_buildings, base_arm, upg_arm,
+                           zone, group_cols)
+
+
+def _finish_compare(sums: DataFrame, measures, n_buildings, base_arm: int, upg_arm: int, zone: str,
+                    group_cols: Sequence[str]) -> DataFrame:
+    """The comparison's columns from the conditional sums of both arms."""
     sums, n = R._attach_n(sums, n_buildings, group_cols)
     has_upg = F.col(f"_n_{upg_arm}") > 0
     local = TC.to_local(F.col(R.HOUR_UTC), zone)

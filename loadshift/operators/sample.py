@@ -9,9 +9,8 @@ small DataFrame and every scenario is matched in one job:
   filters (NULL in the scenario table = no filter). The scenario table is a config
   object, so its size is known before the job runs.
 * the sample is a hash-ordered top-k per scenario: order by md5(seed-bldg_id), keep
-  the first ``sample_size``. It does not depend on partitioning or input order.
-  Catalyst runs it as a partial ``WindowGroupLimit`` before the shuffle, so every
-  map task sends at most k rows per scenario.
+  the first ``sample_size``. It does not depend on partitioning or input order. A histogram
+  of the hash keys cuts the pool before the shuffle (:func:`draw_sample`).
 """
 
 from __future__ import annotations
@@ -118,71 +117,39 @@ def sample_order_key(seed: Column, bldg_id: Column) -> Column:
     return F.md5(F.concat(seed.cast("string"), F.lit("-"), bldg_id.cast("string")))
 
 
-def empty_pool_check(scenarios: DataFrame, drawn: DataFrame) -> DataFrame:
-    """O3 guard, lazily: a zero-row frame that fails the job if any scenario's pool is empty.
+def empty_pools(scenarios: DataFrame, drawn: DataFrame) -> DataFrame:
+    """O3 guard: the scenarios without any eligible building (one row per configured scenario
+    at most). ``drawn`` is the pool or the sample drawn from it: with every sample size at
+    least one, a sample is empty exactly when its pool is."""
+    return scenarios.select("scenario").join(drawn.select("scenario").distinct(), "scenario", "left_anti").withColumn(
+        "cause", F.lit("No rows available after filtering"))
 
-    ``drawn`` is the pool or the sample drawn from it (with every sample size >= 1 a
-    sample is empty exactly when its pool is). The raise sits on top of an
-    aggregate (at most one row per configured scenario), so the optimizer cannot
-    push it below the anti-join."""
-    present = drawn.select("scenario").distinct()
-    missing = scenarios.select("scenario").join(present, "scenario", "left_anti")
-    agg = missing.agg(F.count(F.lit(1)).alias("_n_empty"),
-                      F.array_join(F.sort_array(F.collect_list("scenario")), ", ").alias("_empty"))
-    msg = F.concat(F.lit("No rows available after filtering: "), F.col("_empty"))
-    return agg.where(F.when(F.col("_n_empty") > 0, F.raise_error(msg)).isNotNull()) \
-              .select(F.lit(None).cast("string").alias("scenario"))
 
+# Buckets of the hash order: the first hex digits of the md5 key.
+BUCKET_HEX_DIGITS = 4
 
-# Hash buckets for the exact pre-cut of large samples: the first 4 hex digits of
-# the md5 key, 65,536 buckets per scenario.
-PRECUT_HEX_DIGITS = 4
 
+def draw_sample(pool: DataFrame) -> DataFrame:
+    """Per scenario, min(sample_size, pool size) buildings without replacement, the
+    smallest hash keys.
 
-def _group_limit_threshold(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-
-
-def precut_pool(pool: DataFrame) -> DataFrame:
-    """Exact reduction of the pool before the top-k for large sample sizes.
-
-    A histogram of the hash key's leading digits per scenario (at most 65,536 rows
-    each, whatever the pool size) gives the last bucket that the first
-    ``sample_size`` keys can reach; rows in later buckets cannot be sampled and are
-    dropped. What remains per scenario is at most ``sample_size`` plus one bucket.
-    ``pool`` must carry ``_key``.
-    """
-    p = pool.withColumn("_bucket", F.conv(F.substring("_key", 1, PRECUT_HEX_DIGITS), 16, 10).cast("int"))
+    A histogram of the key's leading digits (at most 65,536 rows per scenario, whatever the
+    pool) tells how many of each bucket are drawn; later buckets are dropped before the
+    shuffle, and the rest are ranked within their bucket. No task sorts a scenario, however
+    large its pool or its sample."""
+    key = sample_order_key(F.col("seed"), F.col("bldg_id"))
+    p = pool.withColumn("_key", key).withColumn(
+        "_bucket", F.conv(F.substring("_key", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int"))
     hist = p.groupBy("scenario", "sample_size", "_bucket").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("scenario").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-               .where(F.col("_before") < F.col("sample_size"))
-               .groupBy("scenario").agg(F.max("_bucket").alias("_last_bucket")))
-    # one row per configured scenario
-    return (p.join(F.broadcast(cut), "scenario", "inner")
-             .where(F.col("_bucket") <= F.col("_last_bucket")).drop("_bucket", "_last_bucket"))
-
-
-def draw_sample(pool: DataFrame, max_sample_size: int, scenarios: DataFrame | None = None) -> DataFrame:
-    """Per scenario, min(sample_size, pool size) buildings without replacement.
-
-    ``max_sample_size`` is the largest sample size in the scenario config; it is a
-    literal limit that lets Catalyst plan the partial top-k before the shuffle.
-    Above the optimizer's group-limit threshold the pool is first reduced exactly
-    (:func:`precut_pool`), so no task ever holds a whole scenario's pool.
-    With ``scenarios`` given, an empty pool raises when the result is computed.
-    """
-    keyed = pool.withColumn("_key", sample_order_key(F.col("seed"), F.col("bldg_id")))
-    if int(max_sample_size) > _group_limit_threshold(pool):
-        keyed = precut_pool(keyed)
-    w = Window.partitionBy("scenario").orderBy("_key", "bldg_id")
-    ranked = keyed.withColumn("_rank", F.row_number().over(w))
-    out = ranked.where(F.col("_rank") <= F.lit(int(max_sample_size))) \
-                .where(F.col("_rank") <= F.col("sample_size")).drop("_rank", "_key")
-    if scenarios is not None:
-        # checked on the sample itself: its rows come from the same shuffle (reused)
-        out = out.unionByName(empty_pool_check(scenarios, out).select("scenario"), allowMissingColumns=True)
-    return out
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy("scenario").orderBy("_bucket")
+                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    quota = (hist.withColumn("_quota", F.col("sample_size") - before).where(F.col("_quota") > 0)
+             .select(F.col("scenario").alias("_scenario"), F.col("_bucket").alias("_b"), "_quota"))
+    # the histogram has at most 65,536 narrow rows per configured scenario
+    kept = p.join(quota, (F.col("scenario") == F.col("_scenario")) & (F.col("_bucket") == F.col("_b")), "inner")
+    rank = F.row_number().over(Window.partitionBy("scenario", "_bucket").orderBy("_key", "bldg_id"))
+    return (kept.withColumn("_rank", rank).where(F.col("_rank") <= F.col("_quota"))
+            .drop("_rank", "_key", "_bucket", "_scenario", "_b", "_quota"))
 
 
 def sample_summary(sample: DataFrame, group_cols=("scenario",)) -> DataFrame:

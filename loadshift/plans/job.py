@@ -10,12 +10,13 @@ so a lost executor only recomputes inside one stage):
 1. metadata -> eligible pools (broadcast scenario table) -> hash-ordered sample
    -> ``bldg_ids/applicable_buildings`` (CSV) + ``bldg_ids/sample_average`` (CSV)
    + ``_work/sample`` (parquet, read back below).
-2. series of the sampled buildings only (file-name pruning; bounded by the
-   config's total sample size) x scenario membership (broadcast, same bound)
-   -> one-pass comparison per (scenario, hour) -> ``results/combined_8760``
-   (CSV + parquet).
-3. the same series filtered to the two peak hours -> per-building comparison
-   -> enriched with attributes -> ``results/all_buildings_{summer,winter}_peak_hr``.
+2. series of the sampled buildings only -> one hour cube per (arm, building, hour) with its
+   reading counts -> ``_work/hour_cube`` (parquet): the only scan of the readings. A building
+   and arm whose counted readings differ from its file's footer is dropped whole and listed in
+   ``results/failed_reads`` with the cause.
+3. from the cube: comparison per (scenario, hour) -> ``results/combined_8760`` (CSV + parquet);
+   building hours of both arms -> ``results/building_hours`` (parquet); the two peak hours with
+   attributes -> ``results/all_buildings_{summer,winter}_peak_hr``.
 4. reports from the written comparison: ``annual_energy_consumption``,
    ``summer_peak_day``, ``winter_peak_day`` and the failed-reads table.
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import (REFERENCE_SCENARIO_LABELS, REFERENCE_SCENARIOS, JobParams, Scenario, arm_labels,
-                      load_scenarios, max_sample_size, scenario_labels, scenario_table, total_sample_bound)
+                      load_scenarios, scenario_labels, scenario_table, total_sample_bound)
 from ..functions import timecols as TC
 from ..operators import compare as CMP
 from ..operators import joins as J
@@ -53,9 +54,14 @@ def select_samples(spark: SparkSession, base_meta: DataFrame, upg_meta: DataFram
     written sample (read back)."""
     scn = scenario_table(spark, scenarios)
     pool = SMP.eligible_pool(base_meta, upg_meta, scn)
-    sample = SMP.draw_sample(pool, max_sample_size(scenarios), scn)
-    sample = IO.checkpoint_table(sample, _out(out_dir, "_work", "sample"), partition_by=["scenario"])
-    IO.write_csv(sample.drop("sample_size", "seed").repartition("scenario"),
+    sample = IO.checkpoint_table(SMP.draw_sample(pool).hint("rebalance", "scenario"), _out(out_dir, "_work", "sample"),
+                                 partition_by=["scenario"])
+    # an empty pool stops its own scenario only; the others run on
+    empty = IO.checkpoint_table(SMP.empty_pools(scn, sample), _out(out_dir, "_work", "empty_pools"))
+    IO.write_csv(empty, _out(out_dir, "bldg_ids", "empty_pools"))
+    if not sample.select("scenario").limit(1).collect():
+        raise ValueError("No rows available after filtering: " + ", ".join(s.scenario for s in scenarios))
+    IO.write_csv(sample.drop("sample_size", "seed").hint("rebalance", "scenario"),
                  _out(out_dir, "bldg_ids", "applicable_buildings"), partition_by=["scenario"])
     IO.write_csv(SMP.sample_summary(sample).repartition("scenario"),
                  _out(out_dir, "bldg_ids", "sample_average"), partition_by=["scenario"])
@@ -65,43 +71,58 @@ def select_samples(spark: SparkSession, base_meta: DataFrame, upg_meta: DataFram
 def build_series_results(spark: SparkSession, sample: DataFrame, base_meta: DataFrame, upg_meta: DataFrame,
                          series_root: str, out_dir: str, params: JobParams,
                          scenarios: Sequence[Scenario] = REFERENCE_SCENARIOS,
-                         series_schema=None) -> dict[str, DataFrame]:
-    """Stages 2-3: hourly comparison per scenario and the two peak-hour slices.
+                         series_schema=None, layout: str = "source") -> dict[str, DataFrame]:
+    """Stages 2-3: hourly comparison per scenario, building hours and the two peak-hour slices.
     ``series_schema`` (DDL or StructType) skips reading footers to find the schema."""
     arms = (params.upgrade_baseline, params.upgrade_gshp)
+    bound = total_sample_bound(scenarios)
     ids = sample.select(F.col("scenario").alias(SCN), "bldg_id")
-    series = IO.read_series(spark, series_root, arms, params.state, ids=ids,
-                            max_literal_ids=params.max_literal_ids, schema=series_schema)
     n = ids.groupBy(SCN).agg(F.count_distinct("bldg_id").alias("n_buildings"))   # T16: requested ids
-    # scenario membership: at most sum(sample_size) rows, fixed by the config
-    per_scn = series.join(J.broadcast_bounded(ids, total_sample_bound(scenarios)), "bldg_id", "inner")
+    # the requested ids are bounded by the configuration (sum of sample sizes): a literal filter
+    wanted = sorted(r[0] for r in ids.select("bldg_id").distinct().collect())
+    series = IO.read_series(spark, series_root, arms, params.state, ids=wanted, schema=series_schema, layout=layout,
+                            check=False)
+    # one scan of the readings: everything below comes from the written cube
+    cube = IO.checkpoint_table(R.hour_cube(series), _out(out_dir, "_work", "hour_cube"))
+    read = cube.groupBy("bldg_id", "upgrade").agg(F.sum("_n").alias("n_read"))
+    if layout == "source":
+        status = IO.series_status(spark, series_root, arms, params.state, read, wanted, series_schema)
+        status = IO.checkpoint_table(status, _out(out_dir, "_work", "series_status"))
+        bad = status.where(F.col("cause").isNotNull()).select("bldg_id", "upgrade")
+        cube = cube.join(J.broadcast_bounded(bad, bound * len(arms)), ["bldg_id", "upgrade"], "left_anti")
+    else:
+        status = read.withColumn("cause", F.lit(None).cast("string"))
+    member = cube.join(J.broadcast_bounded(ids, bound), "bldg_id", "inner")
 
-    cmp = CMP.portfolio_compare(per_scn, n, params.upgrade_baseline, params.upgrade_gshp, params.timezone,
-                                group_cols=(SCN,))
+    cmp = CMP.portfolio_compare_from_cube(member, n, params.upgrade_baseline, params.upgrade_gshp, params.timezone,
+                                          group_cols=(SCN,))
     cmp_df = IO.checkpoint_table(cmp.withColumnRenamed(SCN, "scenario").repartition("scenario"),
                                  _out(out_dir, "_work", "combined_8760"), partition_by=["scenario"])
     IO.write_csv(cmp_df.repartition("scenario").sortWithinPartitions("hour_utc")
                        .withColumn("time_hr", TC.r_datetime_text(F.col("time_hr"))),
                  _out(out_dir, "results", "combined_8760"), partition_by=["scenario"])
 
-    peaks = (params.summer_peak_hour, params.winter_peak_hour)
-    bhc = CMP.building_hour_compare(per_scn, params.upgrade_baseline, params.upgrade_gshp, params.timezone,
-                                    group_cols=(SCN,), only_local_hours=peaks)
-    bhc = IO.checkpoint_table(bhc, _out(out_dir, "_work", "peak_hours"))
-    # lazy extras, as the reference returns them: the sampled series and the per-arm hourly tables
-    out = {"combined_8760": cmp_df, "series": per_scn,
-           "hourly_portfolio": R.hourly_portfolio(per_scn, n, params.timezone, group_cols=(SCN,),
-                                                  arm_labels=arm_labels(*arms))}
+    # building hours of both arms, once per building whatever the number of scenarios
+    hours = CMP.join_building_arms(*[R.building_hours_from_cube(cube, arm, name, params.timezone) for arm, name in
+                                     zip(arms, ("baseline", "upgrade"))])
+    hours = IO.checkpoint_table(hours, _out(out_dir, "results", "building_hours"))
+    out = {"combined_8760": cmp_df, "building_hours": hours,
+           "hourly_portfolio": R.portfolio_from_cube(member, n, params.timezone, group_cols=(SCN,),
+                                                     arm_labels=arm_labels(*arms))}
     for season, hour in (("summer", params.summer_peak_hour), ("winter", params.winter_peak_hour)):
-        sl = CMP.slice_with_attributes(base_meta, upg_meta, CMP.peak_hour_slice(bhc, hour),
-                                       total_sample_bound(scenarios)).withColumnRenamed(SCN, "scenario")
+        peak = CMP.peak_hour_slice(hours, hour).join(J.broadcast_bounded(ids, bound), "bldg_id", "inner")
+        sl = CMP.slice_with_attributes(base_meta, upg_meta, peak, bound).withColumnRenamed(SCN, "scenario")
         path = _out(out_dir, "results", f"all_buildings_{season}_peak_hr")
-        IO.write_csv(sl.repartition("scenario").withColumn("time_hour", TC.r_datetime_text(F.col("time_hour"))),
+        IO.write_csv(sl.hint("rebalance", "scenario").withColumn("time_hour", TC.r_datetime_text(F.col("time_hour"))),
                      path, partition_by=["scenario"])
         out[f"{season}_peak_hr"] = sl
-    status = IO.arm_load_status(ids, series, arms)
-    failed = status.where(~F.col("loaded")).withColumnRenamed(SCN, "scenario")
-    IO.write_csv(failed.repartition("scenario"), _out(out_dir, "results", "failed_reads"), partition_by=["scenario"])
+    arm_rows = F.explode(F.array(*[F.lit(a) for a in arms]))
+    asked = ids.withColumn("upgrade", arm_rows)
+    failed = (asked.join(J.broadcast_bounded(status.select("bldg_id", "upgrade", F.col("cause"), F.lit(True).alias("_found")),
+                                             bound * len(arms)), ["bldg_id", "upgrade"], "left")
+              .where(F.col("_found").isNull() | F.col("cause").isNotNull())
+              .select(F.col(SCN).alias("scenario"), "bldg_id", "upgrade", F.coalesce("cause", F.lit("no readings")).alias("cause")))
+    IO.write_csv(failed.hint("rebalance", "scenario"), _out(out_dir, "results", "failed_reads"), partition_by=["scenario"])
     out["failed_reads"] = failed
     return out
 
@@ -134,7 +155,7 @@ def analyze_results(spark: SparkSession, out_dir: str, params: JobParams,
 
 def run(spark: SparkSession, baseline_csv: str, upgrade_csv: str, series_root: str, out_dir: str,
         params: JobParams = JobParams(), scenarios: Sequence[Scenario] = REFERENCE_SCENARIOS,
-        metadata_schema=None, upgrade_schema=None, series_schema=None) -> dict[str, DataFrame]:
+        metadata_schema=None, upgrade_schema=None, series_schema=None, layout: str = "source") -> dict[str, DataFrame]:
     """The whole pipeline for every scenario; returns the written tables."""
     IO.require_paths(spark, baseline_csv, upgrade_csv, series_root)
     # parse each metadata CSV once; later stages read columnar parquet with pruning
@@ -143,7 +164,7 @@ def run(spark: SparkSession, baseline_csv: str, upgrade_csv: str, series_root: s
     upg = IO.checkpoint_table(IO.read_metadata(spark, upgrade_csv, upgrade_schema),
                               _out(out_dir, "_work", "upgrade_metadata"))
     sample = select_samples(spark, base, upg, out_dir, scenarios)
-    res = build_series_results(spark, sample, base, upg, series_root, out_dir, params, scenarios, series_schema)
+    res = build_series_results(spark, sample, base, upg, series_root, out_dir, params, scenarios, series_schema, layout)
     rep = analyze_results(spark, out_dir, params, scenarios, cmp=res["combined_8760"])
     return {"sample": sample, **res, **rep}
 
@@ -164,6 +185,15 @@ def main(argv=None) -> None:
                     help="DDL schema of the series files (incl. upgrade int, state string): no footer reads")
     ap.add_argument("--stage", choices=("all", "select", "series", "analyze"), default="all",
                     help="run one step; later steps read what earlier ones wrote")
+    ap.add_argument("--series-layout", choices=("source", "table"), default="source",
+                    help="one file per building and arm, or the table layout")
+    ap.add_argument("--metadata-schema", default=None, help="DDL schema of the baseline CSV (no inference)")
+    ap.add_argument("--upgrade-schema", default=None, help="DDL schema of the upgrade CSV (no inference)")
+    ap.add_argument("--seed", type=int, default=None, help="seed of every scenario's draw")
+    fixed = JobParams()
+    for name, kind in (("state", str), ("timezone", str), ("upgrade_baseline", int), ("upgrade_gshp", int),
+                       ("summer_peak_day", str), ("summer_peak_hour", str), ("winter_peak_day", str), ("winter_peak_hour", str)):
+        ap.add_argument("--" + name.replace("_", "-"), type=kind, default=getattr(fixed, name))
     a = ap.parse_args(argv)
     spark = get_session(cluster=True)
     scen = load_scenarios(a.scenario_file) if a.scenario_file else REFERENCE_SCENARIOS
@@ -172,19 +202,24 @@ def main(argv=None) -> None:
         scen = tuple(s for s in scen if s.scenario in wanted)
     if a.sample_size:
         scen = tuple(replace(s, sample_size=a.sample_size) for s in scen)
-    params = JobParams()
+    if a.seed is not None:
+        scen = tuple(replace(s, seed=a.seed) for s in scen)
+    params = replace(fixed, state=a.state, timezone=a.timezone, upgrade_baseline=a.upgrade_baseline,
+                     upgrade_gshp=a.upgrade_gshp, summer_peak_day=a.summer_peak_day, summer_peak_hour=a.summer_peak_hour,
+                     winter_peak_day=a.winter_peak_day, winter_peak_hour=a.winter_peak_hour)
     if a.stage == "all":
-        run(spark, a.baseline, a.upgrade, a.series, a.out, params, scen, series_schema=a.series_schema)
+        run(spark, a.baseline, a.upgrade, a.series, a.out, params, scen, a.metadata_schema, a.upgrade_schema, a.series_schema,
+            a.series_layout)
         return
     IO.require_paths(spark, a.baseline, a.upgrade)
-    base = IO.read_metadata(spark, a.baseline)
-    upg = IO.read_metadata(spark, a.upgrade)
+    base = IO.read_metadata(spark, a.baseline, a.metadata_schema)
+    upg = IO.read_metadata(spark, a.upgrade, a.upgrade_schema)
     if a.stage == "select":
         select_samples(spark, base, upg, a.out, scen)
     elif a.stage == "series":
         IO.require_paths(spark, _out(a.out, "_work", "sample"))
         sample = spark.read.parquet(_out(a.out, "_work", "sample"))
-        build_series_results(spark, sample, base, upg, a.series, a.out, params, scen, a.series_schema)
+        build_series_results(spark, sample, base, upg, a.series, a.out, params, scen, a.series_schema, a.series_layout)
     else:
         analyze_results(spark, a.out, params, scen)
 

@@ -12,9 +12,7 @@ from ..operators import compare as CMP
 from ..operators import rollup as R
 from ..sources import driver_views as V
 
-D = 6  # rounding digits, as in plans.queries.ROUND_DIGITS
-# Every rounded value is first multiplied by 1 + 1e-11, as in plans.queries.finalize,
-# so that exact rounding ties go the same way in both engines.
+D = 7  # rounding digits, as in plans.queries.ROUND_DIGITS
 ZONE = "America/New_York"
 
 READINGS_CTE = """
@@ -36,10 +34,16 @@ readings AS (
 rh AS (
   SELECT *, date_trunc('hour', ts + INTERVAL 5 HOUR - INTERVAL 5 MINUTE) AS hour_utc FROM readings
 ),
-nreq AS (SELECT CAST(count(DISTINCT bldg_id) AS DOUBLE) AS n FROM readings)
+nreq AS (SELECT CAST(count(DISTINCT c_custkey) AS DOUBLE) AS n FROM customer)
 """
 
 
+def shifted(sql: str) -> str:
+    """The same query over readings moved across the autumn clock change."""
+    return sql.replace("event_id % 2 AS INTEGER) AS upgrade, ts AS ts",
+                       f"event_id % 2 AS INTEGER) AS upgrade, ts + INTERVAL {V.DRIVER_AUTUMN_SHIFT_DAYS} DAY AS ts")
+
+
 def local(expr: str) -> str:
     return f"timezone('{ZONE}', timezone('UTC', {expr}))"
 
@@ -50,7 +54,7 @@ def wall(expr: str) -> str:
 
 
 def rnd(expr: str, name: str) -> str:
-    return f"round(({expr}) * CAST(1.00000000001 AS DOUBLE), {D}) AS {name}"
+    return f"round(({expr}), {D}) AS {name}"
 
 
 # portfolio sums per hour instant, for one arm (or all rows when arm is None)
@@ -272,10 +276,10 @@ t AS (
     coalesce(sum(gas_heating_mwh_upg), 0) AS gh_u
   FROM k
 )
-SELECT 'Baseline' AS scenario, round((eh_b) * CAST(1.00000000001 AS DOUBLE), {D}) AS elec_heating_mwh, round((ec_b) * CAST(1.00000000001 AS DOUBLE), {D}) AS elec_cooling_mwh,
-  round((gh_b) * CAST(1.00000000001 AS DOUBLE), {D}) AS gas_heating_mwh FROM t
-UNION ALL SELECT 'Baseline (Scaled Up)', round((eh_s) * CAST(1.00000000001 AS DOUBLE), {D}), round((ec_s) * CAST(1.00000000001 AS DOUBLE), {D}), round((gh_s) * CAST(1.00000000001 AS DOUBLE), {D}) FROM t
-UNION ALL SELECT 'Upgrade', round((eh_u) * CAST(1.00000000001 AS DOUBLE), {D}), round((ec_u) * CAST(1.00000000001 AS DOUBLE), {D}), round((gh_u) * CAST(1.00000000001 AS DOUBLE), {D}) FROM t
+SELECT 'Baseline' AS scenario, round((eh_b), {D}) AS elec_heating_mwh, round((ec_b), {D}) AS elec_cooling_mwh,
+  round((gh_b), {D}) AS gas_heating_mwh FROM t
+UNION ALL SELECT 'Baseline (Scaled Up)', round((eh_s), {D}), round((ec_s), {D}), round((gh_s), {D}) FROM t
+UNION ALL SELECT 'Upgrade', round((eh_u), {D}), round((ec_u), {D}), round((gh_u), {D}) FROM t
 """
 
 
@@ -284,8 +288,8 @@ def _peak_day(day: str, kind: str) -> str:
            "heating": ("all_heating_electricity_mwh_base", "all_heating_electricity_mwh_upg", "heating_mwh_scaled")}[kind]
     return f"""
 WITH {READINGS_CTE}, {_compare_cte()}
-SELECT time_hr, round(({src[0]} * 1000) * CAST(1.00000000001 AS DOUBLE), {D}) AS {kind}_kw_base, round(({src[1]} * 1000) * CAST(1.00000000001 AS DOUBLE), {D}) AS {kind}_kw_upg,
-  round(({src[2]} * 1000) * CAST(1.00000000001 AS DOUBLE), {D}) AS {kind}_kw_scaled
+SELECT time_hr, round(({src[0]} * 1000), {D}) AS {kind}_kw_base, round(({src[1]} * 1000), {D}) AS {kind}_kw_upg,
+  round(({src[2]} * 1000), {D}) AS {kind}_kw_scaled
 FROM k WHERE CAST(time_hr AS DATE) = DATE '{day}'
 """
 
@@ -294,9 +298,9 @@ PROFILE_LONG = f"""
 WITH {READINGS_CTE}, {_compare_cte()},
 p AS (SELECT * FROM k WHERE CAST(time_hr AS DATE) = DATE '{V.DRIVER_PEAK_DAY}')
 SELECT time_hr, 'Baseline AC (Unscaled)' AS series, CAST(1 AS BIGINT) AS series_rank,
-  round((all_cooling_electricity_mwh_base * 1000) * CAST(1.00000000001 AS DOUBLE), {D}) AS value FROM p
-UNION ALL SELECT time_hr, 'Baseline AC (Scaled Up)', 2, round((cooling_mwh_scaled * 1000) * CAST(1.00000000001 AS DOUBLE), {D}) FROM p
-UNION ALL SELECT time_hr, 'GSHP Cooling', 3, round((all_cooling_electricity_mwh_upg * 1000) * CAST(1.00000000001 AS DOUBLE), {D}) FROM p
+  round((all_cooling_electricity_mwh_base * 1000), {D}) AS value FROM p
+UNION ALL SELECT time_hr, 'Baseline AC (Scaled Up)', 2, round((cooling_mwh_scaled * 1000), {D}) FROM p
+UNION ALL SELECT time_hr, 'GSHP Cooling', 3, round((all_cooling_electricity_mwh_upg * 1000), {D}) FROM p
 """
 
 LOCAL_HOUR_DST = f"""
@@ -390,16 +394,16 @@ _PARTIAL_NUM = "CAST(nullif(regexp_extract(partial_text, '\\d+'), '') AS DOUBLE)
 SAMPLE_SUMMARY = f"""
 WITH {META_CTE}, {SAMPLE_CTE}
 SELECT scenario, count(*) AS count,
-  round((avg(size_heat / 12)) * CAST(1.00000000001 AS DOUBLE), {D}) AS base_tons_heating,
-  round((avg(size_cool / 12)) * CAST(1.00000000001 AS DOUBLE), {D}) AS base_tons_cooling,
-  round((avg(upgrade_tons_heating)) * CAST(1.00000000001 AS DOUBLE), {D}) AS upgrade_tons_heating,
-  round(({_strict_avg('CAST(in__sqft AS DOUBLE)')}) * CAST(1.00000000001 AS DOUBLE), {D}) AS sqft,
-  round(({_strict_avg('in__sqft * (' + _PARTIAL_NUM + ')')}) * CAST(1.00000000001 AS DOUBLE), {D}) AS cooling_space_conditioned_sqft,
-  round(({_strict_avg('gas_kwh / 1000')}) * CAST(1.00000000001 AS DOUBLE), {D}) AS gas_heating,
-  round(({_strict_avg('propane_kwh / 1000')}) * CAST(1.00000000001 AS DOUBLE), {D}) AS propane_heating,
-  round(({_strict_avg('fuel_oil_kwh / 1000')}) * CAST(1.00000000001 AS DOUBLE), {D}) AS fuel_oil_heating,
-  round(({_strict_avg('load_heat_kbtu * 0.000293071')}) * CAST(1.00000000001 AS DOUBLE), {D}) AS out__load__heating__energy_delivered__mwh,
-  round(({_strict_avg('load_cool_kbtu * 0.000293071')}) * CAST(1.00000000001 AS DOUBLE), {D}) AS out__load__cooling__energy_delivered__mwh
+  round((avg(size_heat / 12)), {D}) AS base_tons_heating,
+  round((avg(size_cool / 12)), {D}) AS base_tons_cooling,
+  round((avg(upgrade_tons_heating)), {D}) AS upgrade_tons_heating,
+  round(({_strict_avg('CAST(in__sqft AS DOUBLE)')}), {D}) AS sqft,
+  round(({_strict_avg('in__sqft * (' + _PARTIAL_NUM + ')')}), {D}) AS cooling_space_conditioned_sqft,
+  round(({_strict_avg('gas_kwh / 1000')}), {D}) AS gas_heating,
+  round(({_strict_avg('propane_kwh / 1000')}), {D}) AS propane_heating,
+  round(({_strict_avg('fuel_oil_kwh / 1000')}), {D}) AS fuel_oil_heating,
+  round(({_strict_avg('load_heat_kbtu * 0.000293071')}), {D}) AS out__load__heating__energy_delivered__mwh,
+  round(({_strict_avg('load_cool_kbtu * 0.000293071')}), {D}) AS out__load__cooling__energy_delivered__mwh
 FROM sample GROUP BY scenario
 """
 
@@ -447,8 +451,8 @@ t AS (
   FROM scen sc LEFT JOIN kk ON kk.scenario_name = sc.scenario GROUP BY sc.scenario
 ),
 lab(scenario_name, label) AS (VALUES {_LABEL_ROWS})
-SELECT t.scenario_name, lab.label, x.scenario, round((x.eh) * CAST(1.00000000001 AS DOUBLE), {D}) AS elec_heating_mwh, round((x.ec) * CAST(1.00000000001 AS DOUBLE), {D}) AS elec_cooling_mwh,
-  round((x.gh) * CAST(1.00000000001 AS DOUBLE), {D}) AS gas_heating_mwh
+SELECT t.scenario_name, lab.label, x.scenario, round((x.eh), {D}) AS elec_heating_mwh, round((x.ec), {D}) AS elec_cooling_mwh,
+  round((x.gh), {D}) AS gas_heating_mwh
 FROM t
 JOIN (SELECT scenario_name, 'Baseline' AS scenario, eh_b AS eh, ec_b AS ec, gh_b AS gh FROM t
       UNION ALL SELECT scenario_name, 'Baseline (Scaled Up)', eh_s, ec_s, gh_s FROM t
@@ -460,9 +464,31 @@ LEFT JOIN lab ON lab.scenario_name = t.scenario_name
 
 
 def _num(expr: str) -> str:
-    return f"round((CAST(nullif(regexp_extract({expr}, '\\d+'), '') AS DOUBLE) / 100) * CAST(1.00000000001 AS DOUBLE), {D})"
+    return f"round((CAST(nullif(regexp_extract({expr}, '\\d+'), '') AS DOUBLE) / 100), {D})"
 
 
+LARGE_SAMPLE = f"""
+SELECT scenario, bldg_id FROM (
+  SELECT s AS scenario, c_custkey AS bldg_id, row_number() OVER (PARTITION BY s
+    ORDER BY md5(CAST(sd AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR)), c_custkey) AS rk, k
+  FROM customer, (VALUES {', '.join(f"('{n}', {k}, {sd})" for n, k, sd in V.LARGE_SAMPLES)}) AS t(s, k, sd))
+WHERE rk <= k
+"""
+
+_TEXT_TIME = ("CASE WHEN CAST(time_hr AS DATE) = time_hr THEN strftime(time_hr, '%Y-%m-%d') "
+              "ELSE strftime(time_hr, '%Y-%m-%d %H:%M:%S') END")
+REPORT_TEXT = f"""
+WITH {READINGS_CTE}, {_compare_cte()}
+SELECT row_number() OVER (ORDER BY hour_utc) AS row_number, {_TEXT_TIME} AS time_hr, interval_count_base,
+  {rnd('total_electricity_mwh_base', 'total_electricity_mwh_base')}, {rnd('total_mwh_scaled', 'total_mwh_scaled')}
+FROM k
+"""
+
+ANNUAL_ORDER = """
+SELECT CAST(1 AS BIGINT) AS row_number, 'Baseline' AS scenario
+UNION ALL SELECT 2, 'Baseline (Scaled Up)' UNION ALL SELECT 3, 'Upgrade'
+"""
+
 REGEX_NUMBER = f"""
 SELECT 'events.props' AS source, event_id AS id, {_num('props')} AS number FROM events
 UNION ALL SELECT 'part.p_name', p_partkey, {_num('p_name')} FROM part
@@ -491,52 +517,60 @@ cp AS (SELECT c.*, em.early_max, lm.late_max FROM customer c LEFT JOIN em ON c.c
 STRICT_MEAN = f"""
 WITH {PRICES_CTE}
 SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment, count(*) AS n,
-  round(({_strict_avg('late_max')}) * CAST(1.00000000001 AS DOUBLE), {D}) AS mean_strict, round((avg(late_max)) * CAST(1.00000000001 AS DOUBLE), {D}) AS mean_skipna
+  round(({_strict_avg('late_max')}), {D}) AS mean_strict, round((avg(late_max)), {D}) AS mean_skipna
 FROM cp GROUP BY c_nationkey, c_mktsegment
 """
 
 STRICT_PMAX = f"""
 WITH {PRICES_CTE}
-SELECT c_custkey, round((early_max) * CAST(1.00000000001 AS DOUBLE), {D}) AS early_max, round((late_max) * CAST(1.00000000001 AS DOUBLE), {D}) AS late_max,
+SELECT c_custkey, round((early_max), {D}) AS early_max, round((late_max), {D}) AS late_max,
   round((CASE WHEN early_max IS NULL OR late_max IS NULL THEN NULL
-             WHEN early_max >= late_max THEN early_max ELSE late_max END) * CAST(1.00000000001 AS DOUBLE), {D}) AS pmax_strict,
+             WHEN early_max >= late_max THEN early_max ELSE late_max END), {D}) AS pmax_strict,
   round((CASE WHEN early_max IS NULL THEN late_max WHEN late_max IS NULL THEN early_max
-             WHEN early_max >= late_max THEN early_max ELSE late_max END) * CAST(1.00000000001 AS DOUBLE), {D}) AS greatest_skipna
+             WHEN early_max >= late_max THEN early_max ELSE late_max END), {D}) AS greatest_skipna
 FROM cp
 """
 
 ROW_SUM_SKIPNA = f"""
 WITH {PRICES_CTE}
 SELECT c_custkey,
-  round((coalesce(early_max, 0) + coalesce(late_max, 0) + coalesce(c_acctbal, 0)) * CAST(1.00000000001 AS DOUBLE), {D}) AS row_sum,
-  round((early_max + late_max + c_acctbal) * CAST(1.00000000001 AS DOUBLE), {D}) AS plain_sum,
+  round((coalesce(early_max, 0) + coalesce(late_max, 0) + coalesce(c_acctbal, 0)), {D}) AS row_sum,
+  round((early_max + late_max + c_acctbal), {D}) AS plain_sum,
   CAST(0 AS DOUBLE) AS empty_sum
 FROM cp
 """
 
 UNION_BY_NAME = f"""
 SELECT 'customer' AS kind, c_custkey AS key, c_name AS name, CAST(c_nationkey AS BIGINT) AS nationkey,
-  round((c_acctbal) * CAST(1.00000000001 AS DOUBLE), {D}) AS acctbal, c_mktsegment AS mktsegment FROM customer
+  round((c_acctbal), {D}) AS acctbal, c_mktsegment AS mktsegment FROM customer
 UNION ALL
-SELECT 'supplier', s_suppkey, s_name, CAST(s_nationkey AS BIGINT), round((s_acctbal) * CAST(1.00000000001 AS DOUBLE), {D}), NULL FROM supplier
+SELECT 'supplier', s_suppkey, s_name, CAST(s_nationkey AS BIGINT), round((s_acctbal), {D}), NULL FROM supplier
 """
 
 DYNAMIC_MEASURES = f"""
 SELECT l_returnflag, l_linestatus,
-  round((coalesce(sum(l_quantity / 1000), 0)) * CAST(1.00000000001 AS DOUBLE), {D}) AS sum_l_quantity_k,
-  round((coalesce(sum(l_extendedprice / 1000), 0)) * CAST(1.00000000001 AS DOUBLE), {D}) AS sum_l_extendedprice_k,
-  round((coalesce(sum(l_tax), 0)) * CAST(1.00000000001 AS DOUBLE), {D}) AS sum_l_tax,
-  round((coalesce(sum(coalesce(l_quantity / 1000, 0) + coalesce(l_extendedprice / 1000, 0)), 0)) * CAST(1.00000000001 AS DOUBLE), {D}) AS sum_all_k,
+  round((coalesce(sum(l_quantity / 1000), 0)), {D}) AS sum_l_quantity_k,
+  round((coalesce(sum(l_extendedprice / 1000), 0)), {D}) AS sum_l_extendedprice_k,
+  round((coalesce(sum(l_tax), 0)), {D}) AS sum_l_tax,
+  round((coalesce(sum(coalesce(l_quantity / 1000, 0) + coalesce(l_extendedprice / 1000, 0)), 0)), {D}) AS sum_all_k,
   count(*) AS n
 FROM lineitem GROUP BY l_returnflag, l_linestatus
 """
 
 CSV_ROUNDTRIP = f"""
 SELECT c_custkey, c_name, CASE WHEN r_name <> 'AFRICA' THEN r_name END AS r_name,
-  round((c_acctbal * CAST(1.5 AS DOUBLE)) * CAST(1.00000000001 AS DOUBLE), {D}) AS score, c_mktsegment
+  round((c_acctbal * CAST(1.5 AS DOUBLE)), {D}) AS score, c_mktsegment
 FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 """
 
+# the readings that are written as source files, per building and arm
+SERIES_SOURCE_LAYOUT = f"""
+WITH {READINGS_CTE}
+SELECT bldg_id % {V.SOURCE_BUILDINGS} AS bldg_id, CAST(upgrade AS BIGINT) AS upgrade, count(*) AS n_readings,
+  count(net) AS n_net, {rnd('sum(net)', 'sum_net')}, {rnd('sum(gas_heat)', 'sum_gas_heat')}
+FROM readings GROUP BY bldg_id % {V.SOURCE_BUILDINGS}, upgrade
+"""
+
 ORACLE: dict[str, str] = {
     "hourly_portfolio": HOURLY_PORTFOLIO,
     "hourly_portfolio_stream": HOURLY_PORTFOLIO,
@@ -571,4 +605,11 @@ ORACLE: dict[str, str] = {
     "union_by_name": UNION_BY_NAME,
     "dynamic_measures": DYNAMIC_MEASURES,
     "csv_roundtrip": CSV_ROUNDTRIP,
+    "large_sample": LARGE_SAMPLE,
+    "report_text_8760": REPORT_TEXT,
+    "annual_energy_order": ANNUAL_ORDER,
+    "hourly_portfolio_dst": shifted(HOURLY_PORTFOLIO),
+    "hourly_by_building_dst": shifted(_hourly_by_building("baseline", 0)),
+    "building_hour_compare_dst": shifted(BUILDING_HOUR_COMPARE),
+    "series_source_layout": SERIES_SOURCE_LAYOUT,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import (REFERENCE_SCENARIO_LABELS, JobParams, max_sample_size, scenario_labels, scenario_table,
+from ..config import (REFERENCE_SCENARIO_LABELS, JobParams, scenario_labels, scenario_table,
                       total_sample_bound)
 from ..functions import columns as C
 from ..functions import semantics as S
@@ -29,27 +29,19 @@ from ..sources import files as IO
 from ..streaming import hourly as ST
 from . import job
 
-ROUND_DIGITS = 6
+ROUND_DIGITS = 7
 ZONE = TC.DEFAULT_ZONE
 BASE, UPG = V.DRIVER_BASELINE_ARM, V.DRIVER_UPGRADE_ARM
 DST_SHIFTS_DAYS = (60, 300)   # move January events over the March and November changes
 
 
-# Relative nudge applied before rounding, on both sides of the comparison: sums of
-# two-decimal inputs divided by round counts often land exactly on a rounding tie,
-# where the last-bit noise of a different summation order would decide the digit.
-TIE_NUDGE = "1.00000000001D"
-
-
 def finalize(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     """Widen integers to BIGINT and round doubles; names unchanged.
 
-    Doubles are rounded as round(x * (1 + 1e-11) * 10^d) / 10^d on the binary value.
-    Spark's round(x, d) rounds the shortest decimal text of x instead, which breaks
-    exact ties differently from SQL engines that round in binary; scaling first
-    makes both agree bit for bit, and the nudge sends exact ties (whatever their
-    last-bit noise) the same way. Built as one SQL projection: a single call into
-    the JVM however wide the table."""
+    Doubles are rounded as round(x * 10^d) / 10^d on the binary value, which returns stored
+    two-decimal values as they are. (Spark's round(x, d) rounds the shortest decimal text of
+    x instead, which breaks exact ties differently from SQL engines that round in binary.)
+    Built as one SQL projection: a single call into the JVM however wide the table."""
     scale = f"{float(10 ** digits)!r}D"
     exprs = []
     for f in df.schema.fields:
@@ -57,20 +49,24 @@ def finalize(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             exprs.append(f"CAST({q} AS BIGINT) AS {q}")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exprs.append(f"round(CAST({q} AS DOUBLE) * {TIE_NUDGE} * {scale}, 0) / {scale} AS {q}")
+            exprs.append(f"round(CAST({q} AS DOUBLE) * {scale}, 0) / {scale} AS {q}")
         else:
             exprs.append(q)
     return df.selectExpr(*exprs)
 
 
-def _n_requested(rd: DataFrame):
-    """divisor = number of distinct requested buildings, as a scalar subquery."""
-    return V.requested_buildings(rd).select(F.count(F.lit(1))).scalar()
+def _n_requested(spark, sf_dir):
+    """divisor = number of requested buildings, as a scalar subquery on the id table."""
+    return V.requested_buildings(spark, sf_dir).select(F.count(F.lit(1))).scalar()
 
 
-def _onepass(spark, sf_dir) -> DataFrame:
+def _onepass(spark, sf_dir, day: str | None = None) -> DataFrame:
+    """The comparison; with ``day`` only around that local day, as a filter on the raw
+    timestamp that reaches the scan."""
     rd = V.readings(spark, sf_dir)
-    return CMP.portfolio_compare(rd, _n_requested(rd), BASE, UPG, ZONE)
+    if day is not None:
+        rd = rd.where(TC.raw_window_for_local_day("timestamp", day))
+    return CMP.portfolio_compare(rd, _n_requested(spark, sf_dir), BASE, UPG, ZONE)
 
 
 # ---- time-series family ------------------------------------------------------
@@ -78,13 +74,13 @@ def _onepass(spark, sf_dir) -> DataFrame:
 def hourly_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both arms, per hour instant; MWh averaged over the requested buildings."""
     rd = V.readings(spark, sf_dir)
-    return finalize(R.hourly_portfolio(rd, _n_requested(rd), ZONE, arm_labels=V.DRIVER_ARM_LABELS))
+    return finalize(R.hourly_portfolio(rd, _n_requested(spark, sf_dir), ZONE, arm_labels=V.DRIVER_ARM_LABELS))
 
 
 def compare_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D11 in the reference's shape: two per-arm hourly tables joined on the hour."""
     rd = V.readings(spark, sf_dir)
-    n = _n_requested(rd)
+    n = _n_requested(spark, sf_dir)
     hr = lambda arm: R.hourly_portfolio(rd.where(F.col("upgrade") == arm), n, ZONE, arm_labels=V.DRIVER_ARM_LABELS)
     return finalize(CMP.compare_arms(hr(BASE), hr(UPG)))
 
@@ -109,7 +105,7 @@ def hourly_by_building_upgrade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def portfolio_from_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D9 derived from the shared hour cube (same result as ``hourly_portfolio``)."""
     rd = V.readings(spark, sf_dir)
-    return finalize(R.portfolio_from_cube(R.hour_cube(rd), _n_requested(rd), ZONE, arm_labels=V.DRIVER_ARM_LABELS))
+    return finalize(R.portfolio_from_cube(R.hour_cube(rd), _n_requested(spark, sf_dir), ZONE, arm_labels=V.DRIVER_ARM_LABELS))
 
 
 def building_hours_from_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,18 +148,18 @@ def annual_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def peak_day_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cooling profile of one local day, kW per building."""
-    return finalize(REP.peak_day_profile(_onepass(spark, sf_dir), V.DRIVER_PEAK_DAY, "cooling"))
+    return finalize(REP.peak_day_profile(_onepass(spark, sf_dir, V.DRIVER_PEAK_DAY), V.DRIVER_PEAK_DAY, "cooling"))
 
 
 def peak_day_profile_heating(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The heating profile of one local day, kW per building."""
     day = V.DRIVER_WINTER_PEAK_HOUR[:10]
-    return finalize(REP.peak_day_profile(_onepass(spark, sf_dir), day, "heating"))
+    return finalize(REP.peak_day_profile(_onepass(spark, sf_dir, day), day, "heating"))
 
 
 def profile_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The peak-day profile in labelled long form."""
-    prof = REP.peak_day_profile(_onepass(spark, sf_dir), V.DRIVER_PEAK_DAY, "cooling")
+    prof = REP.peak_day_profile(_onepass(spark, sf_dir, V.DRIVER_PEAK_DAY), V.DRIVER_PEAK_DAY, "cooling")
     return finalize(REP.profile_long(prof, "cooling"))
 
 
@@ -184,17 +180,17 @@ def local_hour_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_portfolio_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D9 through Structured Streaming: the readings derived from ``events`` are
-    written as a series dataset and streamed back one file per micro-batch; each
+    written as a series dataset and streamed back; each micro-
     batch writes its partial sums exactly once, and the partials are merged and
     finished on read. Same result as ``hourly_portfolio``."""
     base = IO.scratch_dir(spark, "hourly_stream")
     rd = V.readings(spark, sf_dir)
     IO.write_series(rd.withColumn("state", F.lit("VA")), f"{base}/series")
     schema = spark.read.parquet(f"{base}/series").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/series")
+    stream = spark.readStream.schema(schema).parquet(f"{base}/series")
     q = ST.start_partials(stream, f"{base}/partials", f"{base}/checkpoint")
     q.awaitTermination()
-    return finalize(ST.read_portfolio(spark, f"{base}/partials", _n_requested(rd), ZONE,
+    return finalize(ST.read_portfolio(spark, f"{base}/partials", _n_requested(spark, sf_dir), ZONE,
                                       arm_labels=V.DRIVER_ARM_LABELS))
 
 
@@ -214,7 +210,7 @@ def _pool(spark, sf_dir) -> DataFrame:
 
 
 def _sample(spark, sf_dir) -> DataFrame:
-    return SMP.draw_sample(_pool(spark, sf_dir), max_sample_size(V.DRIVER_SCENARIOS), _scenarios(spark))
+    return SMP.draw_sample(_pool(spark, sf_dir))
 
 
 PREP_COLUMNS = ("bldg_id", "applicability", "heating_electricity_kwh", "cooling_electricity_kwh",
@@ -269,14 +265,12 @@ def requested_vs_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scenario_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D18 + D19 for every scenario in one job: sample -> series of the sampled
     buildings -> one-pass comparison per scenario -> annual report -> labels."""
-    sample_ids = _sample(spark, sf_dir).select(F.col("scenario").alias("scenario_name"), "bldg_id")
-    # N per scenario rides along with each sampled id (a window over the bounded sample)
-    sample_ids = sample_ids.withColumn("n_buildings", F.count(F.lit(1)).over(Window.partitionBy("scenario_name")))
-    rd = V.readings(spark, sf_dir)
-    # the sample's size is bounded by the scenario config (sum of sample sizes)
-    per_scn = rd.join(J.broadcast_bounded(sample_ids, total_sample_bound(V.DRIVER_SCENARIOS)), "bldg_id", "inner")
-    cmp = CMP.portfolio_compare(per_scn, F.col("n_buildings"), BASE, UPG, ZONE,
-                                group_cols=("scenario_name", "n_buildings")).drop("n_buildings")
+    ids = _sample(spark, sf_dir).select(F.col("scenario").alias("scenario_name"), "bldg_id")
+    n = ids.groupBy("scenario_name").agg(F.count(F.lit(1)).alias("n_buildings"))
+    # readings are summed per building and hour first; scenarios then share those rows
+    cube = R.hour_cube(V.readings(spark, sf_dir))
+    member = cube.join(J.broadcast_bounded(ids, total_sample_bound(V.DRIVER_SCENARIOS)), "bldg_id", "inner")
+    cmp = CMP.portfolio_compare_from_cube(member, n, BASE, UPG, ZONE, group_cols=("scenario_name",))
     names = _scenarios(spark).select(F.col("scenario").alias("scenario_name"))
     annual = REP.annual_energy(cmp, group_cols=("scenario_name",), groups=names)
     return finalize(REP.scenario_report(scenario_labels(spark, REFERENCE_SCENARIO_LABELS), annual))
@@ -297,7 +291,7 @@ def job_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
                        summer_peak_day=V.DRIVER_PEAK_DAY, summer_peak_hour=V.DRIVER_PEAK_HOUR,
                        winter_peak_day=V.DRIVER_WINTER_PEAK_HOUR[:10], winter_peak_hour=V.DRIVER_WINTER_PEAK_HOUR)
     res = job.run(spark, f"{base}/baseline_csv", f"{base}/upgrade_csv", f"{base}/series", f"{base}/out", params,
-                  V.DRIVER_SCENARIOS, restore(meta.schema), restore(upg.schema))
+                  V.DRIVER_SCENARIOS, restore(meta.schema), restore(upg.schema), layout="table")
     return finalize(res["annual_energy_consumption"])
 
 
@@ -417,6 +411,71 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(IO.read_csv(spark, out, schema))
 
 
+# ---- order, text output, clock change, large samples ---------------------------------
+
+def _shifted(spark, sf_dir) -> DataFrame:
+    """The readings moved over the autumn clock change, where an hour repeats."""
+    move = F.make_dt_interval(F.lit(V.DRIVER_AUTUMN_SHIFT_DAYS))
+    return V.readings(spark, sf_dir).withColumn("timestamp", F.col("timestamp") + move)
+
+
+def hourly_portfolio_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9 across the clock change: both instants of the repeated hour stay apart."""
+    return finalize(R.hourly_portfolio(_shifted(spark, sf_dir), _n_requested(spark, sf_dir), ZONE,
+                                       arm_labels=V.DRIVER_ARM_LABELS))
+
+
+def hourly_by_building_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 across the clock change: the repeated hour is one row."""
+    rd = _shifted(spark, sf_dir).where(F.col("upgrade") == BASE)
+    return finalize(R.hourly_by_building(rd, "baseline", ZONE))
+
+
+def building_hour_compare_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D12 across the clock change."""
+    return finalize(CMP.building_hour_compare(_shifted(spark, sf_dir), BASE, UPG, ZONE))
+
+
+def report_text_8760(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison written as one text file in hour order and read back, with
+    its row numbers and its times as text. A comparison has one row per hour of a year, so
+    one file is bounded."""
+    cmp = _onepass(spark, sf_dir).select("hour_utc", "time_hr", "interval_count_base", "total_electricity_mwh_base",
+                                         "total_mwh_scaled")
+    text = (cmp.coalesce(1).sortWithinPartitions("hour_utc").withColumn("time_hr", TC.r_datetime_text(F.col("time_hr")))
+            .drop("hour_utc"))
+    path = IO.write_csv(text, IO.scratch_dir(spark, "report_text"))
+    schema = "time_hr string, interval_count_base long, total_electricity_mwh_base double, total_mwh_scaled double"
+    back = IO.read_csv(spark, path, schema).coalesce(1)
+    return finalize(back.withColumn("row_number", F.monotonically_increasing_id() + 1))
+
+
+def annual_energy_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: the report's rows in their own order."""
+    out = REP.annual_energy(_onepass(spark, sf_dir)).select("scenario")
+    return finalize(out.withColumn("row_number", F.monotonically_increasing_id() + 1))
+
+
+def large_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of all buildings, one of more than a thousand."""
+    sizes = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(k).alias("sample_size"), F.lit(sd).alias("seed"))
+                      for n, k, sd in V.LARGE_SAMPLES])
+    pool = V.requested_buildings(spark, sf_dir).select(F.explode(sizes).alias("s"), "bldg_id").select("s.*", "bldg_id")
+    return finalize(SMP.draw_sample(pool).select("scenario", "bldg_id"))
+
+
+def series_source_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings written as one file per building and arm, as the source has
+    them, and read back: ids from file names, arms and state from folders."""
+    root = IO.scratch_dir(spark, "series_source")
+    rd = V.readings(spark, sf_dir).withColumn("bldg_id", F.col("bldg_id") % V.SOURCE_BUILDINGS)
+    IO.write_source_series(rd.withColumn("state", F.lit("VA")), root)
+    back = IO.read_series(spark, root, (BASE, UPG), "VA", layout="source")
+    return finalize(back.groupBy("bldg_id", "upgrade").agg(
+        F.count(F.lit(1)).alias("n_readings"), F.count(R.NET).alias("n_net"), F.sum(R.NET).alias("sum_net"),
+        F.sum(R.GAS_HEAT).alias("sum_gas_heat")).withColumn("bldg_id", F.col("bldg_id").cast("long")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_portfolio": hourly_portfolio,
     "compare_arms": compare_arms,
@@ -451,4 +510,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_by_name": union_by_name,
     "dynamic_measures": dynamic_measures,
     "csv_roundtrip": csv_roundtrip,
+    "large_sample": large_sample,
+    "report_text_8760": report_text_8760,
+    "annual_energy_order": annual_energy_order,
+    "hourly_portfolio_dst": hourly_portfolio_dst,
+    "hourly_by_building_dst": hourly_by_building_dst,
+    "building_hour_compare_dst": building_hour_compare_dst,
+    "series_source_layout": series_source_layout,
 }

@@ -41,19 +41,20 @@ DRIVER_PEAK_DAY = "2024-01-15"
 DRIVER_PEAK_HOUR = "2024-01-15 16:00:00"
 DRIVER_WINTER_PEAK_HOUR = "2024-01-07 07:00:00"
 
-# Scenarios over the re-aimed metadata (values that occur in the driver tables).
+# Scenarios over the re-aimed metadata (values that occur in the driver tables). Sample
+# sizes lie below the pools at sf0.01, but for scenario2, whose pool is smaller.
 DRIVER_SCENARIOS: tuple[Scenario, ...] = (
-    Scenario("scenario1", building_type="AMERICA", sqft_allowed=(1500, 2000, 2500),
+    Scenario("scenario1", building_type="AMERICA", sample_size=5, sqft_allowed=(1500, 2000, 2500),
              vintage_allowed=("MACHINERY", "FURNITURE", "BUILDING"),
              hvac_efficiency="Electric Furnace, 100% AFUE", heating_fuel="Electricity"),
     Scenario("scenario2", building_type="AMERICA", sqft_allowed=(1500, 2000, 2500),
              vintage_allowed=("MACHINERY", "FURNITURE", "BUILDING"),
              hvac_efficiency="Fuel Furnace, 80% AFUE", heating_fuel="Natural Gas"),
-    Scenario("scenario3", building_type="AMERICA", sqft_allowed=(1500, 2000, 2500),
+    Scenario("scenario3", building_type="AMERICA", sample_size=8, sqft_allowed=(1500, 2000, 2500),
              vintage_allowed=("MACHINERY", "BUILDING"),
              hvac_efficiency="Fuel Furnace, 80% AFUE", heating_fuel="Natural Gas"),
-    Scenario("scenario4", building_type="AMERICA"),
-    Scenario("scenario5", building_type="AMERICA", sqft_allowed=(1000, 1500, 2000, 2500),
+    Scenario("scenario4", building_type="AMERICA", sample_size=40),
+    Scenario("scenario5", building_type="AMERICA", sample_size=10, sqft_allowed=(1000, 1500, 2000, 2500),
              vintage_allowed=("MACHINERY", "BUILDING", "AUTOMOBILE"),
              hvac_efficiency="Electric Furnace, 100% AFUE", heating_fuel="Electricity"),
 )
@@ -79,14 +80,6 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_from_events(table(spark, sf_dir, "events"))
 
 
-def readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same view over a streaming file source on the events table."""
-    schema = table(spark, sf_dir, "events").schema
-    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-          .option("maxFilesPerTrigger", 1).parquet(sf_dir))
-    return readings_from_events(ev)
-
-
 def readings_from_events(ev: DataFrame) -> DataFrame:
     measures = {name: _value_if(types) for name, types in READING_MEASURES.items()}
     measures["out__fuel_oil__heating__energy_consumption"] = F.when(
@@ -99,11 +92,20 @@ def readings_from_events(ev: DataFrame) -> DataFrame:
     )
 
 
-def requested_buildings(readings_df: DataFrame) -> DataFrame:
-    """The buildings a series run was asked for: every id that appears in the readings."""
-    return readings_df.select("bldg_id").distinct()
+def requested_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buildings a series run is asked for: every building of the metadata, whether or
+    not its readings load (T16)."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("bldg_id")).distinct()
 
 
+# All readings are dealt into so many buildings where they are written in the source layout,
+# which makes a file for every building and arm.
+SOURCE_BUILDINGS = 20
+# Moves the January events over the clock change of November 3, 2024.
+DRIVER_AUTUMN_SHIFT_DAYS = 300
+# Samples of all buildings (name, size, seed): one above a thousand, one above the table
+# at small scale factors.
+LARGE_SAMPLES = (("large", 1200, 123), ("whole", 1_000_000_000, 7))
 # Order-date cut-offs of the re-aim: early orders drive occupancy and the baseline
 # heating size (NULL when a customer has none), late orders the upgrade table.
 EARLY_BEFORE = "1996-01-01"

@@ -2,17 +2,11 @@
 
 * CSV in: explicit schema, header, ``NA`` and empty as NULL; dotted names are
   sanitized on the way in and restored on the way out.
-* Series in (:func:`read_series`), two layouts under ``upgrade=U/state=S/``:
-  the source's one file per building and arm (``<bldg_id>-<U>.parquet``; the id
-  comes from the file name, and a bounded id list becomes a literal filter on
-  ``_metadata.file_name``, applied while listing files, so only the requested
-  files are opened), or the Spark-native layout of :func:`write_series`
-  (``bldg_id`` is a column; a bounded id list becomes a pushed parquet filter).
-  Partition pruning handles arm and state; beyond the bound the ids are applied
-  with a semi-join.
-* Unreadable files are skipped (``ignoreCorruptFiles``); which requested buildings
-  produced no rows is a table (:func:`load_status`, :func:`arm_load_status`,
-  :func:`failed_reads`).
+* Series in (:func:`read_series`): the source's one file per building and arm, or the
+  Spark-native table of :func:`write_series`; the caller names the layout. Only the folders
+  of the requested arms and state are listed.
+* A building and arm whose file cannot be read in full is dropped whole and reported with its
+  cause (:func:`series_status`).
 * :func:`checkpoint_table` writes a table to the shared folder and reads it back:
   the lineage cut used between job stages.
 """
@@ -97,86 +91,128 @@ def checkpoint_table(df: DataFrame, path: str, partition_by: Sequence[str] | Non
     return spark.read.schema(schema).parquet(path).select(*df.columns)
 
 
-def _bounded_ids(ids: DataFrame, bound: int) -> list[int] | None:
-    """The distinct ids as a list when there are at most ``bound`` of them, else None.
-    At most ``bound + 1`` rows ever reach the driver."""
-    rows = ids.select(F.col("bldg_id").cast("long")).distinct().limit(bound + 1).collect()
-    return None if len(rows) > bound else sorted(int(r[0]) for r in rows)
+def write_series(df: DataFrame, root: str) -> str:
+    """Write readings in the Spark-native layout: ``upgrade=U/state=S/part-*.parquet`` with
+    ``bldg_id`` as a column. Rows are dealt by ranges of (arm, state, building, time), so the
+    number of files follows the session's shuffle partitions (coalesced to the data by
+    adaptive execution), a building holding a large share of the rows is split by time, and
+    row-group statistics prune by building."""
+    keys = ("upgrade", "state", "bldg_id", "timestamp")
+    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    out.write.mode("overwrite").partitionBy("upgrade", "state").parquet(root)
+    return root
 
 
-# Largest id list whose files' footers are merged through a file-name glob. The
-# glob is matched against every listed file name as a regex alternation, so it is
-# kept small (the reference's default config asks for 5 x 100 ids); above it all
-# footers are merged by a distributed Spark job (or the schema is given).
-MAX_GLOB_IDS = 1_000
+def write_source_series(df: DataFrame, root: str) -> str:
+    """Write readings in the source layout, ``upgrade=U/state=S/<bldg_id>-<U>.parquet``: one
+    file per building and arm. Meant for exchange with tools that expect it; a file is
+    written by one task, and renamed by the file system that Spark uses."""
+    spark = df.sparkSession
+    part = f"{root.rstrip('/')}-parts"
+    (df.repartition("upgrade", "state", "bldg_id").withColumn("_id", F.col("bldg_id")).drop("bldg_id")
+     .write.mode("overwrite").partitionBy("upgrade", "state", "_id").parquet(part))
+    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+             .load(part).select("path").toLocalIterator())
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for row in names:
+        folder, _id = row.path.rsplit("/", 2)[0], row.path.rsplit("/", 2)[1].removeprefix("_id=")
+        arm, state = folder.rsplit("/", 2)[-2], folder.rsplit("/", 1)[-1]
+        target = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{arm}/{state}/{_id}-{arm.removeprefix('upgrade=')}.parquet")
+        fs = target.getFileSystem(conf)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(row.path), target):
+            raise OSError(f"cannot move {row.path}")
+    return root
 
 
-def write_series(df: DataFrame, root: str, files_per_dir: int = 8) -> str:
-    """Write readings in the Spark-native layout: ``upgrade=U/state=S/part-*.parquet``
-    with ``bldg_id`` as a column, each file sorted by (bldg_id, timestamp) so that
-    parquet row-group statistics prune by building.
+def _series_folders(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None) -> list[str]:
+    """The folders of the arms (and state): only these are listed. A missing arm is left out;
+    no folder at all is an error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    wanted = [f"{root.rstrip('/')}/upgrade={u}" + (f"/state={state}" if state is not None else "") for u in upgrades]
 
-    Rows are routed by (arm, state, salt) with salt = hash(building, month) mod
-    ``files_per_dir``: each folder gets about that many files (no small-file
-    explosion), and one building's year is cut into up to twelve pieces, so even
-    a building holding a large share of the rows is written by several tasks.
-    Size ``files_per_dir`` to the data per (arm, state)."""
-    salt = F.pmod(F.xxhash64("bldg_id", F.month("timestamp")), F.lit(int(files_per_dir)))
-    out = df.repartition("upgrade", "state", salt).sortWithinPartitions("bldg_id", "timestamp")
-    out.write.mode("overwrite").partitionBy("upgrade", "state").parquet(root)
-    return root
+    def exists(p):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        return hp.getFileSystem(conf).exists(hp)
+
+    found = [p for p in wanted if exists(p)]
+    if not found:
+        raise FileNotFoundError(f"Missing file: {', '.join(wanted)}")
+    return found
+
+
+def _open_series(spark, root, folders, layout, ids, schema, tolerant: bool) -> DataFrame:
+    """Readings with ``bldg_id``, ``upgrade`` and ``state``. The schema is the given one, or
+    the merged footers of the folders, whatever the ids. ``ids``: a list (configuration)
+    becomes a literal filter, a DataFrame a semi-join."""
+    if layout not in ("source", "table"):
+        raise ValueError(f"layout must be 'source' or 'table', not {layout!r}")
+    reader = spark.read.option("basePath", root).option("ignoreCorruptFiles", "true" if tolerant else "false")
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+    df = reader.parquet(*folders)
+    if layout == "source":
+        fname = F.col("_metadata.file_name")
+        if isinstance(ids, (list, tuple)):
+            arms = [f.rstrip("/").split("/upgrade=")[1].split("/")[0] for f in folders]
+            df = df.where(fname.isin([f"{i}-{u}.parquet" for i in ids for u in arms]))
+        # a file whose name does not follow the pattern gets a NULL id (never a failed job)
+        df = df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).try_cast("int"))
+    elif isinstance(ids, (list, tuple)):
+        df = df.where(F.col("bldg_id").isin(list(ids)))
+    if isinstance(ids, DataFrame):
+        df = df.join(ids.select(F.col("bldg_id").cast(df.schema["bldg_id"].dataType)).distinct(), "bldg_id", "left_semi")
+    return df
+
+
+def series_status(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None, read: DataFrame,
+                  ids=None, schema=None) -> DataFrame:
+    """(bldg_id, upgrade, n_expected, n_read, cause) for every source file. ``read`` holds the
+    counted readings (bldg_id, upgrade, n_read) of a tolerant scan of their data, as a written
+    table (a lazy one would be pruned to the count and read no data); the
+    expected count comes from the footers. A building and arm is loaded only when both
+    agree: a scan that skips a damaged row group, or loses rows to a storage error, does not
+    pass. ``cause`` is NULL where the file is whole."""
+    folders = _series_folders(spark, root, upgrades, state)
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", root)
+              .load(folders).select(F.regexp_extract("path", r"/(\d+)-\d+\.parquet$", 1).try_cast("int").alias("bldg_id"),
+                                    F.regexp_extract("path", r"/upgrade=(\d+)/", 1).try_cast("int").alias("upgrade"))
+              .where(F.col("bldg_id").isNotNull()).distinct())
+    keys = ["bldg_id", "upgrade"]
+    footers = _open_series(spark, root, folders, "source", ids, schema, True).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_expected"))
+    out = listed.join(footers, keys, "left").join(read.select(*keys, "n_read"), keys, "left")
+    out = out.withColumn("n_read", F.coalesce("n_read", F.lit(0).cast("long")))
+    cause = (F.when(F.col("n_expected").isNull(), "footer unreadable")
+             .when(F.col("n_expected") != F.col("n_read"), "data unreadable"))
+    status = out.select(*keys, "n_expected", "n_read", cause.alias("cause"))
+    if isinstance(ids, (list, tuple)):
+        return status.where(F.col("bldg_id").isin(list(ids)))
+    return status.join(ids.select("bldg_id").distinct(), "bldg_id", "left_semi") if isinstance(ids, DataFrame) else status
 
 
 def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None = None,
-                ids: DataFrame | None = None, max_literal_ids: int = 50_000,
-                measures: Sequence[str] | None = None, schema=None) -> DataFrame:
+                ids=None, measures: Sequence[str] | None = None, schema=None, layout: str = "source",
+                check: bool = True) -> DataFrame:
     """Readings of the requested buildings and arms, with ``bldg_id`` and ``upgrade``.
 
-    Two layouts are read:
-
-    * source layout, one file per building and arm (``<bldg_id>-<U>.parquet``): the
-      id comes from the file name, and a bounded id list becomes a file-name filter
-      (only those files are opened);
-    * Spark-native layout (:func:`write_series`, ``bldg_id`` is a column): a bounded
-      id list becomes ``bldg_id IN (...)``, pushed to the parquet reader.
-
-    Above the bound the ids are applied with a semi-join. Schema: ``schema`` when
-    given (no footer is read up front); otherwise, in the source layout with a
-    bounded id list, the footers of the requested files only are merged (bind by
-    name: a file lacking a measure reads it as NULL); otherwise the footers of all
-    files are merged (exact, but reads every footer: pass ``schema`` at scale). The
-    Spark-native layout has one schema by construction and needs no merge.
-    ``measures`` (dotted or sanitized names) narrows the scan to those columns plus
-    the timestamp; by default every column is kept.
-    """
-    lit_ids = _bounded_ids(ids, max_literal_ids) if ids is not None else None
-    reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", root)
-    if schema is not None:
-        df = reader.schema(schema).parquet(root)
-    else:
-        df = reader.parquet(root)
-        if "bldg_id" not in df.columns:
-            # source layout: files may differ in columns -- bind by name exactly
-            if lit_ids is not None and len(lit_ids) <= MAX_GLOB_IDS:
-                names = ",".join(f"{i}-{u}" for i in lit_ids for u in upgrades) or "none"
-                reader = reader.option("pathGlobFilter", "{" + names + "}.parquet")
-            df = reader.option("mergeSchema", "true").parquet(root)
-    df = df.where(F.col("upgrade").isin(list(upgrades)))
-    if state is not None:
-        df = df.where(F.col("state") == state)
-    by_column = "bldg_id" in df.columns
-    if by_column:
-        if lit_ids is not None:
-            df = df.where(F.col("bldg_id").isin(lit_ids))
-    else:
-        fname = F.col("_metadata.file_name")
-        if lit_ids is not None:
-            df = df.where(fname.isin([f"{i}-{u}.parquet" for i in lit_ids for u in upgrades]))
-        # a file whose name does not follow the pattern gets a NULL id (never a failed job)
-        df = df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).try_cast("int"))
-    if ids is not None and lit_ids is None:
-        df = df.join(ids.select(F.col("bldg_id").cast(df.schema["bldg_id"].dataType)).distinct(),
-                     "bldg_id", "left_semi")
+    ``layout="source"``: one file per building and arm. A file that cannot be read in full is
+    dropped whole: with ``check`` a probe first reads every column of the requested files and
+    compares the counted rows with the footers (:func:`series_status`). A caller that counts
+    the readings itself passes ``check=False`` and drops what :func:`series_status` names.
+    ``layout="table"``: the layout of :func:`write_series`; a file holds many buildings, so an
+    unreadable one is an error.
+
+    ``measures`` (dotted or sanitized names) narrows the columns; by default all are kept."""
+    folders = _series_folders(spark, root, upgrades, state)
+    df = _open_series(spark, root, folders, layout, ids, schema, tolerant=layout == "source")
+    if layout == "source" and check:
+        touched = F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))  # every column is read
+        read = df.groupBy("bldg_id", "upgrade").agg(F.count(F.lit(1)).alias("n_read"), touched.alias("_touched"))
+        read = checkpoint_table(read, scratch_path(spark, "series_probe"))
+        bad = series_status(spark, root, upgrades, state, read, ids, schema).where(F.col("cause").isNotNull())
+        bad = checkpoint_table(bad.select("bldg_id", "upgrade"), scratch_path(spark, "series_bad"))
+        if bad.count():
+            df = df.join(bad, ["bldg_id", "upgrade"], "left_anti")
     df = C.sanitize_columns(df)
     if measures is not None:
         keep = ["bldg_id", "upgrade", "timestamp", *[C.sanitize(m) for m in measures]]

@@ -103,7 +103,31 @@ def test_lazy_extras(result):
     a = {r.hour_utc: r.total_electricity_mwh for r in hp.collect()}
     b = {r.hour_utc: r.total_electricity_mwh_base for r in cmp.collect()}
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
-    assert res["series"].select("scenario_name").distinct().count() >= 1
+    hours = res["building_hours"]
+    assert hours.count() > 0 and {r.bldg_id for r in hours.select("bldg_id").distinct().collect()} == {1, 2, 3}
+
+
+def test_empty_pool_stops_only_its_scenario(spark, fixture_dir, out_dir):
+    from loadshift.config import Scenario
+    scn = (REFERENCE_SCENARIOS[0], Scenario("nothing", heating_fuel="Wood"))
+    res = job.run(spark, f"{fixture_dir}/baseline.csv", f"{fixture_dir}/upgrade.csv", f"{fixture_dir}/series", out_dir,
+                  JobParams(), scn, FX.META_SCHEMA, FX.UPGRADE_SCHEMA)
+    assert res["combined_8760"].select("scenario").distinct().count() == 1
+    empty = spark.read.option("header", True).csv(f"{out_dir}/bldg_ids/empty_pools").collect()
+    assert [r.scenario for r in empty] == ["nothing"]
+
+
+def test_cli_parameters(spark, fixture_dir, out_dir):
+    job.main(["--baseline", f"{fixture_dir}/baseline.csv", "--upgrade", f"{fixture_dir}/upgrade.csv",
+              "--series", f"{fixture_dir}/series", "--out", out_dir, "--scenarios", "scenario1", "--seed", "9",
+              "--sample-size", "2", "--winter-peak-hour", "2018-01-07 08:00:00", "--state", "VA"])
+    peak = spark.read.parquet(f"{out_dir}/results/building_hours")
+    assert peak.count() > 0
+    ids = spark.read.option("header", True).csv(f"{out_dir}/bldg_ids/applicable_buildings")
+    assert ids.count() == 2
+    d = f"{out_dir}/results/all_buildings_winter_peak_hr"
+    got = spark.read.option("header", True).csv(d)
+    assert {r.hour for r in got.select("hour").collect()} <= {"8"}
 
 
 def test_run_with_series_schema(spark, fixture_dir, out_dir):

@@ -67,7 +67,7 @@ def test_sample_is_subset_of_min_size_and_smallest_keys(spark, rows, n):
         return
     df = spark.createDataFrame([(s, b, n, 7) for s, b in rows], "scenario string, bldg_id int, sample_size int, seed int")
     got = {}
-    for r in SMP.draw_sample(df, n).collect():
+    for r in SMP.draw_sample(df).collect():
         got.setdefault(r.scenario, set()).add(r.bldg_id)
     pools = {}
     for s_, b in rows:

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import fixtures as FX
-from loadshift.config import REFERENCE_SCENARIOS, Scenario, max_sample_size, scenario_table
+from loadshift.config import REFERENCE_SCENARIOS, Scenario, scenario_table
 from loadshift.operators import sample as SMP
 from loadshift.sources import files as IO
 
@@ -57,7 +57,7 @@ def test_sample_cap_subset_and_reproducible(spark, meta):
     scn = tuple(replace(s, sample_size=3) for s in REFERENCE_SCENARIOS)
     sdf = scenario_table(spark, scn)
     pool = SMP.eligible_pool(*meta, sdf)
-    s1 = SMP.draw_sample(pool, max_sample_size(scn), sdf)
+    s1 = SMP.draw_sample(pool)
     got = {}
     for r in s1.select("scenario", "bldg_id").collect():
         got.setdefault(r.scenario, set()).add(r.bldg_id)
@@ -66,7 +66,7 @@ def test_sample_cap_subset_and_reproducible(spark, meta):
     assert got["scenario1"] <= {1, 2, 3, 4, 5}
     # invariant to partitioning and input order
     shuffled = pool.repartition(7, "bldg_id").orderBy(F.rand(5))
-    s2 = SMP.draw_sample(shuffled, max_sample_size(scn), sdf)
+    s2 = SMP.draw_sample(shuffled)
     assert sorted(s1.select("scenario", "bldg_id").collect()) == sorted(s2.select("scenario", "bldg_id").collect())
     # the chosen ids are the smallest hash keys
     keys = pool.where("scenario = 'scenario4'").select(
@@ -75,29 +75,27 @@ def test_sample_cap_subset_and_reproducible(spark, meta):
     assert got["scenario4"] == expect
 
 
-def test_sample_plan_uses_group_limit(spark, meta):
-    scn = REFERENCE_SCENARIOS
-    sdf = scenario_table(spark, scn)
-    s = SMP.draw_sample(SMP.eligible_pool(*meta, sdf), max_sample_size(scn))
-    plan = s._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "BroadcastHashJoin" in plan
+def test_no_task_ranks_a_whole_scenario(spark, meta):
+    sdf = scenario_table(spark, REFERENCE_SCENARIOS)
+    s = SMP.draw_sample(SMP.eligible_pool(*meta, sdf))
+    plan = s._jdf.queryExecution().optimizedPlan().toString()
+    ranks = [line for line in plan.splitlines() if "row_number()" in line and "Window" in line]
+    assert ranks and all("_bucket" in line.split("row_number()")[1] for line in ranks)
 
 
-def test_empty_pool_raises(spark, meta):
-    scn = (Scenario("ok"), Scenario("none", heating_fuel="Wood"))
-    sdf = scenario_table(spark, scn)
-    s = SMP.draw_sample(SMP.eligible_pool(*meta, sdf), 100, sdf)
-    with pytest.raises(PySparkException, match="No rows available after filtering: none"):
-        s.collect()
-    ok = SMP.draw_sample(SMP.eligible_pool(*meta, sdf.where("scenario = 'ok'")), 100, sdf.where("scenario = 'ok'"))
-    assert ok.count() == 7
+def test_empty_pool_stops_only_its_scenario(spark, meta):
+    sdf = scenario_table(spark, (Scenario("ok"), Scenario("none", heating_fuel="Wood")))
+    s = SMP.draw_sample(SMP.eligible_pool(*meta, sdf))
+    assert {r.scenario for r in s.collect()} == {"ok"} and s.count() == 7
+    empty = SMP.empty_pools(sdf, s).collect()
+    assert [(r.scenario, r.cause) for r in empty] == [("none", "No rows available after filtering")]
 
 
 def test_sample_summary(spark, meta):
     scn = (Scenario("s5", vintage_allowed=("1990s",), hvac_efficiency=FX.EF, heating_fuel="Electricity"),
            Scenario("s2", hvac_efficiency=FX.GF, heating_fuel="Natural Gas"))
     sdf = scenario_table(spark, scn)
-    summ = {r.scenario: r for r in SMP.sample_summary(SMP.draw_sample(SMP.eligible_pool(*meta, sdf), 100, sdf)).collect()}
+    summ = {r.scenario: r for r in SMP.sample_summary(SMP.draw_sample(SMP.eligible_pool(*meta, sdf))).collect()}
     s5 = summ["s5"]                     # building 4 only: NULL heating size
     assert s5["count"] == 1 and s5.base_tons_heating is None and s5.base_tons_cooling == 2.0
     assert s5.sqft == 2678.0 and s5.cooling_space_conditioned_sqft == 2678.0
@@ -107,30 +105,23 @@ def test_sample_summary(spark, meta):
     assert s2["out__load__heating__energy_delivered__mwh"] == pytest.approx(40000 * 0.000293071)
 
 
-def test_large_sample_precut_is_exact(spark):
-    """Above the group-limit threshold the histogram pre-cut gives the same sample."""
+@pytest.mark.parametrize("size", [1, 1500, 5000, 10 ** 6])
+def test_large_samples_are_exact(spark, size):
     pool = spark.range(0, 20000).select(
         F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("scenario"), F.col("id").alias("bldg_id"),
-        F.lit(1500).alias("sample_size"), F.lit(123).alias("seed"))
-    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    try:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-        fast = SMP.draw_sample(pool, 1500)          # 1500 > 1000: pre-cut path
-        assert "Window" in fast._jdf.queryExecution().executedPlan().toString()
-        got = sorted(fast.select("scenario", "bldg_id").collect())
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
-        ref = sorted(SMP.draw_sample(pool, 1500).select("scenario", "bldg_id").collect())
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
-    assert got == ref and len(got) == 3000
-    reduced = SMP.precut_pool(pool.withColumn("_key", SMP.sample_order_key(F.col("seed"), F.col("bldg_id"))))
-    assert reduced.count() < 3200                  # n plus at most one bucket per scenario
-
-
-def test_empty_pool_check_passes_when_all_present(spark):
+        F.lit(size).alias("sample_size"), F.lit(123).alias("seed"))
+    got = sorted(tuple(r) for r in SMP.draw_sample(pool).select("scenario", "bldg_id").collect())
+    import hashlib
+    key = lambda i: (hashlib.md5(f"123-{i}".encode()).hexdigest(), i)
+    want = [(s, i) for s, ids in (("a", range(0, 20000, 3)), ("b", [i for i in range(20000) if i % 3]))
+            for i in sorted(ids, key=key)[:size]]
+    assert got == sorted(want)
+
+
+def test_empty_pools_none_missing(spark):
     scn = spark.createDataFrame([("a",), ("b",)], "scenario string")
     drawn = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "scenario string, bldg_id int")
-    assert SMP.empty_pool_check(scn, drawn).count() == 0
+    assert SMP.empty_pools(scn, drawn).count() == 0
 
 
 def test_load_scenarios_from_json(tmp_path):

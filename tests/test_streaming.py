@@ -51,26 +51,6 @@ def test_retried_batch_is_idempotent(spark, fixture_dir):
     assert _rows(ST.read_portfolio(spark, f"{d}/out", 3, ZONE), ["hour_utc", "total_electricity_mwh"]) == first
 
 
-def test_closed_hours_equal_batch(spark, fixture_dir):
-    # every file covers the same days, so they must arrive in one micro-batch; with
-    # one file per batch the later files are behind the watermark and dropped
-    d = tempfile.mkdtemp(prefix="loadshift-stream-")
-    q = ST.start_closed_hours(_stream(spark, fixture_dir, 10), f"{d}/out", f"{d}/ck", lateness="2 hours")
-    q.awaitTermination()
-    closed = spark.read.parquet(f"{d}/out")
-    batch = R.portfolio_sums(IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA", schema=FX.SERIES_SCHEMA))
-    n = closed.count()
-    assert n > 0
-    cols = ["upgrade", "hour_utc", "_n", "_s_total_electricity_mwh", "_s_heating_load_kbtu"]
-    j = closed.select(cols).join(batch.select(cols), ["upgrade", "hour_utc", "_n", "_s_total_electricity_mwh",
-                                                      "_s_heating_load_kbtu"])
-    assert j.count() == n
-    assert batch.count() - n <= 3          # only the hours still open at the end are missing
-    fin = ST.read_closed_hours(spark, f"{d}/out", 3, ZONE)
-    full = R.finish_portfolio(batch, 3, ZONE)
-    assert _rows(fin, fin.columns) == _rows(full.join(fin.select("hour_utc"), "hour_utc", "left_semi"), fin.columns)
-
-
 def test_scaled_flags_consistent(spark, fixture_dir):
     s = IO.read_series(spark, f"{fixture_dir}/series", (0,), "VA", schema=FX.SERIES_SCHEMA)
     assert [(m.name, m.per_building_mwh) for m in R.portfolio_measures(s)] == list(R.PORTFOLIO_SCALED)
