@@ -1,8 +1,8 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed end to end with the ``noop`` sink (the whole plan runs,
-nothing is collected); each is run BENCH_REPEATS times (default 2) and the best
-time is kept, which damps machine noise and one-time warm-up. Prints ONE JSON line.
+nothing is collected); each is run BENCH_REPEATS times (default 3) and the median
+time is kept. Prints ONE JSON line.
 
 Optional: BENCH_EVENT_LOG=1 writes Spark's event log to a fresh folder under
 /tmp (stage and task times for later reading) and adds the number of Spark jobs
@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import tempfile
 import time
@@ -31,7 +32,7 @@ HEADLINE = ("compare_arms_onepass", "hourly_portfolio", "building_hour_compare",
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     # keep the in-memory job/stage/SQL history small: the bench runs ~70 queries in one session
     extra = {"spark.driver.memory": "16g", "spark.ui.retainedJobs": "50", "spark.ui.retainedStages": "100",
@@ -48,7 +49,7 @@ def main() -> None:
     timings: dict[str, float] = {}
     jobs: dict[str, int] = {}
     for name in names:
-        best = None
+        times = []
         for _ in range(repeats):
             # collect garbage between queries (untimed), so one query's garbage is not
             # charged to the next
@@ -56,10 +57,9 @@ def main() -> None:
             before = len(tracker.getJobIdsForGroup(None))
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
+            times.append(time.perf_counter() - t0)
             jobs[name] = len(tracker.getJobIdsForGroup(None)) - before
-            best = dt if best is None else min(best, dt)
-        timings[name] = round(best, 3)
+        timings[name] = round(statistics.median(times), 3)
     head = [timings[q] for q in HEADLINE if q in timings]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     optional = {"spark_jobs": jobs, "event_log_dir": event_dir} if event_dir else {}
