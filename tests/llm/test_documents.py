@@ -93,6 +93,23 @@ def test_pii_flags_only_disclosing_terms(spark):
     assert all(clean[i] == text for i, text, _ in rest)
 
 
+def test_pii_flags_terms_of_rare_entities(spark):
+    """An address in one document and one in two: the names beside them are added."""
+    own = [(0, f"Quibble writes from qu@corp.example.com about the meeting. {prose(40)}"),
+           (1, f"The meeting with Vrandel, vr@corp.example.com, is on. {prose(41)}"),
+           (2, f"The meeting by Vrandel, vr@corp.example.com, is off. {prose(42)}")]
+    rest = [(100 + i, f"The meeting with us is about {prose(30 + i)}") for i in range(60)]
+    df = spark.createDataFrame(own + rest, "doc_id long, text string")
+    found = {r.doc_id: r for r in op1_pii.find(df).collect()}
+    added = {i: [(s["kind"], text[s["start"]:s["end"]].lower()) for s in found[i]["added"]] for i, text in own}
+    assert ("generalise", "quibble") in added[0]
+    assert ("remove", "vrandel") in added[1] and ("remove", "vrandel") in added[2]
+    assert not any(w in ("the", "meeting") for i, _ in own for _, w in added[i])
+    clean = {r.doc_id: r.text for r in op1_pii.sanitise(df).collect()}
+    assert all("uibble" not in clean[i] and "randel" not in clean[i] for i, _ in own)
+    assert all(clean[i] == text for i, text in rest)
+
+
 def test_secret_base_spans(docs):
     found = op6_secrets.scan(docs).select("repo", common.span_digest_text(F.col("base")).alias("s"))
     text = lambda spans: ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)
