@@ -130,24 +130,6 @@ def find_spans(text: Column, pattern: str, only_if: Column) -> Column:
     return F.when(F.coalesce(only_if, F.lit(False)), spans).otherwise(F.array().cast(SPAN_TYPE))
 
 
-def find_contexts(text: Column, pattern: str, only_if: Column, reach: int) -> Column:
-    """The matches of :func:`find_spans` as (value, left, right): ``reach`` code points on
-    either side, without a word that the cut would break."""
-    def sides(p):
-        def one(i):
-            before, after = F.get(p, i - 1), F.get(p, i + 1)
-            left = F.when(F.length(before) > reach, F.regexp_replace(
-                F.substring(before, -reach, reach), r"^[^\s]+", "")).otherwise(before)
-            right = F.when(F.length(after) > reach, F.regexp_replace(
-                F.substring(after, 1, reach), r"[^\s]+$", "")).otherwise(after)
-            return F.struct(F.get(p, i).alias("value"), left.alias("left"), right.alias("right"))
-        odd = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: i % 2 == 1)
-        return F.transform(odd, one)
-
-    return F.when(F.coalesce(only_if, F.lit(False)), let(_marked(text, pattern), sides)).otherwise(
-        F.array().cast("array<struct<value:string,left:string,right:string>>"))
-
-
 def mask_spans(text: Column, spans: Column) -> Column:
     """``text`` with every span (start, end, mask; by start) replaced by its mask; a span that
     begins inside the one before is cut there."""

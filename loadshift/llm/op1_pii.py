@@ -1,9 +1,10 @@
 """Operator 1: information-theoretic sanitisation of personal data.
 
 The base patterns find protected entities (e-mail, IP, card and phone numbers). Corpus
-co-occurrence then estimates how strongly the words beside an entity reveal it:
+co-occurrence then estimates how strongly the words of its documents reveal it:
 
-* n(t): documents with term t, n(e, t): documents in which t stands beside entity e;
+* n(t): documents with term t, n(e, t): documents that hold both t and entity e, at any
+  distance;
 * the term discloses log2(n(e, t) N / (n(e) n(t))) bits of the entity (pointwise mutual
   information);
 * the entity's remaining information, given the term, is -log2 p(e | t) bits, with
@@ -17,7 +18,10 @@ document that mentions the entity. Documents without an entity stay as they are.
 
 All work is DataFrame expressions. Texts are never shuffled for the result: base spans are
 narrow rows, only documents with a disclosing term have their text joined, and term counts
-are pre-aggregated in the scan.
+are pre-aggregated in the scan. Since n(e, t) is at most n(e), a term in more documents than
+a bound by n(e) allows can't disclose e, and an entity in too large a share of all documents
+has no disclosing term; both are left out before terms and entities are paired, which
+changes no result.
 
 Defined cases: a null text is the empty text, without spans. Rows that repeat an id and a
 text are one document in the counts; each gives its row. Null ids are ids like others. An
@@ -42,7 +46,6 @@ BYTE = r"^0*([0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])$"
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
 
-REACH = 80                       # code points beside an entity that count as its context
 MIN_TERM_LETTERS = 3
 PRIOR_DOCS = 2.0                 # weight of the entity's overall rate, in documents
 MIN_DISCLOSED_BITS = 4.0
@@ -76,16 +79,14 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(i, *check) for i, check in enumerate(_checks(text))])
 
 
-def base_contexts(text: Column) -> Column:
-    """The base matches as (entity, context)."""
+def entities(text: Column) -> Column:
+    """The distinct entities of a text: kind and normalised value."""
     def of(kind, pattern, cheap, ok):
-        found = F.filter(C.find_contexts(text, pattern, cheap, REACH), lambda m: ok(m["value"]))
+        found = F.filter(C.find_spans(text, pattern, cheap), lambda m: ok(m["value"]))
         name = lambda v: F.lower(v) if kind == "email" else F.regexp_replace(v, "[^0-9.]", "")
-        return F.transform(found, lambda m: F.struct(
-            F.concat(F.lit(f"{kind}:"), name(m["value"])).alias("entity"),
-            F.concat_ws(" ", m["left"], m["right"]).alias("context")))
+        return F.transform(found, lambda m: F.concat(F.lit(f"{kind}:"), name(m["value"])))
 
-    return F.concat(*[of(*check) for check in _checks(text)])
+    return F.array_distinct(F.concat(*[of(*check) for check in _checks(text)]))
 
 
 def terms(text: Column) -> Column:
@@ -98,36 +99,56 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
-def disclosing_terms(mentions: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
-    """(entity, term, kind): the terms to generalise or remove. ``mentions`` has a row for
-    each document, entity and term beside it."""
-    pairs = C.materialise(mentions.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")),
-                          "pii_pairs")
-    wanted = C.materialise(pairs.select("term").distinct(), "pii_terms")
-    entities = mentions.select("entity", "doc_id", "text_hash").distinct().groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_entity"))
+def document_pairs(found: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
+    """(doc_id, text_hash, entity, term, n_entity, n_term): the terms and entities that share
+    a document, without pairs that can't disclose. ``found`` has a row for each document with
+    entities, with its ``entities`` and ``terms``."""
+    mentions = found.select("doc_id", "text_hash", F.explode("entities").alias("entity"))
+    n_entity = C.materialise(mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+                             .where(F.col("n_entity") <= n_docs / 2 ** MIN_DISCLOSED_BITS), "pii_entities")
+    held = (C.keyed_join(mentions, n_entity, ["entity"], F.struct("doc_id", "text_hash"))
+            .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("n_entity", "entity")).alias("held"))
+            .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}))
+    # n(e, t) <= n(e), so p(e | t) >= 2^-GENERALISE_BITS bounds n(t)
+    most = lambda n: 2 ** GENERALISE_BITS * (n + PRIOR_DOCS * n / F.lit(float(max(n_docs, 1))))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    near = found.join(held, same).select("doc_id", "text_hash", "held", "terms")
+    near = C.materialise(near, "pii_near")
+    wanted = C.materialise(near.select(F.explode("terms").alias("term")).distinct(), "pii_terms")
     # document frequency over the whole corpus: candidate terms only, when they fit a broadcast
     words = docs.select(F.explode(terms(F.col("text"))).alias("term"))
     small = C.small_side(wanted)
     counted = (words.join(small, "term", "left_semi") if small is not None else words).groupBy("term").agg(
         F.count(F.lit(1)).alias("n_term"))
+    largest = n_entity.agg(F.max("n_entity").alias("n")).first()["n"] or 0
+    rare = C.materialise(counted.where(F.col("n_term") <= most(F.lit(largest))), "pii_rare_terms")
+    beside = near.select("doc_id", "text_hash", "held", F.explode("terms").alias("term"))
+    met = C.keyed_join(beside, rare, ["term"], F.struct("doc_id", "text_hash"))
+    can = F.filter("held", lambda h: F.col("n_term") <= most(h["n_entity"]))
+    return (met.select("doc_id", "text_hash", "term", "n_term", F.explode(can).alias("h"))
+            .select("doc_id", "text_hash", "h.entity", "term", "h.n_entity", "n_term"))
+
+
+def disclosing_terms(pairs: DataFrame, n_docs: int) -> DataFrame:
+    """(entity, term, kind): the terms to generalise or remove."""
+    both = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both"))
     rate = F.col("n_entity") / F.lit(float(max(n_docs, 1)))
     left_over = -F.log2((F.col("n_both") + PRIOR_DOCS * rate) / (F.col("n_term") + PRIOR_DOCS))
     disclosed = F.log2(F.col("n_both") / F.col("n_term")) - F.log2(rate)
     kind = F.when(left_over <= REMOVE_BITS, "remove").when(left_over <= GENERALISE_BITS, "generalise")
-    return (pairs.join(counted, "term").join(entities, "entity")
-            .select("entity", "term", F.when(disclosed >= MIN_DISCLOSED_BITS, kind).alias("kind"))
-            .where(F.col("kind").isNotNull()))
+    return both.select("entity", "term", F.when(disclosed >= MIN_DISCLOSED_BITS, kind).alias("kind")).where(
+        F.col("kind").isNotNull())
 
 
 def term_spans(text: Column, base: Column, flagged: Column) -> Column:
     """The flagged terms of a text outside its base spans, by kind and then start."""
     found = C.find_spans(text, TERM, F.lit(True))
-    hit = C.let(flagged, lambda fl: C.let(base, lambda bs: F.filter(
-        F.transform(found, lambda s: F.struct(
+    hit = C.let(flagged, lambda fl: C.let(base, lambda bs: F.transform(
+        F.filter(found, lambda s: F.array_contains(fl["term"], F.lower(s["value"]))
+                 & ~F.exists(bs, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))),
+        lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"),
-            F.array_max(F.filter(fl, lambda f: f["term"] == F.lower(s["value"])))["kind"].alias("kind"))),
-        lambda s: s["kind"].isNotNull() & ~F.exists(bs, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))))
+            F.array_max(F.filter(fl, lambda f: f["term"] == F.lower(s["value"])))["kind"].alias("kind")))))
     order = lambda k: F.when(k == "generalise", len(KINDS)).otherwise(len(KINDS) + 1)
     return F.array_sort(F.transform(hit, lambda s: F.struct(
         order(s["kind"]).alias("kind_order"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
@@ -140,12 +161,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     slim = F.transform(base_spans(F.col("text")), lambda s: F.struct(
         s["kind_order"].alias("kind_order"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     base = C.materialise(keyed.select("doc_id", "text_hash", slim.alias("base")), "pii_base")
-    found = keyed.withColumn("found", base_contexts(F.col("text"))).where(F.size("found") > 0)
-    beside = (found.select("doc_id", "text_hash", F.explode("found").alias("m"))
-              .select("doc_id", "text_hash", "m.entity", F.explode(terms(F.col("m.context"))).alias("term")).distinct())
-    mentions = C.materialise(beside, "pii_mentions")
-    told = C.materialise(disclosing_terms(mentions, keyed, base.count()), "pii_disclosing")
-    by_doc = (C.keyed_join(mentions, told, ["entity", "term"], F.struct("doc_id", "text_hash"))
+    found = C.materialise(keyed.withColumn("entities", entities(F.col("text"))).where(F.size("entities") > 0).select(
+        "doc_id", "text_hash", "entities", terms(F.col("text")).alias("terms"))
+        .dropDuplicates(["doc_id", "text_hash"]), "pii_found")
+    n_docs = base.count()
+    pairs = C.materialise(document_pairs(found, keyed, n_docs), "pii_pairs")
+    told = C.materialise(disclosing_terms(pairs, n_docs), "pii_disclosing")
+    by_doc = (C.keyed_join(pairs.select("doc_id", "text_hash", "entity", "term"), told, ["entity", "term"],
+                           F.struct("doc_id", "text_hash"))
               .groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("term", "kind")).alias("flagged"))
               .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))

@@ -110,6 +110,19 @@ def test_pii_flags_terms_of_rare_entities(spark):
     assert all(clean[i] == text for i, text in rest)
 
 
+def test_pii_terms_at_any_distance(spark):
+    """'zorblat' discloses wherever it stands in the address's documents: far from it, and
+    with numbers between them that are no card."""
+    own = [(0, f"Zorblat came. {prose(60)} Write to far@corp.example.com now."),
+           (1, f"Write to far@corp.example.com. {prose(61)} Ask zorblat."),
+           (2, "Zorblat paid 12 of 345 on 4111 1111 1111 1111 by far@corp.example.com.")]
+    rest = [(100 + i, f"The meeting with us is about {prose(70 + i)} {VOCAB[i]}") for i in range(60)]
+    df = spark.createDataFrame(own + rest, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in op1_pii.sanitise(df).collect()}
+    assert all("orblat" not in clean[i] and "far@" not in clean[i] for i, _ in own)
+    assert all(clean[i] == text for i, text in rest)
+
+
 def test_secret_base_spans(docs):
     found = op6_secrets.scan(docs).select("repo", common.span_digest_text(F.col("base")).alias("s"))
     text = lambda spans: ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)
