@@ -3,7 +3,9 @@
 Candidates are the matches of the base patterns (assignments, access keys, hex strings) and
 other long mixed tokens. Their hashes are aggregated over the corpus by distinct
 repositories and owners: a value that several owners hold is a widely copied example, one
-that stays with a single owner and looks random is live. The method adds the live mixed
+that stays with a single owner and looks random is live. Assignments and access keys are
+told by their keyword or prefix, whatever their characters; hex strings and mixed tokens
+look random by their entropy per character, which needs no minimal length. The method adds the live mixed
 tokens to the base spans; the base spans stay whatever their verdict, which is reported
 beside them.
 
@@ -37,8 +39,7 @@ MIN_ASSIGN, MIN_ACCESS = 8, 16
 # The method's parameters.
 MAX_LIVE_OWNERS = 1              # a value held by more owners is a copied example
 MAX_LIVE_REPOS = 20              # as is one that a single owner repeats everywhere
-MIN_DISTINCT_CHARS = 10          # "looks random"
-MIN_DIGITS = 2
+MIN_BITS_PER_CHAR = 2.5          # "looks random", of hex strings and mixed tokens
 
 SPAN = "struct<start:bigint,end:bigint,kind_order:int,kind:string,value:string>"
 
@@ -70,9 +71,16 @@ def secret_value(kind: Column, value: Column) -> Column:
     return F.when(kind == "assign", F.regexp_extract(value, ASSIGN, 2)).otherwise(value)
 
 
-def looks_random(value: Column) -> Column:
-    distinct = F.size(F.array_distinct(F.split(value, "")))
-    return (distinct >= MIN_DISTINCT_CHARS) & (F.length(F.regexp_replace(value, "[^0-9]", "")) >= MIN_DIGITS)
+def bits_per_char(value: Column) -> Column:
+    """Entropy of the characters of a value, in bits."""
+    n = F.length(value)
+    share = lambda c: (n - F.length(F.replace(value, c, F.lit("")))) / n
+    return F.aggregate(F.array_distinct(F.filter(F.split(value, ""), lambda c: c != "")), F.lit(0.0),
+                       lambda total, c: total - share(c) * F.log2(share(c)))
+
+
+def looks_random(kind: Column, value: Column) -> Column:
+    return kind.isin("assign", "access") | (bits_per_char(value) >= MIN_BITS_PER_CHAR)
 
 
 def candidates(docs: DataFrame, repo_col: str, owner_col: str, text_col: str) -> DataFrame:
@@ -81,7 +89,7 @@ def candidates(docs: DataFrame, repo_col: str, owner_col: str, text_col: str) ->
     spans = F.concat(base_spans(text), mixed_spans(text))
     hashed = F.transform(spans, lambda s: C.let(secret_value(s["kind"], s["value"]), lambda v: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind_order"].alias("kind_order"),
-        s["kind"].alias("kind"), C.sha256_hex(v).alias("hash"), looks_random(v).alias("random"))))
+        s["kind"].alias("kind"), C.sha256_hex(v).alias("hash"), looks_random(s["kind"], v).alias("random"))))
     return docs.select(F.col(repo_col).alias("repo"), F.col(owner_col).cast("string").alias("owner"),
                        F.xxhash64(text).alias("text_hash"), hashed.alias("spans"))
 
