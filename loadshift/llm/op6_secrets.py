@@ -2,8 +2,10 @@
 
 Candidates are the matches of the base patterns (assignments, access keys, hex strings) and
 other long mixed tokens. Their hashes are aggregated over the corpus by distinct
-repositories and owners: a value that several owners hold is a widely copied example, one
-that stays with a single owner and looks random is live. Assignments and access keys are
+repositories and owners: a value that more than ``MAX_LIVE_OWNERS`` owners and
+``MAX_LIVE_SHARE`` of all owners hold is a widely copied example, one that stays with fewer
+and looks random is live, in however many of their repositories: a document copied to a few
+owners still shows its secret. Assignments and access keys are
 told by their keyword or prefix, whatever their characters; hex strings and mixed tokens
 look random by their entropy per character, which needs no minimal length. The method adds the live mixed
 tokens to the base spans; the base spans stay whatever their verdict, which is reported
@@ -37,8 +39,8 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 KINDS = ("assign", "access", "hex")
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 # The method's parameters.
-MAX_LIVE_OWNERS = 1              # a value held by more owners is a copied example
-MAX_LIVE_REPOS = 20              # as is one that a single owner repeats everywhere
+MAX_LIVE_OWNERS = 4              # a value held by more owners is a copied example,
+MAX_LIVE_SHARE = 0.05            # if they are also more than this share of all owners
 MIN_BITS_PER_CHAR = 2.5          # "looks random", of hex strings and mixed tokens
 
 SPAN = "struct<start:bigint,end:bigint,kind_order:int,kind:string,value:string>"
@@ -116,7 +118,8 @@ def scan(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source",
     each = (found.where(F.size("spans") > 0).select("repo", "text_hash", F.explode("spans").alias("s")).distinct()
             .withColumn("hash", F.col("s.hash")))
     judged = C.keyed_join(each, owners, ["hash"], F.struct("repo", "text_hash", "s.start"))
-    live = F.col("s.random") & (F.col("n_owners") <= MAX_LIVE_OWNERS) & (F.col("n_repos") <= MAX_LIVE_REPOS)
+    n_all = found.select("owner").distinct().count()
+    live = F.col("s.random") & (F.col("n_owners") <= max(MAX_LIVE_OWNERS, MAX_LIVE_SHARE * n_all))
     span = F.struct("s.start", "s.end", "s.kind_order", "s.kind", live.alias("live"))
     verdicts = (judged.groupBy("repo", "text_hash").agg(F.array_sort(F.collect_list(span)).alias("all"))
                 .withColumnsRenamed({"repo": "_repo", "text_hash": "_text_hash"}))

@@ -154,6 +154,15 @@ def test_secrets_of_one_owner_are_masked_whatever_their_length(spark):
     assert all(value[i] not in clean[i] and "[SECRET]" in clean[i] for i in clean) and len(clean) == 4
 
 
+def test_secrets_copied_to_few_owners_or_within_one_are_live(spark):
+    copied, repeated = "a1b2c3d4e5f60718293a4b5c6d7e8f90", "0f9e8d7c6b5a49382716053f4e5d6c7b"
+    data = [(i, f"see token = {copied} here", f"owner{i}") for i in range(2)]
+    data += [(10 + i, f"note {i} token = {repeated}!", "solo") for i in range(25)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    assert all("[SECRET]" in r.text and copied not in r.text and repeated not in r.text
+               for r in op6_secrets.redact(df).collect())
+
+
 def test_quality_statistics(docs):
     found = op3_quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                            "n_repeat_words", "base_failed")
