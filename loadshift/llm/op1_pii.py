@@ -99,10 +99,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
-def document_pairs(found: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
+def document_pairs(found: DataFrame, docs: DataFrame, copies: DataFrame, n_docs: int) -> DataFrame:
     """(doc_id, text_hash, entity, term, n_entity, n_term): the terms and entities that share
     a document, without pairs that can't disclose. ``found`` has a row for each document with
-    entities, with its ``entities`` and ``terms``."""
+    entities, with its ``entities`` and ``terms``; ``copies`` has the documents (``_id``,
+    ``_hash``) of several rows with their ``n_rows``, which are one document in n(t)."""
     mentions = found.select("doc_id", "text_hash", F.explode("entities").alias("entity"))
     n_entity = C.materialise(mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
                              .where(F.col("n_entity") <= n_docs / 2 ** MIN_DISCLOSED_BITS), "pii_entities")
@@ -116,10 +117,12 @@ def document_pairs(found: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
     near = C.materialise(near, "pii_near")
     wanted = C.materialise(near.select(F.explode("terms").alias("term")).distinct(), "pii_terms")
     # document frequency over the whole corpus: candidate terms only, when they fit a broadcast
-    words = docs.select(F.explode(terms(F.col("text"))).alias("term"))
+    few = C.small_side(copies)
+    rows = docs.join(few if few is not None else copies, same, "left")
+    words = rows.select((1 / F.coalesce("n_rows", F.lit(1))).alias("weight"), F.explode(terms(F.col("text"))).alias("term"))
     small = C.small_side(wanted)
     counted = (words.join(small, "term", "left_semi") if small is not None else words).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_term"))
+        F.round(F.sum("weight")).cast("long").alias("n_term"))
     largest = n_entity.agg(F.max("n_entity").alias("n")).first()["n"] or 0
     rare = C.materialise(counted.where(F.col("n_term") <= most(F.lit(largest))), "pii_rare_terms")
     beside = near.select("doc_id", "text_hash", "held", F.explode("terms").alias("term"))
@@ -164,8 +167,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = C.materialise(keyed.withColumn("entities", entities(F.col("text"))).where(F.size("entities") > 0).select(
         "doc_id", "text_hash", "entities", terms(F.col("text")).alias("terms"))
         .dropDuplicates(["doc_id", "text_hash"]), "pii_found")
-    n_docs = base.count()
-    pairs = C.materialise(document_pairs(found, keyed, n_docs), "pii_pairs")
+    copies = C.materialise(base.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+        F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1), "pii_copies")
+    n_docs = base.count() - (copies.agg(F.sum(F.col("n_rows") - 1).alias("n")).first()["n"] or 0)
+    pairs = C.materialise(document_pairs(found, keyed, copies, n_docs), "pii_pairs")
     told = C.materialise(disclosing_terms(pairs, n_docs), "pii_disclosing")
     by_doc = (C.keyed_join(pairs.select("doc_id", "text_hash", "entity", "term"), told, ["entity", "term"],
                            F.struct("doc_id", "text_hash"))

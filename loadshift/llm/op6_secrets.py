@@ -34,7 +34,7 @@ ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 ACCESS = r"AKIA[A-Z0-9]++"
 HEX = r"[0-9a-f]{32,}+"
 # Unquoted long tokens of the URL-safe and standard base-64 alphabets, by the method alone.
-MIXED = r"(?<![A-Za-z0-9+/_=.@-])[A-Za-z0-9+/_-]{24,}+"
+MIXED = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+"
 KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 KINDS = ("assign", "access", "hex")
 MIN_ASSIGN, MIN_ACCESS = 8, 16

@@ -123,6 +123,15 @@ def test_pii_terms_at_any_distance(spark):
     assert all(clean[i] == text for i, text in rest)
 
 
+def test_pii_doubled_rows_add_the_same_terms(spark):
+    data = [(i, f"Zorblat asks ann@corp.example.com. {prose(20 + i)}") for i in range(3)]
+    data += [(100 + i, f"The meeting with us is about {prose(30 + i)}") for i in range(60)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    spans = lambda d: {(r.doc_id, str(r.added)) for r in op1_pii.find(d).collect()}
+    once = spans(df)
+    assert any("remove" in s for _, s in once) and spans(df.unionByName(df)) == once
+
+
 def test_secret_base_spans(docs):
     found = op6_secrets.scan(docs).select("repo", common.span_digest_text(F.col("base")).alias("s"))
     text = lambda spans: ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)
@@ -163,6 +172,14 @@ def test_secrets_copied_to_few_owners_or_within_one_are_live(spark):
                for r in op6_secrets.redact(df).collect())
 
 
+def test_mixed_tokens_after_a_name_are_masked(spark):
+    value = "Qx7LmP2vT9sKdR4nB8wYzA1c"
+    forms = [f"CLIENT_KEY={value}", f"CLIENT_KEY: {value}", f"CLIENT_KEY='{value}'", f'KEY="{value}"', f"?sig={value}", f"a.{value}"]
+    df = spark.createDataFrame([(i, f"set {t} here", "solo") for i, t in enumerate(forms)], "doc_id long, text string, source string")
+    clean = {r.doc_id: r.text for r in op6_secrets.redact(df).collect()}
+    assert [clean[i] for i in range(len(forms))] == [f"set {t.replace(value, '[SECRET]')} here" for t in forms]
+
+
 def test_quality_statistics(docs):
     found = op3_quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                            "n_repeat_words", "base_failed")
