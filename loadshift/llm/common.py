@@ -25,6 +25,8 @@ SPAN_TYPE = "array<struct<start:bigint,end:bigint,value:string>>"
 # Largest number of rows of a table that is broadcast; beyond it the join is salted.
 BROADCAST_ROWS = 100_000
 SALTS = 16
+# Bytes of a batch of rows that is sent to a Python worker.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +41,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows that go to Python travel in batches of at most ``BATCH_BYTES`` (or one row), whatever
+    the length of the texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def small_side(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame | None:
     """``df`` (a materialised table) marked for broadcast when it has at most ``bound``
     rows, else None: the caller then takes a shuffled join."""

@@ -17,14 +17,15 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
                                           F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return (C.salted_join(both.where("v > u"), least, ["u"], F.col("v"))
+            .select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are tied to the smallest of them. Edges point
     from the larger node a to the smaller b."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    tied = edges.join(least, "a").select("m", F.explode(F.array("a", "b")).alias("x"))
+    tied = C.salted_join(edges, least, ["a"], F.col("b")).select("m", F.explode(F.array("a", "b")).alias("x"))
     return tied.where("x <> m").select(F.col("x").alias("a"), F.col("m").alias("b")).distinct()
 
 
@@ -32,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node with an edge, root the smallest node it reaches; roots
     themselves are left out. ``edges`` has columns a and b. Each round is written to the
     shared folder; the number of rounds grows with the logarithm of the longest chain. Nodes
-    with many edges are summed before the shuffle and split by adaptive skew joins."""
+    with many edges are summed before the shuffle and salted in the joins."""
     now = C.materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .distinct(), "links")
     before, state = None, _state(now)

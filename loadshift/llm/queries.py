@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from .op1_pii import op1_pii
 from .op10_langid import op10_language_id
+from .op11_codes import ORACLE_OP11, op11_codes
+from .op12_negatives import ORACLE_OP12, op12_hard_negatives
+from .op13_simhash import op13_simhash
 from .op2_mixing import op2_mixing
 from .op3_quality import op3_quality_rules
 from .op4_warc import ORACLE_OP4, op4_warc
@@ -24,10 +27,15 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
+    "op11_vector_codes": op11_codes,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash": op13_simhash,
 }
 
 # Operators without an entry are checked against brute force in tests/llm.
 ORACLE = {
     "op4_warc": ORACLE_OP4,
     "op8_url_filters": ORACLE_OP8,
+    "op11_vector_codes": ORACLE_OP11,
+    "op12_hard_negatives": ORACLE_OP12,
 }
