@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..session import scratch_path
-
-FILE_ID_PATTERN = r"^(\d+)-(\d+)\.parquet$"
+from . import series_files as SF
+from .series_files import FILE_ID_PATTERN
 
 
 def require_paths(spark: SparkSession, *paths: str) -> None:
@@ -105,24 +105,8 @@ def write_series(df: DataFrame, root: str) -> str:
 
 def write_source_series(df: DataFrame, root: str) -> str:
     """Write readings in the source layout, ``upgrade=U/state=S/<bldg_id>-<U>.parquet``: one
-    file per building and arm. Meant for exchange with tools that expect it; a file is
-    written by one task, and renamed by the file system that Spark uses."""
-    spark = df.sparkSession
-    part = f"{root.rstrip('/')}-parts"
-    (df.repartition("upgrade", "state", "bldg_id").withColumn("_id", F.col("bldg_id")).drop("bldg_id")
-     .write.mode("overwrite").partitionBy("upgrade", "state", "_id").parquet(part))
-    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-             .load(part).select("path").toLocalIterator())
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for row in names:
-        folder, _id = row.path.rsplit("/", 2)[0], row.path.rsplit("/", 2)[1].removeprefix("_id=")
-        arm, state = folder.rsplit("/", 2)[-2], folder.rsplit("/", 1)[-1]
-        target = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{arm}/{state}/{_id}-{arm.removeprefix('upgrade=')}.parquet")
-        fs = target.getFileSystem(conf)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(jvm.org.apache.hadoop.fs.Path(row.path), target):
-            raise OSError(f"cannot move {row.path}")
-    return root
+    file per building and arm, named by the task that writes it."""
+    return SF.write_files(df, root)
 
 
 def _series_folders(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None) -> list[str]:
@@ -141,12 +125,21 @@ def _series_folders(spark: SparkSession, root: str, upgrades: Sequence[int], sta
     return found
 
 
+def _id_table(spark: SparkSession, ids) -> DataFrame | None:
+    return spark.createDataFrame([(int(i),) for i in ids], "bldg_id int") if isinstance(ids, (list, tuple)) else ids
+
+
 def _open_series(spark, root, folders, layout, ids, schema, tolerant: bool) -> DataFrame:
     """Readings with ``bldg_id``, ``upgrade`` and ``state``. The schema is the given one, or
-    the merged footers of the folders, whatever the ids. ``ids``: a list (configuration)
-    becomes a literal filter, a DataFrame a semi-join."""
+    that of the footers of the folders, whatever the ids. ``ids``: a list (configuration)
+    becomes a literal filter; a table is joined with the listing of the files (source layout) or
+    with the readings."""
     if layout not in ("source", "table"):
         raise ValueError(f"layout must be 'source' or 'table', not {layout!r}")
+    if layout == "source":
+        found = schema if schema is not None else SF.merged_schema(spark, root, folders)
+        if found is None or isinstance(ids, DataFrame):  # files whose types differ, or a table of ids
+            return SF.open_files(spark, root, folders, _id_table(spark, ids), found).readings()
     reader = spark.read.option("basePath", root).option("ignoreCorruptFiles", "true" if tolerant else "false")
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
     df = reader.parquet(*folders)
@@ -156,14 +149,20 @@ def _open_series(spark, root, folders, layout, ids, schema, tolerant: bool) -> D
             arms = [f.rstrip("/").split("/upgrade=")[1].split("/")[0] for f in folders]
             df = df.where(fname.isin([f"{i}-{u}.parquet" for i in ids for u in arms]))
         # a file whose name does not follow the pattern gets a NULL id (never a failed job)
-        df = df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).try_cast("int"))
-    elif isinstance(ids, (list, tuple)):
+        return df.withColumn("bldg_id", F.regexp_extract(fname, FILE_ID_PATTERN, 1).try_cast("int"))
+    if isinstance(ids, (list, tuple)):
         df = df.where(F.col("bldg_id").isin(list(ids)))
     if isinstance(ids, DataFrame):
         df = df.join(ids.select(F.col("bldg_id").cast(df.schema["bldg_id"].dataType)).distinct(), "bldg_id", "left_semi")
     return df
 
 
+def series_files(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None = None, ids=None,
+                 schema=None) -> SF.SeriesFiles:
+    """The source layout's files of the requested arms and buildings (:func:`series_files.open_files`)."""
+    return SF.open_files(spark, root, _series_folders(spark, root, upgrades, state), _id_table(spark, ids), schema)
+
+
 def series_status(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None, read: DataFrame,
                   ids=None, schema=None) -> DataFrame:
     """(bldg_id, upgrade, n_expected, n_read, cause) for every source file. ``read`` holds the
@@ -172,22 +171,7 @@ def series_status(spark: SparkSession, root: str, upgrades: Sequence[int], state
     expected count comes from the footers. A building and arm is loaded only when both
     agree: a scan that skips a damaged row group, or loses rows to a storage error, does not
     pass. ``cause`` is NULL where the file is whole."""
-    folders = _series_folders(spark, root, upgrades, state)
-    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", root)
-              .load(folders).select(F.regexp_extract("path", r"/(\d+)-\d+\.parquet$", 1).try_cast("int").alias("bldg_id"),
-                                    F.regexp_extract("path", r"/upgrade=(\d+)/", 1).try_cast("int").alias("upgrade"))
-              .where(F.col("bldg_id").isNotNull()).distinct())
-    keys = ["bldg_id", "upgrade"]
-    footers = _open_series(spark, root, folders, "source", ids, schema, True).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_expected"))
-    out = listed.join(footers, keys, "left").join(read.select(*keys, "n_read"), keys, "left")
-    out = out.withColumn("n_read", F.coalesce("n_read", F.lit(0).cast("long")))
-    cause = (F.when(F.col("n_expected").isNull(), "footer unreadable")
-             .when(F.col("n_expected") != F.col("n_read"), "data unreadable"))
-    status = out.select(*keys, "n_expected", "n_read", cause.alias("cause"))
-    if isinstance(ids, (list, tuple)):
-        return status.where(F.col("bldg_id").isin(list(ids)))
-    return status.join(ids.select("bldg_id").distinct(), "bldg_id", "left_semi") if isinstance(ids, DataFrame) else status
+    return series_files(spark, root, upgrades, state, ids, schema).status(read)
 
 
 def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None = None,
