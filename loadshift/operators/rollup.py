@@ -302,3 +302,28 @@ def building_hours_from_cube(cube: DataFrame, arm: int, prefix: str, zone: str =
     return wall.select(*keys, *[c.alias(k) for k, c in parts.items()],
                        *[F.coalesce(F.col(f"_s_{c}"), F.lit(0.0)).alias(C.sanitize(prefix + sfx))
                          for c, sfx in zip(src, BUILDING_MEASURES)])
+
+
+# ---------------------------------------------------------------------------
+# The cube by wall clock, for tables in buckets (J3 without an exchange)
+# ---------------------------------------------------------------------------
+
+def wall_cube(cube: DataFrame, zone: str = TC.DEFAULT_ZONE, arm_col: str = "upgrade") -> DataFrame:
+    """The hour cube's building measures keyed by arm, building and wall-clock parts: what
+    :func:`sources.bucketed.write_bucketed` deals by ``BUCKET_KEYS``. A building's hours lie
+    in many buckets, so one that holds a large share of the rows fills none."""
+    src = [C.sanitize(_CUBE_BUILDING + sfx) for sfx in BUILDING_MEASURES]
+    local = TC.to_local(F.col(HOUR_UTC), zone)
+    return cube.select(arm_col, "bldg_id", *[c.alias(k) for k, c in TC.wall_parts(local).items()], "_n", *[f"_s_{c}" for c in src])
+
+
+BUCKET_KEYS = ("bldg_id", *WALL)
+
+
+def building_hours_from_wall_cube(table: DataFrame, arm: int, prefix: str, arm_col: str = "upgrade") -> DataFrame:
+    """D10 for one arm from a :func:`wall_cube`. The instants of the repeated hour are summed by an
+    aggregate on the bucket keys, which needs no exchange where the table is in buckets."""
+    src = [C.sanitize(_CUBE_BUILDING + sfx) for sfx in BUILDING_MEASURES]
+    sums = table.where(F.col(arm_col) == F.lit(arm)).groupBy(*BUCKET_KEYS).agg(*[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in src])
+    return sums.select(*BUCKET_KEYS, *[F.coalesce(F.col(f"_s_{c}"), F.lit(0.0)).alias(C.sanitize(prefix + sfx))
+                                       for c, sfx in zip(src, BUILDING_MEASURES)])

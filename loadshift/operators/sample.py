@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import semantics as S
+from ..session import scratch_path
+from ..sources.files import checkpoint_table
 
 APPL = "applicability"
 BTYPE = C.sanitize("in.geometry_building_type_acs")
@@ -133,13 +135,15 @@ def draw_sample(pool: DataFrame) -> DataFrame:
     """Per scenario, min(sample_size, pool size) buildings without replacement, the
     smallest hash keys.
 
-    A histogram of the key's leading digits (at most 65,536 rows per scenario, whatever the
-    pool) tells how many of each bucket are drawn; later buckets are dropped before the
+    The pool is evaluated once: it is written with its hash keys, and both passes read that
+    table. A histogram of the key's leading digits (at most 65,536 rows per scenario, whatever
+    the pool) tells how many of each bucket are drawn; later buckets are dropped before the
     shuffle, and the rest are ranked within their bucket. No task sorts a scenario, however
     large its pool or its sample."""
     key = sample_order_key(F.col("seed"), F.col("bldg_id"))
     p = pool.withColumn("_key", key).withColumn(
         "_bucket", F.conv(F.substring("_key", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int"))
+    p = checkpoint_table(p, scratch_path(pool.sparkSession, "sample_pool"))
     hist = p.groupBy("scenario", "sample_size", "_bucket").agg(F.count(F.lit(1)).alias("_c"))
     before = F.coalesce(F.sum("_c").over(Window.partitionBy("scenario").orderBy("_bucket")
                                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

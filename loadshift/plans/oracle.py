@@ -566,9 +566,57 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_reg
 # the readings that are written as source files, per building and arm
 SERIES_SOURCE_LAYOUT = f"""
 WITH {READINGS_CTE}
-SELECT bldg_id % {V.SOURCE_BUILDINGS} AS bldg_id, CAST(upgrade AS BIGINT) AS upgrade, count(*) AS n_readings,
+SELECT bldg_id, CAST(upgrade AS BIGINT) AS upgrade, count(*) AS n_readings,
   count(net) AS n_net, {rnd('sum(net)', 'sum_net')}, {rnd('sum(gas_heat)', 'sum_gas_heat')}
-FROM readings GROUP BY bldg_id % {V.SOURCE_BUILDINGS}, upgrade
+FROM readings GROUP BY bldg_id, upgrade
+"""
+
+# two of three buildings have whole numbers and no gas heating
+SERIES_MIXED_TYPES = f"""
+WITH {READINGS_CTE},
+written AS (
+  SELECT bldg_id, upgrade, CASE WHEN bldg_id % 3 = 1 THEN net ELSE floor(net) END AS net,
+    CASE WHEN bldg_id % 3 = 1 THEN gas_heat END AS gas_heat
+  FROM readings)
+SELECT bldg_id, CAST(upgrade AS BIGINT) AS upgrade, count(*) AS n_readings, count(net) AS n_net,
+  {rnd('sum(net)', 'sum_net')}, {rnd('sum(gas_heat)', 'sum_gas_heat')}, 'double' AS net_type
+FROM written GROUP BY bldg_id, upgrade
+"""
+
+SERIES_OF_ID_TABLE = f"""
+WITH {READINGS_CTE}
+SELECT bldg_id, CAST(upgrade AS BIGINT) AS upgrade, count(*) AS n_readings,
+  count(net) AS n_net, {rnd('sum(net)', 'sum_net')}, {rnd('sum(gas_heat)', 'sum_gas_heat')}
+FROM readings WHERE bldg_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+GROUP BY bldg_id, upgrade
+"""
+
+DAMAGED_FILES = f"""
+WITH {READINGS_CTE},
+files AS (SELECT bldg_id, upgrade, count(*) AS n FROM readings GROUP BY bldg_id, upgrade),
+causes AS (
+  SELECT *, CASE
+    WHEN upgrade = 0 AND bldg_id = (SELECT min(bldg_id) FROM readings WHERE upgrade = 0) THEN 'footer unreadable'
+    WHEN upgrade = 1 AND bldg_id = (SELECT max(bldg_id) FROM readings WHERE upgrade = 1) THEN 'data unreadable' END AS cause
+  FROM files)
+SELECT bldg_id, CAST(upgrade AS BIGINT) AS upgrade, CASE WHEN cause IS NULL THEN n END AS n_loaded, cause FROM causes
+"""
+
+CSV_BAD_RECORDS = f"""
+WITH lines AS (
+  SELECT *, c_custkey % {V.BAD_LINE_EVERY} AS fault, concat_ws(',', c_custkey, c_mktsegment) AS head FROM customer)
+SELECT c_custkey, c_mktsegment, CASE WHEN fault NOT IN (0, 1) THEN CAST(c_nationkey AS BIGINT) END AS c_nationkey,
+  CASE fault WHEN 0 THEN head || ',oops' WHEN 1 THEN head WHEN 2 THEN concat_ws(',', head, c_nationkey, 'more') END AS bad_line
+FROM lines
+"""
+
+INPUT_GUARDS = """
+SELECT 'events' AS input, true AS present, count(*) AS n_rows FROM events
+UNION ALL SELECT 'customer', true, count(*) FROM customer
+UNION ALL SELECT 'orders', true, count(*) FROM orders
+UNION ALL SELECT 'nation', true, count(*) FROM nation
+UNION ALL SELECT 'region', true, count(*) FROM region
+UNION ALL SELECT 'upgrade_metadata', false, NULL
 """
 
 ORACLE: dict[str, str] = {
@@ -612,4 +660,10 @@ ORACLE: dict[str, str] = {
     "hourly_by_building_dst": shifted(_hourly_by_building("baseline", 0)),
     "building_hour_compare_dst": shifted(BUILDING_HOUR_COMPARE),
     "series_source_layout": SERIES_SOURCE_LAYOUT,
+    "series_mixed_types": SERIES_MIXED_TYPES,
+    "series_of_id_table": SERIES_OF_ID_TABLE,
+    "damaged_files": DAMAGED_FILES,
+    "bucketed_arm_join": BUILDING_HOUR_COMPARE,
+    "csv_bad_records": CSV_BAD_RECORDS,
+    "input_guards": INPUT_GUARDS,
 }

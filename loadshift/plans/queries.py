@@ -21,11 +21,14 @@ from ..functions import semantics as S
 from ..functions import timecols as TC
 from ..operators import compare as CMP
 from ..operators import joins as J
+from ..operators import order as ORD
 from ..operators import report as REP
 from ..operators import rollup as R
 from ..operators import sample as SMP
+from ..sources import bucketed as B
 from ..sources import driver_views as V
 from ..sources import files as IO
+from ..sources import series_files as SF
 from ..streaming import hourly as ST
 from . import job
 
@@ -210,7 +213,8 @@ def _pool(spark, sf_dir) -> DataFrame:
 
 
 def _sample(spark, sf_dir) -> DataFrame:
-    return SMP.draw_sample(_pool(spark, sf_dir))
+    """The sample, written: its readers share one evaluation of the pool."""
+    return IO.checkpoint_table(SMP.draw_sample(_pool(spark, sf_dir)), IO.scratch_dir(spark, "sample"))
 
 
 PREP_COLUMNS = ("bldg_id", "applicability", "heating_electricity_kwh", "cooling_electricity_kwh",
@@ -437,17 +441,16 @@ def building_hour_compare_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_text_8760(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comparison written as one text file in hour order and read back, with
-    its row numbers and its times as text. A comparison has one row per hour of a year, so
-    one file is bounded."""
+    """The comparison in hour order, numbered, written as text files of ascending hours
+    and read back, with its times as text. The order is made by ranges of hours; no task sorts
+    or numbers the whole."""
     cmp = _onepass(spark, sf_dir).select("hour_utc", "time_hr", "interval_count_base", "total_electricity_mwh_base",
                                          "total_mwh_scaled")
-    text = (cmp.coalesce(1).sortWithinPartitions("hour_utc").withColumn("time_hr", TC.r_datetime_text(F.col("time_hr")))
-            .drop("hour_utc"))
+    text = (ORD.numbered(cmp, ["hour_utc"]).withColumn("time_hr", TC.r_datetime_text(F.col("time_hr"))).drop("hour_utc"))
     path = IO.write_csv(text, IO.scratch_dir(spark, "report_text"))
-    schema = "time_hr string, interval_count_base long, total_electricity_mwh_base double, total_mwh_scaled double"
-    back = IO.read_csv(spark, path, schema).coalesce(1)
-    return finalize(back.withColumn("row_number", F.monotonically_increasing_id() + 1))
+    schema = ("time_hr string, interval_count_base long, total_electricity_mwh_base double, total_mwh_scaled double, "
+              "row_number long")
+    return finalize(IO.read_csv(spark, path, schema))
 
 
 def annual_energy_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,16 +467,102 @@ def large_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(SMP.draw_sample(pool).select("scenario", "bldg_id"))
 
 
+def _by_building_arm(back: DataFrame) -> DataFrame:
+    return back.groupBy("bldg_id", "upgrade").agg(
+        F.count(F.lit(1)).alias("n_readings"), F.count(R.NET).alias("n_net"), F.sum(R.NET).alias("sum_net"),
+        F.sum(R.GAS_HEAT).alias("sum_gas_heat"))
+
+
+def _source_series(spark, sf_dir, name: str) -> str:
+    """The readings in the source layout: one file per building and arm, named by the tasks."""
+    root = IO.scratch_dir(spark, name)
+    IO.write_source_series(V.readings(spark, sf_dir).withColumn("state", F.lit("VA")), root)
+    return root
+
+
 def series_source_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings written as one file per building and arm, as the source has
     them, and read back: ids from file names, arms and state from folders."""
-    root = IO.scratch_dir(spark, "series_source")
-    rd = V.readings(spark, sf_dir).withColumn("bldg_id", F.col("bldg_id") % V.SOURCE_BUILDINGS)
-    IO.write_source_series(rd.withColumn("state", F.lit("VA")), root)
+    root = _source_series(spark, sf_dir, "series_source")
+    return finalize(_by_building_arm(IO.read_series(spark, root, (BASE, UPG), "VA", layout="source")))
+
+
+def series_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder whose measures have different types (whole numbers of 4 and 8 bytes
+    and fractions), one measure missing in some: types from the footers, one schema."""
+    root = IO.scratch_dir(spark, "series_mixed")
+    rd = V.readings(spark, sf_dir).withColumn("state", F.lit("VA"))
+    kinds = len(V.MIXED_TYPES)
+    for k, kind in enumerate(V.MIXED_TYPES):
+        part = rd.where(F.col("bldg_id") % kinds == k).withColumn(R.NET, F.floor(R.NET).cast(kind) if kind != "double" else F.col(R.NET))
+        SF.write_files(part if kind == "double" else part.drop(R.GAS_HEAT), root, overwrite=False)
     back = IO.read_series(spark, root, (BASE, UPG), "VA", layout="source")
-    return finalize(back.groupBy("bldg_id", "upgrade").agg(
-        F.count(F.lit(1)).alias("n_readings"), F.count(R.NET).alias("n_net"), F.sum(R.NET).alias("sum_net"),
-        F.sum(R.GAS_HEAT).alias("sum_gas_heat")).withColumn("bldg_id", F.col("bldg_id").cast("long")))
+    return finalize(_by_building_arm(back).withColumn("net_type", F.lit(back.schema[R.NET].dataType.simpleString())))
+
+
+def series_of_id_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the buildings in an id table (the customers of one market segment),
+    found by joining it with the listing; most of the files are not opened."""
+    root = _source_series(spark, sf_dir, "series_ids")
+    ids = V.table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == V.SAMPLED_SEGMENT).select(
+        F.col("c_custkey").alias("bldg_id"))
+    return finalize(_by_building_arm(IO.read_series(spark, root, (BASE, UPG), "VA", ids=ids, layout="source")))
+
+
+def damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status and cause of every building and arm after one file has lost its end and
+    the pages of another were overwritten; both are dropped whole from the readings."""
+    root = _source_series(spark, sf_dir, "series_damaged")
+    rd = V.readings(spark, sf_dir)
+    first, last = rd.agg(F.min(F.when(F.col("upgrade") == BASE, F.col("bldg_id"))),
+                         F.max(F.when(F.col("upgrade") == UPG, F.col("bldg_id")))).first()
+    IO.truncate_file(spark, f"{root}/upgrade={BASE}/state=VA/{first}-{BASE}.parquet")
+    IO.blot_file(spark, f"{root}/upgrade={UPG}/state=VA/{last}-{UPG}.parquet")
+    files = IO.series_files(spark, root, (BASE, UPG), "VA")
+    read = IO.checkpoint_table(IO.count_readings(files.readings()), IO.scratch_dir(spark, "damaged_read"))
+    status = files.status(read)
+    return finalize(status.select("bldg_id", "upgrade", F.when(F.col("cause").isNull(), F.col("n_read")).alias("n_loaded"), "cause"))
+
+
+def bucketed_arm_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hour cube written in buckets of building and hour, both arms read from it and
+    joined without an exchange. Same result as ``building_hour_compare``."""
+    cube = R.wall_cube(R.hour_cube(V.readings(spark, sf_dir)), ZONE)
+    table = B.write_bucketed(cube, IO.scratch_dir(spark, "wall_cube"), R.BUCKET_KEYS)
+    arms = [R.building_hours_from_wall_cube(table, arm, name) for arm, name in ((BASE, "baseline"), (UPG, "upgrade"))]
+    return finalize(CMP.join_building_arms(*arms))
+
+
+def csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV some of whose lines have text in a number, a field too few or one too many. The
+    bad lines are listed; the rows stay in the data with what could be read."""
+    c = V.table(spark, sf_dir, "customer")
+    key, fields = F.col("c_custkey"), [F.col("c_custkey").cast("string"), F.col("c_mktsegment"), F.col("c_nationkey").cast("string")]
+    fault = key % V.BAD_LINE_EVERY
+    line = (F.when(fault == 0, F.concat_ws(",", fields[0], fields[1], F.lit("oops")))
+            .when(fault == 1, F.concat_ws(",", *fields[:2]))
+            .when(fault == 2, F.concat_ws(",", *fields, F.lit("more")))
+            .otherwise(F.concat_ws(",", *fields)))
+    path = IO.scratch_dir(spark, "bad_csv")
+    c.select(line.alias("c_custkey,c_mktsegment,c_nationkey")).write.option("header", True).option("sep", "\u0001").csv(path)
+    schema = "c_custkey bigint, c_mktsegment string, c_nationkey bigint"
+    rows = IO.read_csv(spark, path, schema)
+    bad = IO.bad_records(spark, path, schema).select(
+        F.regexp_extract("line", r"^(\d+),", 1).try_cast("bigint").alias("c_custkey"), F.col("line").alias("bad_line"))
+    return finalize(rows.join(bad, "c_custkey", "left"))
+
+
+def input_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which inputs of a run are there, and how many rows those hold; a missing one is listed
+    (``io.require_paths`` raises for it)."""
+    base = sf_dir.rstrip("/")
+    found = IO.input_status(spark, {n: f"{base}/{n}.parquet" for n in V.JOB_INPUTS}).drop("path")
+    rows = [V.table(spark, sf_dir, r.input).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("input", F.lit(r.input))
+            for r in found.collect() if r.present]  # one row for each configured input
+    counts = rows[0]
+    for more in rows[1:]:
+        counts = counts.unionByName(more)
+    return finalize(found.join(counts, "input", "left"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -517,4 +606,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_by_building_dst": hourly_by_building_dst,
     "building_hour_compare_dst": building_hour_compare_dst,
     "series_source_layout": series_source_layout,
+    "series_mixed_types": series_mixed_types,
+    "series_of_id_table": series_of_id_table,
+    "damaged_files": damaged_files,
+    "bucketed_arm_join": bucketed_arm_join,
+    "csv_bad_records": csv_bad_records,
+    "input_guards": input_guards,
 }

@@ -98,9 +98,15 @@ def requested_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("bldg_id")).distinct()
 
 
-# All readings are dealt into so many buildings where they are written in the source layout,
-# which makes a file for every building and arm.
-SOURCE_BUILDINGS = 20
+# Types of the net electricity in the files of a folder with mixed types, by building id modulo their
+# number; only the files with fractions hold the gas heating measure.
+MIXED_TYPES = ("int", "double", "bigint")
+# The buildings of an id table: customers of this segment.
+SAMPLED_SEGMENT = "BUILDING"
+# Of so many lines of a damaged CSV, three are bad (by customer key).
+BAD_LINE_EVERY = 50
+# Inputs of a run over the driver's tables; the last is not among them.
+JOB_INPUTS = ("events", "customer", "orders", "nation", "region", "upgrade_metadata")
 # Moves the January events over the clock change of November 3, 2024.
 DRIVER_AUTUMN_SHIFT_DAYS = 300
 # Samples of all buildings (name, size, seed): one above a thousand, one above the table

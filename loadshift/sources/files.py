@@ -17,6 +17,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..session import scratch_path
@@ -24,13 +25,78 @@ from . import series_files as SF
 from .series_files import FILE_ID_PATTERN
 
 
+BAD_LINE = "_bad_line"
+
+
+def input_status(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(input, path, present) of the named inputs, which are configuration."""
+    return spark.createDataFrame([(name, p, path_exists(spark, p)) for name, p in paths.items()],
+                                 "input string, path string, present boolean")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hp = _at(spark, path)
+    return fs.exists(hp)
+
+
+def _at(spark: SparkSession, path: str):
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hp
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, through the file system that Spark uses."""
+    fs, hp = _at(spark, path)
+    stream = fs.open(hp)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, hp = _at(spark, path)
+    stream = fs.create(hp, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _rewrite(spark: SparkSession, path: str, change) -> None:
+    """Replace one small file by ``change`` of its bytes."""
+    fs, hp = _at(spark, path)
+    stream = fs.open(hp)
+    data = bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    stream.close()
+    out = fs.create(hp, True)
+    out.write(bytearray(change(data)))
+    out.close()
+
+
+def truncate_file(spark: SparkSession, path: str) -> None:
+    """Cut the second half off a file (a copy that broke off)."""
+    _rewrite(spark, path, lambda b: b[:len(b) // 2])
+
+
+def blot_file(spark: SparkSession, path: str) -> None:
+    """Overwrite the pages of a parquet file but not its footer (a damaged disk block)."""
+    def blot(b: bytes) -> bytes:
+        body = len(b) - 8 - int.from_bytes(b[-8:-4], "little")
+        return b[:4] + b"\xff" * (body - 4) + b[body:]
+    _rewrite(spark, path, blot)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, hp = _at(spark, path)
+    fs.delete(hp, True)
+
+
 def require_paths(spark: SparkSession, *paths: str) -> None:
     """Fail early, with the path in the message, when an input is missing."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        if not hp.getFileSystem(conf).exists(hp):
+        if not path_exists(spark, p):
             raise FileNotFoundError(f"Missing file: {p}")
 
 
@@ -46,13 +112,27 @@ def read_csv(spark: SparkSession, path: str, schema, sanitize: bool = True) -> D
     return C.sanitize_columns(df) if sanitize else df
 
 
+def csv_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The inferred schema of a CSV (a convenience for small files; give the schema for
+    production runs)."""
+    return spark.read.option("header", True).option("nullValue", "NA").option("inferSchema", True).csv(path).schema
+
+
 def read_metadata(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Building metadata CSV. With no schema the types are inferred (a
-    convenience for small files; give the schema for production runs)."""
-    if schema is not None:
-        return read_csv(spark, path, schema)
-    df = (spark.read.option("header", True).option("nullValue", "NA").option("inferSchema", True).csv(path))
-    return C.sanitize_columns(df)
+    """Building metadata CSV. With no schema the types are inferred."""
+    return read_csv(spark, path, csv_schema(spark, path) if schema is None else schema)
+
+
+def bad_records(spark: SparkSession, path: str, schema) -> DataFrame:
+    """(file, line, parsed) of the CSV lines that do not fit the schema: a field of another
+    type, too few or too many fields. ``parsed`` shows what :func:`read_csv` keeps of the line,
+    as JSON. All fields are parsed, so that no fault is pruned away."""
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    raw = (spark.read.schema(T.StructType([*fields, T.StructField(BAD_LINE, T.StringType())])).option("header", True)
+           .option("nullValue", "NA").option("emptyValue", None).option("columnNameOfCorruptRecord", BAD_LINE).csv(path))
+    parsed = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in fields]))
+    return (raw.select(F.col("_metadata.file_name").alias("file"), F.col(BAD_LINE).alias("line"), parsed.alias("parsed"))
+            .where(F.col("line").isNotNull() & (F.length("parsed") > 0)))
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
@@ -85,7 +165,6 @@ def checkpoint_table(df: DataFrame, path: str, partition_by: Sequence[str] | Non
     write_parquet(df, path, partition_by)
     parts = list(partition_by or [])
     fields = {f.name: f for f in df.schema.fields}
-    from pyspark.sql import types as T
     schema = T.StructType([fields[c] for c in df.columns if c not in parts] + [fields[c] for c in parts])
     spark = df.sparkSession
     return spark.read.schema(schema).parquet(path).select(*df.columns)
@@ -109,17 +188,11 @@ def write_source_series(df: DataFrame, root: str) -> str:
     return SF.write_files(df, root)
 
 
-def _series_folders(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None) -> list[str]:
+def series_folders(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None) -> list[str]:
     """The folders of the arms (and state): only these are listed. A missing arm is left out;
     no folder at all is an error."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     wanted = [f"{root.rstrip('/')}/upgrade={u}" + (f"/state={state}" if state is not None else "") for u in upgrades]
-
-    def exists(p):
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        return hp.getFileSystem(conf).exists(hp)
-
-    found = [p for p in wanted if exists(p)]
+    found = [p for p in wanted if path_exists(spark, p)]
     if not found:
         raise FileNotFoundError(f"Missing file: {', '.join(wanted)}")
     return found
@@ -160,7 +233,13 @@ def _open_series(spark, root, folders, layout, ids, schema, tolerant: bool) -> D
 def series_files(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None = None, ids=None,
                  schema=None) -> SF.SeriesFiles:
     """The source layout's files of the requested arms and buildings (:func:`series_files.open_files`)."""
-    return SF.open_files(spark, root, _series_folders(spark, root, upgrades, state), _id_table(spark, ids), schema)
+    return SF.open_files(spark, root, series_folders(spark, root, upgrades, state), _id_table(spark, ids), schema)
+
+
+def count_readings(readings: DataFrame) -> DataFrame:
+    """(bldg_id, upgrade, n_read) of a scan that reads every column; write it before use."""
+    touched = F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in readings.columns]))
+    return readings.groupBy("bldg_id", "upgrade").agg(F.count(F.lit(1)).alias("n_read"), touched.alias("_touched"))
 
 
 def series_status(spark: SparkSession, root: str, upgrades: Sequence[int], state: str | None, read: DataFrame,
@@ -187,12 +266,10 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
     unreadable one is an error.
 
     ``measures`` (dotted or sanitized names) narrows the columns; by default all are kept."""
-    folders = _series_folders(spark, root, upgrades, state)
+    folders = series_folders(spark, root, upgrades, state)
     df = _open_series(spark, root, folders, layout, ids, schema, tolerant=layout == "source")
     if layout == "source" and check:
-        touched = F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))  # every column is read
-        read = df.groupBy("bldg_id", "upgrade").agg(F.count(F.lit(1)).alias("n_read"), touched.alias("_touched"))
-        read = checkpoint_table(read, scratch_path(spark, "series_probe"))
+        read = checkpoint_table(count_readings(df), scratch_path(spark, "series_probe"))
         bad = series_status(spark, root, upgrades, state, read, ids, schema).where(F.col("cause").isNotNull())
         bad = checkpoint_table(bad.select("bldg_id", "upgrade"), scratch_path(spark, "series_bad"))
         if bad.count():

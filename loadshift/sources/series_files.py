@@ -284,15 +284,13 @@ def _store(path: str) -> tuple[pfs.FileSystem, str]:
 class SeriesFileWriter(DataSourceArrowWriter):
     """Writes sorted rows of (upgrade, state, bldg_id, ...) as one file per building and arm. A
     file is written below ``_temporary`` and moved into place when it is whole, so repeated
-    attempts of a task leave the same files, and a lost one leaves none."""
+    attempts of a task leave the same files, and a lost one leaves none. Without ``overwrite``
+    files are added to the folder (a building and arm that is there already is replaced)."""
 
     def __init__(self, root: str, overwrite: bool):
-        self.root, self.run = root.rstrip("/"), uuid.uuid4().hex
+        self.root, self.run, self.overwrite = root.rstrip("/"), uuid.uuid4().hex, overwrite
         store, at = _store(self.root)
-        held = store.get_file_info(at).type != pfs.FileType.NotFound
-        if held and not overwrite and store.get_file_info(pfs.FileSelector(at)):
-            raise FileExistsError(f"Not empty: {root}")
-        if held:
+        if overwrite and store.get_file_info(at).type != pfs.FileType.NotFound:
             store.delete_dir_contents(at)
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
@@ -343,15 +341,16 @@ class SeriesFileWriter(DataSourceArrowWriter):
             pass
 
     def abort(self, messages) -> None:
-        """Nothing of a failed job stays."""
+        """Nothing of a failed job stays; of one that adds to a folder, no partial file."""
         store, root = _store(self.root)
-        if store.get_file_info(root).type != pfs.FileType.NotFound:
+        if self.overwrite and store.get_file_info(root).type != pfs.FileType.NotFound:
             store.delete_dir_contents(root)
+        self._clear()
 
     def _clear(self) -> None:
         store, root = _store(self.root)
-        if store.get_file_info(f"{root}/_temporary").type != pfs.FileType.NotFound:
-            store.delete_dir(f"{root}/_temporary")
+        if store.get_file_info(f"{root}/_temporary/{self.run}").type != pfs.FileType.NotFound:
+            store.delete_dir(f"{root}/_temporary/{self.run}")
 
 
 class SeriesFileSource(DataSource):
