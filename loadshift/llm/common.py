@@ -9,8 +9,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import scratch_path
 
@@ -47,6 +52,30 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def map_rows(df: DataFrame, carried: list[str], given: list[str], columns: str, rows: Callable) -> DataFrame:
+    """``carried`` columns of ``df`` untouched (they stay Arrow columns, so a null beside a large
+    id changes neither) and new ``columns`` (DDL). ``rows()`` is called once in a task and returns
+    a function of the lists of the ``given`` columns of a batch, whose result is a list of
+    rows of the new columns, one for each row of the batch."""
+    bound_batches(df.sparkSession)
+    made = T._parse_datatype_string(columns)
+    kinds = [to_arrow_type(f.dataType) for f in made]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = rows()
+        for b in batches:
+            found = work(*[b.column(f"given{i}").to_pylist() for i in range(len(given))])
+            new = [pa.array([r[i] for r in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*[b.column(f"carried{i}") for i in range(len(carried))], *new],
+                                             [*[f"carried{i}" for i in range(len(carried))], *made.names])
+
+    inputs = df.select(*[F.col(f"`{c}`").alias(f"carried{i}") for i, c in enumerate(carried)],
+                       *[F.col(f"`{c}`").alias(f"given{i}") for i, c in enumerate(given)])
+    kept = T.StructType([f for f in inputs.schema if f.name.startswith("carried")])
+    out = inputs.mapInArrow(run, T.StructType([*kept, *made]))
+    return out.select(*[F.col(f"carried{i}").alias(c) for i, c in enumerate(carried)], *made.names)
+
+
 def small_side(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame | None:
     """``df`` (a materialised table) marked for broadcast when it has at most ``bound``
     rows, else None: the caller then takes a shuffled join."""

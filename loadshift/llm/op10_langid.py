@@ -12,8 +12,10 @@ learned from; ``held_out`` is false for them. Ties go to the alphabetically firs
 Repeated rows each give a row; an empty table gives no rows. Input columns other than id,
 text and language are ignored.
 
-Work is linear in the text; memory per task is bounded by one Arrow batch. The model is
-languages x ``BUCKETS`` counts, whatever the corpus.
+Work is linear in the text. A task holds one Arrow batch of bounded bytes and the word scores
+(words x languages) of one chunk of texts, or of one text longer than a chunk. Labels take the
+smallest type that holds the number of languages. The model is languages x ``BUCKETS`` counts,
+whatever the corpus.
 """
 
 from __future__ import annotations
@@ -96,12 +98,12 @@ class Reader:
                      np.diff(np.append(first, at.size)), text)
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """(index of the first, texts) in groups of about CHUNK_CHARS characters, whole texts."""
+def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first, texts) in groups of about ``limit`` characters, whole texts."""
     begin, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t)
-        if size >= CHUNK_CHARS:
+        if size >= limit:
             yield begin, texts[begin:i + 1]
             begin, size = i + 1, 0
     if begin < len(texts):
@@ -144,6 +146,7 @@ def count_letters(train: DataFrame) -> DataFrame:
 
 def fit(train: DataFrame) -> Model:
     """The model of all rows of ``train`` (lang, text, both not null)."""
+    C.bound_batches(train.sparkSession)
     counts = count_letters(train).toPandas()
     languages = tuple(sorted(counts["lang"].unique()))
     n_scripts = len({name for _, name in SCRIPT_STARTS})
@@ -160,25 +163,27 @@ def fit(train: DataFrame) -> Model:
 
 def viterbi(scores: np.ndarray, begin: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
     """Best label of every word. Word scores of text i are rows begin[i] to begin[i] + sizes[i];
-    texts of like length advance together, one word at a time."""
-    labels = np.zeros(len(scores), np.int8)
+    texts of like length advance together, one word at a time. Ties go to staying, then to the
+    lower label."""
+    kind = np.min_scalar_type(max(scores.shape[1] - 1, 0))  # holds every label
+    labels = np.zeros(len(scores), kind)
     order = np.argsort(-sizes, kind="stable")
     order = order[sizes[order] > 0]
-    own = np.arange(scores.shape[1], dtype=np.int8)
+    own = np.arange(scores.shape[1], dtype=kind)
     while order.size:
         longest = int(sizes[order[0]])
         group, order = np.split(order, [max(1, CHUNK_CELLS // longest)])
         size, at = sizes[group], begin[group]
         active = np.searchsorted(-size, -np.arange(longest), side="left")  # texts with more than t words
-        came = np.zeros((longest, group.size, own.size), np.int8)
+        came = np.zeros((longest, group.size, own.size), kind)
         best = scores[at].copy()
         for t in range(1, longest):
             n = active[t]
             v = best[:n]
             jump = v.max(axis=1, keepdims=True) - penalty
-            came[t, :n] = np.where(v < jump, v.argmax(axis=1)[:, None].astype(np.int8), own)
+            came[t, :n] = np.where(v < jump, v.argmax(axis=1)[:, None].astype(kind), own)
             best[:n] = scores[at[:n] + t] + np.maximum(v, jump)
-        now, texts = best.argmax(axis=1).astype(np.int8), np.arange(group.size)
+        now, texts = best.argmax(axis=1).astype(kind), np.arange(group.size)
         for t in range(longest - 1, -1, -1):
             n = active[t]
             labels[at[:n] + t] = now[:n]
@@ -186,34 +191,32 @@ def viterbi(scores: np.ndarray, begin: np.ndarray, sizes: np.ndarray, penalty: f
     return labels
 
 
-def predict_texts(texts: list[str], model: Model, reader: Reader) -> tuple[list, np.ndarray, list]:
-    """(language, score, spans) of every text; spans are ``lang:start:end`` in code points."""
-    n_langs = len(model.languages)
-    scores, letters, text, start = [], [], [], []
-    for base, part in chunks(texts):
-        w = reader.words(part)
-        if w.first.size and n_langs:
-            scores.append(np.add.reduceat(model.log_prob[w.bucket], w.first, axis=0) + model.allowed[w.script])
-            letters.append(w.letters)
-            text.append(w.text + base)
-            start.append(w.start)
-    if not scores:
-        return ["und"] * len(texts), np.zeros(len(texts)), [""] * len(texts)
-    scores, letters, text, start = map(np.concatenate, (scores, letters, text, start))
-    begin = np.searchsorted(text, np.arange(len(texts)))
-    labels = viterbi(scores, begin, np.diff(np.append(begin, len(text))))
-    weight = np.bincount(text * n_langs + labels, weights=letters, minlength=len(texts) * n_langs)
+def _predict_chunk(texts: list[str], model: Model, reader: Reader) -> list[tuple]:
+    n_langs, w = len(model.languages), reader.words(texts)
+    if not (w.first.size and n_langs):
+        return [("und", 0.0, "")] * len(texts)
+    scores = np.add.reduceat(model.log_prob[w.bucket], w.first, axis=0) + model.allowed[w.script]
+    begin = np.searchsorted(w.text, np.arange(len(texts)))
+    labels = viterbi(scores, begin, np.diff(np.append(begin, len(w.text)))).astype(np.int64)
+    weight = np.bincount(w.text * n_langs + labels, weights=w.letters, minlength=len(texts) * n_langs)
     weight = weight.reshape(len(texts), n_langs)
     total = weight.sum(axis=1)
     names = np.array([*model.languages, "und"], dtype=object)
     winner = names[np.where(total > 0, weight.argmax(axis=1), n_langs)].tolist()
     share = np.divide(weight.max(axis=1), total, out=np.zeros(len(texts)), where=total > 0)
-    cut = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(labels, prepend=-1) != 0))
-    last = np.append(cut[1:], len(text)) - 1
+    cut = np.flatnonzero((np.diff(w.text, prepend=-1) != 0) | (np.diff(labels, prepend=-1) != 0))
+    last = np.append(cut[1:], len(w.text)) - 1
     spans: list[list[str]] = [[] for _ in texts]
-    for i, a, b, k in zip(text[cut], start[cut], start[last] + letters[last], labels[cut], strict=True):
+    for i, a, b, k in zip(w.text[cut], w.start[cut], w.start[last] + w.letters[last], labels[cut], strict=True):
         spans[i].append(f"{names[k]}:{a}:{b}")
-    return winner, share, [",".join(s) for s in spans]
+    return [(lang, float(p), ",".join(s)) for lang, p, s in zip(winner, share, spans, strict=True)]
+
+
+def predict_texts(texts: list[str], model: Model, reader: Reader) -> list[tuple]:
+    """(language, score, spans) of every text; spans are ``lang:start:end`` in code points. The
+    word scores of one chunk (or one long text) are held at a time."""
+    limit = max(CHUNK_CHARS // 4, min(8, 64 // max(1, len(model.languages))) * CHUNK_CHARS)  # words x languages are held
+    return [row for _, part in chunks(texts, limit) for row in _predict_chunk(part, model, reader)]
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -222,15 +225,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((model.languages, model.log_prob, model.allowed))  # languages x BUCKETS
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows():
         reader, learned = Reader(), Model(*sent.value)
-        for b in batches:
-            lang, score, spans = predict_texts([t or "" for t in b["text"]], learned, reader)
-            yield b[["doc_id", "held_out"]].assign(lang_pred=lang, score=score, spans=spans)
+        return lambda texts: predict_texts([t or "" for t in texts], learned, reader)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     inputs = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    out = inputs.mapInPandas(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, spans string")
+    out = C.map_rows(inputs, ["doc_id", "held_out"], ["text"], "lang_pred string, score double, spans string", rows)
     return out.select("doc_id", "held_out", "lang_pred", "score",
                       F.when(F.col("spans") == "", F.lit(0)).otherwise(F.size(F.split("spans", ","))).cast("long")
                       .alias("n_spans"), "spans")

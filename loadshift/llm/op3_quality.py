@@ -20,11 +20,9 @@ linear in its length, whole texts only.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,16 +140,11 @@ def judge(docs: DataFrame, rules: LineRules = LineRules(), text_col: str = "text
     no shuffle."""
     schema = STATS_SCHEMA if clean_text else STATS_SCHEMA.rpartition(",")[0]
     names = [c.split()[0] for c in schema.split(", ")]
-    inputs = docs.select(*[F.col(c).alias(f"_in_{c}") for c in keep_columns], F.col(text_col).alias("_text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [judge_text(t, rules)[:len(names)] for t in b["_text"]]
-            yield pd.concat([b.drop(columns="_text"), pd.DataFrame(rows, columns=names, index=b.index)], axis=1)
+    def rows():
+        return lambda texts: [judge_text(t, rules)[:len(names)] for t in texts]
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema if f.name != "_text")
-    out = inputs.mapInPandas(run, f"{kept}, {schema}")
-    return out.withColumnsRenamed({f"_in_{c}": c for c in keep_columns})
+    return C.map_rows(docs, list(keep_columns), [text_col], schema, rows)
 
 
 def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:

@@ -166,19 +166,20 @@ def evidence(docs: DataFrame, model: np.ndarray) -> DataFrame:
     """doc_id, host, path and the evidence (log-odds) for each label, of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+    def rows():
         ratios = sent.value
-        for b in batches:
-            rows = []
-            for part, text in zip(b["fold"], b["text"], strict=True):
+
+        def work(parts, texts):
+            found = []
+            for part, text in zip(parts, texts, strict=True):
                 at, learned = features(text), ratios[1 - part]
-                rows.append(learned[:, at].sum(axis=1) + learned[:, -1] if at.size else np.zeros(len(LABELS)))
-            found = np.clip(np.array(rows).reshape(len(b), len(LABELS)), -MAX_EVIDENCE, MAX_EVIDENCE)
-            yield b[["doc_id", "host", "path"]].assign(**{f"e_{x}": found[:, k] for k, x in enumerate(LABELS)})
+                found.append(learned[:, at].sum(axis=1) + learned[:, -1] if at.size else np.zeros(len(LABELS)))
+            return np.clip(np.array(found, float).reshape(len(parts), len(LABELS)), -MAX_EVIDENCE, MAX_EVIDENCE).tolist()
+
+        return work
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "host", "path", "fold", "text").mapInPandas(
-        run, f"doc_id {kind}, host string, path string, " + ", ".join(f"e_{x} double" for x in LABELS))
+    return C.map_rows(docs, ["doc_id", "host", "path"], ["fold", "text"], ", ".join(f"e_{x} double" for x in LABELS), rows)
 
 
 def _logistic(x: Column) -> Column:
@@ -217,6 +218,7 @@ def classify(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_
     """doc_id, score and toxic_score (posterior probabilities), evidence, site rate, kept."""
     keyed = docs.select("doc_id", F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"),
                         "text", fold(F.col("doc_id")).alias("fold"))
+    C.bound_batches(docs.sparkSession)
     known = labels.select("doc_id", *LABELS).where("doc_id IS NOT NULL")
     small = C.small_side(known, MAX_LABELS)
     model = fit(keyed.join(small if small is not None else known, "doc_id"))

@@ -14,7 +14,7 @@ from loadshift.llm.queries import ORACLE, QUERIES
 
 def test_registered():
     numbers = sorted(int(q[2:].split("_")[0]) for q in QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in E.queries()
     assert [n for n, _ in P.STAGES] == ["quality_rules", "jaccard_join", "decontamination", "secret_scan", "mixing"]
 
 
