@@ -3,28 +3,32 @@
 The base patterns find protected entities (e-mail, IP, card and phone numbers). Corpus
 co-occurrence then estimates how strongly the words of its documents reveal it:
 
-* n(t): documents with term t, n(e, t): documents that hold both t and entity e, at any
-  distance;
-* the term discloses log2(n(e, t) N / (n(e) n(t))) bits of the entity (pointwise mutual
-  information);
-* the entity's remaining information, given the term, is -log2 p(e | t) bits, with
-  p(e | t) = (n(e, t) + A n(e) / N) / (n(t) + A): n(e, t) / n(t) drawn towards the entity's
-  rate as by A = ``PRIOR_DOCS`` further documents, so that few documents weigh less but are
-  never no evidence. A term seen once, beside the entity, leaves 1.6 bits.
-
-A term that discloses at least ``MIN_DISCLOSED_BITS`` and leaves at most ``REMOVE_BITS`` is
-removed, one that leaves at most ``GENERALISE_BITS`` is generalised, wherever it stands in a
-document that mentions the entity. Documents without an entity stay as they are.
-
-All work is DataFrame expressions. Texts are never shuffled for the result: base spans are
-narrow rows, only documents with a disclosing term have their text joined, and term counts
-are pre-aggregated in the scan. Since n(e, t) is at most n(e), a term in more documents than
-a bound by n(e) allows can't disclose e, and an entity in too large a share of all documents
-has no disclosing term; both are left out before terms and entities are paired, which
-changes no result.
-
-Defined cases: a null text is the empty text, without spans. Rows that repeat an id and a
-text are one document in the counts; each gives its row. Null ids are ids like others. An
+* entities are judged by themselves where they stand in two documents or more, and by their
+  group always: the domain of an e-mail, the network of an address, the prefix of a phone or
+  card number. An entity of one document can so be revealed by the terms of its group;
+* n(t): documents with term t, n(x, t): documents that hold both t and entity or group x, at any
+  distance. Copies of one text are one document: they are no independent evidence;
+* the term discloses log2(n(x, t) N / (n(x) n(t))) bits of x (pointwise mutual information);
+* what x keeps, given the term, is -log2 p(x | t) bits. p is the lower confidence bound (Wilson,
+  ``CONFIDENCE_Z``) of n(x, t) / n(t), and one document is no evidence: chance alone puts
+  every rare word of a text beside every rare entity of it. Two documents of two leave 0.9 bits;
+* a term that is part of an e-mail's own name (before the @) counts as ``NAME_DOCS`` further
+  documents with both, so that a name seen nowhere else is found at its first address, while an
+  everyday word in the name is not.
+
+A term that discloses at least ``MIN_DISCLOSED_BITS`` and leaves an entity at most ``REMOVE_BITS`` is
+removed; one that leaves an entity or a group at most ``GENERALISE_BITS`` is generalised, wherever it
+stands in a document that mentions the entity. Documents without an entity stay as they are.
+Terms are words of ``MIN_TERM_LETTERS`` letters or more.
+
+All work is DataFrame expressions. The patterns run over every text once; its narrow result (spans,
+entities, and terms where there are entities) is written. Pairs of one document only
+are dropped after a pre-aggregated count, and so are terms too common in the documents with
+entities themselves, before the corpus is read again for n(t) of the terms that are left. Words of
+a text meet their verdicts by a join, so the work is linear in the text.
+
+Defined cases: a null text is the empty text, without spans. Repeated rows and copies of a
+text are one document in the counts; each row gives its row. Null ids are ids like others. An
 empty table gives no rows. Other input columns are ignored, whatever their names.
 """
 
@@ -47,7 +51,9 @@ KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
 
 MIN_TERM_LETTERS = 3
-PRIOR_DOCS = 2.0                 # weight of the entity's overall rate, in documents
+CONFIDENCE_Z = 1.28              # one-sided 90 %
+MIN_DOCS = 2                     # documents with both, for co-occurrence to be evidence
+NAME_DOCS = 3                    # weight of a term that is part of the entity's own name, in documents
 MIN_DISCLOSED_BITS = 4.0
 GENERALISE_BITS = 2.0
 REMOVE_BITS = 1.0
@@ -79,14 +85,20 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(i, *check) for i, check in enumerate(_checks(text))])
 
 
-def entities(text: Column) -> Column:
-    """The distinct entities of a text: kind and normalised value."""
-    def of(kind, pattern, cheap, ok):
-        found = F.filter(C.find_spans(text, pattern, cheap), lambda m: ok(m["value"]))
-        name = lambda v: F.lower(v) if kind == "email" else F.regexp_replace(v, "[^0-9.]", "")
-        return F.transform(found, lambda m: F.concat(F.lit(f"{kind}:"), name(m["value"])))
+def keys_of(spans: Column) -> Column:
+    """The distinct (key, whole) of base spans: normalised entities (whole), and the groups they
+    belong to."""
+    def of(s):
+        v, k = s["value"], s["kind"]
+        digits = F.regexp_replace(v, "[^0-9.]", "")
+        own = F.concat(k, F.lit(":"), F.when(k == "email", C.ascii_lower(v)).otherwise(digits))
+        group = (F.when(k == "email", F.concat(F.lit("domain:"), F.substring_index(C.ascii_lower(v), "@", -1)))
+                 .when(k == "ip", F.concat(F.lit("network:"), F.substring_index(digits, ".", 3)))
+                 .otherwise(F.concat(k, F.lit(" prefix:"), F.substring(digits, 1, 6))))
+        return F.array(F.struct(own.alias("key"), F.lit(True).alias("whole")),
+                       F.struct(group.alias("key"), F.lit(False).alias("whole")))
 
-    return F.array_distinct(F.concat(*[of(*check) for check in _checks(text)]))
+    return F.array_distinct(F.flatten(F.transform(spans, of)))
 
 
 def terms(text: Column) -> Column:
@@ -94,99 +106,127 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda t: F.length(t) >= MIN_TERM_LETTERS))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-
-
-def document_pairs(found: DataFrame, docs: DataFrame, copies: DataFrame, n_docs: int) -> DataFrame:
-    """(doc_id, text_hash, entity, term, n_entity, n_term): the terms and entities that share
-    a document, without pairs that can't disclose. ``found`` has a row for each document with
-    entities, with its ``entities`` and ``terms``; ``copies`` has the documents (``_id``,
-    ``_hash``) of several rows with their ``n_rows``, which are one document in n(t)."""
-    mentions = found.select("doc_id", "text_hash", F.explode("entities").alias("entity"))
-    n_entity = C.materialise(mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-                             .where(F.col("n_entity") <= n_docs / 2 ** MIN_DISCLOSED_BITS), "pii_entities")
-    held = (C.keyed_join(mentions, n_entity, ["entity"], F.struct("doc_id", "text_hash"))
-            .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("n_entity", "entity")).alias("held"))
-            .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}))
-    # n(e, t) <= n(e), so p(e | t) >= 2^-GENERALISE_BITS bounds n(t)
-    most = lambda n: 2 ** GENERALISE_BITS * (n + PRIOR_DOCS * n / F.lit(float(max(n_docs, 1))))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    near = found.join(held, same).select("doc_id", "text_hash", "held", "terms")
-    near = C.materialise(near, "pii_near")
-    wanted = C.materialise(near.select(F.explode("terms").alias("term")).distinct(), "pii_terms")
-    # document frequency over the whole corpus: candidate terms only, when they fit a broadcast
-    few = C.small_side(copies)
-    rows = docs.join(few if few is not None else copies, same, "left")
-    words = rows.select((1 / F.coalesce("n_rows", F.lit(1))).alias("weight"), F.explode(terms(F.col("text"))).alias("term"))
+SLIM = "array<struct<kind_order:int,start:bigint,end:bigint,kind:string>>"
+
+
+def _slim(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["kind_order"].alias("kind_order"), s["start"].alias("start"),
+                                                 s["end"].alias("end"), s["kind"].alias("kind")))
+
+
+def _lower_bound(both: Column, n: Column) -> Column:
+    """Wilson lower bound of both / n."""
+    z2 = CONFIDENCE_Z ** 2
+    spread = CONFIDENCE_Z * F.sqrt(both * (n - both) / n + z2 / 4)
+    return (both + z2 / 2 - spread) / (n + z2)
+
+
+def document_pairs(found: DataFrame, n_docs: int) -> DataFrame:
+    """(copy, key, whole, n_key, term, n_there, named): the terms and keys that share a document, one
+    row for each, n_there the documents with entities that hold the term. ``found`` has a row for
+    each distinct text with entities: ``copy`` (its digest), ``keys`` and ``terms``. Left out is what
+    cannot be disclosed: keys or terms of one document (but names), keys in too large a share of all
+    documents, and terms in too many documents beside the key's. The parts of an e-mail's name
+    are terms of its documents."""
+    held = found.select("copy", F.explode("keys").alias("k")).select("copy", "k.key", "k.whole")
+    counts = C.materialise(held.groupBy("key").agg(F.count(F.lit(1)).alias("n_key"))
+                           .where((F.col("n_key") <= n_docs / 2 ** MIN_DISCLOSED_BITS)
+                                  & ((F.col("n_key") >= MIN_DOCS) | F.col("key").startswith("email:"))), "pii_keys")
+    kept = C.keyed_join(held, counts, ["key"], F.col("copy"))
+    words = found.select("copy", F.explode("terms").alias("term"))
+    there = C.materialise(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_there")).where(F.col("n_there") >= MIN_DOCS),
+                          "pii_there")
+    beside = (C.keyed_join(words, there, ["term"], F.col("copy")).join(kept.where(F.col("n_key") >= MIN_DOCS), "copy")
+              .where(F.col("n_there") <= F.col("n_key") * 2 ** GENERALISE_BITS))
+    local = F.substring_index(F.substring("key", len("email:") + 1, 1 << 30), "@", 1)
+    names = kept.where(F.col("key").startswith("email:")).withColumn("term", F.explode(terms(local)))
+    columns = ["copy", "key", "whole", "n_key", "term"]
+    return (beside.select(*columns, "n_there", F.lit(False).alias("named"))
+            .unionByName(names.select(*columns, F.lit(None).cast("long").alias("n_there"), F.lit(True).alias("named")))
+            .groupBy(*columns).agg(F.max("n_there").alias("n_there"), F.max("named").alias("named")))
+
+
+def disclosing_terms(pairs: DataFrame, texts: DataFrame, n_docs: int) -> DataFrame:
+    """(key, term, kind): the terms to generalise or remove. ``texts`` has the corpus as (text,
+    weight), the weights of copies of one text adding up to one."""
+    both = pairs.groupBy("key", "whole", "n_key", "term").agg(
+        F.count(F.lit(1)).alias("n_both"), F.max("n_there").alias("n_there"), F.max("named").alias("named"))
+    # n(t) in the documents with entities is at most n(t): a bound before the corpus is counted
+    prior = F.when(F.col("named"), NAME_DOCS).otherwise(0)
+    least = F.lit(2.0 ** -GENERALISE_BITS)
+    maybe = C.materialise(both.where((F.col("n_both") >= MIN_DOCS) | F.col("named")).where(
+        F.col("n_there").isNull() | (F.col("n_both") + prior >= least * (F.col("n_there") + prior))), "pii_maybe")
+    wanted = C.materialise(maybe.select("term").distinct(), "pii_terms")
+    words = texts.select("weight", F.explode(terms(F.col("text"))).alias("term"))
     small = C.small_side(wanted)
-    counted = (words.join(small, "term", "left_semi") if small is not None else words).groupBy("term").agg(
-        F.round(F.sum("weight")).cast("long").alias("n_term"))
-    largest = n_entity.agg(F.max("n_entity").alias("n")).first()["n"] or 0
-    rare = C.materialise(counted.where(F.col("n_term") <= most(F.lit(largest))), "pii_rare_terms")
-    beside = near.select("doc_id", "text_hash", "held", F.explode("terms").alias("term"))
-    met = C.keyed_join(beside, rare, ["term"], F.struct("doc_id", "text_hash"))
-    can = F.filter("held", lambda h: F.col("n_term") <= most(h["n_entity"]))
-    return (met.select("doc_id", "text_hash", "term", "n_term", F.explode(can).alias("h"))
-            .select("doc_id", "text_hash", "h.entity", "term", "h.n_entity", "n_term"))
-
-
-def disclosing_terms(pairs: DataFrame, n_docs: int) -> DataFrame:
-    """(entity, term, kind): the terms to generalise or remove."""
-    both = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both"))
-    rate = F.col("n_entity") / F.lit(float(max(n_docs, 1)))
-    left_over = -F.log2((F.col("n_both") + PRIOR_DOCS * rate) / (F.col("n_term") + PRIOR_DOCS))
-    disclosed = F.log2(F.col("n_both") / F.col("n_term")) - F.log2(rate)
-    kind = F.when(left_over <= REMOVE_BITS, "remove").when(left_over <= GENERALISE_BITS, "generalise")
-    return both.select("entity", "term", F.when(disclosed >= MIN_DISCLOSED_BITS, kind).alias("kind")).where(
+    counted = (words.join(small if small is not None else wanted, "term", "left_semi").groupBy("term")
+               .agg(F.round(F.sum("weight")).cast("long").alias("n_term")))
+    counted = C.materialise(counted, "pii_counts")
+    judged = C.keyed_join(maybe, counted, ["term"], F.col("key"), "left").withColumn(
+        "n_term", F.greatest("n_term", "n_both"))
+    kept = -F.log2(_lower_bound(F.col("n_both") + prior, F.col("n_term") + prior))
+    disclosed = F.log2(F.col("n_both") / F.col("n_term")) - F.log2(F.col("n_key") / F.lit(float(max(n_docs, 1))))
+    kind = F.when(F.col("whole") & (kept <= REMOVE_BITS), "remove").when(kept <= GENERALISE_BITS, "generalise")
+    return judged.select("key", "term", F.when(disclosed >= MIN_DISCLOSED_BITS - 1e-9, kind).alias("kind")).where(
         F.col("kind").isNotNull())
 
 
-def term_spans(text: Column, base: Column, flagged: Column) -> Column:
-    """The flagged terms of a text outside its base spans, by kind and then start."""
-    found = C.find_spans(text, TERM, F.lit(True))
-    hit = C.let(flagged, lambda fl: C.let(base, lambda bs: F.transform(
-        F.filter(found, lambda s: F.array_contains(fl["term"], F.lower(s["value"]))
-                 & ~F.exists(bs, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))),
-        lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"),
-            F.array_max(F.filter(fl, lambda f: f["term"] == F.lower(s["value"])))["kind"].alias("kind")))))
-    order = lambda k: F.when(k == "generalise", len(KINDS)).otherwise(len(KINDS) + 1)
-    return F.array_sort(F.transform(hit, lambda s: F.struct(
-        order(s["kind"]).alias("kind_order"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+def words_outside(text: Column) -> Column:
+    """The words of a text that do not overlap an e-mail (the other base spans have no letters):
+    both are found in one pass, and a word that goes on into an e-mail, or out of one, is dropped."""
+    both = C.find_spans(text, rf"{EMAIL}|(?:(?!{EMAIL})\p{{L}})++", F.lit(True))
+    mail = lambda s: F.contains(s["value"], F.lit("@"))
+
+    def apart(spans):
+        def alone(s, i):
+            before, after = F.get(spans, i - 1), F.get(spans, i + 1)
+            goes_on = mail(after) & (after["start"] == s["end"]) & after["value"].rlike("^[A-Za-z]")
+            came = mail(before) & (before["end"] == s["start"]) & before["value"].rlike("[A-Za-z]$")
+            return ~mail(s) & ~F.coalesce(goes_on, F.lit(False)) & ~F.coalesce(came, F.lit(False))
+        return F.filter(spans, alone)
+
+    return C.let(both, apart)
+
+
+def term_spans(texts: DataFrame, flagged: DataFrame) -> DataFrame:
+    """(copy, added): the flagged terms of the texts (copy, text; one row each) outside their base
+    spans, by kind and then start. ``flagged`` (copy, term, kind) is a written table."""
+    words = (texts.select("copy", F.explode(words_outside(F.col("text"))).alias("s"))
+             .select("copy", F.lower("s.value").alias("term"), "s.start", "s.end"))
+    order = F.when(F.col("kind") == "generalise", len(KINDS)).otherwise(len(KINDS) + 1)
+    span = F.struct(order.alias("kind_order"), "start", "end", "kind")
+    return (C.keyed_join(words, flagged, ["copy", "term"], F.col("start")).groupBy("copy")
+            .agg(F.array_sort(F.collect_list(span)).cast(SLIM).alias("added")))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, base, added): base spans and the method's spans, both by kind and
     then start. One row per document."""
-    keyed = _keyed(docs, id_col, text_col)
-    slim = F.transform(base_spans(F.col("text")), lambda s: F.struct(
-        s["kind_order"].alias("kind_order"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    base = C.materialise(keyed.select("doc_id", "text_hash", slim.alias("base")), "pii_base")
-    found = C.materialise(keyed.withColumn("entities", entities(F.col("text"))).where(F.size("entities") > 0).select(
-        "doc_id", "text_hash", "entities", terms(F.col("text")).alias("terms"))
-        .dropDuplicates(["doc_id", "text_hash"]), "pii_found")
-    copies = C.materialise(base.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1), "pii_copies")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.md5(text.cast("binary")).alias("copy"))
+    spans = keyed.select("doc_id", "copy", F.xxhash64("text").alias("text_hash"), base_spans(F.col("text")).alias("spans"),
+                         "text")
+    some = F.size("spans") > 0
+    base = C.materialise(spans.select(
+        "doc_id", "copy", "text_hash", _slim(F.col("spans")).alias("base"),
+        F.when(some, keys_of(F.col("spans"))).alias("keys"), F.when(some, terms(F.col("text"))).alias("terms")), "pii_base")
+    found = C.materialise(base.where("keys IS NOT NULL").select("copy", "keys", "terms").dropDuplicates(["copy"]), "pii_found")
+    copies = C.materialise(base.groupBy("copy").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1), "pii_copies")
     n_docs = base.count() - (copies.agg(F.sum(F.col("n_rows") - 1).alias("n")).first()["n"] or 0)
-    pairs = C.materialise(document_pairs(found, keyed, copies, n_docs), "pii_pairs")
-    told = C.materialise(disclosing_terms(pairs, n_docs), "pii_disclosing")
-    by_doc = (C.keyed_join(pairs.select("doc_id", "text_hash", "entity", "term"), told, ["entity", "term"],
-                           F.struct("doc_id", "text_hash"))
-              .groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("term", "kind")).alias("flagged"))
-              .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    # texts of documents with personal data meet their flagged terms; other texts stay put
-    texts = keyed.withColumn("base", slim).where(F.size("base") > 0)
-    added = (texts.join(by_doc, same).select(
-        "_id", "_hash", term_spans(F.col("text"), F.col("base"), F.col("flagged")).alias("added"))
-        .dropDuplicates(["_id", "_hash"]))
-    added = C.materialise(added, "pii_added")
-    small = C.small_side(added)
-    joined = base.join(small if small is not None else added, same, "left")
-    return joined.select("doc_id", "text_hash", "base", F.coalesce("added", F.array().cast(
-        "array<struct<kind_order:int,start:bigint,end:bigint,kind:string>>")).alias("added"))
+    pairs = document_pairs(found, n_docs)
+    few = C.small_side(copies)
+    weighted = keyed.join(few if few is not None else copies, "copy", "left").select(
+        "text", (1 / F.coalesce("n_rows", F.lit(1))).alias("weight"))
+    told = C.materialise(disclosing_terms(pairs, weighted, n_docs), "pii_disclosing")
+    flagged = C.materialise(C.keyed_join(pairs.select("copy", "key", "term"), told, ["key", "term"], F.col("copy"))
+                            .groupBy("copy", "term").agg(F.max("kind").alias("kind")), "pii_flagged")  # "remove" over "generalise"
+    wanted = C.materialise(flagged.select("copy").distinct(), "pii_wanted")
+    few = C.small_side(wanted)
+    texts = keyed.select("copy", "text").join(few if few is not None else wanted, "copy", "left_semi").dropDuplicates(["copy"])
+    added = C.materialise(term_spans(texts, flagged), "pii_added")
+    few = C.small_side(added)
+    joined = base.select("doc_id", "copy", "text_hash", "base").join(few if few is not None else added, "copy", "left")
+    return joined.select("doc_id", "text_hash", "base", F.coalesce("added", F.array().cast(SLIM)).alias("added"))
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
