@@ -449,6 +449,32 @@ def test_language(spark):
     assert all(by[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i in range(120)) and not by[None].held_out
 
 
+@pytest.mark.parametrize("crowd", [1, 3, 1000])
+def test_jaccard_of_crowded_groups(spark, monkeypatch, crowd):
+    """Groups of copies with edits of their own around the limit: hubs, counts and bitmaps of crowded
+    signatures lose no link, wherever a signature begins to be crowded."""
+    monkeypatch.setattr(op7_jaccard, "CROWD", crowd)
+    monkeypatch.setattr(op7_jaccard, "FREQUENT", 6)
+    r = random.Random(crowd)
+    data = []
+    for g in range(3):
+        base = prose(60 + 25 * g, VOCAB).split()
+        for k in range(45):
+            own = list(base)
+            for _ in range(r.choice([0, 1, 1, 2, 3])):
+                own[r.randrange(len(own))] = f"edit{r.randrange(10**6)}" if r.random() < 0.7 else r.choice(VOCAB)
+            data.append((1000 * g + 7 * k % 1000, " ".join(own)))
+    data += [(9000 + k, prose(30 + k) + " " + " ".join(prose(85, VOCAB).split()[:40])) for k in range(20)]
+    r.shuffle(data)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    texts = {}
+    for i, t in data:
+        texts.setdefault(i, []).append(t)
+    want = B.jaccard_components(texts)
+    got = {x.doc_id: x.component_id for x in op7_jaccard.join(df).collect()}
+    assert got == want and len(set(got.values())) > 10
+
+
 def test_empty_tables(empty, items, spark):
     no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert op1_pii.find(empty).count() == 0
