@@ -259,8 +259,8 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
     """Readings of the requested buildings and arms, with ``bldg_id`` and ``upgrade``.
 
     ``layout="source"``: one file per building and arm. A file that cannot be read in full is
-    dropped whole: with ``check`` a probe first reads every column of the requested files and
-    compares the counted rows with the footers (:func:`series_status`). A caller that counts
+    dropped whole: with ``check`` a probe first reads the asked-for columns of the requested files (a
+    damaged page of another column harms nothing) and compares the counted rows with the footers (:func:`series_status`). A caller that counts
     the readings itself passes ``check=False`` and drops what :func:`series_status` names.
     ``layout="table"``: the layout of :func:`write_series`; a file holds many buildings, so an
     unreadable one is an error.
@@ -268,6 +268,9 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
     ``measures`` (dotted or sanitized names) narrows the columns; by default all are kept."""
     folders = series_folders(spark, root, upgrades, state)
     df = _open_series(spark, root, folders, layout, ids, schema, tolerant=layout == "source")
+    if measures is not None:
+        keep = {"bldg_id", "upgrade", "timestamp", *[C.sanitize(m) for m in measures]}
+        df = df.select(*[F.col(f"`{c}`") for c in df.columns if C.sanitize(c) in keep])
     if layout == "source" and check:
         read = checkpoint_table(count_readings(df), scratch_path(spark, "series_probe"))
         bad = series_status(spark, root, upgrades, state, read, ids, schema).where(F.col("cause").isNotNull())
@@ -276,8 +279,8 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
             df = df.join(bad, ["bldg_id", "upgrade"], "left_anti")
     df = C.sanitize_columns(df)
     if measures is not None:
-        keep = ["bldg_id", "upgrade", "timestamp", *[C.sanitize(m) for m in measures]]
-        df = df.select(*[c for c in keep if c in df.columns])
+        order = ["bldg_id", "upgrade", "timestamp", *[C.sanitize(m) for m in measures]]
+        df = df.select(*[c for c in order if c in df.columns])
     return df
 
 

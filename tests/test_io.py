@@ -88,6 +88,19 @@ def test_damaged_row_group_drops_the_building_and_arm(spark, out_dir):
     assert st == {1: (4000, "data unreadable"), 2: (4000, None)}
 
 
+def test_damage_in_a_column_that_is_not_asked_for(spark, out_dir):
+    import pyarrow.parquet as pq
+    d = _source_files(spark, f"{out_dir}/s")
+    meta = pq.ParquetFile(f"{d}/1-0.parquet").metadata
+    gas = [i for i in range(meta.num_columns) if meta.schema.column(i).name.startswith("out.natural_gas")
+           or "natural_gas" in meta.row_group(0).column(i).path_in_schema][0]
+    _damage(f"{d}/1-0.parquet", meta.row_group(4).column(gas).data_page_offset)
+    count = lambda measure: {r.bldg_id: r["count"] for r in IO.read_series(
+        spark, f"{out_dir}/s", (0,), "VA", measures=[measure]).groupBy("bldg_id").count().collect()}
+    assert count("out.electricity.net.energy_consumption") == {1: 4000, 2: 4000}
+    assert count("out.natural_gas.heating.energy_consumption") == {2: 4000}
+
+
 def test_columns_are_bound_by_name_with_and_without_an_id_column(spark, out_dir):
     for extra in (False, True):
         root = f"{out_dir}/{extra}"
