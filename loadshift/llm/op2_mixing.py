@@ -18,8 +18,9 @@ schedule by broadcast when its counted rows allow it, else salted.
 
 Defined cases: tokens are words; a null or wordless text has none, is scheduled with its
 block, and uses no budget. A null source is a source of its own. Repeated rows fall into the
-same block and are scheduled alike. An empty table, or one without tokens, gives no rows.
-Other input columns pass through the pipeline stage and are ignored by the query.
+same block and are scheduled alike; rows without an id are dealt by their text. An empty table, or
+one without tokens, gives no rows. Other input columns pass through the pipeline stage (those
+named like the schedule's own with the ending ``_input``) and are ignored by the query.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from . import common as C
 
 HALVINGS = 48
 PER_PASS = 8                     # halvings resolved by one aggregate over the sources
+SCHEDULED = ("epoch", "block", "position")
 
 
 @dataclass(frozen=True)
@@ -50,13 +52,15 @@ def n_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def _block(target: MixTarget, doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(target.seed), doc_id), F.lit(target.blocks)).cast("int")
+def _block(target: MixTarget, doc_id: Column, text: Column) -> Column:
+    """The block of a document, by its id; of one without an id, by its text."""
+    deal = F.when(doc_id.isNull(), F.xxhash64(F.lit(target.seed), text)).otherwise(F.xxhash64(F.lit(target.seed), doc_id))
+    return F.pmod(deal, F.lit(target.blocks)).cast("int")
 
 
 def block_sums(docs: DataFrame, target: MixTarget, id_col: str = "doc_id") -> DataFrame:
     """(source, block, tokens, docs), pre-aggregated in the scan."""
-    return docs.groupBy(F.col("source").cast("string").alias("source"), _block(target, F.col(id_col)).alias("block")).agg(
+    return docs.groupBy(F.col("source").cast("string").alias("source"), _block(target, F.col(id_col), F.col("text")).alias("block")).agg(
         F.sum(n_tokens(F.col("text"))).alias("tokens"), F.count(F.lit(1)).alias("docs"))
 
 
@@ -130,17 +134,20 @@ def schedule(blocks: DataFrame, target: MixTarget) -> DataFrame:
 
 
 def mix(docs: DataFrame, target: MixTarget = MixTarget(), id_col: str = "doc_id") -> DataFrame:
-    """Every scheduled occurrence of every document: its columns, epoch, block, and position
-    of its block in the mixture (0 to 1)."""
+    """Every scheduled occurrence of every document: its columns (one named epoch, block or position
+    gets the ending ``_input``), epoch, block, and position of its block in the mixture (0 to 1)."""
     plan = C.materialise(schedule(C.materialise(block_sums(docs, target, id_col), "mix_blocks"), target), "mix_plan")
     # a null source meets its block by the same stand-in on both sides
     name = F.concat(F.when(F.col("source").isNull(), "?").otherwise("="), F.coalesce(F.col("source").cast("string"), F.lit("")))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("_name"),
-                        _block(target, F.col(id_col)).alias("_block"), F.col(id_col).alias("_own_id"))
+                        _block(target, F.col(id_col), F.col("text")).alias("_block"), F.col(id_col).alias("_own_id"))
     when = plan.select(name.alias("_name"), F.col("block").alias("_block"), "epoch", "block", "position")
     out = C.keyed_join(keyed, when, ["_name", "_block"], F.col("_own_id"))
-    columns = [c for c in docs.columns if c not in ("epoch", "block", "position")]
-    return out.select(*[F.col("row").getField(c).alias(c) for c in columns], "epoch", "block", "position")
+    own = {c: c for c in docs.columns}
+    for c in SCHEDULED:  # an input column of such a name keeps its values under another
+        while c in own and own[c] in (SCHEDULED + tuple(x for k, x in own.items() if k != c)):
+            own[c] += "_input"
+    return out.select(*[F.col("row").getField(c).alias(x) for c, x in own.items()], *SCHEDULED)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

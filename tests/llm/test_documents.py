@@ -475,6 +475,64 @@ def test_jaccard_of_crowded_groups(spark, monkeypatch, crowd):
     assert got == want and len(set(got.values())) > 10
 
 
+def plain_mixture(data, target):
+    """{(source, block): epochs} by the docstring's rule: exponent by bisection, whole epochs, and the
+    last one's first blocks of its permutation."""
+    import math
+    sums = {}
+    for source, block, tokens in data:
+        sums.setdefault(source, {}).setdefault(block, 0)
+        sums[source][block] += tokens
+    total = {s: sum(b.values()) for s, b in sums.items() if sum(b.values())}
+    n, share = sum(total.values()), {}
+    share = {s: t / n for s, t in total.items()}
+
+    def weights(t):
+        z = sum(p ** t for p in share.values())
+        return {s: p ** t / z for s, p in share.items()}
+
+    entropy = lambda t: -sum(w * math.log(w) for w in weights(t).values())
+    repeats = lambda t: max(weights(t)[s] * n * target.budget_share / total[s] for s in total)
+
+    def largest(holds):
+        if holds(1.0):
+            return 1.0
+        low, high = 0.0, 1.0
+        for _ in range(60):
+            mid = (low + high) / 2
+            low, high = (mid, high) if holds(mid) else (low, mid)
+        return low
+
+    wanted = target.entropy_share * math.log(len(total))
+    t = max(largest(lambda x: entropy(x) >= wanted), largest(lambda x: repeats(x) > target.max_repeats))
+    return {s: w * n * target.budget_share / total[s] for s, w in weights(t).items()}, total, sums
+
+
+def test_mixing_schedule_equals_a_plain_one(spark):
+    r = random.Random(12)
+    data = [(k if k % 13 else None, prose(r.randint(1, 30)), ["a", "b", "c", None][min(3, int(r.expovariate(0.9)))]) for k in range(900)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    target = op2_mixing.MixTarget(entropy_share=0.97, max_repeats=2.5, blocks=16)
+    blocks = common.materialise(op2_mixing.block_sums(df, target), "test_blocks")
+    sums = [(x.source, x.block, x.tokens) for x in blocks.collect()]
+    assert sum(x.tokens for x in blocks.where("source = 'a'").collect()) == sum(len(t.split()) for _, t, s in data if s == "a")
+    assert blocks.where("source = 'a'").count() == 16  # rows without an id are spread too
+    epochs, total, by = plain_mixture(sums, target)
+    used = {}
+    for x in op2_mixing.schedule(blocks, target).collect():
+        used.setdefault(x.source, {}).setdefault(x.epoch, set()).add(x.block)
+        assert 0 <= x.position <= 1
+    for s, want in epochs.items():
+        whole = int(want + 1e-9)
+        for e in range(whole):
+            assert used[s][e] == set(by[s])
+        rest = sum(by[s][b] for b in used[s].get(whole, ())) / total[s]
+        largest = max(by[s].values()) / total[s]
+        assert abs(rest - (want - whole)) <= largest / 2 + 1e-9 and max(used[s]) <= whole
+        count = sum(map(len, used[s].values()))
+        assert count > 0
+
+
 def test_empty_tables(empty, items, spark):
     no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert op1_pii.find(empty).count() == 0
@@ -491,7 +549,8 @@ def test_awkward_rows_do_not_crash_the_others(docs, spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1), (16, 0, 1)], "doc_id long, quality int, toxic int")
     assert op9_quality.classify(docs, labels).count() == len(rows())
     mixed = op2_mixing.mix(docs)
-    assert set(mixed.columns) == set(docs.columns) | {"epoch", "block", "position"} and mixed.count() > 0
+    assert set(mixed.columns) == set(docs.columns) | {"epoch", "block_input", "position"} and mixed.count() > 0
+    assert {x.block_input for x in mixed.select("block_input").distinct().collect()} <= {3, None}
     train = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     assert op10_langid.predict(docs, op10_langid.fit(train)).count() == len(rows())
     assert op1_pii.sanitise(docs).count() == op6_secrets.redact(docs).count() == len(rows())

@@ -69,6 +69,19 @@ def test_segments(pages, spark, out_dir):
     assert W.reassemble(no_end).where("block IS NOT NULL").count() == 0
 
 
+def test_a_long_page_is_linear(spark, out_dir):
+    """A page of 24 MB in many segments comes back whole, in seconds."""
+    import time
+    page = "0123456789abcdef" * (3 << 19)
+    df = spark.createDataFrame([(1, "http://a/", page), (2, "http://b/", page)], "page_id long, url string, html string")
+    began = time.time()
+    path = W.write_archives(df, f"{out_dir}/long")
+    back = {r.page_id: (r.n, r.record_type, r.ok) for r in W.read_archives(spark, path).select(
+        "page_id", F.octet_length("payload").alias("n"), "record_type", "ok").collect()}
+    assert back == {"1": (len(page), "response", True), "2": (None, "revisit", True)}
+    assert time.time() - began < 90
+
+
 def test_empty_pages(pages, spark, out_dir):
     W.write_archives(pages.where("page_id > 1000"), out_dir + "/warc")
     assert W.read_archives(spark, out_dir + "/warc").count() == 0
