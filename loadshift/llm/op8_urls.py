@@ -19,8 +19,8 @@ from . import common as C
 
 # (action, host and path prefix)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-# Host labels whose pages are put on the block list.
-SPAM_LABELS = ("cheap-pills", "casino", "free-money", "hot-deals")
+# Words of host labels (parts between dots and hyphens) whose pages are put on the block list.
+SPAM_WORDS = ("casino", "bets", "pills", "spam", "money", "deals")
 # Query parameters that do not name a page.
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid)(=|$)"
 
@@ -119,14 +119,15 @@ def judge(pages: DataFrame, listed_urls: DataFrame, rules=RULES, id_col: str = "
                                          F.coalesce(verdict, other).alias("verdict"), "maybe_listed", "listed")
 
 
-def spam_urls(pages: DataFrame, labels=SPAM_LABELS) -> DataFrame:
-    """The URLs of pages on hosts that carry a spam label."""
+def spam_urls(pages: DataFrame, words=SPAM_WORDS) -> DataFrame:
+    """The URLs of pages on junk hosts: those with a spam word as a part of a label. The list
+    grows with the pages."""
     host, _, _ = split_url(F.col("url"))
-    return pages.select("url").where(host.rlike(r"(^|\.)(" + "|".join(labels) + r")\."))
+    return pages.select("url").where(host.rlike(r"(^|[.-])(" + "|".join(words) + r")[.-]"))
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page judged by the rules, then by the list of URLs on spam hosts."""
+    """Every page judged by the rules, then by the list of URLs on junk hosts."""
     pages = C.table(spark, sf_dir, "pages")
     return judge(pages, spam_urls(pages)).select("page_id", "host", "path", "rule", "verdict", "listed")
 
@@ -153,7 +154,7 @@ urls AS (
   FROM canon),
 listed AS (
   SELECT DISTINCT c FROM urls
-  WHERE regexp_matches(host, '(^|\.)(cheap-pills|casino|free-money|hot-deals)\.')),
+  WHERE regexp_matches(host, '(^|[.-])(casino|bets|pills|spam|money|deals)[.-]')),
 ruled AS (
   SELECT u.*, (l.c IS NOT NULL) AS listed,
          CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'

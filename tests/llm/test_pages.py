@@ -137,3 +137,10 @@ def test_bloom_filter_passes_every_listed_url_and_few_others(spark):
     nothing = U.judge(pages, listed.where("url IS NULL"))
     assert nothing.where("listed OR maybe_listed").count() == 0 and nothing.count() == 9000
     assert U.judge(pages.where("page_id < 0"), listed).count() == 0
+
+
+def test_junk_hosts_are_listed_by_the_words_of_their_labels(spark):
+    urls = ["http://m.casino-win.example.com/a", "https://free-bets.example.org/", "http://www.spam-farm.example.com/x",
+            "http://cheap-pills.example.com/", "http://casinos.example.com/", "http://example.com/casino/", "http://spammer.com/", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert sorted(x.url for x in U.spam_urls(pages).collect()) == sorted(urls[:4])
