@@ -3,9 +3,9 @@
 Candidates are the matches of the base patterns (assignments, access keys, hex strings) and
 other long mixed tokens. Their hashes are aggregated over the corpus by distinct
 repositories and owners: a value that more than ``MAX_LIVE_OWNERS`` owners and
-``MAX_LIVE_SHARE`` of all owners hold is a widely copied example, one that stays with fewer
-and looks random is live, in however many of their repositories: a document copied to a few
-owners still shows its secret. Assignments and access keys are
+``MAX_LIVE_SHARE`` of all owners hold, each in a text of its own, is a widely copied example. One that
+stays with fewer and looks random is live, in however many of their repositories; copies of one
+text count as one owner, so a copied document still shows its secret. Assignments and access keys are
 told by their keyword or prefix, whatever their characters; hex strings and mixed tokens
 look random by their entropy per character, which needs no minimal length. The method adds the live mixed
 tokens to the base spans; the base spans stay whatever their verdict, which is reported
@@ -39,7 +39,7 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 KINDS = ("assign", "access", "hex")
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 # The method's parameters.
-MAX_LIVE_OWNERS = 4              # a value held by more owners is a copied example,
+MAX_LIVE_OWNERS = 2              # a value that more owners hold in texts of their own is a copied example,
 MAX_LIVE_SHARE = 0.05            # if they are also more than this share of all owners
 MIN_BITS_PER_CHAR = 2.5          # "looks random", of hex strings and mixed tokens
 
@@ -97,15 +97,20 @@ def candidates(docs: DataFrame, repo_col: str, owner_col: str, text_col: str) ->
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, n_owners, n_repos): distinct owners and repositories of every candidate. Both
-    counts first drop repeats within each task, then deal by (hash, owner or repository)."""
-    rows = found.where(F.size("spans") > 0).select("owner", "repo", F.explode("spans.hash").alias("hash"))
-    tagged = rows.select("hash", F.explode(F.array(
-        F.struct(F.lit("owner").alias("what"), F.coalesce("owner", F.lit("\u0000")).alias("who")),
-        F.struct(F.lit("repo").alias("what"), F.coalesce(F.col("repo").cast("string"), F.lit("\u0000")).alias("who"))
-    )).alias("t")).select("hash", "t.what", "t.who").distinct()
+    """(hash, n_owners, n_repos, n_texts): distinct owners, repositories and texts of every candidate.
+    Copies of one text belong to one owner, the first by name: whoever copies a document shows
+    its secret, but does not hold it. The counts first drop repeats within each task, then deal by
+    (hash, text, owner or repository)."""
+    rows = found.where(F.size("spans") > 0).select(
+        F.coalesce("owner", F.lit("\u0000")).alias("owner"), F.coalesce(F.col("repo").cast("string"), F.lit("\u0000")).alias("repo"),
+        "text_hash", F.explode("spans.hash").alias("hash"))
+    texts = rows.groupBy("hash", "text_hash").agg(F.min("owner").alias("owner"))
+    owners = texts.select("hash", F.lit("owner").alias("what"), F.col("owner").alias("who")).distinct()
+    repos = rows.select("hash", F.lit("repo").alias("what"), F.col("repo").alias("who")).distinct()
+    each = texts.select("hash", F.lit("text").alias("what"), F.lit("").alias("who"))
     count = lambda what: F.count(F.when(F.col("what") == what, 1))
-    return tagged.groupBy("hash").agg(count("owner").alias("n_owners"), count("repo").alias("n_repos"))
+    return owners.unionByName(repos).unionByName(each).groupBy("hash").agg(
+        count("owner").alias("n_owners"), count("repo").alias("n_repos"), count("text").alias("n_texts"))
 
 
 def scan(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source",
