@@ -253,4 +253,5 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in KINDS],
                         C.sha256_hex(C.span_digest_text(F.col("base"))).alias("base_sha256"),
                         C.span_digest_text(F.concat("base", "added")).alias("spans"),
-                        F.size("added").cast("long").alias("n_terms"))
+                        F.size("added").cast("long").alias("n_terms"),
+                        (F.size("base") + F.size("added")).cast("long").alias("n_spans"))
