@@ -122,40 +122,39 @@ def _lower_bound(both: Column, n: Column) -> Column:
 
 
 def document_pairs(found: DataFrame, n_docs: int) -> DataFrame:
-    """(copy, key, whole, n_key, term, n_there, named): the terms and keys that share a document, one
-    row for each, n_there the documents with entities that hold the term. ``found`` has a row for
-    each distinct text with entities: ``copy`` (its digest), ``keys`` and ``terms``. Left out is what
-    cannot be disclosed: keys or terms of one document (but names), keys in too large a share of all
-    documents, and terms in too many documents beside the key's. The parts of an e-mail's name
-    are terms of its documents."""
+    """(copy, key, whole, n_key, term, named): the terms and keys that share a document; a term that is
+    both beside a key and part of its name has a row for each. ``found`` has a row for
+    each distinct text with entities: ``copy`` (its digest), ``keys`` and ``terms``. Keys that cannot be
+    disclosed (of one document, but for names, or in too large a share of all) are left out. The parts
+    of an e-mail's name are terms of its documents. Nothing but the keys is shuffled here."""
     held = found.select("copy", F.explode("keys").alias("k")).select("copy", "k.key", "k.whole")
     counts = C.materialise(held.groupBy("key").agg(F.count(F.lit(1)).alias("n_key"))
                            .where((F.col("n_key") <= n_docs / 2 ** MIN_DISCLOSED_BITS)
                                   & ((F.col("n_key") >= MIN_DOCS) | F.col("key").startswith("email:"))), "pii_keys")
-    kept = C.keyed_join(held, counts, ["key"], F.col("copy"))
-    words = found.select("copy", F.explode("terms").alias("term"))
-    there = C.materialise(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_there")).where(F.col("n_there") >= MIN_DOCS),
-                          "pii_there")
-    beside = (C.keyed_join(words, there, ["term"], F.col("copy")).join(kept.where(F.col("n_key") >= MIN_DOCS), "copy")
-              .where(F.col("n_there") <= F.col("n_key") * 2 ** GENERALISE_BITS))
-    local = F.substring_index(F.substring("key", len("email:") + 1, 1 << 30), "@", 1)
-    names = kept.where(F.col("key").startswith("email:")).withColumn("term", F.explode(terms(local)))
-    columns = ["copy", "key", "whole", "n_key", "term"]
-    return (beside.select(*columns, "n_there", F.lit(False).alias("named"))
-            .unionByName(names.select(*columns, F.lit(None).cast("long").alias("n_there"), F.lit(True).alias("named")))
-            .groupBy(*columns).agg(F.max("n_there").alias("n_there"), F.max("named").alias("named")))
-
-
-def disclosing_terms(pairs: DataFrame, texts: DataFrame, n_docs: int) -> DataFrame:
+    kept = (C.keyed_join(held, counts, ["key"], F.col("copy")).groupBy("copy")
+            .agg(F.collect_list(F.struct("key", "whole", "n_key")).alias("held")))
+    near = C.materialise(found.select("copy", "terms").join(kept, "copy"), "pii_near")
+    columns = ["copy", "h.key", "h.whole", "h.n_key", "term"]
+    beside = (near.select("copy", "terms", F.explode(F.filter("held", lambda h: h["n_key"] >= MIN_DOCS)).alias("h"))
+              .select("copy", "h", F.explode("terms").alias("term")).select(*columns, F.lit(False).alias("named")))
+    local = F.substring_index(F.substring(F.col("h.key"), len("email:") + 1, 1 << 30), "@", 1)
+    names = (near.select("copy", F.explode(F.filter("held", lambda h: h["key"].startswith("email:"))).alias("h"))
+             .select("copy", "h", F.explode(terms(local)).alias("term")).select(*columns, F.lit(True).alias("named")))
+    return beside.unionByName(names)
+
+
+def disclosing_terms(pairs: DataFrame, found: DataFrame, texts: DataFrame, n_docs: int) -> DataFrame:
     """(key, term, kind): the terms to generalise or remove. ``texts`` has the corpus as (text,
     weight), the weights of copies of one text adding up to one."""
     both = pairs.groupBy("key", "whole", "n_key", "term").agg(
-        F.count(F.lit(1)).alias("n_both"), F.max("n_there").alias("n_there"), F.max("named").alias("named"))
+        F.greatest(F.count_if("named"), F.count_if(~F.col("named"))).alias("n_both"), F.max("named").alias("named"))
     # n(t) in the documents with entities is at most n(t): a bound before the corpus is counted
+    there = (found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_there")))
     prior = F.when(F.col("named"), NAME_DOCS).otherwise(0)
     least = F.lit(2.0 ** -GENERALISE_BITS)
-    maybe = C.materialise(both.where((F.col("n_both") >= MIN_DOCS) | F.col("named")).where(
-        F.col("n_there").isNull() | (F.col("n_both") + prior >= least * (F.col("n_there") + prior))), "pii_maybe")
+    maybe = both.where((F.col("n_both") >= MIN_DOCS) | F.col("named")).join(there, "term", "left").where(
+        F.col("n_there").isNull() | (F.col("n_both") + prior >= least * (F.col("n_there") + prior)))
+    maybe = C.materialise(maybe.drop("n_there"), "pii_maybe")
     wanted = C.materialise(maybe.select("term").distinct(), "pii_terms")
     words = texts.select("weight", F.explode(terms(F.col("text"))).alias("term"))
     small = C.small_side(wanted)
@@ -189,14 +188,19 @@ def words_outside(text: Column) -> Column:
 
 
 def term_spans(texts: DataFrame, flagged: DataFrame) -> DataFrame:
-    """(copy, added): the flagged terms of the texts (copy, text; one row each) outside their base
-    spans, by kind and then start. ``flagged`` (copy, term, kind) is a written table."""
-    words = (texts.select("copy", F.explode(words_outside(F.col("text"))).alias("s"))
+    """(copy, added): the flagged terms of the texts (copy, text) outside their base spans, by kind
+    and then start. ``flagged`` (copy, term, kind) is a written table. Texts whose flagged terms
+    stand in their addresses only are not cut into words."""
+    by_text = C.materialise(flagged.groupBy("copy").agg(F.collect_set("term").alias("flagged")), "pii_by_text")
+    few = C.small_side(by_text)
+    some = texts.join(few if few is not None else by_text, "copy").where(
+        F.arrays_overlap(terms(F.regexp_replace("text", F.lit(EMAIL), F.lit(" "))), F.col("flagged")))
+    words = (some.select("copy", F.explode(words_outside(F.col("text"))).alias("s"))
              .select("copy", F.lower("s.value").alias("term"), "s.start", "s.end"))
     order = F.when(F.col("kind") == "generalise", len(KINDS)).otherwise(len(KINDS) + 1)
     span = F.struct(order.alias("kind_order"), "start", "end", "kind")
     return (C.keyed_join(words, flagged, ["copy", "term"], F.col("start")).groupBy("copy")
-            .agg(F.array_sort(F.collect_list(span)).cast(SLIM).alias("added")))
+            .agg(F.array_sort(F.collect_set(span)).cast(SLIM).alias("added")))  # copies of a text give the same spans
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,13 +221,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     few = C.small_side(copies)
     weighted = keyed.join(few if few is not None else copies, "copy", "left").select(
         "text", (1 / F.coalesce("n_rows", F.lit(1))).alias("weight"))
-    told = C.materialise(disclosing_terms(pairs, weighted, n_docs), "pii_disclosing")
+    told = C.materialise(disclosing_terms(pairs, found, weighted, n_docs), "pii_disclosing")
     flagged = C.materialise(C.keyed_join(pairs.select("copy", "key", "term"), told, ["key", "term"], F.col("copy"))
                             .groupBy("copy", "term").agg(F.max("kind").alias("kind")), "pii_flagged")  # "remove" over "generalise"
-    wanted = C.materialise(flagged.select("copy").distinct(), "pii_wanted")
-    few = C.small_side(wanted)
-    texts = keyed.select("copy", "text").join(few if few is not None else wanted, "copy", "left_semi").dropDuplicates(["copy"])
-    added = C.materialise(term_spans(texts, flagged), "pii_added")
+    added = C.materialise(term_spans(keyed.select("copy", "text"), flagged), "pii_added")
     few = C.small_side(added)
     joined = base.select("doc_id", "copy", "text_hash", "base").join(few if few is not None else added, "copy", "left")
     return joined.select("doc_id", "text_hash", "base", F.coalesce("added", F.array().cast(SLIM)).alias("added"))
