@@ -29,7 +29,7 @@ from .joins import broadcast_bounded
 BASE_SUFFIX = "_base"
 UPG_SUFFIX = "_upg"
 
-# D11 derived columns, in output order.
+# Fixed values that must equal the reference's for right results: D11's derived columns, in output order.
 DERIVED = ("total_electricity_savings", "heating_electricity_savings", "cooling_electricity_savings",
            "gas_total_savings", "gas_heating_savings", "cooling_load_ratio", "heating_load_ratio",
            "nonthermal_mwh", "nonthermal_gas", "cooling_mwh_scaled", "heating_mwh_scaled",
@@ -196,6 +196,7 @@ def join_building_arms(b1: DataFrame, u1: DataFrame, group_cols: Sequence[str] =
 # Peak-hour slices enriched with building attributes
 # ---------------------------------------------------------------------------
 
+# Fixed values that must equal the reference's for right results: the attributes of a peak slice.
 ATTRIBUTE_COLUMNS = (
     "bldg_id", "in.sqft", "in.ground_thermal_conductivity", "in.vintage", "in.heating_fuel",
     "in.hvac_heating_efficiency", "in.hvac_cooling_efficiency", "in.hvac_cooling_partial_space_conditioning",

@@ -43,10 +43,15 @@ HOUR_UTC = "hour_utc"
 TIME_HR = "time_hr"
 WALL = ("year", "month", "day", "hour")
 
-# Portfolio measures, in output order.
-PORTFOLIO_MEASURES = ("total_electricity_mwh", "all_heating_electricity_mwh", "all_cooling_electricity_mwh",
-                      "heating_load_kbtu", "cooling_load_kbtu", "gas_total_mwh", "gas_heating_mwh")
-# Per-building measures (suffix after the arm prefix), in output order.
+# Fixed values that must equal the reference's for right results: the portfolio measures in output
+# order, and whether a measure is divided by 1000 * N (energy columns are averaged MWh, loads stay
+# kBtu sums, T14).
+PORTFOLIO_SCALED = (("total_electricity_mwh", True), ("all_heating_electricity_mwh", True),
+                    ("all_cooling_electricity_mwh", True), ("heating_load_kbtu", False),
+                    ("cooling_load_kbtu", False), ("gas_total_mwh", True), ("gas_heating_mwh", True))
+PORTFOLIO_MEASURES = tuple(name for name, _ in PORTFOLIO_SCALED)
+# Fixed values that must equal the reference's for right results: the per-building measures (suffix
+# after the arm prefix), in output order.
 BUILDING_MEASURES = (".cooling.energy.kbtu.CP", ".heating.energy.kbtu.CP", "_total_elec_kwh",
                      "_cooling_total_elec_kwh", "_cooling_elec_kwh", "_cooling_fans_pumps_elec_kwh",
                      "_heating_elec_kwh", "_heating_gas_kwh", "_heating_propane_kwh", "_heating_fuel_oil_kwh")
@@ -63,31 +68,12 @@ def _measure_col(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("double")
 
 
-def _scaled(name: str) -> bool:
-    # the reference scales every column whose name ends in energy_consumption
-    return C.restore(name).endswith("energy_consumption")
-
-
-# (measure, divided by 1000 * N): energy columns are averaged MWh, loads stay kBtu sums
-PORTFOLIO_SCALED = (("total_electricity_mwh", True), ("all_heating_electricity_mwh", True),
-                    ("all_cooling_electricity_mwh", True), ("heating_load_kbtu", False),
-                    ("cooling_load_kbtu", False), ("gas_total_mwh", True), ("gas_heating_mwh", True))
-
-
 def portfolio_measures(df: DataFrame) -> list[Measure]:
     """The seven portfolio measures; thermal totals use the *strict* selectors."""
-    heat = C.strict_thermal(df.columns, "heating")
-    cool = C.strict_thermal(df.columns, "cooling")
-    m = lambda out, src: Measure(out, _measure_col(df, src), _scaled(src))
-    return [
-        m("total_electricity_mwh", NET),
-        Measure("all_heating_electricity_mwh", S.row_sum(heat), True),
-        Measure("all_cooling_electricity_mwh", S.row_sum(cool), True),
-        m("heating_load_kbtu", LOAD_HEAT),
-        m("cooling_load_kbtu", LOAD_COOL),
-        m("gas_total_mwh", GAS_TOTAL),
-        m("gas_heating_mwh", GAS_HEAT),
-    ]
+    src = lambda name: _measure_col(df, name)
+    values = [src(NET), S.row_sum(C.strict_thermal(df.columns, "heating")), S.row_sum(C.strict_thermal(df.columns, "cooling")),
+              src(LOAD_HEAT), src(LOAD_COOL), src(GAS_TOTAL), src(GAS_HEAT)]
+    return [Measure(name, value, scaled) for (name, scaled), value in zip(PORTFOLIO_SCALED, values, strict=True)]
 
 
 def building_measures(df: DataFrame, prefix: str) -> list[Measure]:
