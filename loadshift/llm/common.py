@@ -46,10 +46,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Rows that go to Python travel in batches of at most ``BATCH_BYTES`` (or one row), whatever
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Rows that go to Python travel in batches of at most ``size`` bytes (or one row), whatever
     the length of the texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def map_rows(df: DataFrame, carried: list[str], given: list[str], columns: str, rows: Callable) -> DataFrame:
