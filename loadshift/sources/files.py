@@ -259,21 +259,31 @@ def read_series(spark: SparkSession, root: str, upgrades: Sequence[int], state:
     """Readings of the requested buildings and arms, with ``bldg_id`` and ``upgrade``.
 
     ``layout="source"``: one file per building and arm. A file that cannot be read in full is
-    dropped whole: with ``check`` a probe first reads the asked-for columns of the requested files (a
-    damaged page of another column harms nothing) and compares the counted rows with the footers (:func:`series_status`). A caller that counts
+    dropped whole (a damaged page of a column that is not asked for harms nothing): small files are read whole
+    by their task or not at all; where others are among them, with ``check`` a probe first reads the asked-for columns
+    of the requested files and compares the counted rows with the footers (:func:`series_status`). A caller that counts
     the readings itself passes ``check=False`` and drops what :func:`series_status` names.
     ``layout="table"``: the layout of :func:`write_series`; a file holds many buildings, so an
     unreadable one is an error.
 
     ``measures`` (dotted or sanitized names) narrows the columns; by default all are kept."""
     folders = series_folders(spark, root, upgrades, state)
-    df = _open_series(spark, root, folders, layout, ids, schema, tolerant=layout == "source")
+    files = None
+    if layout == "source" and check and not isinstance(ids, (list, tuple)):
+        files = SF.open_files(spark, root, folders, ids, schema)
+        if files.strays and ids is None:  # files without an id are read too
+            files = None
+    if files is not None:
+        df = files.readings(None if measures is None else {"bldg_id", "upgrade", "timestamp", *[C.sanitize(m) for m in measures]})
+    else:
+        df = _open_series(spark, root, folders, layout, ids, schema, tolerant=layout == "source")
     if measures is not None:
         keep = {"bldg_id", "upgrade", "timestamp", *[C.sanitize(m) for m in measures]}
         df = df.select(*[F.col(f"`{c}`") for c in df.columns if C.sanitize(c) in keep])
-    if layout == "source" and check:
+    if layout == "source" and check and not (files is not None and files.whole):
         read = checkpoint_table(count_readings(df), scratch_path(spark, "series_probe"))
-        bad = series_status(spark, root, upgrades, state, read, ids, schema).where(F.col("cause").isNotNull())
+        files = files or series_files(spark, root, upgrades, state, ids, schema)
+        bad = files.status(read).where(F.col("cause").isNotNull())
         bad = checkpoint_table(bad.select("bldg_id", "upgrade"), scratch_path(spark, "series_bad"))
         if bad.count():
             df = df.join(bad, ["bldg_id", "upgrade"], "left_anti")

@@ -1,11 +1,13 @@
 """The files of a series as a table: listing, types from footers, reads in groups, and a writer.
 
-* :func:`open_files` lists the source's files of the requested arms, keeps those of an id table
-  by a join, and reads them in groups of at most about ``GROUP_FILES`` files: no list of ids
-  enters a plan, and a caller that handles one group after the other holds the paths of one.
-* Files of one folder may give a column different types (S6). When Spark cannot merge their
-  schemas, the types are taken from the footers in tasks, each column gets the widest type that
-  all its files can be bound to, and files that Spark's reader cannot widen by itself
+* :func:`open_files` lists the source's files of the requested arms in tasks, reads their footers
+  once (types and rows), and keeps the files of an id table by a join.
+* Small files of plain types (most, where a building has few readings) are read by tasks that
+  take ``TASK_FILES`` of them each: their paths stay in a table, in no plan and not on the driver.
+* The others are read by Spark's reader in groups of at most about ``GROUP_FILES`` files: no list
+  of ids enters a plan, and a caller that handles one group after the other holds the paths of one.
+* Files of one folder may give a column different types (S6): each column gets the widest type that
+  all its files can be bound to. Files that Spark's reader cannot widen by itself
   form groups of their own, read with their own types and cast.
 * :class:`SeriesFileSource` writes the source layout: tasks name the files
   ``<bldg_id>-<upgrade>.parquet`` themselves and move them into place when they are whole.
@@ -18,6 +20,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.fs as pfs
@@ -27,8 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
-from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 
+from ..functions import columns as C
 from ..session import scratch_path
 
 # tasks need no copy of the repository
@@ -39,17 +43,81 @@ FILE_ID_PATTERN = r"^(\d+)-(\d+)\.parquet$"
 GROUP_FILES = 20_000
 # Rows of a row group of written files.
 ROW_GROUP = 1 << 17
+# A file of at most so many bytes and rows is small: a task holds the whole of it.
+SMALL_BYTES, SMALL_ROWS = 1 << 20, ROW_GROUP
+# Small files of a task; a few more tasks than cores are made from LEAST_FILES on.
+TASK_FILES, LEAST_FILES = 1000, 50
+# Rows that small files are joined to before they leave Python.
+BATCH_ROWS = 10_000
 
 
 # ---- listing -------------------------------------------------------------------
 
-def list_files(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
-    """(path, bldg_id, upgrade) of the files named by building and arm; contents are not read."""
+LISTED = "folder string, path string, size long"
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark names it, with its scheme."""
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hp).toString()
+
+
+def _hidden(part: str) -> bool:
+    return part.startswith(".") or (part.startswith("_") and "=" not in part)
+
+
+def _list_by_store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files below every folder; a null path where the store is not one that is listed here."""
+    def rows(folder: str, found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([folder] * len(found), pa.string()), pa.array([f[0] for f in found], pa.string()),
+                                           pa.array([f[1] for f in found], pa.int64())], ["folder", "path", "size"])
+
+    for b in batches:
+        for folder in b.column("folder").to_pylist():
+            try:
+                store, at = _store(folder)
+                infos = store.get_file_info(pfs.FileSelector(at, recursive=True))
+            except Exception:  # noqa: BLE001  another store: the caller lists it with Spark
+                yield rows(folder, [(None, None)])
+                continue
+            found = []
+            for i in infos:
+                below = i.path[len(at.rstrip("/")):]
+                if i.type == pfs.FileType.File and not any(map(_hidden, below.strip("/").split("/"))):
+                    found.append((folder.rstrip("/") + below, i.size))
+            for k in range(0, len(found), BATCH_ROWS):
+                yield rows(folder, found[k:k + BATCH_ROWS])
+
+
+def _listing(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    """(path, size) of all files of the folders, as a written table: a task lists a folder. Folders of a
+    store that only Spark lists are listed by it."""
+    asked = spark.createDataFrame([(_qualified(spark, f),) for f in folders], "folder string")
+    listed = _written(asked.repartition(max(1, len(folders)), "folder").mapInArrow(_list_by_store, LISTED), "series_listing")
+    out = listed.where("path IS NOT NULL").select("path", "size")
+    far = [r.folder for r in listed.where("path IS NULL").collect()]
+    if far:
+        out = out.unionByName(spark.read.format("binaryFile").option("basePath", root).load(far)
+                              .select("path", F.col("length").alias("size")))
+    return out
+
+
+def _named(listing: DataFrame) -> DataFrame:
+    """(path, size, bldg_id, upgrade) of a listing, by file names."""
     name = F.regexp_extract("path", r"/([^/]+)$", 1)
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", root).load(folders)
-            .select("path", F.regexp_extract(name, FILE_ID_PATTERN, 1).try_cast("int").alias("bldg_id"),
-                    F.regexp_extract(name, FILE_ID_PATTERN, 2).try_cast("int").alias("upgrade"))
-            .where(F.col("bldg_id").isNotNull()))
+    return listing.select("path", "size", F.regexp_extract(name, FILE_ID_PATTERN, 1).try_cast("int").alias("bldg_id"),
+                          F.regexp_extract(name, FILE_ID_PATTERN, 2).try_cast("int").alias("upgrade"))
+
+
+def list_files(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    """(path, size, bldg_id, upgrade) of the files named by building and arm; contents are not read."""
+    return _named(_listing(spark, root, folders)).where(F.col("bldg_id").isNotNull())
+
+
+def _dealt(files: DataFrame, n: int) -> DataFrame:
+    """``n`` files dealt to tasks by their paths."""
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(max(1, -(-n // TASK_FILES), min(2 * cores, n // LEAST_FILES)), "path")
 
 
 # ---- types from footers --------------------------------------------------------
@@ -78,55 +146,85 @@ def common_type(name: str, types: set[str]) -> str:
     return "double" if widest == "float" and types & {"int", "bigint"} else widest
 
 
-def _columns(footer) -> list[tuple[int, str, str]]:
-    """(position, name, type) of a parquet file's columns."""
-    meta = pq.read_metadata(footer)
+# Types of which a task reads a small file as Spark's reader would.
+PLAIN = {*LADDER, "string", "void", "timestamp_ntz"}
+
+
+def _footer(source) -> tuple[int, str, bool]:
+    """(rows, columns, plain) of a parquet file. The columns are lines ``position<TAB>name<TAB>type``,
+    without those of types that Spark's tables do not have."""
+    meta = pq.read_metadata(source)
     schema = meta.schema.to_arrow_schema()
+    flat = len(schema) == meta.num_columns
+    plain = flat and len({f.name.lower() for f in schema}) == len(schema)
     out = []
     for i, f in enumerate(schema):
-        flat = len(schema) == meta.num_columns
         if pa.types.is_null(f.type):
             kind = "void"
         elif flat and meta.schema.column(i).physical_type == "INT96":
             kind = "timestamp"
         else:
-            kind = from_arrow_type(f.type, prefer_timestamp_ntz=True).simpleString()
-        out.append((i, f.name, kind))
-    return out
+            try:
+                kind = from_arrow_type(f.type, prefer_timestamp_ntz=True).simpleString()
+            except Exception:  # noqa: BLE001  a type that Spark's tables do not have
+                kind = None
+        if kind not in PLAIN or (pa.types.is_timestamp(f.type) and f.type.unit not in ("us", "ms")) or set(f.name) & set("\t\n"):
+            plain = False
+        if kind is None or set(f.name) & set("\t\n"):
+            continue
+        out.append(f"{i}\t{f.name}\t{kind}")
+    return meta.num_rows, "\n".join(out), plain
+
+
+FOOTERS = "path string, size long, bldg_id int, upgrade int, n_rows long, columns string, plain boolean, near boolean"
+
+
+def _footer_rows(b: pa.RecordBatch, found: list[tuple | None], near: bool) -> pa.RecordBatch:
+    """The rows of ``b`` with their footers; nulls where there is none. ``near``: read from the store by the task."""
+    kept = ["path", "size", "bldg_id", "upgrade"]
+    none = (None, None, None)
+    new = [pa.array([(f or none)[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.bool_()))]
+    flag = pa.array([near and f is not None for f in found], pa.bool_())
+    return pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *new, flag], [*kept, "n_rows", "columns", "plain", "near"])
 
 
-def _types_by_store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The columns of every path, from the file's tail; a null name where that is not readable."""
+class _Stores:
+    """Open files by path; the file system of a folder is looked up once."""
+
+    def __init__(self):
+        self.known = {}
+
+    def open(self, path: str) -> pa.NativeFile:
+        folder, name = path.rsplit("/", 1)
+        if folder not in self.known:
+            self.known[folder] = _store(folder)
+        store, at = self.known[folder]
+        return store.open_input_file(f"{at}/{name}")
+
+
+def _footers_by_store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The footers of every path, from the file's tail; null where that is not readable."""
+    stores = _Stores()
     for b in batches:
-        rows = []
+        found = []
         for path in b.column("path").to_pylist():
             try:
-                store, at = _store(path)
-                with store.open_input_file(at) as f:
-                    rows += [(path, *c) for c in _columns(f)]
+                with stores.open(path) as f:
+                    found.append(_footer(f))
             except Exception:  # noqa: BLE001  another store, or a damaged file: the caller tries Spark's reader
-                rows.append((path, None, None, None))
-        yield _type_rows(rows)
+                found.append(None)
+        yield _footer_rows(b, found, near=True)
 
 
-def _types_by_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _footers_by_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = []
-        for path, footer in zip(b.column("path").to_pylist(), b.column("footer").to_pylist(), strict=True):
+        found = []
+        for footer in b.column("footer").to_pylist():
             try:
-                rows += [(path, *c) for c in _columns(pa.BufferReader(footer))]
+                found.append(_footer(pa.BufferReader(footer)))
             except Exception:  # noqa: BLE001  a damaged footer has no types; the file is reported with its status
-                rows.append((path, None, None, None))
-        yield _type_rows(rows)
-
-
-def _type_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int32(), pa.string(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                      ["path", "pos", "name", "type"])
-
-
-TYPE_ROWS = "path string, pos int, name string, type string"
+                found.append(None)
+        yield _footer_rows(b, found, near=False)
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -144,44 +242,106 @@ def _path_groups(files: DataFrame, bound: int = GROUP_FILES) -> Iterator[list[st
             yield [r.path for r in paths]
 
 
-def footer_types(files: DataFrame) -> DataFrame:
-    """(path, pos, name, type) of the columns of every file of a written table, from the
-    footers. Files in a store that only Spark reads are read through it; the footer is cut in
-    the JVM. A file without a readable footer has no rows."""
+def footers(files: DataFrame) -> DataFrame:
+    """``files`` (a written table: path, size, bldg_id, upgrade) with the rows and columns of their
+    footers, as a written table. Files in a store that only Spark reads are read through it; the
+    footer is cut in the JVM. A file without a readable footer has nulls."""
     spark = files.sparkSession
-    by_store = _written(files.select("path").mapInArrow(_types_by_store, TYPE_ROWS), "footer_types")
-    out = by_store.where("name IS NOT NULL")
-    for paths in _path_groups(by_store.where("name IS NULL").select("path")):
+    keys = ["path", "size", "bldg_id", "upgrade"]
+    by_store = _written(_dealt(files.select(*keys), files.count()).mapInArrow(_footers_by_store, FOOTERS), "series_footers")
+    rest = by_store.where("columns IS NULL").select(*keys)
+    found = None
+    for paths in _path_groups(rest.select("path")):
         tail = F.hex(F.expr("substring(content, -8, 4)"))  # the footer's length, lowest byte first
         size = F.conv(F.concat(*[F.substring(tail, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("int")
         content = (spark.read.format("binaryFile").load(paths).where("length >= 12")
                    .select("path", (size + 8).alias("n"), "content")
                    .select("path", F.expr("substring(content, greatest(-n, -length(content)), n)").alias("footer")))
-        out = out.unionByName(content.mapInArrow(_types_by_content, TYPE_ROWS).where("name IS NOT NULL"))
-    return out
+        some = rest.join(content, "path").mapInArrow(_footers_by_content, FOOTERS).where("columns IS NOT NULL")
+        found = some if found is None else found.unionByName(some)
+    if found is None:
+        return by_store
+    found = _written(found, "series_footers")
+    return by_store.where("columns IS NOT NULL").unionByName(found).unionByName(
+        by_store.where("columns IS NULL").join(found.select("path"), "path", "left_anti"))
+
+
+def _types(footer: DataFrame) -> DataFrame:
+    """(path, pos, name, type) of the columns of footers."""
+    part = F.split(F.col("line"), "\t")
+    return (footer.where("columns <> ''").select("path", F.explode(F.split("columns", "\n")).alias("line"))
+            .select("path", part[0].cast("int").alias("pos"), part[1].alias("name"), part[2].alias("type")))
 
 
-def bind_types(types: DataFrame) -> T.StructType:
-    """The schema of all files of a written table of :func:`footer_types`: per column the
-    common type, columns by their first position."""
+def footer_types(files: DataFrame) -> DataFrame:
+    """(path, pos, name, type) of the columns of every file of a written table, from the
+    footers. A file without a readable footer has no rows."""
+    return _types(footers(files))
+
+
+def bind_types(types: DataFrame) -> T.StructType | None:
+    """The schema of all files of a table of (path, pos, name, type): per column the common
+    type. Where no types differ, columns follow the files by path, as Spark merges them, else
+    their first position."""
     found: dict[str, set[str]] = {}
-    rows = types.groupBy("name", "type").agg(F.min("pos").alias("pos")).orderBy("pos", "name").collect()  # columns x types
+    rows = types.groupBy("name", "type").agg(  # columns x types
+        F.min("pos").alias("pos"), F.min(F.struct("path", "pos")).alias("first")).orderBy("pos", "name").collect()
     for r in rows:
         found.setdefault(r.name, set()).add(r.type)
+    if not found:
+        return None
+    if all(len({"int" if t == "void" else t for t in kinds}) == 1 for kinds in found.values()):
+        first = {n: min(r.first for r in rows if r.name == n) for n in found}
+        found = {n: found[n] for n in sorted(found, key=first.get)}
     return T._parse_datatype_string(", ".join(f"`{n.replace('`', '``')}` {common_type(n, t)}" for n, t in found.items()))
 
 
-def _own_types(types: DataFrame, schema: T.StructType) -> DataFrame:
-    """(path, kind): per file the columns that Spark's reader does not widen to ``schema`` by
-    itself, as lines ``name<TAB>type``; only files that have such columns."""
-    spark = types.sparkSession
-    target = {f.name: f.dataType.simpleString() for f in schema}
-    rows = types.select("name", "type").distinct().collect()  # columns x types
-    cast = [(r.name, r.type) for r in rows if r.name in target and r.type not in WIDENED.get(target[r.name], {target[r.name], "void"})]
-    narrow = spark.createDataFrame(cast, "name string, type string")
-    line = F.concat("name", F.lit("\t"), "type")
-    return (types.join(F.broadcast(narrow), ["name", "type"]).groupBy("path")
-            .agg(F.array_join(F.array_sort(F.collect_set(line)), "\n").alias("kind")))
+def _schema(spark: SparkSession, root: str, folders: list[str], footer: DataFrame) -> T.StructType:
+    """The schema of the files of ``footer``; types that are not plain are merged by Spark where it can."""
+    kinds = footer.where("columns IS NOT NULL").groupBy("columns").agg(F.min("path").alias("path"), F.min("plain").alias("plain"))
+    kinds = _written(kinds, "series_types")
+    if kinds.where("NOT plain").limit(1).count():
+        return merged_schema(spark, root, folders) or bind_types(_types(kinds))
+    names = [r[0].lower() for r in _types(kinds).select("name").distinct().collect()]
+    if len(set(names)) < len(names):  # names that differ by case
+        return merged_schema(spark, root, folders) or bind_types(_types(kinds))
+    return bind_types(_types(kinds)) or merged_schema(spark, root, folders)
+
+
+def _own_types(columns: str, target: dict[str, str]) -> list[str]:
+    """The columns that Spark's reader does not widen to ``target`` by itself, as lines ``name<TAB>type``."""
+    found = [line.split("\t")[1:] for line in columns.split("\n")] if columns else []
+    return sorted(f"{n}\t{t}" for n, t in found if n in target and t not in WIDENED.get(target[n], {target[n], "void"}))
+
+
+def _routed(footer: DataFrame, schema: T.StructType, given: bool, parted: set[str]) -> DataFrame:
+    """(path, bldg_id, upgrade, n_rows, kind, small) of the files: whether a task reads the file whole, else by
+    which own types Spark's reader does. With a ``given`` schema, types that it does not widen are left to
+    Spark's reader."""
+    target = {f.name: f.dataType.simpleString() for f in schema if f.name != "bldg_id"}
+    lower = {n.lower(): n for n in target}
+    able = set(target.values()) <= PLAIN and len(lower) == len(target) and not {p.lower() for p in parted} & {*lower, "bldg_id"}
+
+    def route(columns: str) -> tuple[str, bool]:
+        own = _own_types(columns, target)
+        names = [line.split("\t")[1] for line in columns.split("\n")] if columns else []
+        same = all(lower.get(n.lower(), n) == n for n in names) and not {n.lower() for n in names} & {p.lower() for p in parted}
+        return "" if given else "\n".join(own), able and same and not (given and own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {None: ("", False)}
+        for b in batches:
+            sizes, rows, columns, plain, near = (b.column(c).to_pylist() for c in ("size", "n_rows", "columns", "plain", "near"))
+            for c in set(columns) - known.keys():
+                known[c] = route(c)
+            small = [bool(near[i] and plain[i] and known[c][1] and sizes[i] <= SMALL_BYTES and rows[i] <= SMALL_ROWS)
+                     for i, c in enumerate(columns)]
+            kind = ["" if small[i] else known[c][0] for i, c in enumerate(columns)]
+            kept = ["path", "bldg_id", "upgrade", "n_rows"]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(kind, pa.string()), pa.array(small, pa.bool_())],
+                                             [*kept, "kind", "small"])
+
+    return footer.mapInArrow(run, "path string, bldg_id int, upgrade int, n_rows long, kind string, small boolean")
 
 
 def merged_schema(spark: SparkSession, root: str, folders: list[str]) -> T.StructType | None:
@@ -197,16 +357,65 @@ def merged_schema(spark: SparkSession, root: str, folders: list[str]) -> T.Struc
 
 # ---- reads ---------------------------------------------------------------------
 
+def _small_reader(fields: list[tuple[str, str]], parted: list[str]):
+    """A function for ``mapInArrow`` that reads small files (path, bldg_id, n_rows) whole: the columns ``fields``
+    (name, type), the values of the folders ``parted`` as text, and bldg_id. A file that cannot be
+    read in full gives no rows."""
+    kinds = {n: to_arrow_type(T._parse_datatype_string(t)) for n, t in fields}
+    names = [*kinds, *parted, "bldg_id"]
+
+    def column(t: pa.Table, name: str) -> pa.ChunkedArray | pa.Array:
+        if name not in t.column_names:
+            return pa.nulls(t.num_rows, kinds[name])
+        found = t.column(name)
+        return found if found.type == kinds[name] else found.cast(kinds[name], safe=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stores, held, rows, folders = _Stores(), [], 0, {}
+        for b in batches:
+            for path, bldg, n in zip(*[b.column(c).to_pylist() for c in ("path", "bldg_id", "n_rows")], strict=True):
+                try:
+                    with stores.open(path) as f:
+                        file = pq.ParquetFile(f)
+                        t = file.read([c for c in file.schema_arrow.names if c in kinds], use_threads=False)
+                except Exception:  # noqa: BLE001  a damaged file: its status tells
+                    continue
+                if t.num_rows != n or not n:
+                    continue
+                folder = path.rsplit("/", 1)[0]
+                if folder not in folders:
+                    folders[folder] = dict(p.split("=", 1) for p in folder.split("/") if "=" in p)
+                held.append(pa.Table.from_arrays([*[column(t, c) for c in kinds],
+                                                  *[pa.repeat(pa.scalar(_value(folders[folder].get(p)), pa.string()), n) for p in parted],
+                                                  pa.repeat(pa.scalar(bldg, pa.int32()), n)], names))
+                rows += n
+                if rows >= BATCH_ROWS:
+                    yield from pa.concat_tables(held).combine_chunks().to_batches()
+                    held, rows = [], 0
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+    return run
+
+
+def _value(text: str | None) -> str | None:
+    """The value of a folder's name; Spark escapes some characters in it."""
+    return None if text is None or text == "__HIVE_DEFAULT_PARTITION__" else unquote(text)
+
+
 @dataclass
 class SeriesFiles:
-    """The requested files (a written table: path, bldg_id, upgrade, kind, part) and how to read them."""
+    """The requested files (a written table: path, bldg_id, upgrade, n_rows, kind, small, part) and how to read
+    them. ``parts``: (kind, part, small files, other files); ``parted``: the columns from folders."""
 
     spark: SparkSession
     root: str
     folders: list[str]
     files: DataFrame
     schema: T.StructType
-    parts: list[tuple[str, int]]
+    parts: list[tuple[str, int, int, int]]
+    parted: T.StructType
+    strays: bool
 
     def _read(self, paths: list[str], kind: str, tolerant: bool = True) -> DataFrame:
         own = dict(line.split("\t") for line in kind.split("\n")) if kind else {}
@@ -218,21 +427,49 @@ class SeriesFiles:
         name = F.regexp_extract(F.col("_metadata.file_name"), FILE_ID_PATTERN, 1).try_cast("int")
         return raw.select(*[c for c, f in zip(cast, self.schema, strict=True) if f.name != "bldg_id"], *rest, name.alias("bldg_id"))
 
+    def _read_small(self, files: DataFrame, n: int, measures: set[str] | None = None) -> DataFrame:
+        """The readings of ``n`` small files; with ``measures`` (sanitized) no other columns are read, and the others are null."""
+        fields = [f for f in self.schema if f.name != "bldg_id"]
+        asked = [f for f in fields if measures is None or C.sanitize(f.name) in measures]
+        made = T.StructType([*asked, *[T.StructField(p.name, T.StringType()) for p in self.parted],
+                             T.StructField("bldg_id", T.IntegerType())])
+        read = _small_reader([(f.name, f.dataType.simpleString()) for f in asked], [p.name for p in self.parted])
+        out = _dealt(files.select("path", "bldg_id", "n_rows"), n).mapInArrow(read, made)
+        return out.select(*[F.col(f"`{f.name}`") if f in asked else F.lit(None).cast(f.dataType).alias(f.name) for f in fields],
+                          *[F.col(f"`{p.name}`").cast(p.dataType).alias(p.name) for p in self.parted], "bldg_id")
+
     def groups(self) -> Iterator[DataFrame]:
         """The readings, one group of files after the other. A file that cannot be read is
         skipped; :meth:`status` tells."""
-        for kind, part in self.parts:
-            paths = self.files.where((F.col("kind") == kind) & (F.col("part") == part)).select("path").collect()
-            yield self._read([r.path for r in paths], kind)
-
-    def readings(self) -> DataFrame:
-        """All readings in one table."""
-        empty = self._read(self.folders, "").where(F.lit(False))
-        return reduce(DataFrame.unionByName, self.groups()) if self.parts else empty
-
-    def expected(self) -> DataFrame:
-        """(bldg_id, upgrade, n_expected) from the footers."""
-        return self.readings().groupBy("bldg_id", "upgrade").agg(F.count(F.lit(1)).alias("n_expected"))
+        for kind, part, small, other in self.parts:
+            read = [self._read_small(self._group(kind, part).where("small"), small)] if small else []
+            yield reduce(DataFrame.unionByName, [*read, *([self._read_other(kind, part)] if other else [])])
+
+    def _group(self, kind: str, part: int) -> DataFrame:
+        return self.files.where((F.col("kind") == kind) & (F.col("part") == part))
+
+    def _read_other(self, kind: str, part: int) -> DataFrame:
+        paths = self._group(kind, part).where("NOT small").select("path").collect()
+        return self._read([r.path for r in paths], kind)
+
+    def readings(self, measures: set[str] | None = None) -> DataFrame:
+        """All readings in one table; of small files only ``measures`` (sanitized names) are read, if given."""
+        if not self.parts:
+            return self._read(self.folders, "").where(F.lit(False))
+        n = sum(small for _, _, small, _ in self.parts)
+        small = [self._read_small(self.files.where("small"), n, measures)] if n else []
+        return reduce(DataFrame.unionByName, [*small, *[self._read_other(k, p) for k, p, _, other in self.parts if other]])
+
+    @property
+    def whole(self) -> bool:
+        """Whether every file is read whole or not at all."""
+        return not any(other for *_, other in self.parts)
+
+    def expected(self, group: int | None = None) -> DataFrame:
+        """(bldg_id, upgrade, n_expected) from the footers, of all files or one of :meth:`groups`."""
+        files = self.files if group is None or not self.parts else self._group(*self.parts[group][:2])
+        arm = F.regexp_extract("path", r"/upgrade=([^/]*)/", 1).try_cast("int")  # the readings have the folder's
+        return files.where("n_rows > 0").groupBy("bldg_id", arm.alias("upgrade")).agg(F.sum("n_rows").alias("n_expected"))
 
     def status(self, read: DataFrame, expected: DataFrame | None = None) -> DataFrame:
         """(bldg_id, upgrade, n_expected, n_read, cause) of every requested file; ``read`` has the
@@ -252,24 +489,35 @@ def open_files(spark: SparkSession, root: str, folders: list[str], ids: DataFram
     only, found by a join with the listing. Without a schema the footers' types are merged, or
     bound where they differ. With one, files are read by it (types that the reader does not
     widen make a file unreadable)."""
-    files = list_files(spark, root, folders)
-    target = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema) or merged_schema(spark, root, folders)
-    kinds = None
-    if target is None:  # the types differ: over all files of the folders, whatever the ids
-        types = _written(footer_types(_written(files, "series_listing")), "series_types")
-        target = bind_types(types)
-        kinds = _own_types(types, target)
-    if ids is not None:
-        files = files.join(ids.select(F.col("bldg_id").cast("int")).distinct(), "bldg_id", "left_semi")
-    files = files.join(kinds, "path", "left") if kinds is not None else files.withColumn("kind", F.lit(""))
-    files = _written(files.withColumn("kind", F.coalesce("kind", F.lit(""))).select("path", "bldg_id", "upgrade", "kind"),
-                     "series_files")
+    listing = _named(_listing(spark, root, folders))
+    strays = listing.where("bldg_id IS NULL").limit(1).count() > 0
+    files = listing.where("bldg_id IS NOT NULL")
+    # one path of every folder shows the types of the columns from folders
+    some = [r.path for r in files.groupBy(F.regexp_extract("path", r"^(.*)/", 1)).agg(F.min("path").alias("path")).collect()]
+    empty = spark.read.option("basePath", root).schema("`_` int").parquet(*some) if some else None
+    parted = T.StructType([f for f in empty.schema if f.name != "_"]) if some else T.StructType()
+    wanted = None if ids is None else ids.select(F.col("bldg_id").cast("int")).distinct()
+    if schema is not None:  # only the footers of the requested files are read
+        target = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        if wanted is not None:
+            files = _written(files.join(wanted, "bldg_id", "left_semi").select("path", "size", "bldg_id", "upgrade"), "series_wanted")
+        found = footers(files)
+    else:  # over all files of the folders, whatever the ids
+        found = footers(files)
+        target = _schema(spark, root, folders, found)
+        if wanted is not None:
+            found = found.join(wanted, "bldg_id", "left_semi")
+    shown = {f.name: f.dataType for f in parted}
+    target = T.StructType([f for f in target if f.dataType != shown.get(f.name)])  # these come from the folders in any case
+    files = _written(_routed(found, target, schema is not None, {f.name for f in parted}), "series_files")
     sizes = {r.kind: r["count"] for r in files.groupBy("kind").count().collect()}  # one row per mix of types
-    n_parts = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(-(-n // bound)))]) if sizes else None
-    part = F.pmod(F.xxhash64("path"), F.try_element_at(n_parts, F.col("kind"))).cast("int") if sizes else F.lit(0)
+    part = F.lit(0)
+    for kind, n in sizes.items():
+        part = F.when(F.col("kind") == F.lit(kind), F.pmod(F.xxhash64("path"), F.lit(-(-n // bound))).cast("int")).otherwise(part)
     files = files.withColumn("part", part)
-    parts = [(k, p) for k, n in sorted(sizes.items()) for p in range(-(-n // bound))]
-    return SeriesFiles(spark, root, folders, files, target, parts)
+    found = files.groupBy("kind", "part").agg(F.count_if("small").alias("small"), F.count_if(~F.col("small")).alias("other")).collect()
+    parts = sorted((r.kind, r.part, r.small, r.other) for r in found)
+    return SeriesFiles(spark, root, folders, files, target, parts, parted, strays)
 
 
 # ---- writing -------------------------------------------------------------------
@@ -295,15 +543,16 @@ class SeriesFileWriter(DataSourceArrowWriter):
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         store, root = _store(self.root)
-        key, held, rows, out, at = None, [], 0, None, None
+        key, held, rows, out, at, made = None, [], 0, None, None, set()
 
         def flush(done: bool):
             nonlocal held, rows, out
             if held:
                 table = pa.Table.from_batches(held).drop_columns(["upgrade", "state", "bldg_id"])
                 if out is None:
-                    store.create_dir(at[1].rsplit("/", 1)[0], recursive=True)
-                    store.create_dir(at[0].rsplit("/", 1)[0], recursive=True)
+                    for folder in {p.rsplit("/", 1)[0] for p in at} - made:
+                        store.create_dir(folder, recursive=True)
+                        made.add(folder)
                     out = pq.ParquetWriter(at[0], table.schema, filesystem=store)
                 out.write_table(table)
                 held, rows = [], 0

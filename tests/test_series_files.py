@@ -140,3 +140,54 @@ def test_row_groups_of_a_long_series_are_bounded(spark, out_dir, monkeypatch):
     SF.write_files(_readings(spark, 30_000).withColumn("bldg_id", F.lit(3)).withColumn("upgrade", F.lit(0)), root)
     meta = pq.ParquetFile(f"{root}/upgrade=0/state=VA/3-0.parquet").metadata
     assert meta.num_rows == 30_000 and max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) <= 11_000
+
+
+def _no_scan(monkeypatch, allowed=0):
+    """Paths given to Spark's reader, of which there may be ``allowed``; footers are not merged on the driver."""
+    given, read = [], SF.SeriesFiles._read
+
+    def spy(self, paths, kind, tolerant=True):
+        given.extend(paths)
+        assert len(given) <= allowed, given
+        return read(self, paths, kind, tolerant)
+
+    def merged(*a):
+        raise AssertionError("footers merged once more")
+
+    monkeypatch.setattr(SF.SeriesFiles, "_read", spy)
+    monkeypatch.setattr(SF, "merged_schema", merged)
+    return given
+
+
+def _rows(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+def test_small_files_are_read_in_tasks(spark, out_dir, monkeypatch):
+    """No path of a small file is on the driver or in a plan; the rows are those of Spark's reader."""
+    root = f"{out_dir}/src"
+    IO.write_source_series(_readings(spark), root)
+    scanned = _rows(IO.read_series(spark, root, (0, 5), "VA", check=False))
+    given = _no_scan(monkeypatch)
+    df = IO.read_series(spark, root, (0, 5), "VA")
+    assert _rows(df) == scanned and given == []
+    assert dict(df.dtypes)["upgrade"] == "int" and dict(df.dtypes)["state"] == "string"
+    assert "0.parquet" not in df._jdf.queryExecution().toString()
+
+
+
+
+
+def test_other_types_and_large_files_are_left_to_spark(spark, out_dir, monkeypatch):
+    root = f"{out_dir}/s"
+    at = pa.array([0, 900_000_000], pa.timestamp("us", "UTC"))
+    _write(root, 1, {"timestamp": at, NET: pa.array([1.0, 2.0])})
+    _write(root, 2, {"timestamp": at, NET: pa.array([3.0, 4.0]), "Extra": pa.array([1, 2])})
+    files = IO.series_files(spark, root, (0,), "VA")
+    assert not files.whole and {f.name for f in files.schema} == {"timestamp", NET, "Extra"}
+    assert IO.read_series(spark, root, (0,), "VA").count() == 4
+    plain = f"{out_dir}/p"
+    IO.write_source_series(_readings(spark, 140), plain)
+    monkeypatch.setattr(SF, "SMALL_BYTES", 10)
+    assert not IO.series_files(spark, plain, (0, 5), "VA").whole
+    assert IO.read_series(spark, plain, (0, 5), "VA").count() == 140
