@@ -95,8 +95,7 @@ def _source_cube(stages: Stages, series_root: str, arms: Sequence[int], params:
     for k, readings in enumerate(groups):
         same = {"params": [k, len(files.parts), arms, params.state, str(series_schema)], "inputs": inputs, "uses": uses}
         cubes.append(stages.table(f"hour_cube/part={k}", lambda r=readings: R.hour_cube(C.sanitize_columns(r)), **same))
-        counts.append(stages.table(f"footer_counts/part={k}", lambda r=readings: r.groupBy("bldg_id", "upgrade").agg(
-            F.count(F.lit(1)).alias("n_expected")), **same))
+        counts.append(stages.table(f"footer_counts/part={k}", lambda k=k: files.expected(k), **same))
         names += [f"hour_cube/part={k}", f"footer_counts/part={k}"]
     cube, expected = reduce(DataFrame.unionByName, cubes), reduce(DataFrame.unionByName, counts)
     read = cube.groupBy("bldg_id", "upgrade").agg(F.sum("_n").alias("n_read"))

@@ -175,6 +175,20 @@ def test_small_files_are_read_in_tasks(spark, out_dir, monkeypatch):
     assert "0.parquet" not in df._jdf.queryExecution().toString()
 
 
+def test_status_of_small_files_without_a_scan(spark, out_dir, monkeypatch):
+    """Only the file without a footer is given to Spark's reader; causes are those of the files."""
+    root = f"{out_dir}/src"
+    IO.write_source_series(_readings(spark), root)
+    IO.truncate_file(spark, f"{root}/upgrade=0/state=VA/1-0.parquet")
+    IO.blot_file(spark, f"{root}/upgrade=5/state=VA/2-5.parquet")
+    given = _no_scan(monkeypatch, allowed=1)
+    files = IO.series_files(spark, root, (0, 5), "VA")
+    read = IO.checkpoint_table(IO.count_readings(files.readings()), f"{out_dir}/read")
+    found = {(r.bldg_id, r.upgrade): (r.n_expected == r.n_read, r.cause) for r in files.status(read).collect()}
+    assert len(found) == 14 and len(given) == 1
+    assert {k: v for k, v in found.items() if v != (True, None)} == {
+        (1, 0): (False, "footer unreadable"), (2, 5): (False, "data unreadable")}
+
 
 
 
