@@ -190,6 +190,16 @@ def test_status_of_small_files_without_a_scan(spark, out_dir, monkeypatch):
         (1, 0): (False, "footer unreadable"), (2, 5): (False, "data unreadable")}
 
 
+def test_small_files_of_different_types_without_a_scan(spark, out_dir, monkeypatch):
+    root = mixed_series(f"{out_dir}/s")
+    monkeypatch.setattr(SF, "SMALL_ROWS", 0)  # all by Spark's reader
+    scanned = IO.read_series(spark, root, (0, 5), "VA")
+    want, kinds = _rows(scanned), scanned.dtypes
+    monkeypatch.setattr(SF, "SMALL_ROWS", 1000)
+    given = _no_scan(monkeypatch)
+    df = IO.read_series(spark, root, (0, 5), "VA")
+    assert (_rows(df), df.dtypes, given) == (want, kinds, [])
+
 
 
 def test_other_types_and_large_files_are_left_to_spark(spark, out_dir, monkeypatch):
