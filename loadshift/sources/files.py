@@ -210,9 +210,9 @@ def _open_series(spark, root, folders, layout, ids, schema, tolerant: bool) -> D
     if layout not in ("source", "table"):
         raise ValueError(f"layout must be 'source' or 'table', not {layout!r}")
     if layout == "source":
-        found = schema if schema is not None else SF.merged_schema(spark, root, folders)
-        if found is None or isinstance(ids, DataFrame):  # files whose types differ, or a table of ids
-            return SF.open_files(spark, root, folders, _id_table(spark, ids), found).readings()
+        # a table of ids, or files whose types differ
+        if isinstance(ids, DataFrame) or (schema is None and SF.merged_schema(spark, root, folders) is None):
+            return SF.open_files(spark, root, folders, _id_table(spark, ids), schema).readings()
     reader = spark.read.option("basePath", root).option("ignoreCorruptFiles", "true" if tolerant else "false")
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
     df = reader.parquet(*folders)

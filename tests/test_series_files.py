@@ -201,6 +201,15 @@ def test_small_files_of_different_types_without_a_scan(spark, out_dir, monkeypat
     assert (_rows(df), df.dtypes, given) == (want, kinds, [])
 
 
+def test_files_of_an_id_table_without_a_scan(spark, out_dir, monkeypatch):
+    root = f"{out_dir}/src"
+    IO.write_source_series(_readings(spark), root)
+    ids = spark.createDataFrame([(2,), (2,), (6,), (None,), (99,)], "bldg_id long")
+    given = _no_scan(monkeypatch)
+    for check in (True, False):
+        df = IO.read_series(spark, root, (0, 5), "VA", ids=ids, check=check)
+        assert _rows(df) == _rows(IO.read_series(spark, root, (0, 5), "VA").where("bldg_id IN (2, 6)")) and given == []
+
 
 def test_other_types_and_large_files_are_left_to_spark(spark, out_dir, monkeypatch):
     root = f"{out_dir}/s"
