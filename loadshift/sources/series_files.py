@@ -253,10 +253,10 @@ def footers(files: DataFrame) -> DataFrame:
     found = None
     for paths in _path_groups(rest.select("path")):
         tail = F.hex(F.expr("substring(content, -8, 4)"))  # the footer's length, lowest byte first
-        size = F.conv(F.concat(*[F.substring(tail, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("int")
+        size = F.conv(F.concat(*[F.substring(tail, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("long")
         content = (spark.read.format("binaryFile").load(paths).where("length >= 12")
-                   .select("path", (size + 8).alias("n"), "content")
-                   .select("path", F.expr("substring(content, greatest(-n, -length(content)), n)").alias("footer")))
+                   .select("path", F.least(size + 8, F.col("length")).cast("int").alias("n"), "content")  # any number in a damaged file
+                   .select("path", F.expr("substring(content, -n, n)").alias("footer")))
         some = rest.join(content, "path").mapInArrow(_footers_by_content, FOOTERS).where("columns IS NOT NULL")
         found = some if found is None else found.unionByName(some)
     if found is None:
