@@ -442,7 +442,7 @@ class SeriesFiles:
         """The readings, one group of files after the other. A file that cannot be read is
         skipped; :meth:`status` tells."""
         for kind, part, small, other in self.parts:
-            read = [self._read_small(self._group(kind, part).where("small"), small)] if small else []
+            read = [self._read_small(self._group(kind, part).where("small"), small)] if small or not other else []
             yield reduce(DataFrame.unionByName, [*read, *([self._read_other(kind, part)] if other else [])])
 
     def _group(self, kind: str, part: int) -> DataFrame:
@@ -516,7 +516,8 @@ def open_files(spark: SparkSession, root: str, folders: list[str], ids: DataFram
         part = F.when(F.col("kind") == F.lit(kind), F.pmod(F.xxhash64("path"), F.lit(-(-n // bound))).cast("int")).otherwise(part)
     files = files.withColumn("part", part)
     found = files.groupBy("kind", "part").agg(F.count_if("small").alias("small"), F.count_if(~F.col("small")).alias("other")).collect()
-    parts = sorted((r.kind, r.part, r.small, r.other) for r in found)
+    counted = {(r.kind, r.part): (r.small, r.other) for r in found}
+    parts = [(k, p, *counted.get((k, p), (0, 0))) for k, n in sorted(sizes.items()) for p in range(-(-n // bound))]
     return SeriesFiles(spark, root, folders, files, target, parts, parted, strays)
 
 
