@@ -204,6 +204,24 @@ def test_small_files_of_different_types_without_a_scan(spark, out_dir, monkeypat
     assert (_rows(df), df.dtypes, given) == (want, kinds, [])
 
 
+def test_tasks_do_not_grow_with_files_of_different_types(spark, out_dir):
+    """Every task sends a result of some KB to the driver, so there may not be one for each file."""
+    kinds, n = (pa.int32(), pa.float64(), pa.int64()), 600
+    at = pa.array([0, 900_000_000], pa.timestamp("us"))
+    for b in range(n):
+        _write(f"{out_dir}/s", b, {"timestamp": at, NET: pa.array([b, b + 1], kinds[b % 3])})
+    sc = spark.sparkContext
+    sc.setJobGroup(out_dir, "files of different types")
+    try:
+        rows = IO.read_series(spark, f"{out_dir}/s", (0,), "VA").groupBy("bldg_id").agg(F.sum(NET.replace(".", "__")).alias("net")).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.bldg_id: r.net for r in rows} == {b: 2.0 * b + 1 for b in range(n)}
+    seen = sc.statusTracker()
+    stages = {i for j in seen.getJobIdsForGroup(out_dir) for i in seen.getJobInfo(j).stageIds}
+    assert 0 < sum(seen.getStageInfo(i).numTasks for i in stages if seen.getStageInfo(i)) < n / 3
+
+
 def test_files_of_an_id_table_without_a_scan(spark, out_dir, monkeypatch):
     root = f"{out_dir}/src"
     IO.write_source_series(_readings(spark), root)
